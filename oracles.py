@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 TEXT = "'%Y-%m-%d %H:%M:%S'"
-LATE_MS, PARTS = 216_000_000, 6
+LATE_MS, PARTS = 216_000_000, 4
 
 AREA = "'AREA_' || (user_id % 5)"
 

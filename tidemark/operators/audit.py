@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.json_text import is_broken, read_fields
+from tidemark.functions.once import with_once
 from tidemark.functions.texts import tab_line
 from tidemark.functions.times import parse_time
 
@@ -18,8 +19,8 @@ def parse_audit(messages: DataFrame, times: str = "positive") -> DataFrame:
     """
     if times not in ("positive", "nonzero"):
         raise ValueError(f"times must be 'positive' or 'nonzero', not {times!r}")
-    parsed = messages.withColumn("_p", read_fields("value", "dt string, type string, area string"))
-    parsed = parsed.withColumn("event_time", parse_time("_p.dt"))
+    parsed = with_once(messages, "_p", read_fields("value", "dt string, type string, area string"))
+    parsed = with_once(parsed, "event_time", parse_time("_p.dt"))
     ms = F.unix_millis("event_time")
     reason = (
         F.when(is_broken("_p"), "malformed_json")

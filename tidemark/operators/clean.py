@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.json_text import is_broken, object_text, open_object, put_fields, read_fields
+from tidemark.functions.once import with_once
 from tidemark.operators.joins import BROADCAST_ROWS, lookup_join
 
 ADDED = ("area", "dt")
@@ -20,7 +21,7 @@ def parse_envelopes(messages: DataFrame, item_fields: str | None = None) -> Data
     envelope that can be exploded.
     """
     items = f"array<struct<{item_fields}>>" if item_fields else "array<string>"
-    parsed = messages.withColumn("_p", read_fields("value", f"dt string, countryCode string, data {items}"))
+    parsed = with_once(messages, "_p", read_fields("value", f"dt string, countryCode string, data {items}"))
     reason = F.when(is_broken("_p"), "malformed_json").when(F.col("_p.data").isNull(), "no_data")
     return parsed.select("value", "_p.dt", "_p.countryCode", "_p.data", reason.alias("reason"))
 
@@ -43,7 +44,7 @@ def explode_items(enriched: DataFrame) -> DataFrame:
     usable = enriched.where(F.col("reason").isNull())
     exploded = usable.select(F.explode("data").alias("item"), "area", "dt")
     if is_open(enriched):
-        exploded = exploded.withColumn("fields", open_object("item"))
+        exploded = with_once(exploded, "fields", open_object("item"))
         return exploded.withColumn("reason", F.when(F.col("fields").isNull(), "bad_item"))
     return exploded.withColumn("reason", F.when(F.col("item").isNull(), "bad_item"))
 

@@ -26,10 +26,10 @@ def window_end_ms(timing: Timing) -> Column:
 
 
 def window_turns(rows: DataFrame, timing: Timing = Timing(), arrival: str = "arrival") -> DataFrame:
-    """``(window_end_ms, fire_at, close_at)`` for each window that has rows.
+    """``(window_end_ms, fire_at, close_at, newest_ms)`` for each window that has rows.
 
     ``fire_at`` and ``close_at`` are the first arrivals with an event time late enough to fire or
-    close the window; null if none came.
+    close the window, null if none came; ``newest_ms`` is the largest event time in it.
     """
     ms = F.unix_millis("event_time")
     # Numbers count windows from the epoch. A row lies in window `own`, and fires (closes) all windows
@@ -38,27 +38,24 @@ def window_turns(rows: DataFrame, timing: Timing = Timing(), arrival: str = "arr
         (window_number(ms, timing.window_ms) + 1).alias("own"),
         window_number(ms, timing.window_ms, timing.fire_after_ms).alias("fires"),
         window_number(ms, timing.window_ms, timing.close_after_ms).alias("closes"),
-    ).agg(F.min(arrival).alias("first"))
+    ).agg(F.min(arrival).alias("first"), F.max(ms).alias("newest"))
+    at, newest = F.col("first"), F.col("newest")
     never = F.lit(None).cast(rows.schema[arrival].dataType)
+    nothing = F.lit(None).cast("long")
 
-    def point(number: str, fire_at: Column, close_at: Column, has_rows: bool) -> Column:
-        columns = {"number": F.col(number), "fire_at": fire_at, "close_at": close_at, "has_rows": F.lit(has_rows)}
+    def point(number: str, fire_at: Column, close_at: Column, newest_ms: Column) -> Column:
+        columns = {"number": F.col(number), "fire_at": fire_at, "close_at": close_at, "newest_ms": newest_ms}
         return F.struct(*[column.alias(name) for name, column in columns.items()])
 
-    points = first.select(
-        F.inline(
-            F.array(
-                point("own", never, never, True),
-                point("fires", F.col("first"), never, False),
-                point("closes", never, F.col("first"), False),
-            )
-        )
+    points = F.array(
+        point("own", never, never, newest), point("fires", at, never, nothing), point("closes", never, at, nothing)
     )
-    points = points.groupBy("number").agg(
-        F.min("fire_at").alias("fire_at"), F.min("close_at").alias("close_at"), F.max("has_rows").alias("has_rows")
+    turns = minimum_from_here_up(
+        first.select(F.inline(points)), "number", ["fire_at", "close_at"], [F.max("newest_ms").alias("newest_ms")]
+    )
+    return turns.where("newest_ms is not null").select(
+        (F.col("number") * timing.window_ms).alias("window_end_ms"), "fire_at", "close_at", "newest_ms"
     )
-    turns = minimum_from_here_up(points, "number", ["fire_at", "close_at"]).where("has_rows")
-    return turns.select((F.col("number") * timing.window_ms).alias("window_end_ms"), "fire_at", "close_at")
 
 
 def classify_lateness(
@@ -66,6 +63,7 @@ def classify_lateness(
     timing: Timing = Timing(),
     arrival: str | None = "arrival",
     seen_ms: int = 0,
+    turns: DataFrame | None = None,
     max_broadcast: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add ``window_end_ms``, ``fire_at`` and ``lateness`` (``ontime``, ``refire`` or ``late``).
@@ -74,19 +72,20 @@ def classify_lateness(
     rows with equal arrivals came together. With ``arrival=None`` all rows came together.
     ``seen_ms`` is the largest event time that had arrived before any of these rows.
 
-    Reads ``rows`` twice: once here, to find the turns of the windows, once when used.
+    ``turns`` are the ``window_turns`` of the rows; they are worked out here if not given, so that
+    ``rows`` are read twice, now and when the result is used.
     """
     rows = rows.withColumn("window_end_ms", window_end_ms(timing))
-    fired = F.lit(seen_ms) >= F.col("window_end_ms") + timing.fire_after_ms
-    closed = F.lit(seen_ms) >= F.col("window_end_ms") + timing.close_after_ms
+    late = F.lit(seen_ms) >= F.col("window_end_ms") + timing.close_after_ms
+    refire = F.lit(seen_ms) >= F.col("window_end_ms") + timing.fire_after_ms
     if arrival is None:
-        rows = rows.withColumn("fire_at", F.lit(None).cast("long"))
-        lateness = F.when(closed, "late").when(fired, "refire").otherwise("ontime")
-        return rows.withColumn("lateness", lateness)
-    turns = written(window_turns(rows, timing, arrival), "turns")
-    tagged = lookup_join(rows, turns, "window_end_ms", max_broadcast)
-    late = closed | F.coalesce(F.col("close_at") < F.col(arrival), F.lit(False))
-    refire = fired | F.coalesce(F.col("fire_at") < F.col(arrival), F.lit(False))
+        tagged = rows.withColumn("fire_at", F.lit(None).cast("long"))
+    else:
+        if turns is None:
+            turns = written(window_turns(rows, timing, arrival), "turns")
+        tagged = lookup_join(rows, turns.drop("newest_ms"), "window_end_ms", max_broadcast)
+        late |= F.coalesce(F.col("close_at") < F.col(arrival), F.lit(False))
+        refire |= F.coalesce(F.col("fire_at") < F.col(arrival), F.lit(False))
     return tagged.withColumn("lateness", F.when(late, "late").when(refire, "refire").otherwise("ontime")).drop("close_at")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.workspace import written
@@ -10,23 +10,28 @@ from tidemark.workspace import written
 BLOCK = 4096
 
 
-def minimum_from_here_up(df: DataFrame, position: str, values: list[str], block: int = BLOCK) -> DataFrame:
-    """Replace each of ``values`` by its minimum over all rows with the same or a larger ``position``.
+def minimum_from_here_up(
+    df: DataFrame, position: str, values: list[str], kept: list[Column], block: int = BLOCK
+) -> DataFrame:
+    """One row per ``position`` with the minimum of each of ``values`` over all rows at it or above.
 
-    ``position`` is a whole number, unique in ``df``. Rows are scanned in blocks of ``block``
-    positions, and the block minima are scanned once more. The second scan has no partitioning; it
-    sees one row per block, and for minute windows even a century has only some 13,000 blocks.
+    ``kept`` are aggregates over the rows at the position itself. Positions are whole numbers; they
+    are scanned in blocks of ``block``, and the block minima are scanned once more. The second scan
+    has no partitioning; it sees one row per block, and for minute windows even a century has only
+    some 13,000 blocks.
     """
-    df = df.withColumn("_block", F.floor(F.col(position) / block))
+    # One shuffle by block serves the grouping, the scan inside the blocks and the block minima.
+    blocked = df.withColumn("_block", F.floor(F.col(position) / block)).repartition("_block")
+    points = blocked.groupBy("_block", position).agg(*[F.min(v).alias(v) for v in values], *kept)
     downwards = Window.orderBy(F.col("_block").desc()).rowsBetween(Window.unboundedPreceding, -1)
     above = (
-        df.groupBy("_block")
+        points.groupBy("_block")
         .agg(*[F.min(v).alias(v) for v in values])
         .select("_block", *[F.min(v).over(downwards).alias(f"_above_{v}") for v in values])
     )
     inside = Window.partitionBy("_block").orderBy(F.col(position).desc())
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    scanned = df.withColumns({v: F.min(v).over(inside) for v in values}).join(above, "_block")
+    scanned = points.withColumns({v: F.min(v).over(inside) for v in values}).join(above, "_block")
     return scanned.withColumns({v: F.least(v, f"_above_{v}") for v in values}).drop(
         "_block", *[f"_above_{v}" for v in values]
     )

@@ -11,27 +11,28 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.times import format_ms
 from tidemark.operators.audit import bad_rows, good_rows, late_lines, parse_audit
-from tidemark.operators.lateness import KEY, classify_lateness
+from tidemark.operators.lateness import KEY, classify_lateness, window_turns
 from tidemark.operators.windows import report_docs, window_counts
 from tidemark.settings import Timing
 from tidemark.sinks.writers import Sink
-from tidemark.workspace import drop_folder, scratch
+from tidemark.workspace import drop_folder, scratch, written
 
 EACH_MINUTE = {"processingTime": "60 seconds"}
-OPEN_SCHEMA = "window_end_ms bigint, type string, area string, count bigint"
+STATE = "window_end_ms bigint, type string, area string, count bigint, newest_ms bigint"
 
 
 @dataclass(frozen=True)
 class ReportStep:
     """One micro-batch of the exact report, from the state the batch before left in ``state``.
 
-    The state is the largest event time so far and the counts of the windows still open. A batch
-    reads that of its predecessor and writes its own under its id, so running it again with the same
-    rows leaves the same state and the same output. ``keep`` batches of state are held back.
+    The state holds, for each window still open, its count and its newest event time. A batch reads
+    the state of its predecessor and writes its own under its id, so running it again with the same
+    rows leaves the same state and the same output. The last ``keep`` batches of state are kept.
 
     With an ``arrival`` column, rows of one batch meet the watermark of the rows before them, and
     the result does not depend on where batches are cut. With None, they all meet the watermark the
     earlier batches left. Several refires of a window within a batch come out as one document.
+    ``label`` is ``window_end`` or ``max_event``, as in ``window_counts``.
     """
 
     state: str
@@ -41,57 +42,67 @@ class ReportStep:
     timing: Timing = Timing()
     arrival: str | None = "arrival"
     times: str = "positive"
+    label: str = "window_end"
     keep: int = 100
 
+    def __post_init__(self):
+        if self.label not in ("window_end", "max_event"):
+            raise ValueError(f"label must be 'window_end' or 'max_event', not {self.label!r}")
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with scratch(batch.sparkSession):
-            self._run(batch, batch_id)
-
-    def _run(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        seen = self._seen(spark, batch_id - 1)
-        parsed = parse_audit(batch, self.times).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            newest = good_rows(parsed).agg(F.max(F.unix_millis("event_time"))).first()[0]
-            now = max(seen, newest or 0)
-            if self.bad is not None:
-                self.bad(bad_rows(parsed), batch_id)
-            tagged = classify_lateness(good_rows(parsed), self.timing, self.arrival, seen)
-            if self.late is not None:
-                self.late(late_lines(tagged.where("lateness = 'late'")), batch_id)
-            counts = self._counts(spark, tagged, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
+            parsed = parse_audit(batch, self.times).persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                self.docs(self._emitted(counts, seen, now), batch_id)
-                still_open = counts.where(F.col("window_end_ms") + self.timing.close_after_ms > now)
-                still_open.drop("added").write.mode("overwrite").parquet(f"{self.state}/open/{batch_id}")
+                self._run(parsed, batch_id)
             finally:
-                counts.unpersist()
-            mark = spark.range(1).select(F.lit(now).cast("long").alias("seen"))
-            mark.write.mode("overwrite").parquet(f"{self.state}/seen/{batch_id}")
+                parsed.unpersist()
+
+    def _run(self, parsed: DataFrame, batch_id: int) -> None:
+        rows = good_rows(parsed)
+        held = self._held(parsed.sparkSession, batch_id - 1)
+        seen = held.agg(F.max("newest_ms")).first()[0] or 0 if batch_id > 0 else 0
+        if self.arrival is None:
+            turns, newest = None, rows.agg(F.max(F.unix_millis("event_time"))).first()[0]
+        else:
+            turns = written(window_turns(rows, self.timing, self.arrival), "turns")
+            newest = turns.agg(F.max("newest_ms")).first()[0]
+        now = max(seen, newest or 0)
+
+        tagged = classify_lateness(rows, self.timing, self.arrival, seen, turns)
+        if self.late is not None:
+            self.late(late_lines(tagged.where("lateness = 'late'")), batch_id)
+        if self.bad is not None:
+            self.bad(bad_rows(parsed), batch_id)
+        counts = self._counts(tagged, held).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self.docs(self._emitted(counts, seen, now), batch_id)
+            # The newest row of all stays, open or not: the next batch takes `seen` from it.
+            closes_at = F.col("window_end_ms") + self.timing.close_after_ms
+            still_open = counts.where((closes_at > now) | (F.col("newest_ms") == now))
+            still_open.drop("added").write.mode("overwrite").parquet(f"{self.state}/{batch_id}")
         finally:
-            parsed.unpersist()
+            counts.unpersist()
         if batch_id >= self.keep:
-            drop_folder(spark, f"{self.state}/open/{batch_id - self.keep}")
-            drop_folder(spark, f"{self.state}/seen/{batch_id - self.keep}")
+            drop_folder(parsed.sparkSession, f"{self.state}/{batch_id - self.keep}")
 
-    def _seen(self, spark: SparkSession, batch_id: int) -> int:
+    def _held(self, spark: SparkSession, batch_id: int) -> DataFrame:
         if batch_id < 0:
-            return 0
-        return spark.read.schema("seen bigint").parquet(f"{self.state}/seen/{batch_id}").first()["seen"]
+            return spark.createDataFrame([], STATE)
+        return spark.read.schema(STATE).parquet(f"{self.state}/{batch_id}")
 
-    def _counts(self, spark: SparkSession, tagged: DataFrame, batch_id: int) -> DataFrame:
+    def _counts(self, tagged: DataFrame, held: DataFrame) -> DataFrame:
         """Full counts of the open windows, and how many rows of this batch they include."""
-        counts = tagged.where("lateness <> 'late'").groupBy(*KEY).agg(F.count("*").alias("added"))
-        counts = counts.withColumn("count", F.col("added"))
-        if batch_id > 0:
-            held = spark.read.schema(OPEN_SCHEMA).parquet(f"{self.state}/open/{batch_id - 1}")
-            counts = counts.unionByName(held.withColumn("added", F.lit(0).cast("long")))
-        return counts.groupBy(*KEY).agg(F.sum("count").alias("count"), F.sum("added").alias("added"))
+        fresh = tagged.where("lateness <> 'late'").groupBy(*KEY)
+        fresh = fresh.agg(F.count("*").alias("added"), F.max(F.unix_millis("event_time")).alias("newest_ms"))
+        both = fresh.withColumn("count", F.col("added")).unionByName(held.withColumn("added", F.lit(0).cast("long")))
+        sums = [F.sum(name).alias(name) for name in ("count", "added")]
+        return both.groupBy(*KEY).agg(*sums, F.max("newest_ms").alias("newest_ms"))
 
     def _emitted(self, counts: DataFrame, seen: int, now: int) -> DataFrame:
         fires_at = F.col("window_end_ms") + self.timing.fire_after_ms
         emitted = counts.where((fires_at <= now) & ((F.col("added") > 0) | (fires_at > seen)))
-        return report_docs(emitted.select(format_ms("window_end_ms").alias("time"), "type", "area", "count"))
+        time = format_ms("window_end_ms" if self.label == "window_end" else "newest_ms")
+        return report_docs(emitted.select(time.alias("time"), "type", "area", "count"))
 
 
 def run_report_exact(messages: DataFrame, step: ReportStep, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
