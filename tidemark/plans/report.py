@@ -7,8 +7,8 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 
 from tidemark.operators.audit import bad_rows, good_rows, late_lines, parse_audit
-from tidemark.operators.lateness import classify_lateness, final_counts, latest_docs, refire_changelog
 from tidemark.operators.joins import BROADCAST_ROWS
+from tidemark.operators.lateness import classify_lateness, final_counts, refire_changelog
 from tidemark.operators.windows import report_docs
 from tidemark.settings import Timing
 
@@ -28,8 +28,11 @@ class Report(NamedTuple):
 
     @property
     def upserted(self) -> DataFrame:
-        """The documents left in a store keyed by document id."""
-        return report_docs(latest_docs(refire_changelog(self.classified)))
+        """The documents left in a store keyed by document id: the last of each in the changelog.
+
+        That is the final count of each fired window, so the changelog need not be worked out.
+        """
+        return report_docs(self.counts.where("fired").drop("fired"))
 
     @property
     def late(self) -> DataFrame:

@@ -51,7 +51,10 @@ class ReportStep:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with scratch(batch.sparkSession):
-            parsed = parse_audit(batch, self.times).persist(StorageLevel.MEMORY_AND_DISK)
+            # The batch is used several times: keep it parsed, with the texts of bad rows only.
+            parsed = parse_audit(batch, self.times)
+            parsed = parsed.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
+            parsed.persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 self._run(parsed, batch_id)
             finally:
