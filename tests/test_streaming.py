@@ -11,7 +11,7 @@ from tidemark.jobs import report as report_job
 from tidemark.settings import Timing
 from tidemark.sinks.writers import all_of, console_sink, documents, folder_sink, read_folder
 from tidemark.sources.areas import AreaSnapshots
-from tidemark.sources.messages import read_messages
+from tidemark.sources.messages import kafka_messages, read_messages
 from tidemark.streaming.clean import run_clean
 from tidemark.streaming.replay import NOW, replay
 from tidemark.streaming.report import ReportStep, run_report_builtin, run_report_exact
@@ -131,6 +131,41 @@ def test_empty_and_bad_batches(spark, tmp_path, rows):
     assert [(row["value"], row["reason"], row["batch_id"]) for row in bad] == [("{", "malformed_json", 2)]
 
 
+def test_batch_that_failed_half_way_is_run_again(spark, tmp_path, rows):
+    borders = cuts(len(rows), 6)
+    docs = folder_sink(f"{tmp_path}/docs")
+    failures = {1, 2}
+
+    def failing(df, batch_id):
+        docs(df, batch_id)
+        if batch_id in failures:
+            failures.remove(batch_id)
+            raise OSError("store not reachable")
+
+    step = ReportStep(f"{tmp_path}/state", failing, folder_sink(f"{tmp_path}/late", "text"), timing=TEN)
+
+    def start():
+        incoming = read_messages(spark, "parquet", True, "value string, arrival bigint", path=f"{tmp_path}/in")
+        query = run_report_exact(incoming, step, f"{tmp_path}/checkpoint", NOW)
+        try:
+            query.awaitTermination()
+        except Exception:
+            query = run_report_exact(incoming, step, f"{tmp_path}/checkpoint", NOW)
+        return query
+
+    parts = [(F.col("n") >= low) & (F.col("n") < high) for low, high in borders]
+    replay(messages(spark, rows), parts, f"{tmp_path}/in", start)
+    assert not failures
+    expected, late_lines = by_batch(rows, TEN, borders)
+    assert emitted(spark, tmp_path) == expected
+    assert late(spark, tmp_path) == late_lines
+
+
+def test_kafka_records(spark):
+    records = spark.sql("SELECT CAST('{}' AS binary) AS value, timestamp'1970-01-01 00:00:01.5' AS timestamp, 3 AS offset")
+    assert tuple(kafka_messages(records).first()) == ("{}", 1_500_000)
+
+
 def test_lost_state_is_an_error(spark, tmp_path, rows):
     step = ReportStep(f"{tmp_path}/state", folder_sink(f"{tmp_path}/docs"), timing=TEN)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):

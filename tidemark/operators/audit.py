@@ -32,6 +32,11 @@ def parse_audit(messages: DataFrame, times: str = "positive") -> DataFrame:
     return parsed.select(*messages.columns, "event_time", "_p.type", "_p.area", reason.alias("reason"))
 
 
+def slim(parsed: DataFrame) -> DataFrame:
+    """``parsed`` without the texts of good rows, for keeping."""
+    return parsed.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
+
+
 def good_rows(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("reason").isNull()).drop("value", "reason")
 

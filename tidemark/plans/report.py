@@ -6,11 +6,12 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
-from tidemark.operators.audit import bad_rows, good_rows, late_lines, parse_audit
+from tidemark.operators.audit import bad_rows, good_rows, late_lines, parse_audit, slim
 from tidemark.operators.joins import BROADCAST_ROWS
 from tidemark.operators.lateness import classify_lateness, final_counts, refire_changelog
 from tidemark.operators.windows import report_docs
 from tidemark.settings import Timing
+from tidemark.workspace import written
 
 
 class Report(NamedTuple):
@@ -42,7 +43,11 @@ class Report(NamedTuple):
 def report_messages(
     messages: DataFrame, timing: Timing = Timing(), times: str = "positive", max_broadcast: int = BROADCAST_ROWS
 ) -> Report:
-    """Audit texts ``value`` with their ``arrival`` to counts, documents, late lines and bad rows."""
-    parsed = parse_audit(messages, times)
+    """Audit texts ``value`` with their ``arrival`` to counts, documents, late lines and bad rows.
+
+    The texts are read and parsed once, here; all outputs start from the parsed table in the shared
+    folder, which is a fraction of the texts' size.
+    """
+    parsed = written(slim(parse_audit(messages, times)), "parsed")
     classified = classify_lateness(good_rows(parsed), timing, max_broadcast=max_broadcast)
     return Report(classified, bad_rows(parsed))

@@ -105,6 +105,6 @@ def order_messages(spark: SparkSession, sf_dir: str, extra: bool = False) -> Dat
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .select("o_orderkey", "o_orderdate", format_time("o_orderdate").alias("dt"), F.col("n_name").alias("countryCode"))
     )
-    messages = filled.union(empty).join(headers, "o_orderkey")
+    messages = filled.union(empty).join(headers.hint("merge"), "o_orderkey")
     value = F.to_json(F.struct("dt", "countryCode", "data"))
     return messages.select(value.alias("value"), F.col("o_orderdate").alias("ordered_on"))

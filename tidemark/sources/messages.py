@@ -25,6 +25,11 @@ def read_messages(
         reader = reader.schema(schema)
     raw = reader.load()
     if fmt == "kafka":
-        return raw.select(F.col("value").cast("string").alias("value"), F.unix_micros("timestamp").alias("arrival"))
+        return kafka_messages(raw)
     kept = [name for name in ("arrival",) if name in raw.columns]
     return raw.select(F.col("value").cast("string").alias("value"), *kept)
+
+
+def kafka_messages(records: DataFrame) -> DataFrame:
+    """Kafka records to messages; keys and offsets are not used."""
+    return records.select(F.col("value").cast("string").alias("value"), F.unix_micros("timestamp").alias("arrival"))

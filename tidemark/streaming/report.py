@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.times import format_ms
-from tidemark.operators.audit import bad_rows, good_rows, late_lines, parse_audit
+from tidemark.operators.audit import bad_rows, good_rows, late_lines, parse_audit, slim
 from tidemark.operators.lateness import KEY, classify_lateness, window_turns
 from tidemark.operators.windows import report_docs, window_counts
 from tidemark.settings import Timing
@@ -51,10 +51,8 @@ class ReportStep:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with scratch(batch.sparkSession):
-            # The batch is used several times: keep it parsed, with the texts of bad rows only.
-            parsed = parse_audit(batch, self.times)
-            parsed = parsed.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
-            parsed.persist(StorageLevel.MEMORY_AND_DISK)
+            # The batch is used several times; parts lost with an executor are read again.
+            parsed = slim(parse_audit(batch, self.times)).persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 self._run(parsed, batch_id)
             finally:
