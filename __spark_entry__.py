@@ -39,7 +39,7 @@ from tidemark.sources.messages import read_messages
 from tidemark.streaming.clean import run_clean
 from tidemark.streaming.replay import NOW, replay
 from tidemark.streaming.report import ReportStep, run_report_builtin, run_report_exact
-from tidemark.workspace import new_folder, use_utc
+from tidemark.workspace import new_folder, use_utc, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -161,7 +161,7 @@ def _dim_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_utc(spark)
     versions = iter([area_hash(spark, sf_dir), area_hash(spark, sf_dir).limit(0), area_hash(spark, sf_dir, shift=1)])
     areas = AreaSnapshots(lambda: next(versions), max_age=0)
-    messages = order_messages(spark, sf_dir)
+    messages = written(order_messages(spark, sf_dir), "messages")
     parts = _date_parts()
     cleaned = [clean_messages(messages.where(part), areas.current(), None, ITEM_FIELDS).columns for part in parts]
     return reduce(DataFrame.union, cleaned)
@@ -191,7 +191,7 @@ def _stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
             trigger=NOW,
         )
 
-    replay(order_messages(spark, sf_dir), _date_parts(), f"{folder}/in", start)
+    replay(written(order_messages(spark, sf_dir), "messages"), _date_parts(), f"{folder}/in", start)
     return _json_columns(read_folder(spark, f"{folder}/out", "value string", "text"), CLEAN_FIELDS)
 
 

@@ -82,8 +82,9 @@ def order_messages(spark: SparkSession, sf_dir: str, extra: bool = False) -> Dat
     """``orders`` as envelope texts: ``(value, ordered_on)``, with their line items as ``data``.
 
     Each order gives one empty envelope and one for each run of 65,536 line item rows of a scan that
-    holds items of it; so an envelope stays small, however many items an order has. With ``extra``, items carry fields
-    the clean job does not know: one that it overwrites, a null, a flag and a nested object.
+    holds items of it; so an envelope stays small, however many items an order has. With ``extra``,
+    items carry fields the clean job does not know: one that it overwrites, a null, a flag and a
+    nested object.
     """
     item = [F.col("l_returnflag").alias("type"), F.col("l_discount").alias("score"), F.col("l_linestatus").alias("level")]
     if extra:
@@ -96,7 +97,8 @@ def order_messages(spark: SparkSession, sf_dir: str, extra: bool = False) -> Dat
         ]
     chunk = F.shiftright(F.monotonically_increasing_id(), ITEMS_PER_ENVELOPE_BITS)
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", chunk.alias("chunk"), F.struct(*item).alias("item"))
-    filled = items.groupBy("l_orderkey", "chunk").agg(F.collect_list("item").alias("data"))
+    # Collecting lists saves nothing before a shuffle, so shuffle the items as they are.
+    filled = items.repartition("l_orderkey", "chunk").groupBy("l_orderkey", "chunk").agg(F.collect_list("item").alias("data"))
     filled = filled.select(F.col("l_orderkey").alias("o_orderkey"), "data")
     orders = table(spark, sf_dir, "orders")
     empty = orders.select("o_orderkey", F.array().cast(filled.schema["data"].dataType).alias("data"))
@@ -105,6 +107,7 @@ def order_messages(spark: SparkSession, sf_dir: str, extra: bool = False) -> Dat
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .select("o_orderkey", "o_orderdate", format_time("o_orderdate").alias("dt"), F.col("n_name").alias("countryCode"))
     )
+    # Both sides grow with the data, so neither is ever broadcast; a hot order is split at run time.
     messages = filled.union(empty).join(headers.hint("merge"), "o_orderkey")
     value = F.to_json(F.struct("dt", "countryCode", "data"))
     return messages.select(value.alias("value"), F.col("o_orderdate").alias("ordered_on"))
