@@ -74,8 +74,11 @@ def _sorted_times(timing: Timing) -> Query:
 # Report, with lateness.
 
 
-def _report(take: Callable[[Report], DataFrame], timing: Timing, delay_ms: int) -> Query:
-    return lambda spark, sf_dir: take(report_messages(audit_messages(use_utc(spark), sf_dir, delay_ms), timing))
+def _report(take: Callable[[Report], DataFrame], timing: Timing, delay_ms: int, label: str = "window_end") -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return take(report_messages(audit_messages(use_utc(spark), sf_dir, delay_ms), timing, label=label))
+
+    return query
 
 
 def _classes(report: Report) -> DataFrame:
@@ -235,7 +238,7 @@ def _stream_builtin(timing: Timing) -> Query:
 
         def start():
             messages = read_messages(spark, "parquet", True, "value string, arrival bigint", path=f"{folder}/in")
-            return run_report_builtin(messages, folder_sink(f"{folder}/docs"), f"{folder}/checkpoint", timing, NOW)
+            return run_report_builtin(messages, folder_sink(f"{folder}/docs"), f"{folder}/checkpoint", timing, trigger=NOW)
 
         messages = audit_messages(spark, sf_dir).drop("event_id")
         replay(messages, _arrival_parts(messages), f"{folder}/in", start)
@@ -274,6 +277,7 @@ def queries() -> dict[str, Query]:
             f"report_docs{suffix}": _docs(timing),
             f"report_docs_upsert{suffix}": _report(_upserted, timing, delay_ms),
             f"report_final_counts{suffix}": _report(lambda report: report.counts, timing, delay_ms),
+            f"report_final_counts_last_event{suffix}": _report(lambda report: report.counts, timing, delay_ms, "last_event"),
             f"report_last_event_label{suffix}": _counts(timing, delay_ms, "last_event"),
             f"report_max_event_label{suffix}": _counts(timing, delay_ms, "max_event"),
             f"report_refire_changelog{suffix}": _report(_changelog, timing, delay_ms),

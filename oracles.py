@@ -71,6 +71,12 @@ def _final_counts(rules: str) -> str:
         SELECT time, type, area, count(*) AS "count", fired FROM classes WHERE lateness <> 'late' GROUP BY time, type, area, fired"""
 
 
+def _final_last_event(rules: str) -> str:
+    return f"""{rules}
+        SELECT strftime(epoch_ms(arg_max(ms, (arrival, ms))), {TEXT}) AS time, type, area, count(*) AS "count", fired
+        FROM classes WHERE lateness <> 'late' GROUP BY we, type, area, fired"""
+
+
 def _late(rules: str) -> str:
     return f"""{rules} SELECT ms || chr(9) || type || chr(9) || area AS value FROM classes WHERE lateness = 'late'"""
 
@@ -216,6 +222,7 @@ for _suffix, _unit, _rules in (("", "minute", MINUTE), ("_1d", "day", DAY)):
         f"report_docs{_suffix}": _docs(_unit),
         f"report_docs_upsert{_suffix}": _upsert(_lateness(*_rules)),
         f"report_final_counts{_suffix}": _final_counts(_lateness(*_rules)),
+        f"report_final_counts_last_event{_suffix}": _final_last_event(_lateness(*_rules)),
         f"report_last_event_label{_suffix}": _last_event(_unit, _rules[3]),
         f"report_max_event_label{_suffix}": _report(_unit, _latest),
         f"report_refire_changelog{_suffix}": _changelog(_lateness(*_rules), *_rules[:2]),

@@ -57,9 +57,8 @@ def by_batch(rows, timing, borders):
 
 
 def run_steps(spark, folder, rows, borders, **settings):
-    step = ReportStep(
-        f"{folder}/state", folder_sink(f"{folder}/docs"), folder_sink(f"{folder}/late", "text"), folder_sink(f"{folder}/bad"), TEN, **settings
-    )
+    late_sink = folder_sink(f"{folder}/late", "text", few_files=True)
+    step = ReportStep(f"{folder}/state", folder_sink(f"{folder}/docs"), late_sink, folder_sink(f"{folder}/bad"), TEN, **settings)
     table = messages(spark, rows).persist()
     for batch_id, (start, stop) in enumerate(borders):
         step(table.where((F.col("n") >= start) & (F.col("n") < stop)), batch_id)
@@ -107,16 +106,25 @@ def test_without_arrival_a_batch_comes_at_once(spark, tmp_path, rows):
     assert late(spark, tmp_path) == late_lines
 
 
-def test_label_of_newest_event(spark, tmp_path, rows):
-    run_steps(spark, tmp_path, rows, [(0, len(rows))], label="max_event")
-    classes, counts, emissions = play(rows, TEN)
-    fired = {key[:3] for key in emissions}
-    newest = {}
-    for number, _, ms, kind, area in rows:
-        key = ((ms // 10_000 + 1) * 10_000, kind, area)
-        if classes[number] != "late" and key in fired:
-            newest[key] = max(newest.get(key, 0), ms)
-    expected = {(0, time_text(ms), kind, area, counts[end, kind, area]) for (end, kind, area), ms in newest.items()}
+@pytest.mark.parametrize("label", ["max_event", "last_event"])
+def test_label_of_an_event(spark, tmp_path, rows, label):
+    borders = [(0, 130), (130, len(rows))]
+    run_steps(spark, tmp_path, rows, borders, label=label)
+    classes, _, _ = play(rows, TEN)
+    docs, _ = by_batch(rows, TEN, borders)
+    expected = set()
+    for batch, time, kind, area, count in docs:
+        counted = [
+            (arrival, ms)
+            for number, arrival, ms, kind_, area_ in rows
+            if classes[number] != "late"
+            and (kind_, area_) == (kind, area)
+            and time_text((ms // 10_000 + 1) * 10_000) == time
+            and arrival < borders[batch][1]
+        ]
+        assert len(counted) == count
+        ms = max(counted)[1] if label == "last_event" else max(ms for _, ms in counted)
+        expected.add((batch, time_text(ms), kind, area, count))
     assert emitted(spark, tmp_path) == expected
 
 
@@ -184,8 +192,10 @@ def test_no_window_is_forgotten_without_delay_and_lateness(spark, tmp_path):
     timing = Timing(window_ms=1000, delay_ms=0, lateness_ms=0)
     made = [(0, 0, BASE + 999, "a", "A"), (1, 1, BASE + 10, "a", "A")]
     table = spark.createDataFrame([("x", r[1]) for r in made], "value string, arrival bigint")
-    step = ReportStep(f"{tmp_path}/state", folder_sink(f"{tmp_path}/docs"), folder_sink(f"{tmp_path}/late", "text"), timing=timing)
-    text = F.concat(F.lit('{"dt":"2024-01-01 00:00:0'), F.when(F.col("arrival") == 0, "1").otherwise("0"), F.lit('","type":"a","area":"A"}'))
+    docs, late_sink = folder_sink(f"{tmp_path}/docs"), folder_sink(f"{tmp_path}/late", "text")
+    step = ReportStep(f"{tmp_path}/state", docs, late_sink, timing=timing)
+    second = F.when(F.col("arrival") == 0, "1").otherwise("0")
+    text = F.concat(F.lit('{"dt":"2024-01-01 00:00:0'), second, F.lit('","type":"a","area":"A"}'))
     table = table.withColumn("value", text)
     step(table.where("arrival = 0"), 0)
     step(table.where("arrival = 1"), 1)
@@ -219,7 +229,7 @@ def test_builtin_watermark(spark, tmp_path, rows):
 
     def start():
         incoming = read_messages(spark, "parquet", True, "value string, arrival bigint", path=f"{tmp_path}/in")
-        return run_report_builtin(incoming, folder_sink(f"{tmp_path}/docs"), f"{tmp_path}/checkpoint", TEN, NOW)
+        return run_report_builtin(incoming, folder_sink(f"{tmp_path}/docs"), f"{tmp_path}/checkpoint", TEN, trigger=NOW)
 
     replay(messages(spark, in_order), [F.col("n") < 100, F.col("n") >= 100], f"{tmp_path}/in", start)
     got = documents(read_folder(spark, f"{tmp_path}/docs", DOCS), "upsert").collect()

@@ -13,7 +13,8 @@ TEN = Timing(window_ms=10_000)
 @pytest.fixture(scope="module")
 def rows():
     # Whole seconds, as the audit texts have.
-    return [(n, arrival, ms // 1000 * 1000, kind, area) for n, arrival, ms, kind, area in random_rows(7, span_ms=60_000, low=BASE)]
+    made = random_rows(7, span_ms=60_000, low=BASE)
+    return [(n, arrival, ms // 1000 * 1000, kind, area) for n, arrival, ms, kind, area in made]
 
 
 def grouped(rows):
@@ -24,7 +25,12 @@ def grouped(rows):
 
 
 @pytest.mark.parametrize(
-    "label, time", [("window_end", lambda end, times: end), ("max_event", lambda end, times: max(times)), ("last_event", lambda end, times: times[-1])]
+    "label, time",
+    [
+        ("window_end", lambda end, times: end),
+        ("max_event", lambda end, times: max(times)),
+        ("last_event", lambda end, times: times[-1]),
+    ],
 )
 def test_counts_and_labels(spark, rows, label, time):
     got = window_counts(as_table(spark, rows), TEN, label).collect()

@@ -40,7 +40,7 @@ def main(argv: list[str] | None = None) -> None:
         AreaSnapshots(lambda: spark.read.schema("area string, codes string").parquet(given.areas)),
         sink,
         f"{given.folder}/checkpoint",
-        bad_sink=folder_sink(f"{given.folder}/bad"),
+        bad_sink=folder_sink(f"{given.folder}/bad", few_files=True),
         default_area=given.default_area,
         trigger={"availableNow": True} if given.once else None,
     )

@@ -10,6 +10,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from tidemark import settings
+from tidemark.operators.windows import LABELS
 from tidemark.sinks.writers import all_of, console_sink, folder_sink, kafka_sink
 from tidemark.sources.messages import read_messages
 from tidemark.streaming.report import ReportStep, run_report_builtin, run_report_exact
@@ -21,6 +22,7 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--input", default=settings.AUDIT_TOPIC, help="topic, or folder of text files")
     args.add_argument("--late", default=settings.LATE_TOPIC, help="topic, or folder, for rows that come too late")
     args.add_argument("--folder", required=True, help="shared folder for documents, state, checkpoint and bad rows")
+    args.add_argument("--label", choices=LABELS, default="window_end", help="the time printed on a count")
     args.add_argument("--builtin", action="store_true", help="use Spark's watermark; no late output")
     args.add_argument("--print", action="store_true", dest="show", help="print the documents too")
     args.add_argument("--once", action="store_true", help="stop when all present input is done")
@@ -33,21 +35,22 @@ def main(argv: list[str] | None = None) -> None:
         late = kafka_sink(given.late, given.servers)
     else:
         messages = read_messages(spark, "text", streaming=True, path=given.input)
-        late = folder_sink(given.late, "text")
+        late = folder_sink(given.late, "text", few_files=True)
     docs = folder_sink(f"{given.folder}/{settings.REPORT_INDEX}")
     if given.show:
         docs = all_of(docs, console_sink())
     checkpoint = f"{given.folder}/checkpoint"
     trigger = {"availableNow": True} if given.once else None
     if given.builtin:
-        query = run_report_builtin(messages, docs, checkpoint, trigger=trigger)
+        query = run_report_builtin(messages, docs, checkpoint, label=given.label, trigger=trigger)
     else:
         step = ReportStep(
             f"{given.folder}/state",
             docs,
             late,
-            folder_sink(f"{given.folder}/bad"),
+            folder_sink(f"{given.folder}/bad", few_files=True),
             arrival="arrival" if "arrival" in messages.columns else None,
+            label=given.label,
         )
         query = run_report_exact(messages, step, checkpoint, trigger)
     query.awaitTermination()

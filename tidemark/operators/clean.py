@@ -26,7 +26,9 @@ def parse_envelopes(messages: DataFrame, item_fields: str | None = None) -> Data
     return parsed.select("value", "_p.dt", "_p.countryCode", "_p.data", reason.alias("reason"))
 
 
-def enrich(envelopes: DataFrame, dim: DataFrame, default_area: str | None = None, max_broadcast: int = BROADCAST_ROWS) -> DataFrame:
+def enrich(
+    envelopes: DataFrame, dim: DataFrame, default_area: str | None = None, max_broadcast: int = BROADCAST_ROWS
+) -> DataFrame:
     """Add ``area`` by ``countryCode``: one lookup per envelope, before its items are exploded.
 
     A code the dimension lacks gets ``default_area``.

@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import format_ms, window_number
+from tidemark.functions.times import format_ms, format_time, window_number
 from tidemark.operators.joins import BROADCAST_ROWS, lookup_join
 from tidemark.operators.scans import minimum_from_here_up, running_total
+from tidemark.operators.windows import LABEL_TIME, label_time
 from tidemark.settings import Timing
 from tidemark.workspace import written
 
@@ -89,12 +90,16 @@ def classify_lateness(
     return tagged.withColumn("lateness", F.when(late, "late").when(refire, "refire").otherwise("ontime")).drop("close_at")
 
 
-def final_counts(classified: DataFrame) -> DataFrame:
-    """Rows per window, type and area that were not late; ``fired`` tells whether it was ever emitted."""
+def final_counts(classified: DataFrame, label: str = "window_end", arrival: str = "arrival") -> DataFrame:
+    """Rows per window, type and area that were not late; ``fired`` tells whether it was ever emitted.
+
+    ``label`` chooses the time printed, as in ``window_counts``.
+    """
     counted = classified.where("lateness <> 'late'").groupBy(*KEY).agg(
-        F.count("*").alias("count"), F.max(F.col("fire_at").isNotNull()).alias("fired")
+        F.count("*").alias("count"), F.max(F.col("fire_at").isNotNull()).alias("fired"), *label_time(label, arrival)
     )
-    return counted.select(format_ms("window_end_ms").alias("time"), "type", "area", "count", "fired")
+    time = format_ms("window_end_ms") if label == "window_end" else format_time(LABEL_TIME)
+    return counted.select(time.alias("time"), "type", "area", "count", "fired")
 
 
 def refire_changelog(classified: DataFrame, arrival: str = "arrival") -> DataFrame:

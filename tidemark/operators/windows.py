@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.texts import document_id
@@ -10,27 +10,33 @@ from tidemark.functions.times import format_time
 from tidemark.settings import Timing
 
 LABELS = ("window_end", "max_event", "last_event")
+LABEL_TIME = "label_time"
 
 
-def window_counts(rows: DataFrame, timing: Timing = Timing(), label: str = "window_end", arrival: str = "arrival") -> DataFrame:
+def label_time(label: str, arrival: str | None = "arrival") -> list[Column]:
+    """The aggregate ``label_time`` that a label other than ``window_end`` prints; see ``window_counts``."""
+    if label not in LABELS:
+        raise ValueError(f"label must be one of {LABELS}, not {label!r}")
+    if label == "window_end":
+        return []
+    if label == "max_event" or arrival is None:
+        return [F.max("event_time").alias(LABEL_TIME)]
+    return [F.max(F.struct(arrival, "event_time"))["event_time"].alias(LABEL_TIME)]
+
+
+def window_counts(
+    rows: DataFrame, timing: Timing = Timing(), label: str = "window_end", arrival: str | None = "arrival"
+) -> DataFrame:
     """``(time, type, area, count)`` per window. Works on batch data and on watermarked streams.
 
     ``label`` chooses the time printed: the window's end, its latest event time, or the event time of
     the row that arrived last by ``arrival`` (the later event time where two arrived together).
     """
-    times = {
-        "window_end": F.col("window.end"),
-        "max_event": F.max("event_time"),
-        "last_event": F.max(F.struct(arrival, "event_time"))["event_time"] if label == "last_event" else None,
-    }
-    if label not in times:
-        raise ValueError(f"label must be one of {LABELS}, not {label!r}")
-    grouped = rows.groupBy(F.window("event_time", f"{timing.window_ms} milliseconds").alias("window"), "type", "area")
-    aggregates = [F.count("*").alias("count")]
-    if label != "window_end":
-        aggregates.append(times[label].alias("_time"))
-    counted = grouped.agg(*aggregates)
-    time = times["window_end"] if label == "window_end" else F.col("_time")
+    window = F.window("event_time", f"{timing.window_ms} milliseconds")
+    counted = rows.groupBy(window.alias("window"), "type", "area").agg(
+        F.count("*").alias("count"), *label_time(label, arrival)
+    )
+    time = "window.end" if label == "window_end" else LABEL_TIME
     return counted.select(format_time(time).alias("time"), "type", "area", "count")
 
 

@@ -17,14 +17,15 @@ from tidemark.workspace import written
 class Report(NamedTuple):
     classified: DataFrame
     bad: DataFrame
+    label: str = "window_end"
 
     @property
     def counts(self) -> DataFrame:
-        return final_counts(self.classified)
+        return final_counts(self.classified, self.label)
 
     @property
     def changelog(self) -> DataFrame:
-        """Every emission, as the appending document store sees them."""
+        """Every emission, as the appending document store sees them, named by window end."""
         return report_docs(refire_changelog(self.classified))
 
     @property
@@ -41,7 +42,11 @@ class Report(NamedTuple):
 
 
 def report_messages(
-    messages: DataFrame, timing: Timing = Timing(), times: str = "positive", max_broadcast: int = BROADCAST_ROWS
+    messages: DataFrame,
+    timing: Timing = Timing(),
+    times: str = "positive",
+    label: str = "window_end",
+    max_broadcast: int = BROADCAST_ROWS,
 ) -> Report:
     """Audit texts ``value`` with their ``arrival`` to counts, documents, late lines and bad rows.
 
@@ -50,4 +55,4 @@ def report_messages(
     """
     parsed = written(slim(parse_audit(messages, times)), "parsed")
     classified = classify_lateness(good_rows(parsed), timing, max_broadcast=max_broadcast)
-    return Report(classified, bad_rows(parsed))
+    return Report(classified, bad_rows(parsed), label)

@@ -93,12 +93,15 @@ def order_messages(spark: SparkSession, sf_dir: str, extra: bool = False) -> Dat
             F.lit("to be replaced").alias("area"),
             F.when(F.col("l_linenumber") > 3, F.col("l_suppkey")).alias("supplier"),
             (F.col("l_quantity") > 25).alias("bulk"),
-            F.struct(F.col("l_partkey").alias("part"), F.array("l_linestatus", "l_returnflag").alias("flags")).alias("detail"),
+            F.struct(
+                F.col("l_partkey").alias("part"), F.array("l_linestatus", "l_returnflag").alias("flags")
+            ).alias("detail"),
         ]
     chunk = F.shiftright(F.monotonically_increasing_id(), ITEMS_PER_ENVELOPE_BITS)
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", chunk.alias("chunk"), F.struct(*item).alias("item"))
     # Collecting lists saves nothing before a shuffle, so shuffle the items as they are.
-    filled = items.repartition("l_orderkey", "chunk").groupBy("l_orderkey", "chunk").agg(F.collect_list("item").alias("data"))
+    items = items.repartition("l_orderkey", "chunk")
+    filled = items.groupBy("l_orderkey", "chunk").agg(F.collect_list("item").alias("data"))
     filled = filled.select(F.col("l_orderkey").alias("o_orderkey"), "data")
     orders = table(spark, sf_dir, "orders")
     empty = orders.select("o_orderkey", F.array().cast(filled.schema["data"].dataType).alias("data"))

@@ -10,10 +10,16 @@ from pyspark.sql import functions as F
 Sink = Callable[[DataFrame, int], None]
 
 
-def folder_sink(path: str, fmt: str = "parquet") -> Sink:
-    """One folder per batch id. Writing a batch again replaces it, so a replay changes nothing."""
+def folder_sink(path: str, fmt: str = "parquet", few_files: bool = False) -> Sink:
+    """One folder per batch id. Writing a batch again replaces it, so a replay changes nothing.
+
+    ``few_files`` is for output that is sparse among its input, such as late or bad rows: it is
+    shuffled into files of a fair size rather than written as a file per input task.
+    """
 
     def write(df: DataFrame, batch_id: int) -> None:
+        if few_files:
+            df = df.hint("rebalance")
         df.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
 
     return write

@@ -12,13 +12,13 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.times import format_ms
 from tidemark.operators.audit import bad_rows, good_rows, late_lines, parse_audit, slim
 from tidemark.operators.lateness import KEY, classify_lateness, window_turns
-from tidemark.operators.windows import report_docs, window_counts
+from tidemark.operators.windows import LABEL_TIME, label_time, report_docs, window_counts
 from tidemark.settings import Timing
 from tidemark.sinks.writers import Sink
 from tidemark.workspace import drop_folder, scratch, written
 
 EACH_MINUTE = {"processingTime": "60 seconds"}
-STATE = "window_end_ms bigint, type string, area string, count bigint, newest_ms bigint"
+STATE = "window_end_ms bigint, type string, area string, count bigint, newest_ms bigint, last_ms bigint"
 
 
 @dataclass(frozen=True)
@@ -32,7 +32,7 @@ class ReportStep:
     With an ``arrival`` column, rows of one batch meet the watermark of the rows before them, and
     the result does not depend on where batches are cut. With None, they all meet the watermark the
     earlier batches left. Several refires of a window within a batch come out as one document.
-    ``label`` is ``window_end`` or ``max_event``, as in ``window_counts``.
+    ``label`` chooses the time printed, as in ``window_counts``.
     """
 
     state: str
@@ -45,10 +45,6 @@ class ReportStep:
     label: str = "window_end"
     keep: int = 100
 
-    def __post_init__(self):
-        if self.label not in ("window_end", "max_event"):
-            raise ValueError(f"label must be 'window_end' or 'max_event', not {self.label!r}")
-
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with scratch(batch.sparkSession):
             # The batch is used several times; parts lost with an executor are read again.
@@ -94,22 +90,28 @@ class ReportStep:
     def _counts(self, tagged: DataFrame, held: DataFrame) -> DataFrame:
         """Full counts of the open windows, and how many rows of this batch they include."""
         fresh = tagged.where("lateness <> 'late'").groupBy(*KEY)
-        fresh = fresh.agg(F.count("*").alias("added"), F.max(F.unix_millis("event_time")).alias("newest_ms"))
-        both = fresh.withColumn("count", F.col("added")).unionByName(held.withColumn("added", F.lit(0).cast("long")))
+        newest = F.max(F.unix_millis("event_time")).alias("newest_ms")
+        fresh = fresh.agg(F.count("*").alias("added"), newest, *label_time(self.label, self.arrival))
+        last = F.unix_millis(LABEL_TIME) if self.label == "last_event" else F.col("newest_ms")
+        fresh = fresh.withColumns({"count": F.col("added"), "last_ms": last}).drop(LABEL_TIME)
+        both = fresh.unionByName(held.withColumn("added", F.lit(0).cast("long")))
         sums = [F.sum(name).alias(name) for name in ("count", "added")]
-        return both.groupBy(*KEY).agg(*sums, F.max("newest_ms").alias("newest_ms"))
+        # A window has at most two rows here; the one with rows of this batch holds its last arrival.
+        last = F.max_by("last_ms", "added").alias("last_ms")
+        return both.groupBy(*KEY).agg(*sums, F.max("newest_ms").alias("newest_ms"), last)
 
     def _emitted(self, counts: DataFrame, seen: int, now: int) -> DataFrame:
         fires_at = F.col("window_end_ms") + self.timing.fire_after_ms
         emitted = counts.where((fires_at <= now) & ((F.col("added") > 0) | (fires_at > seen)))
-        time = format_ms("window_end_ms" if self.label == "window_end" else "newest_ms")
+        printed = {"window_end": "window_end_ms", "max_event": "newest_ms", "last_event": "last_ms"}[self.label]
+        time = format_ms(printed)
         return report_docs(emitted.select(time.alias("time"), "type", "area", "count"))
 
 
 def run_report_exact(messages: DataFrame, step: ReportStep, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Start the exact report. ``messages`` has ``value`` and, if the step names one, its arrival."""
     return (
-        messages.writeStream.foreachBatch(step.__call__)
+        messages.writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or EACH_MINUTE))
         .start()
@@ -117,16 +119,21 @@ def run_report_exact(messages: DataFrame, step: ReportStep, checkpoint: str, tri
 
 
 def run_report_builtin(
-    messages: DataFrame, docs: Sink, checkpoint: str, timing: Timing = Timing(), trigger: dict | None = None
+    messages: DataFrame,
+    docs: Sink,
+    checkpoint: str,
+    timing: Timing = Timing(),
+    label: str = "window_end",
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Start the report on Spark's watermark in update mode.
 
     Simpler and with state in Spark's own store, but rows count as late up to one batch later than in
     the exact report, windows emit before they end, and rows dropped as late are only counted.
     """
-    rows = good_rows(parse_audit(messages.select("value")))
+    rows = good_rows(parse_audit(messages))
     rows = rows.withWatermark("event_time", f"{timing.delay_ms + timing.lateness_ms} milliseconds")
-    counted = window_counts(rows, timing)
+    counted = window_counts(rows, timing, label, "arrival" if "arrival" in messages.columns else None)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         docs(report_docs(batch), batch_id)
