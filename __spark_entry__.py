@@ -238,7 +238,14 @@ def _stream_builtin(timing: Timing) -> Query:
 
         def start():
             messages = read_messages(spark, "parquet", True, "value string, arrival bigint", path=f"{folder}/in")
-            return run_report_builtin(messages, folder_sink(f"{folder}/docs"), f"{folder}/checkpoint", timing, trigger=NOW)
+            return run_report_builtin(
+                messages,
+                folder_sink(f"{folder}/docs"),
+                f"{folder}/checkpoint",
+                timing,
+                state_partitions=spark.sparkContext.defaultParallelism,
+                trigger=NOW,
+            )
 
         messages = audit_messages(spark, sf_dir).drop("event_id")
         replay(messages, _arrival_parts(messages), f"{folder}/in", start)

@@ -15,7 +15,7 @@ from tidemark.operators.lateness import KEY, classify_lateness, window_turns
 from tidemark.operators.windows import LABEL_TIME, label_time, report_docs, window_counts
 from tidemark.settings import Timing
 from tidemark.sinks.writers import Sink
-from tidemark.workspace import drop_folder, scratch, written
+from tidemark.workspace import drop_folder, scratch, setting, written
 
 EACH_MINUTE = {"processingTime": "60 seconds"}
 STATE = "window_end_ms bigint, type string, area string, count bigint, newest_ms bigint, last_ms bigint"
@@ -70,15 +70,12 @@ class ReportStep:
             self.late(late_lines(tagged.where("lateness = 'late'")), batch_id)
         if self.bad is not None:
             self.bad(bad_rows(parsed), batch_id)
-        counts = self._counts(tagged, held).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            self.docs(self._emitted(counts, seen, now), batch_id)
-            # The newest row of all stays, open or not: the next batch takes `seen` from it.
-            closes_at = F.col("window_end_ms") + self.timing.close_after_ms
-            still_open = counts.where((closes_at > now) | (F.col("newest_ms") == now))
-            still_open.drop("added").write.mode("overwrite").parquet(f"{self.state}/{batch_id}")
-        finally:
-            counts.unpersist()
+        counts = written(self._counts(tagged, held), "counts")
+        self.docs(self._emitted(counts, seen, now), batch_id)
+        # The newest row of all stays, open or not: the next batch takes `seen` from it.
+        closes_at = F.col("window_end_ms") + self.timing.close_after_ms
+        still_open = counts.where((closes_at > now) | (F.col("newest_ms") == now))
+        still_open.drop("added").write.mode("overwrite").parquet(f"{self.state}/{batch_id}")
         if batch_id >= self.keep:
             drop_folder(parsed.sparkSession, f"{self.state}/{batch_id - self.keep}")
 
@@ -124,12 +121,16 @@ def run_report_builtin(
     checkpoint: str,
     timing: Timing = Timing(),
     label: str = "window_end",
+    state_partitions: int | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Start the report on Spark's watermark in update mode.
 
     Simpler and with state in Spark's own store, but rows count as late up to one batch later than in
     the exact report, windows emit before they end, and rows dropped as late are only counted.
+
+    ``state_partitions`` (by default the session's shuffle partitions) stays as it was when the stream
+    first ran; the cores of the cluster are a fair number, as each costs a few files per batch.
     """
     rows = good_rows(parse_audit(messages))
     rows = rows.withWatermark("event_time", f"{timing.delay_ms + timing.lateness_ms} milliseconds")
@@ -138,10 +139,11 @@ def run_report_builtin(
     def step(batch: DataFrame, batch_id: int) -> None:
         docs(report_docs(batch), batch_id)
 
-    return (
+    writer = (
         counted.writeStream.outputMode("update")
         .foreachBatch(step)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or EACH_MINUTE))
-        .start()
     )
+    with setting(messages.sparkSession, "spark.sql.shuffle.partitions", state_partitions):
+        return writer.start()

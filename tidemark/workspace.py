@@ -79,6 +79,20 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         drop_folder(spark, folder)
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: object | None) -> Iterator[None]:
+    """Set a session option inside the block; None leaves it alone."""
+    if value is None:
+        yield
+        return
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete ``path`` on whichever file system holds it; a missing path is fine."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
