@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -41,6 +42,13 @@ from tidemark.streaming.replay import NOW, replay
 from tidemark.streaming.report import ReportStep, run_report_builtin, run_report_exact
 from tidemark.workspace import new_folder, use_utc, written
 
+# Training-data operators and the corpus pipeline are a part that may be left out.
+HAS_LLM = importlib.util.find_spec("tidemark.llm") is not None and importlib.util.find_spec("corpus_pipeline") is not None
+if HAS_LLM:
+    import corpus_pipeline
+    from tidemark.llm.queries import ORACLES as LLM_ORACLES
+    from tidemark.llm.queries import QUERIES as LLM_QUERIES
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 REPORT_FIELDS = "time string, type string, area string, count bigint, doc_id string, document string"
@@ -291,8 +299,15 @@ def queries() -> dict[str, Query]:
             f"report_window_counts{suffix}": _counts(timing),
             f"window_event_times_sorted{suffix}": _sorted_times(timing),
         }
+    if HAS_LLM:
+        found |= LLM_QUERIES | {"pipeline": corpus_pipeline.run}
     return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    found = dict(ORACLES)
+    if HAS_LLM:
+        found |= LLM_ORACLES
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
