@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.encode import encoder
-from tidemark.llm.tables import slices, stored
+from tidemark.llm.tables import map_arrow, slices, stored
 
 MAGIC = b"TIDEBITS"
 BLOCK = 1 << 16
@@ -159,7 +159,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, lead: bool, end_i
 
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     ordered = source.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return stored(ordered.mapInArrow(run, SHARDS), "shards")
+    return stored(map_arrow(ordered, run, SHARDS), "shards")
 
 
 _DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
@@ -187,4 +187,4 @@ def read_shards(shards: DataFrame) -> DataFrame:
                     yield batch(rows)
 
     spread = placed.select("path", "first").repartitionByRange(F.col("first"))
-    return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return map_arrow(spread, run, "doc_id long, start long, n_tokens long, ids binary")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.encode import encoder
-from tidemark.llm.tables import slices, stored
+from tidemark.llm.tables import map_arrow, slices, stored
 
 CAPACITY = 2048
 END_ID = 0
@@ -163,7 +163,7 @@ def pack(docs: DataFrame, tokenizer: str, lead: bool = True, capacity: int = CAP
     """
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    pieces = stored(source.mapInArrow(_pieces(tokenizer, lead, capacity, end_id), PIECES), "pieces")
+    pieces = stored(map_arrow(source, _pieces(tokenizer, lead, capacity, end_id), PIECES), "pieces")
     counts = pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
@@ -185,4 +185,4 @@ def pack(docs: DataFrame, tokenizer: str, lead: bool = True, capacity: int = CAP
     ranked = pieces.drop("ids").join(bases, ["length", "part"]).withColumn("rank", F.col("base") + F.col("nth"))
     ranked = ranked.select("part", "row", "doc_id", "piece", "start", "length", "ids_crc32", "rank")
     schema = "part int, row long, doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return Packed(pieces, ranked.mapInArrow(place, schema))
+    return Packed(pieces, map_arrow(ranked, place, schema))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bitplane import read_shards, write_shards
+from tidemark.llm.decontaminate import contamination
 from tidemark.llm.packing import pack
 from tidemark.llm.tables import read
 from tidemark.workspace import new_folder
@@ -23,6 +24,18 @@ def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "token-files")
     shards = write_shards(read(spark, sf_dir, "documents"), folder, WORD_BPE, lead=False, end_id=WORD_END_ID)
@@ -31,7 +44,36 @@ def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": _packing,
+    "op2_decontamination": _decontamination,
     "op10_token_files": _token_files,
 }
 
-ORACLES: dict[str, str] = {}
+LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {
+    "op2_decontamination": f"""
+WITH dw AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        coalesce(regexp_extract_all({LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS w
+    FROM documents
+), bw AS (
+    SELECT item_id, regexp_extract_all({LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark
+), bwin AS (
+    SELECT DISTINCT item_id, least(len(w), 13) AS k, list_slice(w, i, i + 12) AS win
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM bw WHERE len(w) > 0)
+), dwin AS (
+    SELECT r, k, i, list_slice(w, i, i + k - 1) AS win
+    FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM dw, (SELECT DISTINCT k FROM bwin))
+), occ AS (
+    SELECT r, i, k, item_id FROM dwin JOIN bwin USING (k, win)
+), hits AS (
+    SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM occ) GROUP BY r
+), items AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM occ) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
+FROM dw LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
+""",
+}
