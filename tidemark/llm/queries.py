@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bitplane import read_shards, write_shards
 from tidemark.llm.decontaminate import contamination
+from tidemark.llm.ngram_join import jaccard_join
 from tidemark.llm.packing import pack
 from tidemark.llm.tables import read
 from tidemark.workspace import new_folder
@@ -36,6 +38,11 @@ def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = jaccard_join(read(spark, sf_dir, "documents"), ngram=4, threshold=Fraction(85, 100))
+    return joined.component_ids().withColumnRenamed("n", "n_shingles")
+
+
 def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "token-files")
     shards = write_shards(read(spark, sf_dir, "documents"), folder, WORD_BPE, lead=False, end_id=WORD_END_ID)
@@ -45,6 +52,7 @@ def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": _packing,
     "op2_decontamination": _decontamination,
+    "op3_ngram_jaccard_join": _near_duplicates,
     "op10_token_files": _token_files,
 }
 

@@ -103,5 +103,5 @@ def grams(found: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
 def _run(hashes: np.ndarray, begin: np.ndarray, size: int) -> np.ndarray:
     total = np.full(len(begin), np.uint64(size))
     for i in range(size):
-        total = mix(total + hashes[begin + i] + np.uint64(i)) if i % 4 == 3 else total * _STEP + hashes[begin + i]
-    return mix(total)
+        total = mix(total * _STEP + hashes[begin + i])
+    return total
