@@ -186,5 +186,5 @@ def read_shards(shards: DataFrame) -> DataFrame:
                 if rows:
                     yield batch(rows)
 
-    spread = placed.select("path", "first").repartitionByRange(F.col("first"))
+    spread = placed.select("path", "first").repartitionByRange(max(1, shards.count()), F.col("first"))
     return map_arrow(spread, run, "doc_id long, start long, n_tokens long, ids binary")
