@@ -9,11 +9,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import langid, quality
 from tidemark.llm.bitplane import read_shards, write_shards
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.ngram_join import jaccard_join
 from tidemark.llm.packing import pack
-from tidemark.llm.tables import read
+from tidemark.llm.tables import HELD_OUT, fold, read
 from tidemark.workspace import new_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,6 +44,22 @@ def _near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.component_ids().withColumnRenamed("n", "n_shingles")
 
 
+KEEP_SCORE = 0.7
+
+
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= KEEP_SCORE).cast("int")
+    return scored.select("doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.fit(docs))
+    return found.select("doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "lang_pred", "score", "accepted")
+
+
 def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "token-files")
     shards = write_shards(read(spark, sf_dir, "documents"), folder, WORD_BPE, lead=False, end_id=WORD_END_ID)
@@ -53,6 +70,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": _packing,
     "op2_decontamination": _decontamination,
     "op3_ngram_jaccard_join": _near_duplicates,
+    "op5_quality_classifier": _quality,
+    "op9_language_id": _languages,
     "op10_token_files": _token_files,
 }
 
