@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 from fractions import Fraction
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, quality
+from tidemark.llm import chat, langid, quality
 from tidemark.llm.bitplane import read_shards, write_shards
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.ngram_join import jaccard_join
 from tidemark.llm.packing import pack
-from tidemark.llm.tables import HELD_OUT, fold, read
+from tidemark.llm.tables import HELD_OUT, fold, map_arrow, read
+from tidemark.llm.topk import top_k
 from tidemark.workspace import new_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -44,6 +47,37 @@ def _near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.component_ids().withColumnRenamed("n", "n_shingles")
 
 
+#: A conversation whose texts are control strings, put beside those of the table.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What a reader of the formatted conversations finds, as digests."""
+    for batch in batches:
+        rows = []
+        for conv, text, loss in zip(*(batch.column(c).to_pylist() for c in ("tree", "text", "loss"))):
+            turns = chat.read_turns(text)
+            seen = hashlib.sha256("".join(f"{role}\n{words}\n" for role, words in turns).encode()).hexdigest()
+            learnt = "".join(chat.unescape(text[span["start"] : span["end"]]) for span in loss)
+            rows.append((conv, len(turns), seen, len(learnt), hashlib.sha256(learnt.encode()).hexdigest(), len(text)))
+        types = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, types)]
+        yield pa.RecordBatch.from_arrays(columns, ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+
+
+def _chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = [(-1, turn, role, CONTROL_TEXT) for turn, role in enumerate(("user", "assistant"))]
+    turns = turns.union(spark.createDataFrame(own, "conv_id long, turn long, role string, text string"))
+    written = chat.formatted(chat.paths(chat.chain(turns)))
+    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    return map_arrow(written.select("tree", "text", "loss"), _read_back, schema)
+
+
+def _top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 KEEP_SCORE = 0.7
 
 
@@ -70,7 +104,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": _packing,
     "op2_decontamination": _decontamination,
     "op3_ngram_jaccard_join": _near_duplicates,
+    "op4_chat_formatting": _chat,
     "op5_quality_classifier": _quality,
+    "op8_exact_top_k": _top_k,
     "op9_language_id": _languages,
     "op10_token_files": _token_files,
 }
@@ -102,5 +138,18 @@ WITH dw AS (
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
     sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
 FROM dw LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
+""",
+    "op8_exact_top_k": """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+        AND list_aggregate(list_transform(embedding, lambda x: coalesce(isfinite(x), false)), 'bool_and')
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+    FROM v AS q JOIN v AS c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """,
 }
