@@ -288,21 +288,32 @@ def _in_bloom(bloom: np.ndarray, node: int) -> bool:
     return all(int(bloom[p >> 6]) >> (p & 63) & 1 for p in (node % BLOOM_BITS, (node >> 30) % BLOOM_BITS))
 
 
-def _sets(ngram: int, bloom):
+def _details(ngram: int, bloom, whole: bool):
+    """Of the sets in the bitmap: their tokens (``whole``), or their sketches."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Seen()
         for batch in slices(batches):
             rows = []
             for tokens in token_sets(batch, ngram):
                 if len(tokens) and _in_bloom(bloom.value, node := set_key(tokens)) and seen.new(node):
-                    rows.append((node, len(tokens), tokens.tobytes(), sketch(tokens)))
+                    rows.append((node, len(tokens), tokens.tobytes() if whole else sketch(tokens)))
             columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())]
-            columns += [pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "tokens", "sketch"])
+            columns.append(pa.array([r[2] for r in rows], pa.binary() if whole else pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "tokens" if whole else "sketch"])
 
     return run
 
 
+def _details_of(nodes: DataFrame, source: DataFrame, ngram: int, whole: bool) -> DataFrame:
+    """node, n and tokens, or sketch, of the given nodes, from one pass over the texts."""
+    nodes = nodes.distinct()
+    bloom = source.sparkSession.sparkContext.broadcast(_bloom(nodes))
+    schema = "node long, n long, tokens binary" if whole else "node long, n long, sketch array<long>"
+    found = map_arrow(source.select("text"), _details(ngram, bloom, whole), schema)
+    return stored(found.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "sets" if whole else "sketches")
+
+
 def _reaches(threshold: Fraction, shared: Column | np.ndarray, total: Column | np.ndarray):
     """Whether ``shared`` tokens in common, of ``total`` in both sets together, reach the threshold."""
     return shared * (threshold.denominator + threshold.numerator) >= total * threshold.numerator
@@ -364,33 +375,34 @@ def jaccard_join(docs: DataFrame, ngram: int = NGRAM, threshold: Fraction = THRE
     members = stored(map_arrow(dealt, _stars, schema), "members")
 
     fits = F.least("n_a", "n_b") * threshold.denominator >= F.greatest("n_a", "n_b") * threshold.numerator
-    bloom = spark.sparkContext.broadcast(_bloom(members.select("node")))
-    sets = map_arrow(source.select("text"), _sets(ngram, bloom), "node long, n long, tokens binary, sketch array<long>")
-    sets = stored(sets.join(members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "sets")
     most = (threshold.denominator - threshold.numerator, threshold.denominator + threshold.numerator)
     flips = sum((F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH)), F.lit(0))
     near = fits & (flips * most[1] <= (F.col("n_a") + F.col("n_b")) * most[0])
+    sketches = _details_of(members.select("node"), source, ngram, whole=False)
 
-    def side(name: str, *more: str) -> DataFrame:
-        return sets.select(F.col("node").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in more))
+    def side(table: DataFrame, name: str, *more: str) -> DataFrame:
+        return table.select(F.col("node").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in more))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        full = pairs.join(side("a", "n", "tokens"), "a").join(side("b", "n", "tokens"), "b")
-        return map_arrow(full.select("a", "b", "n_a", "n_b", "tokens_a", "tokens_b"), _verified(threshold), "a long, b long, shared long")
+        """Of the pairs of nodes (a, b), those whose sets reach the threshold."""
+        sets = _details_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), source, ngram, whole=True)
+        full = pairs.join(side(sets, "a", "n", "tokens"), "a").join(side(sets, "b", "n", "tokens"), "b")
+        checked = map_arrow(full.select("a", "b", "n_a", "n_b", "tokens_a", "tokens_b"), _verified(threshold), "a long, b long, shared long")
+        return stored(checked, "links")
 
     stars = members.where("node != hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    likely = stars.join(side("a", "n", "sketch"), "a").join(side("b", "n", "sketch"), "b").where(near).select("a", "b")
-    links = stored(verified(likely), "links")
+    likely = stars.join(side(sketches, "a", "n", "sketch"), "a").join(side(sketches, "b", "n", "sketch"), "b").where(near)
+    likely = stored(likely.select("a", "b"), "pairs")
+    links = verified(likely)
     labels = components(links)
 
-    label = labels.select("node", "label")
-    tagged = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    tagged = members.select("key", "node", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     if every_link:
         apart = tagged
     else:
         mixed = tagged.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
         apart = tagged.join(mixed.select("key", "low"), "key")
-    apart = stored(apart.join(sets.select("node", "sketch"), "node"), "apart")
+    apart = apart.join(sketches.select("node", "sketch"), "node")
     odd = apart if every_link else apart.where("label != low")
     left, right = (
         t.select("key", F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("label").alias(f"label_{x}"), F.col("sketch").alias(f"sketch_{x}"))
@@ -398,8 +410,9 @@ def jaccard_join(docs: DataFrame, ngram: int = NGRAM, threshold: Fraction = THRE
     )
     other = (F.col("a") != F.col("b")) if every_link else (F.col("label_a") != F.col("label_b"))
     pairs = left.join(right, "key").where(other & near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = stored(verified(pairs.join(links.select("a", "b"), ["a", "b"], "left_anti")), "links")
-    links = links.union(more)
-    if more.limit(1).count():
-        labels = components(links)
+    pairs = stored(pairs.join(likely, ["a", "b"], "left_anti"), "pairs")
+    if pairs.limit(1).count():
+        more = verified(pairs)
+        links = links.union(more)
+        labels = components(links) if more.limit(1).count() else labels
     return Joined(documents, links, labels)
