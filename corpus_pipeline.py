@@ -1,18 +1,95 @@
-"""The corpus pipeline: the stages in order, each over what its predecessor kept."""
+"""The corpus pipeline: five stages in order, each over what its predecessor kept.
+
+Documents that the quality classifier rejects go; repeated lines are taken out, and a document of
+which nothing is left goes; of each group of near duplicates the document with the smallest doc_id
+stays; contaminated documents go; the rest is packed into sequences.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import quality
+from tidemark.llm.decontaminate import contamination
+from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.ngram_join import jaccard_join
+from tidemark.llm.packing import pack
+from tidemark.llm.queries import BYTE_BPE, KEEP_SCORE
+from tidemark.llm.tables import looked_up, read, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
 
+def _without(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``key`` isn't in ``gone``; a null key stays."""
+    return looked_up(docs, stored(gone.select(key).distinct(), "gone"), [key], "left_anti")
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose score for quality is at least ``KEEP_SCORE``; each row by its own text, whatever its doc_id."""
+    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    fitted = quality.fit(docs, read(spark, sf_dir, "labels"))
+    scored = quality.score(keyed.select(F.col("_row").alias("doc_id"), "text"), fitted)
+    bad = scored.where(F.col("score") < KEEP_SCORE).select(F.col("doc_id").alias("_row"))
+    return _without(keyed, "_row", bad).select(docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that an earlier one matches. A document that loses all its words goes; n_chars follows the text."""
+    found = dedup_lines(docs)
+    found = found.where(~((F.col("n_dropped") > 0) & ~F.regexp_like("text", F.lit(r"\S"))))
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return found.select(docs.columns)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by word 5-grams at 0.8 or more, the one with the smallest doc_id; of repeated rows, one.
+
+    Rows that share a doc_id are one document. Documents without words or doc_id stay.
+    """
+    found = jaccard_join(docs).component_ids()
+    kept = _without(docs, "doc_id", found.where("doc_id != component_id"))
+    keyed = kept.withColumn("_row", F.xxhash64("doc_id", "text"))
+    repeated = keyed.groupBy("_row").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_row")
+    repeated = stored(repeated, "repeated")
+    if not repeated.limit(1).count():
+        return kept
+    one = looked_up(keyed, repeated, ["_row"], "left_semi").dropDuplicates(["_row"])
+    return looked_up(keyed, repeated, ["_row"], "left_anti").unionByName(one).select(docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that are not contaminated by the benchmark; each row by its own text."""
+    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    found = contamination(keyed.select(F.col("_row").alias("doc_id"), "text"), read(spark, sf_dir, "benchmark"))
+    return _without(keyed, "_row", found.where("contaminated").select(F.col("doc_id").alias("_row"))).select(docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies in the packed sequences."""
+    placed = pack(docs, BYTE_BPE).placed
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", keep_good),
+    ("line_dedup", drop_repeated_lines),
+    ("ngram_jaccard_join", keep_one_of_each),
+    ("benchmark_decontamination", drop_contaminated),
+    ("best_fit_packing", pack_sequences),
+]
+
+#: SQL can't express the classifier and the tokenizer; tests/llm holds the stages against brute force.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written as Parquet and read again."""
-    raise NotImplementedError
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return docs

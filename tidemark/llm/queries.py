@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from tidemark.llm import chat, langid, quality
 from tidemark.llm.bitplane import read_shards, write_shards
 from tidemark.llm.decontaminate import contamination
+from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.ngram_join import jaccard_join
 from tidemark.llm.packing import pack
+from tidemark.llm.pii import replace_entities
 from tidemark.llm.tables import HELD_OUT, fold, map_arrow, read
 from tidemark.llm.topk import top_k
 from tidemark.workspace import new_folder
@@ -23,6 +25,8 @@ from tidemark.workspace import new_folder
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 WORD_END_ID = 2
+#: The query's own key; a real corpus needs a secret one.
+SURROGATE_KEY = "op7"
 
 
 def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +78,14 @@ def _chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_arrow(written.select("tree", "text", "loss"), _read_back, schema)
 
 
+def _line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_entities(read(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY).documents
+
+
 def _top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -106,6 +118,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_jaccard_join": _near_duplicates,
     "op4_chat_formatting": _chat,
     "op5_quality_classifier": _quality,
+    "op6_line_dedup": _line_dedup,
+    "op7_pii_surrogates": _surrogates,
     "op8_exact_top_k": _top_k,
     "op9_language_id": _languages,
     "op10_token_files": _token_files,
@@ -138,6 +152,33 @@ WITH dw AS (
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
     sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
 FROM dw LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
+""",
+    "op6_line_dedup": r"""
+WITH lines AS (
+    SELECT doc_id, line_no, line, list_filter(string_split_regex(line, '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS words
+    FROM (
+        SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no
+        FROM documents
+    )
+), firsts AS (
+    SELECT words, len(words) AS n, row_number() OVER (ORDER BY min((doc_id, line_no))) AS nth, min((doc_id, line_no)) AS at
+    FROM lines WHERE len(words) > 0 GROUP BY words
+), rests AS (
+    SELECT nth, p, words[1 : p - 1] || words[p + 1 :] AS rest
+    FROM (SELECT nth, words, unnest(range(1, n + 1)) AS p FROM firsts WHERE n >= 8)
+    UNION ALL SELECT nth, 0, words FROM firsts WHERE n >= 8
+), near AS (
+    SELECT DISTINCT x.nth FROM rests AS x JOIN rests AS y
+    ON x.rest = y.rest AND y.nth < x.nth AND (x.p = y.p OR x.p = 0 OR y.p = 0)
+), decided AS (
+    SELECT l.doc_id, l.line_no, l.line,
+        f.nth IS NULL OR (near.nth IS NULL AND f.at = (l.doc_id, l.line_no)) AS stays
+    FROM lines AS l LEFT JOIN firsts AS f ON l.words = f.words LEFT JOIN near ON f.nth = near.nth
+)
+SELECT doc_id, CASE WHEN count(*) FILTER (stays) = count(*) THEN any_value(text)
+        ELSE coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (stays), '') END AS text,
+    count(line) AS n_lines, count(line) - count(line) FILTER (stays) AS n_dropped
+FROM documents LEFT JOIN decided USING (doc_id) GROUP BY doc_id
 """,
     "op8_exact_top_k": """
 WITH v AS (

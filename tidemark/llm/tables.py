@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from tidemark.workspace import new_folder
 
 SLICE_BYTES = 1 << 21
+#: A table to look rows up in is broadcast up to so many bytes of JSON text; beyond that both sides are shuffled.
+BROADCAST_BYTES = 8 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,3 +81,9 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
     """``df.mapInArrow`` with this package at hand on the executors."""
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
+
+
+def looked_up(table: DataFrame, keys: DataFrame, on: list[str], how: str) -> DataFrame:
+    """A join of ``table`` with ``keys``, a stored table, which is broadcast only if its rows, counted as JSON text, are small."""
+    size = keys.agg(F.sum(F.length(F.to_json(F.struct("*"))).cast("long"))).first()[0] or 0
+    return table.join(F.broadcast(keys) if size <= BROADCAST_BYTES else keys, on, how)
