@@ -10,11 +10,11 @@ from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oracles import ORACLES
-from tidemark.functions.json_text import object_text, open_object, put_fields, read_fields
+from tidemark.functions.json_text import put_fields, read_fields
 from tidemark.functions.times import format_ms, parse_time
 from tidemark.operators.areas import invert_areas
 from tidemark.operators.audit import bad_rows, good_rows, parse_audit
@@ -29,12 +29,13 @@ from tidemark.plans.tables import (
     MINUTE,
     MINUTE_DELAY_MS,
     area_hash,
+    arrivals,
     audit_messages,
     order_messages,
     table,
 )
 from tidemark.settings import OTHER_AREA, Timing
-from tidemark.sinks.writers import documents, folder_sink, read_folder
+from tidemark.sinks.writers import documents, folder_sink, read_folder, read_upserted, upsert_sink
 from tidemark.sources.areas import AreaSnapshots
 from tidemark.sources.messages import read_messages
 from tidemark.streaming.clean import run_clean
@@ -53,6 +54,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 REPORT_FIELDS = "time string, type string, area string, count bigint, doc_id string, document string"
 STREAM_PARTS = 4
+DATE_PARTS = 3
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -82,9 +84,9 @@ def _sorted_times(timing: Timing) -> Query:
 # Report, with lateness.
 
 
-def _report(take: Callable[[Report], DataFrame], timing: Timing, delay_ms: int, label: str = "window_end") -> Query:
+def _report(take: Callable[[Report], DataFrame], timing: Timing, delay_ms: int, label: str = "window_end", **more: int) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return take(report_messages(audit_messages(use_utc(spark), sf_dir, delay_ms), timing, label=label))
+        return take(report_messages(audit_messages(use_utc(spark), sf_dir, delay_ms), timing, label=label, **more))
 
     return query
 
@@ -121,8 +123,8 @@ def _json_get(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _json_put(spark: SparkSession, sf_dir: str) -> DataFrame:
-    put = put_fields(open_object("props"), {"area": F.col("event_type")})
-    return table(spark, sf_dir, "events").select("event_id", object_text(put).alias("props"))
+    put = put_fields(F.col("props"), {"area": F.col("event_type")})
+    return table(spark, sf_dir, "events").select("event_id", put.alias("props"))
 
 
 def _time_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,9 +144,24 @@ def _area_inverted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return invert_areas(area_hash(spark, sf_dir))
 
 
-def _cleaned(spark: SparkSession, sf_dir: str, default_area: str | None = None, is_open: bool = False) -> Cleaned:
-    messages = order_messages(use_utc(spark), sf_dir, extra=is_open)
-    return clean_messages(messages, _area_dim(spark, sf_dir), default_area, None if is_open else ITEM_FIELDS)
+def _cleaned(
+    spark: SparkSession, sf_dir: str, default_area: str | None = None, is_open: bool = False, damaged: bool = False, shuffled: bool = False
+) -> Cleaned:
+    """``shuffled``: as if the area table were too large to broadcast."""
+    messages = order_messages(use_utc(spark), sf_dir, extra=is_open, damaged=damaged)
+    beyond = {"max_broadcast": 0} if shuffled else {}
+    return clean_messages(messages, _area_dim(spark, sf_dir), default_area, None if is_open else ITEM_FIELDS, **beyond)
+
+
+def _clean_bad(is_open: bool) -> Query:
+    """How many records and bad rows of each reason the damaged envelopes give."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cleaned = _cleaned(spark, sf_dir, is_open=is_open, damaged=True)
+        outcomes = cleaned.json.select(F.lit("record").alias("outcome")).union(cleaned.bad.select("reason"))
+        return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+    return query
 
 
 def _json_columns(records: DataFrame, fields: str) -> DataFrame:
@@ -157,14 +174,17 @@ OPEN_FIELDS = f"{CLEAN_FIELDS}, line int, supplier bigint, bulk boolean, detail
 
 
 def _open_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = _json_columns(_cleaned(spark, sf_dir, is_open=True).json, OPEN_FIELDS)
+    records = _cleaned(spark, sf_dir, is_open=True).json
+    # Parsing a field as text changes its numbers, so it is cut out of the record.
+    raw = F.regexp_extract("value", r'"raw":(\[.*?\])', 1)
+    columns = records.select(F.from_json("value", OPEN_FIELDS).alias("r"), raw.alias("raw")).select("r.*", "raw")
     flags = F.array_join("detail.flags", "")
     return columns.withColumns({"part": F.col("detail.part"), "flags": flags}).drop("detail")
 
 
 def _envelope_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     envelopes = parse_envelopes(order_messages(use_utc(spark), sf_dir), ITEM_FIELDS)
-    return envelopes.groupBy("dt", "countryCode").agg(F.sum(F.size("data")).alias("items"))
+    return envelopes.select("dt", "countryCode", F.size("data").alias("items"))
 
 
 def _dim_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,15 +193,15 @@ def _dim_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = iter([area_hash(spark, sf_dir), area_hash(spark, sf_dir).limit(0), area_hash(spark, sf_dir, shift=1)])
     areas = AreaSnapshots(lambda: next(versions), max_age=0)
     messages = written(order_messages(spark, sf_dir), "messages")
-    parts = _date_parts()
-    cleaned = [clean_messages(messages.where(part), areas.current(), None, ITEM_FIELDS).columns for part in parts]
+    parts = [messages.where(_date_part() == n) for n in range(DATE_PARTS)]
+    cleaned = [clean_messages(part, areas.current(), None, ITEM_FIELDS).columns for part in parts]
     return reduce(DataFrame.union, cleaned)
 
 
-def _date_parts() -> list:
-    day = F.col("ordered_on")
-    first, second = F.lit("1996-01-01").cast("timestamp_ntz"), F.lit("1999-01-01").cast("timestamp_ntz")
-    return [day < first, (day >= first) & (day < second), day >= second]
+def _date_part() -> Column:
+    """The part of an order: before 1996, before 1999, or else, a missing date among them."""
+    first, second = (F.col("ordered_on") < F.lit(f"{year}-01-01").cast("timestamp_ntz") for year in (1996, 1999))
+    return F.when(first, 0).when(second, 1).otherwise(2)
 
 
 # Streams. Each writes the messages to a folder in parts, and the job takes one part per micro-batch.
@@ -198,32 +218,33 @@ def _stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
             areas,
             folder_sink(f"{folder}/out", "text"),
             f"{folder}/checkpoint",
+            folder_sink(f"{folder}/bad"),
             item_fields=ITEM_FIELDS,
             trigger=NOW,
         )
 
-    replay(written(order_messages(spark, sf_dir), "messages"), _date_parts(), f"{folder}/in", start)
+    replay(order_messages(spark, sf_dir), _date_part(), DATE_PARTS, f"{folder}/in", start)
     return _json_columns(read_folder(spark, f"{folder}/out", "value string", "text"), CLEAN_FIELDS)
 
 
-def _arrival_parts(messages: DataFrame) -> list:
+def _arrival_part(messages: DataFrame) -> Column:
     """Equal spans of arrival time."""
     low, high = messages.agg(F.min("arrival"), F.max("arrival")).first()
-    part = F.call_function("div", (F.col("arrival") - low) * STREAM_PARTS, F.lit(high - low + 1))
-    return [part == n for n in range(STREAM_PARTS)]
+    return F.call_function("div", (F.col("arrival") - low) * STREAM_PARTS, F.lit(high - low + 1))
 
 
-def _run_exact(spark: SparkSession, sf_dir: str) -> str:
+def _run_exact(spark: SparkSession, sf_dir: str, upsert: bool = False) -> str:
     """Run the exact report over the delayed events; the folder that holds its output."""
     folder = new_folder(use_utc(spark), "stream-report")
-    step = ReportStep(f"{folder}/state", folder_sink(f"{folder}/docs"), folder_sink(f"{folder}/late", "text"), timing=DAY)
+    docs = upsert_sink(f"{folder}/docs") if upsert else folder_sink(f"{folder}/docs")
+    step = ReportStep(f"{folder}/state", docs, folder_sink(f"{folder}/late", "text"), folder_sink(f"{folder}/bad"), timing=DAY)
 
     def start():
         messages = read_messages(spark, "parquet", True, "value string, arrival bigint", path=f"{folder}/in")
         return run_report_exact(messages, step, f"{folder}/checkpoint", NOW)
 
     messages = audit_messages(spark, sf_dir, DAY_DELAY_MS).drop("event_id")
-    replay(messages, _arrival_parts(messages), f"{folder}/in", start)
+    replay(messages, _arrival_part(arrivals(spark, sf_dir, DAY_DELAY_MS)), STREAM_PARTS, f"{folder}/in", start)
     return folder
 
 
@@ -236,11 +257,16 @@ def _stream_docs(mode: str) -> Query:
     return query
 
 
+def _stream_upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = read_upserted(spark, f"{_run_exact(spark, sf_dir, upsert=True)}/docs", REPORT_FIELDS)
+    return held.select("doc_id", "time", "type", "area", "count")
+
+
 def _stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_folder(spark, f"{_run_exact(spark, sf_dir)}/late", "value string", "text").select("value")
 
 
-def _stream_builtin(timing: Timing) -> Query:
+def _stream_builtin(timing: Timing, delay_ms: int = 0) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = new_folder(use_utc(spark), "stream-builtin")
 
@@ -249,14 +275,15 @@ def _stream_builtin(timing: Timing) -> Query:
             return run_report_builtin(
                 messages,
                 folder_sink(f"{folder}/docs"),
+                folder_sink(f"{folder}/bad"),
                 f"{folder}/checkpoint",
                 timing,
                 state_partitions=spark.sparkContext.defaultParallelism,
                 trigger=NOW,
             )
 
-        messages = audit_messages(spark, sf_dir).drop("event_id")
-        replay(messages, _arrival_parts(messages), f"{folder}/in", start)
+        messages = audit_messages(spark, sf_dir, delay_ms).drop("event_id")
+        replay(messages, _arrival_part(arrivals(spark, sf_dir, delay_ms)), STREAM_PARTS, f"{folder}/in", start)
         log = read_folder(spark, f"{folder}/docs", REPORT_FIELDS)
         return documents(log, "upsert").select("time", "type", "area", "count")
 
@@ -269,9 +296,12 @@ def queries() -> dict[str, Query]:
         "audit_bad_rows": _audit_bad,
         "audit_rows_nonzero": _audit_parsed("nonzero"),
         "audit_rows_positive": _audit_parsed("positive"),
+        "clean_bad_rows": _clean_bad(is_open=False),
+        "clean_bad_rows_open": _clean_bad(is_open=True),
         "clean_envelope_sizes": _envelope_sizes,
         "clean_items_null": lambda spark, sf_dir: _cleaned(spark, sf_dir).columns,
         "clean_items_other": lambda spark, sf_dir: _cleaned(spark, sf_dir, OTHER_AREA).columns,
+        "clean_items_other_shuffled": lambda spark, sf_dir: _cleaned(spark, sf_dir, OTHER_AREA, shuffled=True).columns,
         "clean_json_roundtrip": lambda spark, sf_dir: _json_columns(_cleaned(spark, sf_dir).json, CLEAN_FIELDS),
         "clean_open_schema": _open_schema,
         "dim_replacement": _dim_replacement,
@@ -279,10 +309,13 @@ def queries() -> dict[str, Query]:
         "json_put": _json_put,
         "stream_clean": _stream_clean,
         "stream_report_builtin": _stream_builtin(MINUTE),
+        "lateness_classes_shuffled_1d": _report(_classes, DAY, DAY_DELAY_MS, max_broadcast=0),
         "stream_report_builtin_1d": _stream_builtin(DAY),
+        "stream_report_builtin_late_1d": _stream_builtin(DAY, DAY_DELAY_MS),
         "stream_report_emissions": _stream_docs("append"),
         "stream_report_exact": _stream_docs("upsert"),
         "stream_report_late": _stream_late,
+        "stream_report_upsert_sink": _stream_upserted,
         "time_text": _time_text,
     }
     for suffix, timing, delay_ms in (("", MINUTE, MINUTE_DELAY_MS), ("_1d", DAY, DAY_DELAY_MS)):

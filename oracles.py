@@ -125,7 +125,19 @@ def _stream_emissions(rules: str, delay_ms: int) -> str:
     return parts + _doc_columns(emitted, ", batch_id")
 
 
-# Audit texts with the seven defects put in.
+def _stream_builtin_late(rules: str, kept_ms: int) -> str:
+    """Spark's rule: a row is late if its window had ended by the newest event time of the parts before, less the allowance."""
+    return f"""{rules},
+        spans AS (SELECT min(arrival) AS low, max(arrival) - min(arrival) + 1 AS span FROM classes),
+        parted AS (SELECT classes.*, ((arrival - low) * {PARTS}) // span AS part FROM classes, spans),
+        before AS (
+            SELECT part, max(newest) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
+            FROM (SELECT part, max(ms) AS newest FROM parted GROUP BY part))
+        SELECT time, type, area, count(*) AS "count" FROM parted JOIN before USING (part)
+        WHERE newest IS NULL OR we > newest - {kept_ms} GROUP BY time, type, area"""
+
+
+# Audit texts with the ten defects put in.
 DAMAGED = f"""
     WITH fields AS (
         SELECT event_id, user_id::VARCHAR AS username, event_id % 13 AS kind, date_trunc('second', ts) AS moment,
@@ -140,42 +152,66 @@ DAMAGED = f"""
         FROM fields)"""
 
 AUDIT_BAD = f"""{DAMAGED}
-    SELECT CASE WHEN kind = 1 THEN left(whole, 30) ELSE whole END AS value,
+    SELECT CASE kind WHEN 1 THEN left(whole, 30) WHEN 7 THEN whole || whole WHEN 8 THEN whole || ' zzz' WHEN 9 THEN whole || ']'
+                ELSE whole END AS value,
            CASE kind WHEN 0 THEN 'bad_time' WHEN 1 THEN 'malformed_json' WHEN 2 THEN 'no_area' WHEN 3 THEN 'excluded_time'
-                WHEN 4 THEN 'excluded_time' WHEN 5 THEN 'bad_time' WHEN 6 THEN 'no_type' END AS reason
-    FROM texts WHERE kind <= 6"""
+                WHEN 4 THEN 'excluded_time' WHEN 5 THEN 'bad_time' WHEN 6 THEN 'no_type' ELSE 'malformed_json' END AS reason
+    FROM texts WHERE kind <= 9"""
 
-AUDIT_POSITIVE = f"{DAMAGED} SELECT event_id, epoch_ms(moment) AS event_ms, type, area FROM texts WHERE kind > 6"
+AUDIT_POSITIVE = f"{DAMAGED} SELECT event_id, epoch_ms(moment) AS event_ms, type, area FROM texts WHERE kind > 9"
 
 AUDIT_NONZERO = f"""{DAMAGED}
     SELECT event_id, CASE WHEN kind = 4 THEN -1000 ELSE epoch_ms(moment) END AS event_ms, type, area
-    FROM texts WHERE kind > 6 OR kind = 4"""
+    FROM texts WHERE kind > 9 OR kind = 4"""
 
-AREAS = "SELECT n_name AS country_code, r_name AS area FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'MIDDLE EAST'"
+AREAS = "SELECT n_name AS country_code, r_name AS area FROM nation JOIN region ON n_regionkey = r_regionkey"
 
-AREAS_MOVED = AREAS.replace("n_regionkey =", "(n_regionkey + 1) % 5 =")
+AREAS_MOVED = """
+    WITH placed AS (
+        SELECT r_regionkey, r_name, row_number() OVER (ORDER BY r_regionkey) - 1 AS place, count(*) OVER () AS n FROM region)
+    SELECT n_name AS country_code, next.r_name AS area
+    FROM nation JOIN placed ON n_regionkey = placed.r_regionkey JOIN placed next ON next.place = (placed.place + 1) % placed.n"""
 
 ITEM = "l_returnflag AS type, l_discount AS score, l_linestatus AS level"
 ITEMS = "lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"
 ORDERED = f"strftime(o_orderdate, {TEXT})"
+CODE = "CASE WHEN o_orderkey % 10 = 0 THEN 'NOWHERE' ELSE n_name END"
 
 
 def _clean(area: str, extra: str = "", areas: str = AREAS) -> str:
     return f"""
         SELECT {ITEM}, {area} AS area, {ORDERED} AS dt{extra}
-        FROM {ITEMS} LEFT JOIN ({areas}) areas ON country_code = n_name"""
+        FROM {ITEMS} LEFT JOIN ({areas}) areas ON country_code = {CODE}"""
 
 
 CLEAN_OPEN = _clean(
     "areas.area",
     """, l_linenumber AS line, CASE WHEN l_linenumber > 3 THEN l_suppkey END AS supplier, l_quantity > 25 AS bulk,
-       l_partkey AS part, l_linestatus || l_returnflag AS flags""",
+       l_partkey AS part, l_linestatus || l_returnflag AS flags,
+       '[123456789012345678901234567890123456789012345,0.30,1.5e400,{"x":null}]' AS raw""",
 )
 
 ENVELOPE_SIZES = f"""
-    SELECT {ORDERED} AS dt, n_name AS countryCode, count(l_orderkey) AS items
+    SELECT {ORDERED} AS dt, {CODE} AS countryCode, count(l_orderkey) AS items
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-    LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2"""
+    LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, 1, 2"""
+
+
+def _clean_bad(wrong_type: str) -> str:
+    """Outcomes of the damaged envelopes: three kinds are malformed, three have one item more."""
+    return f"""
+        WITH sized AS (
+            SELECT o_orderkey % 11 AS kind, count(l_orderkey) AS items
+            FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+            LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey),
+        outcomes AS (
+            SELECT 'malformed_json' AS outcome, count(*) AS n FROM sized WHERE kind < 3
+            UNION ALL SELECT 'record', sum(items) FROM sized WHERE kind >= 3
+            UNION ALL SELECT 'record', count(*) FROM sized WHERE kind = 3
+            UNION ALL SELECT '{wrong_type}', count(*) FROM sized WHERE kind = 4
+            UNION ALL SELECT 'bad_item', count(*) FROM sized WHERE kind = 5)
+        SELECT outcome, sum(n)::BIGINT AS n FROM outcomes GROUP BY outcome"""
+
 
 DIM_REPLACEMENT = f"""
     {_clean("areas.area")} WHERE o_orderdate < DATE '1999-01-01'
@@ -183,8 +219,9 @@ DIM_REPLACEMENT = f"""
     {_clean("areas.area", areas=AREAS_MOVED)} WHERE o_orderdate >= DATE '1999-01-01'"""
 
 JSON_GET = "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events"
+# All that the text holds stays as it is written.
 JSON_PUT = """
-    SELECT event_id, '{"k":' || json_extract_string(props, '$.k') || ',"area":"' || event_type || '"}' AS props FROM events"""
+    SELECT event_id, left(props, length(props) - 1) || ',"area":"' || event_type || '"}' AS props FROM events"""
 
 TIMES = f"""
     SELECT event_id, strftime(ts, {TEXT}) AS dt, epoch_ms(date_trunc('second', ts)) AS event_ms, strftime(ts, {TEXT}) AS printed FROM events"""
@@ -197,9 +234,12 @@ ORACLES: dict[str, str] = {
     "audit_bad_rows": AUDIT_BAD,
     "audit_rows_nonzero": AUDIT_NONZERO,
     "audit_rows_positive": AUDIT_POSITIVE,
+    "clean_bad_rows": _clean_bad("bad_item"),
+    "clean_bad_rows_open": _clean_bad("record"),
     "clean_envelope_sizes": ENVELOPE_SIZES,
     "clean_items_null": _clean("areas.area"),
     "clean_items_other": _clean("coalesce(areas.area, 'other')"),
+    "clean_items_other_shuffled": _clean("coalesce(areas.area, 'other')"),
     "clean_json_roundtrip": _clean("areas.area"),
     "clean_open_schema": CLEAN_OPEN,
     "dim_replacement": DIM_REPLACEMENT,
@@ -208,9 +248,12 @@ ORACLES: dict[str, str] = {
     "stream_clean": _clean("areas.area"),
     "stream_report_builtin": _report("minute"),
     "stream_report_builtin_1d": _report("day"),
+    "lateness_classes_shuffled_1d": _classes(_lateness(*DAY)),
+    "stream_report_builtin_late_1d": _stream_builtin_late(_lateness(*DAY), DAY[1] + DAY[2]),
     "stream_report_emissions": _stream_emissions(_lateness(*DAY), DAY[1]),
     "stream_report_exact": _upsert(_lateness(*DAY)),
     "stream_report_late": _late(_lateness(*DAY)),
+    "stream_report_upsert_sink": _upsert(_lateness(*DAY)),
     "time_text": TIMES,
 }
 

@@ -6,34 +6,72 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BROKEN = "_broken"
-_READ = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN, "allowUnquotedFieldNames": "true"}
+_READ = {"mode": "PERMISSIVE", "allowUnquotedFieldNames": "true"}
+#: Private-use characters around a number that is kept as text.
+_OPEN, _CLOSE = "\ue000", "\ue001"
+_STRING = r'"(?:[^"\\]|\\.)*"' + "|" + r"'(?:[^'\\]|\\.)*'"
+_NUMBER = r"(?<![\w$.+-])-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?(?![\w$.])"
 
 
 def read_fields(text: Column | str, fields: str) -> Column:
-    """Struct of ``fields`` (DDL) plus ``_broken``, which holds the text where it does not parse.
+    """Struct of ``fields`` (DDL) plus ``_broken``, which holds the text unless the whole of it is one object.
 
-    Only the named fields are read; single quotes and bare field names are accepted.
+    Only the named fields are read, and the last of a repeated one; single quotes and bare field
+    names are accepted. The text is read as the first of two elements of an array, so that whatever
+    follows the object, up to the mark at the end, is noticed.
     """
-    return F.from_json(text, f"{fields}, {BROKEN} string", _READ)
+    text = F.col(text) if isinstance(text, str) else text
+    found = F.from_json(F.concat(F.lit("["), text, F.lit(",{}]")), f"array<struct<{fields}>>", _READ)
+    # Bound by a lambda, the parsed array is worked out once.
+    whole = F.transform(F.array(found), lambda two: F.when((F.size(two) == 2) & two[0].isNotNull(), two[0]))[0]
+    return F.transform(F.array(whole), lambda one: one.withField(BROKEN, F.lit(None).cast("string")))[0]
 
 
 def is_broken(parsed: str) -> Column:
     return F.col(parsed).isNull() | F.col(f"{parsed}.{BROKEN}").isNotNull()
 
 
-def open_object(text: Column | str) -> Column:
-    """Any JSON object as a map from field name to value; null if the text is no object."""
-    return F.from_json(text, "map<string,variant>", {"allowUnquotedFieldNames": "true"})
+def read_object(text: Column | str, fields: str) -> Column:
+    """Struct of ``fields`` plus ``_broken``, which holds a text that is no object or whose fields have other types."""
+    options = {**_READ, "columnNameOfCorruptRecord": BROKEN}
+    return F.from_json(text, f"{fields}, {BROKEN} string", options)
 
 
-def put_fields(fields: Column, new: dict[str, Column]) -> Column:
-    """Set or overwrite string fields of an ``open_object`` map, leaving all others as they are."""
-    kept = F.map_filter(fields, lambda name, _: ~name.isin(*new))
-    added = F.create_map(*[part for name, value in new.items() for part in (F.lit(name), value.cast("variant"))])
-    return F.map_concat(kept, added)
+def mark_numbers(text: Column) -> Column:
+    """The same JSON with every number in marked quotes, so that parsing leaves its text as it is."""
+    marked = F.regexp_replace(text, f"({_STRING})|({_NUMBER})", f"$1{_OPEN}$2{_CLOSE}")
+    marked = F.replace(marked, F.lit(_OPEN + _CLOSE), F.lit(""))
+    marked = F.replace(F.replace(marked, F.lit(_OPEN), F.lit(f'"{_OPEN}')), F.lit(_CLOSE), F.lit(f'{_CLOSE}"'))
+    return F.when(F.regexp_like(text, F.lit(f"[{_OPEN}{_CLOSE}]")), text).otherwise(marked)
 
 
-def object_text(fields: Column) -> Column:
-    """JSON text of an ``open_object`` map; top-level null fields are left out."""
+def unmark_numbers(text: Column) -> Column:
+    bare = F.replace(F.replace(text, F.lit(f'"{_OPEN}'), F.lit("")), F.lit(f'{_CLOSE}"'), F.lit(""))
+    return F.translate(bare, _OPEN + _CLOSE, "")
+
+
+def put_fields(text: Column, new: dict[str, Column]) -> Column:
+    """The JSON object ``text`` with string fields set or overwritten; null if it is no object.
+
+    Top-level null fields are left out. All else stays as it is written, by putting the new fields
+    before the closing brace; only objects that repeat a name, hold a name that is set, or may hold a
+    null are taken apart, and keep the last field of each name.
+    """
+    names = F.json_object_keys(text)
+    added = F.to_json(F.struct(*[value.cast("string").alias(name) for name, value in new.items()]))
+    comma = F.when(F.size(names) > 0, ",").otherwise("")
+    spliced = F.concat(F.substring(text, F.lit(1), F.length(text) - 1), comma, F.substring(added, F.lit(2), F.length(added)))
+    spliced = F.when(added == "{}", text).otherwise(spliced)
+    simple = ~F.contains(text, F.lit("null")) & ~F.arrays_overlap(names, F.array(*map(F.lit, new)))
+    simple = simple & (F.size(F.array_distinct(names)) == F.size(names)) & F.endswith(text, F.lit("}"))
+    return F.when(names.isNull(), None).when(simple, spliced).otherwise(_rebuilt(text, new))
+
+
+def _rebuilt(text: Column, new: dict[str, Column]) -> Column:
+    entries = F.map_entries(F.from_json(text, "map<string,variant>"))
+    names = F.map_keys(F.from_json(text, "map<string,variant>"))
+    last = F.filter(entries, lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), e["key"]))
     # A string cast to variant is a plain SQL null when the string is null, hence both tests.
-    return F.to_json(F.map_filter(fields, lambda _, value: value.isNotNull() & ~F.is_variant_null(value)))
+    kept = F.filter(last, lambda e: e["value"].isNotNull() & ~F.is_variant_null(e["value"]) & ~e["key"].isin(*new))
+    own = [F.struct(F.lit(name).alias("key"), value.cast("string").cast("variant").alias("value")) for name, value in new.items()]
+    return F.to_json(F.map_from_entries(F.concat(kept, F.filter(F.array(*own), lambda e: e["value"].isNotNull()))))

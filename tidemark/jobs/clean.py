@@ -7,9 +7,8 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
-
 from tidemark import settings
+from tidemark.jobs.options import add_common, reader_options, session
 from tidemark.sinks.writers import folder_sink, kafka_sink
 from tidemark.sources.areas import AreaSnapshots
 from tidemark.sources.messages import read_messages
@@ -24,23 +23,24 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--areas", required=True, help="parquet table with columns area, codes")
     args.add_argument("--folder", required=True, help="shared folder for the checkpoint and bad rows")
     args.add_argument("--default-area", help=f"area of unmapped countries, such as '{settings.OTHER_AREA}'; null if not given")
+    add_common(args)
     args.add_argument("--once", action="store_true", help="stop when all present input is done")
     given = args.parse_args(argv)
 
-    spark = SparkSession.builder.appName("clean").getOrCreate()
+    spark = session("clean", given)
     if given.servers:
-        options = {"kafka.bootstrap.servers": given.servers, "subscribe": given.input}
+        options = {"kafka.bootstrap.servers": given.servers, "subscribe": given.input, **reader_options(given)}
         messages = read_messages(spark, "kafka", streaming=True, **options)
         sink = kafka_sink(given.output, given.servers)
     else:
-        messages = read_messages(spark, "text", streaming=True, path=given.input)
+        messages = read_messages(spark, "text", streaming=True, path=given.input, **reader_options(given))
         sink = folder_sink(given.output, "text")
     query = run_clean(
         messages,
         AreaSnapshots(lambda: spark.read.schema("area string, codes string").parquet(given.areas)),
         sink,
         f"{given.folder}/checkpoint",
-        bad_sink=folder_sink(f"{given.folder}/bad", few_files=True),
+        folder_sink(f"{given.folder}/bad", few_files=True),
         default_area=given.default_area,
         trigger={"availableNow": True} if given.once else None,
     )

@@ -7,11 +7,10 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
-
 from tidemark import settings
+from tidemark.jobs.options import add_common, reader_options, session
 from tidemark.operators.windows import LABELS
-from tidemark.sinks.writers import all_of, console_sink, folder_sink, kafka_sink
+from tidemark.sinks.writers import all_of, console_sink, folder_sink, kafka_sink, upsert_sink
 from tidemark.sources.messages import read_messages
 from tidemark.streaming.report import ReportStep, run_report_builtin, run_report_exact
 
@@ -23,37 +22,43 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--late", default=settings.LATE_TOPIC, help="topic, or folder, for rows that come too late")
     args.add_argument("--folder", required=True, help="shared folder for documents, state, checkpoint and bad rows")
     args.add_argument("--label", choices=LABELS, default="window_end", help="the time printed on a count")
-    args.add_argument("--builtin", action="store_true", help="use Spark's watermark; no late output")
+    args.add_argument("--builtin", action="store_true", help="use Spark's watermark; late rows are only counted")
+    args.add_argument("--documents", choices=("append", "upsert"), default="append", help="every emission, or the last of each id")
+    args.add_argument("--times", choices=("positive", "nonzero"), default="positive", help="moments to count: after the epoch, or any but it")
+    for name, what in (("window", "width of a window"), ("delay", "how far the watermark trails"), ("lateness", "how long corrections are taken")):
+        args.add_argument(f"--{name}", type=float, default=getattr(settings.Timing(), f"{name}_ms") / 1000, help=f"{what}, in seconds")
+    add_common(args)
     args.add_argument("--print", action="store_true", dest="show", help="print the documents too")
     args.add_argument("--once", action="store_true", help="stop when all present input is done")
     given = args.parse_args(argv)
 
-    spark = SparkSession.builder.appName("report").getOrCreate()
+    spark = session("report", given)
+    timing = settings.Timing(*(round(seconds * 1000) for seconds in (given.window, given.delay, given.lateness)))
     if given.servers:
-        options = {"kafka.bootstrap.servers": given.servers, "subscribe": given.input}
+        options = {"kafka.bootstrap.servers": given.servers, "subscribe": given.input, **reader_options(given)}
         messages = read_messages(spark, "kafka", streaming=True, **options)
         late = kafka_sink(given.late, given.servers)
     else:
-        messages = read_messages(spark, "text", streaming=True, path=given.input)
+        messages = read_messages(spark, "text", streaming=True, path=given.input, **reader_options(given))
         late = folder_sink(given.late, "text", few_files=True)
-    docs = folder_sink(f"{given.folder}/{settings.REPORT_INDEX}")
+    place = f"{given.folder}/{settings.REPORT_INDEX}"
+    docs = upsert_sink(place) if given.documents == "upsert" else folder_sink(place)
+    bad = folder_sink(f"{given.folder}/bad", few_files=True)
     if given.show:
         docs = all_of(docs, console_sink())
     checkpoint = f"{given.folder}/checkpoint"
     trigger = {"availableNow": True} if given.once else None
     if given.builtin:
-        query = run_report_builtin(messages, docs, checkpoint, label=given.label, trigger=trigger)
+        queries = run_report_builtin(messages, docs, bad, checkpoint, timing, given.label, given.times, trigger=trigger)
+    else:
+        arrival = "arrival" if "arrival" in messages.columns else None
+        step = ReportStep(f"{given.folder}/state", docs, late, bad, timing, arrival, given.times, given.label)
+        queries = (run_report_exact(messages, step, checkpoint, trigger),)
+    if given.once:
+        for query in queries:
+            query.awaitTermination()
     else:
-        step = ReportStep(
-            f"{given.folder}/state",
-            docs,
-            late,
-            folder_sink(f"{given.folder}/bad", few_files=True),
-            arrival="arrival" if "arrival" in messages.columns else None,
-            label=given.label,
-        )
-        query = run_report_exact(messages, step, checkpoint, trigger)
-    query.awaitTermination()
+        spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

@@ -2,32 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.functions.json_text import is_broken, object_text, open_object, put_fields, read_fields
+from tidemark.functions.json_text import BROKEN, is_broken, mark_numbers, put_fields, read_fields, read_object, unmark_numbers
 from tidemark.functions.once import with_once
-from tidemark.operators.joins import BROADCAST_ROWS, lookup_join
+from tidemark.operators.joins import BROADCAST_BYTES, lookup_join
 
 ADDED = ("area", "dt")
 
 
 def parse_envelopes(messages: DataFrame, item_fields: str | None = None) -> DataFrame:
-    """``value`` text to ``(value, dt, countryCode, data, reason)``.
+    """``value`` text to ``(value, dt, countryCode, data, reason)``, with ``data`` an array of JSON texts.
 
-    With ``item_fields`` (DDL of the item's fields) items become structs of those fields. Without,
-    items stay JSON text, so fields nobody has named pass through. ``reason`` is null for an
-    envelope that can be exploded.
+    With ``item_fields`` (DDL of the item's fields) items will become structs of those fields. Without,
+    fields nobody has named pass through, numbers as they are written. ``reason`` is null for an
+    envelope that can be exploded; a text with anything after its object is malformed.
     """
-    items = f"array<struct<{item_fields}>>" if item_fields else "array<string>"
-    parsed = with_once(messages, "_p", read_fields("value", f"dt string, countryCode string, data {items}"))
+    text = F.col("value") if item_fields else mark_numbers(F.col("value"))
+    parsed = with_once(messages, "_p", read_fields(text, "dt string, countryCode string, data array<string>"))
     reason = F.when(is_broken("_p"), "malformed_json").when(F.col("_p.data").isNull(), "no_data")
-    return parsed.select("value", "_p.dt", "_p.countryCode", "_p.data", reason.alias("reason"))
+    header = [F.col(f"_p.{name}") if item_fields else unmark_numbers(F.col(f"_p.{name}")).alias(name) for name in ("dt", "countryCode")]
+    return parsed.select("value", *header, "_p.data", reason.alias("reason"))
 
 
 def enrich(
-    envelopes: DataFrame, dim: DataFrame, default_area: str | None = None, max_broadcast: int = BROADCAST_ROWS
+    envelopes: DataFrame, dim: DataFrame, default_area: str | None = None, max_broadcast: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Add ``area`` by ``countryCode``: one lookup per envelope, before its items are exploded.
 
@@ -37,37 +37,35 @@ def enrich(
     return found.withColumn("area", F.coalesce("area", F.lit(default_area).cast("string")))
 
 
-def explode_items(enriched: DataFrame) -> DataFrame:
-    """One ``(item, area, dt, fields, reason)`` row per element of ``data``.
+def explode_items(enriched: DataFrame, item_fields: str | None = None) -> DataFrame:
+    """One row per element of ``data``: ``(item, area, dt, reason)``, and ``fields`` or ``record``.
 
-    ``reason`` is set where the element is null or no object. ``fields`` is the open map of a text
-    item and absent for struct items.
+    ``item`` is the element's text. ``fields`` are its ``item_fields``; without those, ``record`` is the
+    text with ``area`` and ``dt`` put in. ``reason`` is set where the element is null, no object, or has
+    a field of another type; the other items of the envelope are not affected.
     """
     usable = enriched.where(F.col("reason").isNull())
     exploded = usable.select(F.explode("data").alias("item"), "area", "dt")
-    if is_open(enriched):
-        exploded = with_once(exploded, "fields", open_object("item"))
-        return exploded.withColumn("reason", F.when(F.col("fields").isNull(), "bad_item"))
-    return exploded.withColumn("reason", F.when(F.col("item").isNull(), "bad_item"))
-
-
-def is_open(envelopes: DataFrame) -> bool:
-    return isinstance(envelopes.schema["data"].dataType.elementType, T.StringType)
+    if item_fields:
+        parsed = with_once(exploded, "fields", read_object("item", item_fields))
+        return parsed.withColumn("reason", F.when(is_broken("fields"), "bad_item"))
+    record = put_fields(F.col("item"), {name: F.col(name) for name in ADDED})
+    parsed = with_once(exploded, "record", unmark_numbers(record))
+    parsed = parsed.withColumn("reason", F.when(F.col("record").isNull(), "bad_item"))
+    return parsed.withColumn("item", unmark_numbers(F.col("item")))
 
 
 def record_columns(items: DataFrame) -> DataFrame:
-    """Struct items as columns, with ``area`` and ``dt`` added or overwritten."""
+    """Typed items as columns, with ``area`` and ``dt`` added or overwritten."""
     good = items.where(F.col("reason").isNull())
-    kept = [f"item.{name}" for name in items.schema["item"].dataType.names if name not in ADDED]
+    kept = [f"fields.{name}" for name in items.schema["fields"].dataType.names if name not in (*ADDED, BROKEN)]
     return good.select(*kept, *ADDED)
 
 
 def record_json(items: DataFrame) -> DataFrame:
     """Items as JSON text ``value`` with ``area`` and ``dt`` put in; null fields are left out."""
-    if "fields" in items.columns:
-        good = items.where(F.col("reason").isNull())
-        added: dict[str, Column] = {name: F.col(name) for name in ADDED}
-        return good.select(object_text(put_fields(F.col("fields"), added)).alias("value"))
+    if "record" in items.columns:
+        return items.where(F.col("reason").isNull()).select(F.col("record").alias("value"))
     columns = record_columns(items)
     return columns.select(F.to_json(F.struct(*columns.columns)).alias("value"))
 
@@ -77,5 +75,4 @@ def bad_envelopes(envelopes: DataFrame) -> DataFrame:
 
 
 def bad_items(items: DataFrame) -> DataFrame:
-    text = F.col("item") if "fields" in items.columns else F.to_json("item")
-    return items.where(F.col("reason").isNotNull()).select(text.alias("value"), "reason")
+    return items.where(F.col("reason").isNotNull()).select(F.col("item").alias("value"), "reason")

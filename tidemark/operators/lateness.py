@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import format_ms, format_time, window_number
-from tidemark.operators.joins import BROADCAST_ROWS, lookup_join
+from tidemark.operators.joins import BROADCAST_BYTES, lookup_join
 from tidemark.operators.scans import minimum_from_here_up, running_total
 from tidemark.operators.windows import LABEL_TIME, label_time
 from tidemark.settings import Timing
@@ -65,7 +65,7 @@ def classify_lateness(
     arrival: str | None = "arrival",
     seen_ms: int = 0,
     turns: DataFrame | None = None,
-    max_broadcast: int = BROADCAST_ROWS,
+    max_broadcast: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add ``window_end_ms``, ``fire_at`` and ``lateness`` (``ontime``, ``refire`` or ``late``).
 

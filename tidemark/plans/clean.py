@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 
 from tidemark.operators import clean
-from tidemark.operators.joins import BROADCAST_ROWS
+from tidemark.operators.joins import BROADCAST_BYTES
 
 
 class Cleaned(NamedTuple):
@@ -32,9 +32,9 @@ def clean_messages(
     dim: DataFrame,
     default_area: str | None = None,
     item_fields: str | None = None,
-    max_broadcast: int = BROADCAST_ROWS,
+    max_broadcast: int = BROADCAST_BYTES,
 ) -> Cleaned:
     """Envelope texts to items; see ``operators.clean`` for the arguments."""
     envelopes = clean.parse_envelopes(messages, item_fields)
-    items = clean.explode_items(clean.enrich(envelopes, dim, default_area, max_broadcast))
+    items = clean.explode_items(clean.enrich(envelopes, dim, default_area, max_broadcast), item_fields)
     return Cleaned(items, clean.bad_envelopes(envelopes))

@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 
 from tidemark.operators.audit import bad_rows, good_rows, late_lines, parse_audit, slim
-from tidemark.operators.joins import BROADCAST_ROWS
+from tidemark.operators.joins import BROADCAST_BYTES
 from tidemark.operators.lateness import classify_lateness, final_counts, refire_changelog
 from tidemark.operators.windows import report_docs
 from tidemark.settings import Timing
@@ -46,7 +46,7 @@ def report_messages(
     timing: Timing = Timing(),
     times: str = "positive",
     label: str = "window_end",
-    max_broadcast: int = BROADCAST_ROWS,
+    max_broadcast: int = BROADCAST_BYTES,
 ) -> Report:
     """Audit texts ``value`` with their ``arrival`` to counts, documents, late lines and bad rows.
 

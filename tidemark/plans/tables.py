@@ -15,9 +15,13 @@ DAY = Timing(window_ms=86_400_000, delay_ms=7_200_000, lateness_ms=86_400_000)
 DAY_DELAY_MS = 216_000_000
 
 ITEM_FIELDS = "type string, score double, level string"
-UNMAPPED_REGION = "MIDDLE EAST"
+# Every so many orders name a country that no table has, or are damaged.
+UNMAPPED_EVERY, UNMAPPED_CODE = 10, "NOWHERE"
+DAMAGED_EVERY = 11
 DELAYED_EVERY = 7
-ITEMS_PER_ENVELOPE_BITS = 16
+ITEMS_PER_ENVELOPE = 65_536
+# Texts that must pass through an open item as they are.
+EXACT = '[123456789012345678901234567890123456789012345,0.30,1.5e400,{"x":null}]'
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,7 +32,8 @@ def audit_messages(spark: SparkSession, sf_dir: str, delay_ms: int = 0, damaged:
     """``events`` as audit-log texts: ``(value, arrival, event_id)``.
 
     Every seventh event arrives ``delay_ms`` after it happened, all others at once; ``arrival`` is in
-    microseconds. With ``damaged``, seven kinds of defects are put in, each in every 13th row.
+    microseconds. With ``damaged``, ten kinds of defects are put in, each in every 13th row; three of
+    them are texts that go on after their object.
     """
     events = table(spark, sf_dir, "events")
     fields = {
@@ -48,11 +53,19 @@ def audit_messages(spark: SparkSession, sf_dir: str, delay_ms: int = 0, damaged:
             .when(kind == 4, _object({**fields, "dt": F.lit("1969-12-31 23:59:59")}))
             .when(kind == 5, _object({**fields, "dt": F.lit("2024-13-01 00:00:00")}))
             .when(kind == 6, _object({**fields, "type": F.lit(None)}))
+            .when(kind == 7, F.concat(value, value))
+            .when(kind == 8, F.concat(value, F.lit(" zzz")))
+            .when(kind == 9, F.concat(value, F.lit("]")))
             .otherwise(value)
         )
     return events.select(value.alias("value"), _arrival(delay_ms).alias("arrival"), "event_id")
 
 
+def arrivals(spark: SparkSession, sf_dir: str, delay_ms: int = 0) -> DataFrame:
+    """The arrivals of ``audit_messages`` alone, without building the texts."""
+    return table(spark, sf_dir, "events").select(_arrival(delay_ms).alias("arrival"))
+
+
 def _object(fields: dict[str, Column]) -> Column:
     return F.to_json(F.struct(*[value.cast("string").alias(name) for name, value in fields.items()]))
 
@@ -63,28 +76,37 @@ def _arrival(delay_ms: int) -> Column:
 
 
 def area_hash(spark: SparkSession, sf_dir: str, shift: int = 0) -> DataFrame:
-    """Regions as ``(area, codes)``: the names of their nations joined by commas, one region left out.
+    """Regions as ``(area, codes)``: the names of their nations joined by commas.
 
     ``shift`` moves every nation that many regions on, for a second version of the table. A region
     has a row per thousand nation keys, so no text grows without bound.
     """
-    nation = table(spark, sf_dir, "nation").withColumn("r_regionkey", (F.col("n_regionkey") + shift) % 5)
-    region = table(spark, sf_dir, "region").where(F.col("r_name") != UNMAPPED_REGION)
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    if shift:
+        nation = nation.join(_moved(region, shift), F.col("n_regionkey") == F.col("from_key")).withColumn("n_regionkey", F.col("to_key"))
     return (
-        nation.join(region, "r_regionkey")
+        nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .groupBy(F.col("r_name").alias("area"), F.floor(F.col("n_nationkey") / 1000).alias("part"))
         .agg(F.array_join(F.collect_list("n_name"), ",").alias("codes"))
         .select("area", "codes")
     )
 
 
-def order_messages(spark: SparkSession, sf_dir: str, extra: bool = False) -> DataFrame:
+def _moved(region: DataFrame, shift: int) -> DataFrame:
+    """Each region's key, and the key ``shift`` places on among those that exist, in a circle."""
+    keys = region.agg(F.sort_array(F.collect_set("r_regionkey")).alias("keys"))
+    placed = keys.select("keys", F.posexplode("keys").alias("place", "from_key"))
+    return placed.select("from_key", F.get("keys", F.pmod(F.col("place") + shift, F.size("keys"))).alias("to_key"))
+
+
+def order_messages(spark: SparkSession, sf_dir: str, extra: bool = False, damaged: bool = False) -> DataFrame:
     """``orders`` as envelope texts: ``(value, ordered_on)``, with their line items as ``data``.
 
-    Each order gives one empty envelope and one for each run of 65,536 line item rows of a scan that
-    holds items of it; so an envelope stays small, however many items an order has. With ``extra``,
-    items carry fields the clean job does not know: one that it overwrites, a null, a flag and a
-    nested object.
+    An order is one envelope, with no items if it has none; one of more than 65,536 items is dealt to
+    as many envelopes as that takes, by its items' values. Every tenth order names an unmapped country.
+    With ``extra``, items carry fields the clean job does not know: one that it overwrites, a null, a
+    flag, a nested object, and numbers that no type holds. With ``damaged``, six kinds of defects are
+    put in, each in every 11th order.
     """
     item = [F.col("l_returnflag").alias("type"), F.col("l_discount").alias("score"), F.col("l_linestatus").alias("level")]
     if extra:
@@ -96,21 +118,49 @@ def order_messages(spark: SparkSession, sf_dir: str, extra: bool = False) -> Dat
             F.struct(
                 F.col("l_partkey").alias("part"), F.array("l_linestatus", "l_returnflag").alias("flags")
             ).alias("detail"),
+            F.lit(0).alias("raw"),
         ]
-    chunk = F.shiftright(F.monotonically_increasing_id(), ITEMS_PER_ENVELOPE_BITS)
-    items = table(spark, sf_dir, "lineitem").select("l_orderkey", chunk.alias("chunk"), F.struct(*item).alias("item"))
+    lines = table(spark, sf_dir, "lineitem")
+    counts = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > ITEMS_PER_ENVELOPE)
+    large = counts.select("l_orderkey", F.ceil(F.col("n") / ITEMS_PER_ENVELOPE).alias("parts"))
+    # At most one in 65,536 of the line items' number, so it may be broadcast.
+    lines = lines.join(F.broadcast(large), "l_orderkey", "left")
+    part = F.coalesce(F.pmod(F.xxhash64(*[c for c in lines.columns if c != "parts"]), F.col("parts")), F.lit(0))
+    items = lines.select("l_orderkey", part.alias("part"), F.struct(*item).alias("item"))
     # Collecting lists saves nothing before a shuffle, so shuffle the items as they are.
-    items = items.repartition("l_orderkey", "chunk")
-    filled = items.groupBy("l_orderkey", "chunk").agg(F.collect_list("item").alias("data"))
-    filled = filled.select(F.col("l_orderkey").alias("o_orderkey"), "data")
-    orders = table(spark, sf_dir, "orders")
-    empty = orders.select("o_orderkey", F.array().cast(filled.schema["data"].dataType).alias("data"))
+    items = items.repartition("l_orderkey", "part")
+    filled = items.groupBy("l_orderkey", "part").agg(F.collect_list("item").alias("data"))
+    nation = table(spark, sf_dir, "nation")
+    code = F.when(F.col("o_orderkey") % UNMAPPED_EVERY == 0, UNMAPPED_CODE).otherwise(F.col("n_name"))
     headers = (
-        orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("o_orderkey", "o_orderdate", format_time("o_orderdate").alias("dt"), F.col("n_name").alias("countryCode"))
+        table(spark, sf_dir, "orders")
+        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .select("o_orderkey", "o_orderdate", format_time("o_orderdate").alias("dt"), code.alias("countryCode"))
     )
     # Both sides grow with the data, so neither is ever broadcast; a hot order is split at run time.
-    messages = filled.union(empty).join(headers.hint("merge"), "o_orderkey")
-    value = F.to_json(F.struct("dt", "countryCode", "data"))
+    messages = headers.hint("merge").join(filled, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    data = F.coalesce("data", F.array().cast(filled.schema["data"].dataType)).alias("data")
+    value = F.to_json(F.struct("dt", "countryCode", data))
+    if extra:
+        value = F.replace(value, F.lit('"raw":0'), F.lit(f'"raw":{EXACT}'))
+    if damaged:
+        value = _damaged(value)
     return messages.select(value.alias("value"), F.col("o_orderdate").alias("ordered_on"))
+
+
+def _damaged(value: Column) -> Column:
+    kind = F.col("o_orderkey") % DAMAGED_EVERY
+
+    def with_item(text: str) -> Column:
+        return F.concat(F.substring(value, F.lit(1), F.length(value) - 2), F.when(F.size("data") > 0, ",").otherwise(""), F.lit(f"{text}]}}"))
+
+    return (
+        F.when(kind == 0, F.concat(value, value))
+        .when(kind == 1, F.concat(value, F.lit(" zzz")))
+        .when(kind == 2, F.concat(value, F.lit("]")))
+        .when(kind == 3, with_item('{"type":"a","type":"b","score":0.5}'))
+        .when(kind == 4, with_item('{"type":"a","score":"high"}'))
+        .when(kind == 5, with_item("null"))
+        .otherwise(value)
+    )

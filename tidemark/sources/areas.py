@@ -19,8 +19,8 @@ class AreaSnapshots:
     """Hands out the country-to-area table, renewed once it is older than ``max_age`` seconds.
 
     ``load`` returns the current ``(area, codes)`` rows. Each renewal replaces the whole table by a
-    written copy, so a job in flight keeps the one it started with; the copy before the last is
-    dropped. If ``load`` fails or finds no rows, the last good table stays.
+    written copy, so a job in flight keeps the one it started with. The last ``keep`` copies stay, for
+    other jobs that share the object. If ``load`` fails or finds no rows, the last good table stays.
     """
 
     def __init__(
@@ -28,10 +28,12 @@ class AreaSnapshots:
         load: Callable[[], DataFrame],
         max_age: float = AREA_REFRESH_SECONDS,
         clock: Callable[[], float] = time.monotonic,
+        keep: int = 10,
     ):
         self._load = load
         self._max_age = max_age
         self._clock = clock
+        self._keep = keep
         self._table: DataFrame | None = None
         self._folders: list[str] = []
         self._loaded_at = 0.0
@@ -42,6 +44,7 @@ class AreaSnapshots:
         return self._table
 
     def refresh(self) -> None:
+        spark = folder = None
         try:
             codes = invert_areas(self._load())
             spark = codes.sparkSession
@@ -50,6 +53,8 @@ class AreaSnapshots:
             fresh = spark.read.schema(codes.schema).parquet(folder)
             empty = fresh.isEmpty()
         except Exception:
+            if folder is not None:
+                drop_folder(spark, folder)
             if self._table is None:
                 raise
             log.exception("cannot read the area table, keeping the last one")
@@ -62,5 +67,5 @@ class AreaSnapshots:
                 return
         self._table = fresh
         self._folders.append(folder)
-        if len(self._folders) > 2:
+        if len(self._folders) > self._keep:
             drop_folder(spark, self._folders.pop(0))

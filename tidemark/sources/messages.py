@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Fixed value: how the connector marks times set by the broker.
+LOG_APPEND_TIME = 1
+
 
 def read_messages(
     spark: SparkSession,
@@ -16,8 +19,8 @@ def read_messages(
     """One ``value`` text per message, and ``arrival`` where the source knows it.
 
     ``fmt='kafka'`` needs ``subscribe`` and ``kafka.bootstrap.servers`` (keyword names with dots go
-    in as ``**{'kafka.bootstrap.servers': ...}``) and the Kafka connector on the class path; arrival
-    is the record's time in microseconds. ``fmt='text'`` takes each line as a message. Other formats
+    in as ``**{'kafka.bootstrap.servers': ...}``) and the Kafka connector on the class path; see
+    ``kafka_messages`` for its arrival. ``fmt='text'`` takes each line as a message. Other formats
     must hold a ``value`` column; for streams give their ``schema``.
     """
     reader = (spark.readStream if streaming else spark.read).format(fmt).options(**options)
@@ -31,5 +34,13 @@ def read_messages(
 
 
 def kafka_messages(records: DataFrame) -> DataFrame:
-    """Kafka records to messages; keys and offsets are not used."""
-    return records.select(F.col("value").cast("string").alias("value"), F.unix_micros("timestamp").alias("arrival"))
+    """Kafka records to messages; keys and offsets are not used.
+
+    ``arrival`` is the record's time in microseconds where the broker set it (log-append time). A
+    producer's clock says nothing of the order in which records are read, so such a record has no
+    arrival of its own: it came with its micro-batch.
+    """
+    appended = F.col("timestampType") == LOG_APPEND_TIME
+    return records.select(
+        F.col("value").cast("string").alias("value"), F.when(appended, F.unix_micros("timestamp")).alias("arrival")
+    )

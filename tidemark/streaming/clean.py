@@ -17,7 +17,7 @@ def run_clean(
     areas: AreaSnapshots,
     sink: Sink,
     checkpoint: str,
-    bad_sink: Sink | None = None,
+    bad_sink: Sink,
     default_area: str | None = None,
     item_fields: str | None = None,
     trigger: dict | None = None,
@@ -29,10 +29,6 @@ def run_clean(
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        if bad_sink is None:
-            cleaned = clean_messages(batch, areas.current(), default_area, item_fields)
-            sink(cleaned.json, batch_id)
-            return
         # Two outputs: keep the messages rather than fetch them from the source twice.
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:

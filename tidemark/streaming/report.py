@@ -29,16 +29,17 @@ class ReportStep:
     the state of its predecessor and writes its own under its id, so running it again with the same
     rows leaves the same state and the same output. The last ``keep`` batches of state are kept.
 
-    With an ``arrival`` column, rows of one batch meet the watermark of the rows before them, and
-    the result does not depend on where batches are cut. With None, they all meet the watermark the
-    earlier batches left. Several refires of a window within a batch come out as one document.
+    With an ``arrival`` column, rows of one batch meet the watermark of the rows before them. As long as
+    arrivals do not go back from batch to batch, the result does not depend on where batches are cut.
+    With None, or in a batch with a row whose arrival is null, they all meet the watermark the earlier
+    batches left. Several refires of a window within a batch come out as one document.
     ``label`` chooses the time printed, as in ``window_counts``.
     """
 
     state: str
     docs: Sink
-    late: Sink | None = None
-    bad: Sink | None = None
+    late: Sink
+    bad: Sink
     timing: Timing = Timing()
     arrival: str | None = "arrival"
     times: str = "positive"
@@ -58,19 +59,20 @@ class ReportStep:
         rows = good_rows(parsed)
         held = self._held(parsed.sparkSession, batch_id - 1)
         seen = held.agg(F.max("newest_ms")).first()[0] or 0 if batch_id > 0 else 0
-        if self.arrival is None:
+        arrival = self.arrival
+        if arrival is not None and rows.where(F.col(arrival).isNull()).limit(1).count():
+            arrival = None
+        if arrival is None:
             turns, newest = None, rows.agg(F.max(F.unix_millis("event_time"))).first()[0]
         else:
-            turns = written(window_turns(rows, self.timing, self.arrival), "turns")
+            turns = written(window_turns(rows, self.timing, arrival), "turns")
             newest = turns.agg(F.max("newest_ms")).first()[0]
         now = max(seen, newest or 0)
 
-        tagged = classify_lateness(rows, self.timing, self.arrival, seen, turns)
-        if self.late is not None:
-            self.late(late_lines(tagged.where("lateness = 'late'")), batch_id)
-        if self.bad is not None:
-            self.bad(bad_rows(parsed), batch_id)
-        counts = written(self._counts(tagged, held), "counts")
+        tagged = classify_lateness(rows, self.timing, arrival, seen, turns)
+        self.late(late_lines(tagged.where("lateness = 'late'")), batch_id)
+        self.bad(bad_rows(parsed), batch_id)
+        counts = written(self._counts(tagged, held, arrival), "counts")
         self.docs(self._emitted(counts, seen, now), batch_id)
         # The newest row of all stays, open or not: the next batch takes `seen` from it.
         closes_at = F.col("window_end_ms") + self.timing.close_after_ms
@@ -84,11 +86,11 @@ class ReportStep:
             return spark.createDataFrame([], STATE)
         return spark.read.schema(STATE).parquet(f"{self.state}/{batch_id}")
 
-    def _counts(self, tagged: DataFrame, held: DataFrame) -> DataFrame:
+    def _counts(self, tagged: DataFrame, held: DataFrame, arrival: str | None) -> DataFrame:
         """Full counts of the open windows, and how many rows of this batch they include."""
         fresh = tagged.where("lateness <> 'late'").groupBy(*KEY)
         newest = F.max(F.unix_millis("event_time")).alias("newest_ms")
-        fresh = fresh.agg(F.count("*").alias("added"), newest, *label_time(self.label, self.arrival))
+        fresh = fresh.agg(F.count("*").alias("added"), newest, *label_time(self.label, arrival))
         last = F.unix_millis(LABEL_TIME) if self.label == "last_event" else F.col("newest_ms")
         fresh = fresh.withColumns({"count": F.col("added"), "last_ms": last}).drop(LABEL_TIME)
         both = fresh.unionByName(held.withColumn("added", F.lit(0).cast("long")))
@@ -118,32 +120,35 @@ def run_report_exact(messages: DataFrame, step: ReportStep, checkpoint: str, tri
 def run_report_builtin(
     messages: DataFrame,
     docs: Sink,
+    bad: Sink,
     checkpoint: str,
     timing: Timing = Timing(),
     label: str = "window_end",
+    times: str = "positive",
     state_partitions: int | None = None,
     trigger: dict | None = None,
-) -> StreamingQuery:
-    """Start the report on Spark's watermark in update mode.
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """Start the report on Spark's watermark in update mode, and a second query for the bad rows.
 
     Simpler and with state in Spark's own store, but rows count as late up to one batch later than in
-    the exact report, windows emit before they end, and rows dropped as late are only counted.
+    the exact report, windows emit before they end, and rows dropped as late are only counted. The two
+    queries, with checkpoints of their own, each read the messages.
 
     ``state_partitions`` (by default the session's shuffle partitions) stays as it was when the stream
     first ran; the cores of the cluster are a fair number, as each costs a few files per batch.
     """
-    rows = good_rows(parse_audit(messages))
+    parsed = parse_audit(messages, times)
+    rows = good_rows(parsed)
     rows = rows.withWatermark("event_time", f"{timing.delay_ms + timing.lateness_ms} milliseconds")
     counted = window_counts(rows, timing, label, "arrival" if "arrival" in messages.columns else None)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         docs(report_docs(batch), batch_id)
 
-    writer = (
-        counted.writeStream.outputMode("update")
-        .foreachBatch(step)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or EACH_MINUTE))
-    )
+    def started(rows: DataFrame, mode: str, write: Sink, folder: str) -> StreamingQuery:
+        writer = rows.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", folder)
+        return writer.trigger(**(trigger or EACH_MINUTE)).start()
+
     with setting(messages.sparkSession, "spark.sql.shuffle.partitions", state_partitions):
-        return writer.start()
+        report = started(counted, "update", step, checkpoint)
+    return report, started(bad_rows(parsed), "append", bad, f"{checkpoint}-bad")

@@ -28,9 +28,9 @@ def local_session(app: str, cores: str = "*", shuffle_partitions: int = 8) -> Sp
     return spark
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Read and print time texts in UTC, so that results do not depend on the machine's zone."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def use_utc(spark: SparkSession, zone: str = "UTC") -> SparkSession:
+    """Read and print time texts in UTC (or ``zone``), so that results do not depend on the machine's zone."""
+    spark.conf.set("spark.sql.session.timeZone", zone)
     return spark
 
 
@@ -42,7 +42,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     folder = tempfile.mkdtemp(prefix="tidemark-")
     spark.sparkContext.setCheckpointDir(folder)
@@ -69,7 +70,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Drop the tables ``written`` inside the block when it ends. For jobs that run for ever."""
+    """Drop the tables ``written`` inside the block when it ends: for jobs that run for ever, and batch jobs that use their results inside."""
     folder = new_folder(spark, "scratch")
     token = _scratch.set(folder)
     try:
@@ -97,3 +98,8 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete ``path`` on whichever file system holds it; a missing path is fine."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def has_folder(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
