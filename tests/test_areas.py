@@ -3,7 +3,7 @@ import pytest
 from tidemark.operators.areas import invert_areas
 from tidemark.sources.areas import AreaSnapshots
 
-HASH = [("AREA_US", "US"), ("AREA_CT", "TW,HK"), ("AREA_AR", "PK,KW,SA"), ("AREA_IN", "IN")]
+HASH = [("NORTH", "NL"), ("EAST", "BQ,CW"), ("SOUTH", "LU,MC,VA"), ("WEST", "ZZ")]
 
 
 def table(spark, rows):
@@ -15,7 +15,7 @@ def codes(df):
 
 
 def test_invert(spark):
-    expected = {"US": "AREA_US", "TW": "AREA_CT", "HK": "AREA_CT", "PK": "AREA_AR", "KW": "AREA_AR", "SA": "AREA_AR", "IN": "AREA_IN"}
+    expected = {"NL": "NORTH", "BQ": "EAST", "CW": "EAST", "LU": "SOUTH", "MC": "SOUTH", "VA": "SOUTH", "ZZ": "WEST"}
     assert codes(invert_areas(table(spark, HASH))) == expected
 
 
@@ -44,23 +44,23 @@ def test_snapshots_renew_replace_and_keep(spark, caplog):
     first = areas.current()
     assert len(codes(first)) == 7
 
-    source["rows"] = [("AREA_X", "US")]
+    source["rows"] = [("FIRST", "NL")]
     clock.now = 59
     assert areas.current() is first
     clock.now = 60
-    assert codes(areas.current()) == {"US": "AREA_X"}
+    assert codes(areas.current()) == {"NL": "FIRST"}
     assert len(codes(first)) == 7  # a job that still uses the old table is not disturbed
 
     clock.now = 120
     source["rows"] = []
-    assert codes(areas.current()) == {"US": "AREA_X"}
+    assert codes(areas.current()) == {"NL": "FIRST"}
     assert "empty" in caplog.text
 
     clock.now = 180
     source["rows"] = None
-    assert codes(areas.current()) == {"US": "AREA_X"}
-    source["rows"] = [("AREA_Y", "US")]
-    assert codes(areas.current()) == {"US": "AREA_Y"}  # a failed read is tried again at once
+    assert codes(areas.current()) == {"NL": "FIRST"}
+    source["rows"] = [("SECOND", "NL")]
+    assert codes(areas.current()) == {"NL": "SECOND"}  # a failed read is tried again at once
 
 
 def test_first_read_must_work(spark):

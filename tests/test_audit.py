@@ -3,15 +3,15 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.audit import bad_rows, good_rows, late_lines, parse_audit
 
-GOOD = '{"dt":"2024-01-01 10:11:22","type":"shelf","username":"u1","area":"AREA_US"}'
-EPOCH = '{"dt":"1970-01-01 00:00:00","type":"shelf","area":"AREA_US"}'
-BEFORE = '{"dt":"1969-12-31 23:59:59","type":"shelf","area":"AREA_US"}'
+GOOD = '{"dt":"2024-01-01 10:11:22","type":"login","username":"u1","area":"NORTH"}'
+EPOCH = '{"dt":"1970-01-01 00:00:00","type":"login","area":"NORTH"}'
+BEFORE = '{"dt":"1969-12-31 23:59:59","type":"login","area":"NORTH"}'
 DEFECTS = {
-    '{"dt":"bad","type":"shelf","area":"AREA_US"}': "bad_time",
-    '{"type":"shelf","area":"AREA_US"}': "bad_time",
-    '{"dt":"2024-13-01 00:00:00","type":"shelf","area":"AREA_US"}': "bad_time",
-    '{"dt":"2024-01-01 10:11:22","area":"AREA_US"}': "no_type",
-    '{"dt":"2024-01-01 10:11:22","type":"shelf","area":null}': "no_area",
+    '{"dt":"bad","type":"login","area":"NORTH"}': "bad_time",
+    '{"type":"login","area":"NORTH"}': "bad_time",
+    '{"dt":"2024-13-01 00:00:00","type":"login","area":"NORTH"}': "bad_time",
+    '{"dt":"2024-01-01 10:11:22","area":"NORTH"}': "no_type",
+    '{"dt":"2024-01-01 10:11:22","type":"login","area":null}': "no_area",
     '{"dt":"2024-01-01 10:11:22"': "malformed_json",
     "[1]": "malformed_json",
     EPOCH: "excluded_time",
@@ -21,7 +21,7 @@ DEFECTS = {
 def test_good_row(values):
     rows = good_rows(parse_audit(values(GOOD)))
     assert rows.columns == ["event_time", "type", "area"]
-    assert tuple(rows.select(F.unix_millis("event_time"), "type", "area").first()) == (1704103882000, "shelf", "AREA_US")
+    assert tuple(rows.select(F.unix_millis("event_time"), "type", "area").first()) == (1704103882000, "login", "NORTH")
 
 
 def test_every_defect_has_its_reason(values):
@@ -47,4 +47,4 @@ def test_other_columns_pass_through(values):
 
 
 def test_late_line(values):
-    assert late_lines(good_rows(parse_audit(values(GOOD)))).first()["value"] == "1704103882000\tshelf\tAREA_US"
+    assert late_lines(good_rows(parse_audit(values(GOOD)))).first()["value"] == "1704103882000\tlogin\tNORTH"

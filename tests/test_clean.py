@@ -1,9 +1,11 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import clean
 from tidemark.operators.areas import invert_areas
+from tidemark.operators.joins import lookup_join
 from tidemark.plans.clean import clean_messages
 
 FIELDS = "type string, score double, level string"
@@ -11,10 +13,10 @@ FIELDS = "type string, score double, level string"
 
 @pytest.fixture
 def dim(spark):
-    return invert_areas(spark.createDataFrame([("AREA_US", "US"), ("AREA_CT", "TW,HK")], "area string, codes string"))
+    return invert_areas(spark.createDataFrame([("NORTH", "NL"), ("EAST", "BQ,CW")], "area string, codes string"))
 
 
-def envelope(country="US", dt="2024-01-01 00:00:00", data=({"type": "s1", "score": 0.3, "level": "A"},), **more):
+def envelope(country="NL", dt="2024-01-01 00:00:00", data=({"type": "tea", "score": 0.3, "level": "A"},), **more):
     return json.dumps({"dt": dt, "countryCode": country, "data": data and list(data), **more})
 
 
@@ -25,43 +27,43 @@ def texts(df):
 @pytest.mark.parametrize("fields", [FIELDS, None])
 @pytest.mark.parametrize("default, expected", [(None, None), ("other", "other")])
 def test_unmapped_country(values, dim, fields, default, expected):
-    messages = values(envelope("US"), envelope("HK"), envelope("XX"), envelope(None))
+    messages = values(envelope("NL"), envelope("CW"), envelope("XX"), envelope(None))
     records = texts(clean_messages(messages, dim, default, fields).json)
     areas = sorted(str(record.get("area")) for record in records)
-    assert areas == sorted(["AREA_US", "AREA_CT", str(expected), str(expected)])
+    assert areas == sorted(["NORTH", "EAST", str(expected), str(expected)])
     assert all(("area" in record) == (record.get("area") is not None) for record in records)
 
 
 @pytest.mark.parametrize("fields", [FIELDS, None])
 def test_one_record_per_item(values, dim, fields):
-    items = [{"type": "s1", "score": 0.3, "level": "A"}, {"type": "s2", "score": 0.1, "level": "B"}]
+    items = [{"type": "tea", "score": 0.3, "level": "A"}, {"type": "ink", "score": 0.1, "level": "B"}]
     records = texts(clean_messages(values(envelope(data=items)), dim, None, fields).json)
-    added = {"area": "AREA_US", "dt": "2024-01-01 00:00:00"}
+    added = {"area": "NORTH", "dt": "2024-01-01 00:00:00"}
     assert records == sorted(({**item, **added} for item in items), key=str)
 
 
 def test_columns(values, dim):
     rows = clean_messages(values(envelope()), dim, None, FIELDS).columns
     assert rows.columns == ["type", "score", "level", "area", "dt"]
-    assert tuple(rows.first()) == ("s1", 0.3, "A", "AREA_US", "2024-01-01 00:00:00")
+    assert tuple(rows.first()) == ("tea", 0.3, "A", "NORTH", "2024-01-01 00:00:00")
 
 
 @pytest.mark.parametrize("fields", [FIELDS + ", area string", None])
 def test_area_of_the_item_is_overwritten(values, dim, fields):
-    messages = values(envelope(data=[{"type": "s1", "area": "old"}]), envelope("XX", data=[{"type": "s2", "area": "old"}]))
+    messages = values(envelope(data=[{"type": "tea", "area": "old"}]), envelope("XX", data=[{"type": "ink", "area": "old"}]))
     records = texts(clean_messages(messages, dim, None, fields).json)
-    assert [record.get("area") for record in records] == ["AREA_US", None]
+    assert {record["type"]: record.get("area") for record in records} == {"tea": "NORTH", "ink": None}
 
 
 def test_open_items_keep_everything(values, dim):
-    item = {"type": "s1", "more": {"a": [1, 2, {"b": None}]}, "flag": False, "text": 'say "hi"', "gone": None}
+    item = {"type": "tea", "more": {"a": [1, 2, {"b": None}]}, "flag": False, "text": 'say "hi"', "gone": None}
     (record,) = texts(clean_messages(values(envelope(data=[item])), dim).json)
     assert record == {
-        "type": "s1",
+        "type": "tea",
         "more": {"a": [1, 2, {"b": None}]},
         "flag": False,
         "text": 'say "hi"',
-        "area": "AREA_US",
+        "area": "NORTH",
         "dt": "2024-01-01 00:00:00",
     }
 
@@ -76,28 +78,60 @@ def test_empty_data_and_missing_time(values, dim, fields):
 
 @pytest.mark.parametrize("fields", [FIELDS, None])
 def test_bad_input_goes_to_bad(values, dim, fields):
-    good = {"type": "s1", "score": 0.3, "level": "A"}
-    messages = values("{", envelope(data=None), '{"countryCode":"US"}', envelope(data=[good, None]))
+    good = {"type": "tea", "score": 0.3, "level": "A"}
+    messages = values("{", envelope(data=None), '{"countryCode":"NL"}', envelope(data=[good, None]))
     cleaned = clean_messages(messages, dim, None, fields)
     assert len(texts(cleaned.json)) == 1
     assert sorted(row["reason"] for row in cleaned.bad.collect()) == ["bad_item", "malformed_json", "no_data", "no_data"]
 
 
+def test_wrong_type_rejects_one_item_only(values, dim):
+    good = {"type": "tea", "score": 0.3, "level": "A"}
+    cleaned = clean_messages(values(envelope(data=[good, {"type": "ink", "score": "high"}])), dim, None, FIELDS)
+    assert [record["type"] for record in texts(cleaned.json)] == ["tea"]
+    assert [tuple(row) for row in cleaned.bad.collect()] == [('{"type":"ink","score":"high"}', "bad_item")]
+
+
+@pytest.mark.parametrize("fields", [FIELDS, None])
+@pytest.mark.parametrize("after", ["{}", " zzz", "]", ",{}"])
+def test_no_text_is_lost(values, dim, fields, after):
+    cleaned = clean_messages(values(envelope() + after, envelope()), dim, None, fields)
+    assert len(texts(cleaned.json)) == 1
+    assert [tuple(row) for row in cleaned.bad.collect()] == [(envelope() + after, "malformed_json")]
+
+
+@pytest.mark.parametrize("fields", [FIELDS, None])
+def test_repeated_field_of_an_item(values, dim, fields):
+    text = '{"dt":"t","countryCode":"NL","data":[{"type":"a","type":"b"}]}'
+    assert texts(clean_messages(values(text), dim, None, fields).json) == [{"type": "b", "area": "NORTH", "dt": "t"}]
+
+
 def test_open_item_that_is_no_object(values, dim):
-    cleaned = clean_messages(values(envelope(data=[5, "x", {"type": "s1"}])), dim)
+    cleaned = clean_messages(values(envelope(data=[5, "x", {"type": "tea"}])), dim)
     assert len(texts(cleaned.json)) == 1
     assert sorted((row["value"], row["reason"]) for row in cleaned.bad.collect()) == [("5", "bad_item"), ("x", "bad_item")]
 
 
-def test_large_dimension_is_salted_not_broadcast(spark, values, dim):
-    messages = values(*[envelope("US") for _ in range(40)], *[envelope(c) for c in ("HK", "XX", "TW")])
+def test_large_dimension_is_not_broadcast(spark, values, dim):
+    messages = values(*[envelope("NL") for _ in range(40)], *[envelope(c) for c in ("CW", "XX", "BQ")])
     envelopes = clean.parse_envelopes(messages, FIELDS)
+    beyond = clean.enrich(envelopes, dim, None, max_broadcast=0)
+    assert sorted(map(str, beyond.collect())) == sorted(map(str, clean.enrich(envelopes, dim, None).select(*beyond.columns).collect()))
+
+
+def test_hot_key_is_spread_and_cold_keys_are_not_repeated(spark):
+    rows = spark.range(10_000).select(F.when(F.col("id") % 10 > 0, -1).otherwise(F.col("id")).alias("k"), "id")
+    table = spark.range(-1, 5_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
-        salted = clean.enrich(envelopes, dim, None, max_broadcast=1)
-        plan = salted._jdf.queryExecution().executedPlan().toString()
-        assert "_salt" in plan and "BroadcastHashJoin" not in plan
-        salted_rows = sorted(map(str, salted.collect()))
+        joined = lookup_join(rows, table, "k", max_broadcast=0, rows_per_salt=200)
+        parts = joined.where("k = -1").groupBy(F.spark_partition_id()).count().count()
+        assert parts > 8
+        assert joined.count() == 10_000 and joined.where("k >= 0 and k < 5000 and v = 2 * k").count() == 500
     finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert salted_rows == sorted(map(str, clean.enrich(envelopes, dim, None).select(*salted.columns).collect()))

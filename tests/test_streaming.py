@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.jobs import clean as clean_job
 from tidemark.jobs import report as report_job
 from tidemark.settings import Timing
-from tidemark.sinks.writers import all_of, console_sink, documents, folder_sink, read_folder
+from tidemark.sinks.writers import all_of, console_sink, documents, folder_sink, read_folder, read_upserted, upsert_sink
 from tidemark.sources.areas import AreaSnapshots
 from tidemark.sources.messages import kafka_messages, read_messages
 from tidemark.streaming.clean import run_clean
@@ -43,6 +43,11 @@ def cuts(total, seed):
     return list(zip([0, *inner], [*inner, total]))
 
 
+def part_of(borders):
+    """The batch of a message, by its number ``n``."""
+    return sum((F.col("n") >= low).cast("int") for low, _ in borders[1:]) + F.lit(0)
+
+
 def by_batch(rows, timing, borders):
     """Final counts, late lines, and per batch the documents it emits: the last count of each window."""
     classes, counts, emissions = play(rows, timing)
@@ -150,7 +155,7 @@ def test_batch_that_failed_half_way_is_run_again(spark, tmp_path, rows):
             failures.remove(batch_id)
             raise OSError("store not reachable")
 
-    step = ReportStep(f"{tmp_path}/state", failing, folder_sink(f"{tmp_path}/late", "text"), timing=TEN)
+    step = ReportStep(f"{tmp_path}/state", failing, folder_sink(f"{tmp_path}/late", "text"), folder_sink(f"{tmp_path}/bad"), TEN)
 
     def start():
         incoming = read_messages(spark, "parquet", True, "value string, arrival bigint", path=f"{tmp_path}/in")
@@ -161,21 +166,52 @@ def test_batch_that_failed_half_way_is_run_again(spark, tmp_path, rows):
             query = run_report_exact(incoming, step, f"{tmp_path}/checkpoint", NOW)
         return query
 
-    parts = [(F.col("n") >= low) & (F.col("n") < high) for low, high in borders]
-    replay(messages(spark, rows), parts, f"{tmp_path}/in", start)
+    replay(messages(spark, rows), part_of(borders), len(borders), f"{tmp_path}/in", start)
     assert not failures
     expected, late_lines = by_batch(rows, TEN, borders)
     assert emitted(spark, tmp_path) == expected
     assert late(spark, tmp_path) == late_lines
 
 
-def test_kafka_records(spark):
-    records = spark.sql("SELECT CAST('{}' AS binary) AS value, timestamp'1970-01-01 00:00:01.5' AS timestamp, 3 AS offset")
-    assert tuple(kafka_messages(records).first()) == ("{}", 1_500_000)
+@pytest.mark.parametrize("kind, arrival", [(1, 1_500_000), (0, None)])
+def test_kafka_records(spark, kind, arrival):
+    """Only a time set by the broker says when a record came."""
+    moment = "timestamp'1970-01-01 00:00:01.5' AS timestamp"
+    records = spark.sql(f"SELECT CAST('{{}}' AS binary) AS value, {moment}, {kind} AS timestampType, 3 AS offset")
+    assert tuple(kafka_messages(records).first()) == ("{}", arrival)
+
+
+def test_batch_without_arrivals_comes_at_once(spark, tmp_path, rows):
+    """Records of a producer's clock: the same as with no arrival column at all."""
+    borders = cuts(len(rows), 3)
+    step = ReportStep(f"{tmp_path}/state", folder_sink(f"{tmp_path}/docs"), folder_sink(f"{tmp_path}/late", "text"), folder_sink(f"{tmp_path}/bad"), TEN)
+    table = messages(spark, rows).withColumn("arrival", F.lit(None).cast("long"))
+    for batch_id, (start, stop) in enumerate(borders):
+        step(table.where((F.col("n") >= start) & (F.col("n") < stop)), batch_id)
+    batch_of = {n: batch for batch, (start, stop) in enumerate(borders) for n in range(start, stop)}
+    together = [(n, batch_of[n], ms, kind, area) for n, _, ms, kind, area in rows]
+    docs, late_lines = by_batch(together, TEN, [(n, n + 1) for n in range(len(borders))])
+    assert (emitted(spark, tmp_path), late(spark, tmp_path)) == (docs, late_lines)
+
+
+def test_upsert_sink_holds_the_last_of_each_id(spark, tmp_path, rows):
+    borders = cuts(len(rows), 4)
+    sink = upsert_sink(f"{tmp_path}/now")
+    step = ReportStep(f"{tmp_path}/state", sink, folder_sink(f"{tmp_path}/late", "text"), folder_sink(f"{tmp_path}/bad"), TEN)
+    for batch_id, (start, stop) in enumerate(borders):
+        step(messages(spark, rows[start:stop]), batch_id)
+    step(messages(spark, rows[start:stop]), batch_id)  # run again
+    last = {}
+    for batch, time, kind, area, count in sorted(by_batch(rows, TEN, borders)[0]):
+        last[time, kind, area] = count
+    held = read_upserted(spark, f"{tmp_path}/now", DOCS).collect()
+    assert len(held) == len(last) and {(r["time"], r["type"], r["area"]): r["count"] for r in held} == last
+    assert len(os.listdir(tmp_path / "now/index")) <= 2
 
 
 def test_lost_state_is_an_error(spark, tmp_path, rows):
-    step = ReportStep(f"{tmp_path}/state", folder_sink(f"{tmp_path}/docs"), timing=TEN)
+    sinks = [folder_sink(f"{tmp_path}/{name}") for name in ("docs", "late", "bad")]
+    step = ReportStep(f"{tmp_path}/state", *sinks, TEN)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         step(messages(spark, rows[:5]), 3)
 
@@ -193,7 +229,7 @@ def test_no_window_is_forgotten_without_delay_and_lateness(spark, tmp_path):
     made = [(0, 0, BASE + 999, "a", "A"), (1, 1, BASE + 10, "a", "A")]
     table = spark.createDataFrame([("x", r[1]) for r in made], "value string, arrival bigint")
     docs, late_sink = folder_sink(f"{tmp_path}/docs"), folder_sink(f"{tmp_path}/late", "text")
-    step = ReportStep(f"{tmp_path}/state", docs, late_sink, timing=timing)
+    step = ReportStep(f"{tmp_path}/state", docs, late_sink, folder_sink(f"{tmp_path}/bad"), timing)
     second = F.when(F.col("arrival") == 0, "1").otherwise("0")
     text = F.concat(F.lit('{"dt":"2024-01-01 00:00:0'), second, F.lit('","type":"a","area":"A"}'))
     table = table.withColumn("value", text)
@@ -204,14 +240,14 @@ def test_no_window_is_forgotten_without_delay_and_lateness(spark, tmp_path):
 
 def test_stream_resumes_from_checkpoint(spark, tmp_path, rows):
     borders = cuts(len(rows), 5)
-    step = ReportStep(f"{tmp_path}/state", folder_sink(f"{tmp_path}/docs"), folder_sink(f"{tmp_path}/late", "text"), timing=TEN)
+    late_sink, bad = folder_sink(f"{tmp_path}/late", "text"), folder_sink(f"{tmp_path}/bad")
+    step = ReportStep(f"{tmp_path}/state", folder_sink(f"{tmp_path}/docs"), late_sink, bad, TEN)
 
     def start():
         incoming = read_messages(spark, "parquet", True, "value string, arrival bigint", path=f"{tmp_path}/in")
         return run_report_exact(incoming, step, f"{tmp_path}/checkpoint", NOW)
 
-    parts = [(F.col("n") >= low) & (F.col("n") < high) for low, high in borders]
-    replay(messages(spark, rows).repartition(3), parts, f"{tmp_path}/in", start)
+    replay(messages(spark, rows).repartition(3), part_of(borders), len(borders), f"{tmp_path}/in", start)
     docs, late_lines = by_batch(rows, TEN, borders)
     assert emitted(spark, tmp_path) == docs
     assert late(spark, tmp_path) == late_lines
@@ -229,9 +265,13 @@ def test_builtin_watermark(spark, tmp_path, rows):
 
     def start():
         incoming = read_messages(spark, "parquet", True, "value string, arrival bigint", path=f"{tmp_path}/in")
-        return run_report_builtin(incoming, folder_sink(f"{tmp_path}/docs"), f"{tmp_path}/checkpoint", TEN, trigger=NOW)
+        docs, bad = folder_sink(f"{tmp_path}/docs"), folder_sink(f"{tmp_path}/bad")
+        return run_report_builtin(incoming, docs, bad, f"{tmp_path}/checkpoint", TEN, trigger=NOW)
 
-    replay(messages(spark, in_order), [F.col("n") < 100, F.col("n") >= 100], f"{tmp_path}/in", start)
+    sent = messages(spark, in_order).union(spark.createDataFrame([("{", 120, 120)], "value string, arrival bigint, n bigint"))
+    replay(sent, (F.col("n") >= 100).cast("int"), 2, f"{tmp_path}/in", start)
+    bad = read_folder(spark, f"{tmp_path}/bad", "value string, reason string").collect()
+    assert [(row["value"], row["reason"]) for row in bad] == [("{", "malformed_json")]
     got = documents(read_folder(spark, f"{tmp_path}/docs", DOCS), "upsert").collect()
     _, counts, _ = play(in_order, TEN)
     assert {(row["time"], row["type"], row["area"]): row["count"] for row in got} == {
@@ -240,7 +280,7 @@ def test_builtin_watermark(spark, tmp_path, rows):
 
 
 def test_clean_stream_takes_the_table_of_each_batch(spark, tmp_path):
-    versions = iter([[("OLD", "US,HK")], [], [("NEW", "US")]])
+    versions = iter([[("OLD", "NL,CW")], [], [("NEW", "NL")]])
     areas = AreaSnapshots(lambda: spark.createDataFrame(next(versions), "area string, codes string"), max_age=0)
     sink = all_of(folder_sink(f"{tmp_path}/out", "text"), console_sink())
 
@@ -248,37 +288,37 @@ def test_clean_stream_takes_the_table_of_each_batch(spark, tmp_path):
         incoming = read_messages(spark, "parquet", True, "value string", path=f"{tmp_path}/in")
         return run_clean(incoming, areas, sink, f"{tmp_path}/checkpoint", folder_sink(f"{tmp_path}/bad"), "other", trigger=NOW)
 
-    sent = [(json.dumps({"dt": str(n), "countryCode": code, "data": [{"type": code}]}), n) for n in range(3) for code in ("US", "HK")]
+    sent = [(json.dumps({"dt": str(n), "countryCode": code, "data": [{"type": code}]}), n) for n in range(3) for code in ("NL", "CW")]
     table = spark.createDataFrame([*sent, ("{", 1)], "value string, n int")
-    replay(table, [F.col("n") == n for n in range(3)], f"{tmp_path}/in", start)
+    replay(table, F.col("n"), 3, f"{tmp_path}/in", start)
     records = [json.loads(row["value"]) for row in read_folder(spark, f"{tmp_path}/out", "value string", "text").collect()]
     assert sorted((r["dt"], r["type"], r["area"]) for r in records) == [
-        ("0", "HK", "OLD"),
-        ("0", "US", "OLD"),
-        ("1", "HK", "OLD"),
-        ("1", "US", "OLD"),
-        ("2", "HK", "other"),
-        ("2", "US", "NEW"),
+        ("0", "CW", "OLD"),
+        ("0", "NL", "OLD"),
+        ("1", "CW", "OLD"),
+        ("1", "NL", "OLD"),
+        ("2", "CW", "other"),
+        ("2", "NL", "NEW"),
     ]
     bad = read_folder(spark, f"{tmp_path}/bad", "value string, reason string").collect()
     assert [(row["value"], row["batch_id"]) for row in bad] == [("{", 1)]
 
 
 def test_jobs_on_folders(spark, tmp_path):
-    spark.createDataFrame([("AREA_US", "US")], "area string, codes string").write.parquet(f"{tmp_path}/areas")
-    envelope = {"dt": "2024-01-01 00:00:00", "countryCode": "US", "data": [{"type": "s1"}, {"type": "s2"}]}
+    spark.createDataFrame([("NORTH", "NL")], "area string, codes string").write.parquet(f"{tmp_path}/areas")
+    envelope = {"dt": "2024-01-01 00:00:00", "countryCode": "NL", "data": [{"type": "tea"}, {"type": "ink"}]}
     os.mkdir(tmp_path / "envelopes")
     (tmp_path / "envelopes/a.txt").write_text(json.dumps(envelope) + "\n")
     clean_job.main(
         f"--input {tmp_path}/envelopes --output {tmp_path}/clean --areas {tmp_path}/areas --folder {tmp_path}/c --once".split()
     )
     cleaned = read_folder(spark, f"{tmp_path}/clean", "value string", "text").collect()
-    assert sorted(json.loads(row["value"])["type"] for row in cleaned) == ["s1", "s2"]
+    assert sorted(json.loads(row["value"])["type"] for row in cleaned) == ["ink", "tea"]
 
     os.mkdir(tmp_path / "audit")
-    audit = [{"dt": time_text(BASE + s * 1000), "type": "shelf", "area": "AREA_US"} for s in (5, 50, 75)]
+    audit = [{"dt": time_text(BASE + s * 1000), "type": "login", "area": "NORTH"} for s in (5, 50, 75)]
     (tmp_path / "audit/a.txt").write_text("\n".join(map(json.dumps, audit)))
-    for flags, folder in (("--print", "r"), ("--builtin", "b")):
+    for flags, folder in (("--print", "r"), ("--builtin --times nonzero --option maxFilesPerTrigger=5", "b")):
         report_job.main(f"--input {tmp_path}/audit --late {tmp_path}/late --folder {tmp_path}/{folder} --once {flags}".split())
         docs = read_folder(spark, f"{tmp_path}/{folder}/auditindex", DOCS).collect()
         assert ("2024-01-01 00:01:00", 2) in {(row["time"], row["count"]) for row in docs}

@@ -59,7 +59,7 @@ def test_sorted_event_times(spark, rows):
 
 
 def test_documents(spark):
-    docs = report_docs(window_counts(as_table(spark, [(0, 0, BASE, "shelf", "AREA_US")])))
+    docs = report_docs(window_counts(as_table(spark, [(0, 0, BASE, "login", "NORTH")])))
     row = docs.first()
-    assert row["doc_id"] == "2024-01-01_00:01:00-shelf-AREA_US"
-    assert row["document"] == '{"time":"2024-01-01 00:01:00","type":"shelf","area":"AREA_US","count":1}'
+    assert row["doc_id"] == "2024-01-01_00:01:00-login-NORTH"
+    assert row["document"] == '{"time":"2024-01-01 00:01:00","type":"login","area":"NORTH","count":1}'

@@ -68,10 +68,14 @@ def put_fields(text: Column, new: dict[str, Column]) -> Column:
 
 
 def _rebuilt(text: Column, new: dict[str, Column]) -> Column:
-    entries = F.map_entries(F.from_json(text, "map<string,variant>"))
-    names = F.map_keys(F.from_json(text, "map<string,variant>"))
-    last = F.filter(entries, lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), e["key"]))
-    # A string cast to variant is a plain SQL null when the string is null, hence both tests.
-    kept = F.filter(last, lambda e: e["value"].isNotNull() & ~F.is_variant_null(e["value"]) & ~e["key"].isin(*new))
     own = [F.struct(F.lit(name).alias("key"), value.cast("string").cast("variant").alias("value")) for name, value in new.items()]
-    return F.to_json(F.map_from_entries(F.concat(kept, F.filter(F.array(*own), lambda e: e["value"].isNotNull()))))
+
+    def build(fields: Column) -> Column:
+        names = F.map_keys(fields)
+        last = F.filter(F.map_entries(fields), lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), e["key"]))
+        # A string cast to variant is a plain SQL null when the string is null, hence both tests.
+        kept = F.filter(last, lambda e: e["value"].isNotNull() & ~F.is_variant_null(e["value"]) & ~e["key"].isin(*new))
+        return F.to_json(F.map_from_entries(F.concat(kept, F.filter(F.array(*own), lambda e: e["value"].isNotNull()))))
+
+    # Bound by a lambda, the fields are parsed once.
+    return F.transform(F.array(F.from_json(text, "map<string,variant>")), build)[0]
