@@ -112,14 +112,14 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """Vectors of the rows of both streams, learnt from all texts: unit context vector, then index vector."""
     parts = map_arrow(docs.select("text"), _contexts, "first int, sums binary").repartition("first")
-    table = np.zeros((2 * ROWS, DIMENSIONS))
+    table = np.zeros((2 * ROWS, DIMENSIONS), np.float32)
     for r in map_arrow(parts, _added, "first int, sums binary").collect():  # 2 * ROWS rows of numbers, whatever the corpus
-        table[r["first"] : r["first"] + BLOCK_ROWS] += np.frombuffer(r["sums"], np.int64).reshape(-1, DIMENSIONS)
+        table[r["first"] : r["first"] + BLOCK_ROWS] = np.frombuffer(r["sums"], np.int64).reshape(-1, DIMENSIONS)
     table /= np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-9)
     places, signs = index_vectors()
-    own = np.zeros((ROWS, DIMENSIONS))
+    own = np.zeros((ROWS, DIMENSIONS), np.float32)
     np.add.at(own, (np.arange(ROWS)[:, None], places), signs)
-    return np.concatenate([table, np.concatenate([own, own])], axis=1).astype(np.float32)
+    return np.concatenate([table, np.concatenate([own, own])], axis=1)
 
 
 def features(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
@@ -215,7 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Quality:
     source = source.select("doc_id", "quality", "text")
     table = map_arrow(source, run, "doc_id long, quality int, x array<float>").orderBy("doc_id", "quality").limit(SAMPLE_ROWS).toArrow()
     width = 2 * vectors.shape[1]
-    x = np.array(table.column("x").to_pylist(), np.float64).reshape(-1, width)
+    x = table.column("x").combine_chunks().flatten().to_numpy().astype(np.float64).reshape(-1, width)
     if not len(x):
         return Quality(vectors, Network(np.zeros(width), np.ones(width), np.zeros((width, 1)), np.zeros(1), np.zeros(1), 0.0))
     return Quality(vectors, train(x, table.column("quality").to_numpy().astype(np.float64)))
