@@ -2,34 +2,41 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import stored
 
+ROUNDS = 60
+
 
-def components(links: DataFrame, rounds: int = 40) -> DataFrame:
-    """node, label (the smallest node of its component) for every node in ``links`` (a, b).
+def components(links: DataFrame) -> DataFrame:
+    """node, label (the smallest node of its component) for every node in ``links`` (a, b). Links from a node to itself say nothing.
 
-    Each round takes the smallest label next to a node and then that label's own label, so the
-    distance to the smallest node at least halves or nearly so; every round is written to the shared
-    folder, which cuts the lineage. Minima are combined before each shuffle.
+    Each round every node goes over to one of itself and its neighbours, the first in an order drawn anew
+    for the round, and the links are redrawn between those; a good part of the nodes goes each time,
+    whatever the shape. Each round is written to the shared folder, which cuts the lineage. A node's
+    component is where its moves of all rounds, one after the other, have taken it.
     """
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a != b")
-    edges = stored(both.distinct(), "edges")
-    labels = stored(edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels")
-    for _ in range(rounds):
-        near = edges.join(labels.select(F.col("node").alias("b"), "label"), "b").select(F.col("a").alias("node"), "label")
-        # The label of a node is also told to the node's old label, so that whole groups move at once.
-        told = near.join(labels.select("node", F.col("label").alias("old")), "node").select(F.col("old").alias("node"), "label")
-        offers = reduce(DataFrame.union, [labels, near, told]).groupBy("node").agg(F.min("label").alias("label"))
-        jump = offers.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        moved = offers.join(jump, "label", "left").select("node", F.coalesce("further", "label").alias("label"))
-        fresh = stored(moved, "labels")
-        changed = fresh.join(labels.withColumnRenamed("label", "old"), "node").where("label != old").limit(1).count()
-        labels = fresh
-        if not changed:
-            return labels
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
+    edges = stored(links.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    moves: list[DataFrame] = []
+    while edges.limit(1).count():
+        if len(moves) == ROUNDS:
+            raise RuntimeError(f"components did not settle in {ROUNDS} rounds")
+        pairs = [F.struct(F.col(x).alias("node"), F.col(y).alias("to")) for x, y in ("ab", "ba", "aa", "bb")]
+        near = edges.select(F.inline(F.array(*pairs)))
+        first = F.min_by("to", F.xxhash64("to", F.lit(len(moves)))).alias("label")
+        moves.append(stored(near.groupBy("node").agg(first), "moves"))
+        to = {name: moves[-1].select(F.col("node").alias(name), F.col("label").alias(f"to_{name}")) for name in ("a", "b")}
+        redrawn = edges.join(to["a"], "a").join(to["b"], "b").where("to_a != to_b")
+        redrawn = redrawn.select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b"))
+        edges = stored(redrawn.distinct(), "edges")
+    if not moves:
+        return links.select(F.col("a").alias("node"), F.col("a").alias("label")).limit(0)
+    labels = moves[0]
+    for move in moves[1:]:
+        further = move.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        labels = labels.join(further, "label", "left").select("node", F.coalesce("further", "label").alias("label"))
+    labels = stored(labels, "labels")
+    least = labels.groupBy("label").agg(F.min("node").alias("least"))
+    return labels.join(least, "label").select("node", F.col("least").alias("label"))
