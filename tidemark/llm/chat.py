@@ -51,15 +51,12 @@ def paths(nodes: DataFrame, branches: int | None = BRANCHES) -> DataFrame:
             break
         last = jumps[-1]
         far = last.select("tree", F.col("node").alias("up"), F.col("up").alias("far"), F.col("depth").alias("more"), F.col("score").alias("add"))
-        joined = last.join(far, ["tree", "up"], "left")
+        # Only nodes that haven't reached their root are joined; the others are done.
+        joined = last.where("up is not null").join(far, ["tree", "up"])
         doubled = joined.select(
-            "tree",
-            "node",
-            F.col("far").alias("up"),
-            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-            (F.col("score") + F.coalesce("add", F.lit(0.0))).alias("score"),
+            "tree", "node", F.col("far").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("score") + F.col("add")).alias("score")
         )
-        jumps.append(stored(doubled, "jumps"))
+        jumps.append(stored(last.where("up is null").union(doubled.select(*last.columns)), "jumps"))
         if len(jumps) > 2 and jumps[-1].where("up is not null").count() == jumps[-2].where("up is not null").count():
             break  # what is left runs in circles
     whole = jumps[-1].where("up is null")
