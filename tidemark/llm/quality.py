@@ -23,7 +23,7 @@ from tidemark.llm.tables import HELD_OUT, fold, map_arrow, slices, text_bytes
 from tidemark.llm.words import Words, byte_set, mix, words
 
 ROWS = 1 << 15
-DIMENSIONS = 64
+DIMENSIONS = 32
 SIGNS = 2
 WINDOW = 2
 BLOCK_ROWS = 1 << 10
@@ -66,7 +66,7 @@ def rows_of(found: Words) -> np.ndarray:
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     """Every row's places and signs, ``SIGNS`` of each."""
     numbers = mix(np.arange(ROWS * SIGNS, dtype=np.uint64) + np.uint64(77)).reshape(ROWS, SIGNS)
-    return (numbers >> np.uint64(8)).astype(np.int64) % DIMENSIONS, 1 - 2 * (numbers & np.uint64(1)).astype(np.int64)
+    return (numbers >> np.uint64(8)).astype(np.int64) % DIMENSIONS, 1 - 2 * (numbers & np.uint64(1)).astype(np.int32)
 
 
 def _context(found: Words, total: np.ndarray) -> None:
@@ -77,19 +77,18 @@ def _context(found: Words, total: np.ndarray) -> None:
         near = np.flatnonzero(text[distance:] == text[:-distance])
         for own, other in ((near, near + distance), (near + distance, near)):
             for i in range(SIGNS):
-                flat = row[own] * DIMENSIONS + places[row[other], i]
-                total += np.bincount(flat, weights=signs[row[other], i], minlength=ROWS * DIMENSIONS).astype(np.int64)
+                np.add.at(total, row[own] * DIMENSIONS + places[row[other], i], signs[row[other], i])
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The context vectors of a task's texts, in blocks of rows."""
-    totals = np.zeros((2, ROWS * DIMENSIONS), np.int64)
-    for batch in slices(batches, limit=8 << 20):
+    totals = np.zeros((2, ROWS * DIMENSIONS), np.int32)  # a task's words are far fewer than 2**31
+    for batch in slices(batches):
         for total, found in zip(totals, streams(batch.column("text"))):
             _context(found, total)
     codec = zstandard.ZstdCompressor(level=1)
     rows = [
-        (stream * ROWS + first, codec.compress(part.tobytes()))
+        (stream * ROWS + first, codec.compress(part.astype(np.int64).tobytes()))
         for stream in range(2)
         for first, part in ((i, totals[stream].reshape(ROWS, -1)[i : i + BLOCK_ROWS]) for i in range(0, ROWS, BLOCK_ROWS))
         if part.any()
@@ -204,7 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Quality:
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=8 << 20):
+        for batch in slices(batches):
             rows = features(batch.column("text"), shared.value).astype(np.float32)
             columns = [batch.column("doc_id"), batch.column("quality"), pa.array(list(rows), pa.list_(pa.float32()))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "quality", "x"])
@@ -229,7 +228,7 @@ def score(docs: DataFrame, fitted: Quality) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(fitted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=8 << 20):
+        for batch in slices(batches):
             values = shared.value.network.scores(features(batch.column("text"), shared.value.vectors))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values)], ["doc_id", "score"])
 

@@ -78,9 +78,16 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``df.mapInArrow`` with this package at hand on the executors."""
+    """``df.mapInArrow`` with this package at hand on the executors, whose workers give back what they no longer use."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(task, schema)
 
 
 def looked_up(table: DataFrame, keys: DataFrame, on: list[str], how: str) -> DataFrame:
