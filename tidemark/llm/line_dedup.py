@@ -28,27 +28,44 @@ def _row() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
-def _words(line: Column) -> Column:
-    return F.filter(F.split(line, r"\s+"), lambda w: w != "")
+def _lines(docs: DataFrame) -> DataFrame:
+    """Every line that has words: doc_id, row, line_no (from 0), words, n."""
+    text = F.col("text")
+    for sign in "\t\x0b\f\r":  # with the space and the line break, all that cuts words
+        text = F.replace(text, F.lit(sign), F.lit(" "))
+    numbered = docs.select("doc_id", "row", F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
+    words = F.array_remove(F.split("line", " "), "")
+    cut = numbered.select("doc_id", "row", "line_no", words.alias("words"))
+    return cut.select("*", F.size("words").alias("n")).where("n > 0")
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """Every line that has words: doc_id, row, line_no (from 0), words."""
-    numbered = docs.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return numbered.select("doc_id", "row", "line_no", _words(F.col("line")).alias("words")).where(F.size("words") > 0)
+def _hashes() -> list[Column]:
+    """Hashes of a line's halves: ``a`` and ``b`` cut it in two and tell its class; the middle word of an odd
+    number belongs to ``b``, and in ``a2`` and ``b1`` to the other half. Those are for lines that may match by an edit."""
+    n, half = F.col("n"), F.expr("n div 2").cast("int")
+
+    def first(size: Column) -> Column:
+        return F.xxhash64(F.slice("words", F.lit(1), size))
+
+    def last(size: Column) -> Column:
+        return F.xxhash64(F.slice("words", n - size + 1, size))
+
+    odd = (n % 2 == 1) & (n >= MIN_WORDS)
+    found = {"a": first(half), "b": last(n - half), "a2": F.when(odd, first(half + 1)), "b1": F.when(odd, last(half))}
+    return [column.alias(name) for name, column in found.items()]
 
 
-def _keys() -> list[Column]:
-    """What tells a class of equal lines from others: hashes of its words, and their number."""
-    return [F.xxhash64("words").alias("k1"), F.hash("words").alias("k2"), F.size("words").alias("n")]
+def _class_id() -> Column:
+    return F.xxhash64("a", "b", "n").alias("k1")
 
 
 def _halves() -> Column:
-    """Hashes of the first and last halves, for lines of the same length and of one word more."""
-    sizes = F.array_distinct(F.array(F.expr("n div 2"), F.expr("(n + 1) div 2")).cast("array<int>"))
-    first = F.transform(sizes, lambda h: F.xxhash64(F.lit("first"), h, F.slice("words", 1, h)))
-    last = F.transform(sizes, lambda h: F.xxhash64(F.lit("last"), h, F.slice("words", F.col("n") - h + 1, h)))
-    return F.when(F.col("n") >= MIN_WORDS, F.concat(first, last)).otherwise(F.array().cast("array<bigint>"))
+    """What a line of at least ``MIN_WORDS`` shares with one that an edit makes equal: its first or last half, for
+    the length of either."""
+    half = F.expr("n div 2")
+    parts = [(0, half, "a"), (1, F.col("n") - half, "b"), (0, half + 1, "a2"), (1, half, "b1")]
+    keys = [F.when(F.col(name).isNotNull(), F.xxhash64(F.lit(side), size.cast("int"), F.col(name))) for side, size, name in parts]
+    return F.array_compact(F.array(*keys))
 
 
 def _rests(lines: DataFrame) -> DataFrame:
@@ -97,23 +114,22 @@ def near_classes(lines: DataFrame) -> DataFrame:
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """row, drops: the numbers (from 0) of the lines of each row that an earlier line matches. Rows without any are left out."""
-    lines = _lines(docs).select("*", *_keys())
-    lines = stored(lines.select("doc_id", "row", "line_no", "k1", "k2", "n", _halves().alias("halves")), "lines")
+    lines = stored(_lines(docs).select("doc_id", "row", "line_no", "n", *_hashes()), "lines")
     first = F.struct("doc_id", "row", "line_no")
-    classes = lines.groupBy("k1", "k2", "n").agg(F.min(first).alias("first"), F.min("halves").alias("halves"), F.count(F.lit(1)).alias("c"))
-    classes = stored(classes, "line-classes")
+    classes = lines.groupBy("a", "b", "n").agg(F.min(first).alias("first"), F.min("a2").alias("a2"), F.min("b1").alias("b1"), F.count(F.lit(1)).alias("c"))
+    classes = stored(classes.select("*", _class_id()), "line-classes")
 
-    shared = classes.select("k1", F.explode("halves").alias("half"))
+    shared = classes.where(F.col("n") >= MIN_WORDS).select("k1", F.explode(_halves()).alias("half"))
     common = shared.groupBy("half").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low != high").select("half")
     candidates = stored(shared.join(common, "half", "left_semi").select("k1").distinct().join(classes.select("k1", "first"), "k1"), "candidates")
     holders = stored(candidates.select(F.col("first.row").alias("row")).distinct(), "holders")
-    texts = _lines(looked_up(docs, holders, ["row"], "left_semi")).select("*", *_keys())
-    own = texts.select(first.alias("first"), "k1", "n", "words").dropDuplicates(["first"])
-    near = stored(near_classes(stored(own.join(candidates.select("first"), "first", "left_semi"), "candidate-lines")), "near-lines")
+    texts = _lines(looked_up(docs, holders, ["row"], "left_semi")).where(F.col("n") >= MIN_WORDS)
+    own = texts.select(first.alias("first"), "n", "words").dropDuplicates(["first"])
+    near = stored(near_classes(stored(own.join(candidates.select("first", "k1"), "first"), "candidate-lines")), "near-lines")
 
     decided = classes.join(near.withColumn("gone", F.lit(True)), "k1", "left").where("gone or c > 1")
-    decided = decided.select("k1", "k2", "n", F.when(F.col("gone").isNull(), F.col("first")).alias("kept"))
-    dropped = lines.join(decided, ["k1", "k2", "n"]).where(F.col("kept").isNull() | (first != F.col("kept")))
+    decided = decided.select("a", "b", "n", F.when(F.col("gone").isNull(), F.col("first")).alias("kept"))
+    dropped = lines.join(decided, ["a", "b", "n"]).where(F.col("kept").isNull() | (first != F.col("kept")))
     return dropped.groupBy("row").agg(F.collect_set("line_no").alias("drops"))
 
 
@@ -130,7 +146,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     drops = stored(repeated_lines(docs.select("doc_id", "text", _row().alias("row"))), "drops")
     found = looked_up(keyed, drops.select(F.col("row").alias("_row"), F.col("drops").alias("_drops")), ["_row"], "left")
     lines = F.split("text", "\n")
-    n = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
+    breaks = F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    n = F.coalesce(breaks + 1, F.lit(0))
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drops"))
     text = F.when(F.col("_drops").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
     columns = [text.alias("text") if c == "text" else F.col(c) for c in kept]
