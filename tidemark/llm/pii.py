@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.once import with_once
 from tidemark.llm.tables import looked_up, stored
 
 ROUNDS = 40
@@ -60,7 +61,7 @@ PATTERNS = {
     "phone": r"(?<![\d+])\+\d{1,3}[ -]?(?:\(\d{2,4}\)[ -]?)?\d{2,4}(?:[ -]?\d{2,4}){1,4}(?!\d)",
     "card": r"(?<!\d)\d{4}(?:\d{12}|(?: \d{4}){3}|(?:-\d{4}){3})(?!\d)",
     "number": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "person": rf"(?<!\p{{L}})(?:(?:{_TITLES})\.? {_NAME}(?: {_NAME})?|(?:{_GIVEN}) {_NAME})",
+    "person": rf"(?<!\p{{L}})(?=\p{{Lu}}|г)(?:(?:{_TITLES})\.? {_NAME}(?: {_NAME})?|(?:{_GIVEN}) {_NAME})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
@@ -214,7 +215,7 @@ def replace_entities(docs: DataFrame, key: str) -> Replaced:
     column named n_entities is replaced.
     """
     kept = [c for c in docs.columns if c != "n_entities"]
-    keyed = docs.select(*kept, F.xxhash64("text").alias("_text"), F.regexp_extract_all("text", F.lit(ANY), F.lit(0)).alias("_found"))
+    keyed = with_once(docs.select(*kept, F.xxhash64("text").alias("_text")), "_found", F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
     listed = keyed.where(F.size("_found") > 0).select("_text", F.explode(F.array_distinct("_found")).alias("entity"))
     listed = stored(listed.distinct(), "text-entities")
     cut = stored(_parts(listed.select("entity").distinct()), "entity-parts")
