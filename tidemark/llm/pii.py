@@ -64,6 +64,15 @@ PATTERNS = {
     "person": rf"(?<!\p{{L}})(?=\p{{Lu}}|г)(?:(?:{_TITLES})\.? {_NAME}(?: {_NAME})?|(?:{_GIVEN}) {_NAME})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: A text without any of these can hold names only.
+SIGNS = "[0-9@=]|AKIA"
+
+
+def _entities(text: Column) -> Column:
+    some = F.regexp_like(text, F.lit(SIGNS))
+    return F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(
+        F.regexp_extract_all(text, F.lit(PATTERNS["person"]), F.lit(0))
+    )
 
 
 def _type(entity: Column) -> Column:
@@ -215,7 +224,7 @@ def replace_entities(docs: DataFrame, key: str) -> Replaced:
     column named n_entities is replaced.
     """
     kept = [c for c in docs.columns if c != "n_entities"]
-    keyed = with_once(docs.select(*kept, F.xxhash64("text").alias("_text")), "_found", F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
+    keyed = with_once(docs.select(*kept, F.xxhash64("text").alias("_text")), "_found", _entities(F.col("text")))
     listed = keyed.where(F.size("_found") > 0).select("_text", F.explode(F.array_distinct("_found")).alias("entity"))
     listed = stored(listed.distinct(), "text-entities")
     cut = stored(_parts(listed.select("entity").distinct()), "entity-parts")
