@@ -28,7 +28,7 @@ from tidemark.llm.tables import map_arrow, slices, stored
 
 MAGIC = b"TIDEBITS"
 BLOCK = 1 << 16
-ENCODE_BYTES = 12 << 20
+ENCODE_BYTES = 8 << 20
 READ_BYTES = 4 << 20
 
 

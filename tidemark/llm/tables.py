@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -13,9 +14,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.workspace import new_folder
+from tidemark.workspace import new_folder, setting
 
 SLICE_BYTES = 1 << 21
+#: Rows that go to a Python worker at once while a table is written.
+BATCH_ROWS = 2000
 #: A table to look rows up in is broadcast up to so many bytes of JSON text; beyond that both sides are shuffled.
 BROADCAST_BYTES = 8 << 20
 
@@ -56,7 +59,8 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a zstd table in the shared folder, computed once; lost executors do not lose it."""
     path = new_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with setting(df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -77,6 +81,13 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def _trim() -> None:
+    """Give the worker's free heap back to the system; only glibc can."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``df.mapInArrow`` with this package at hand on the executors, whose workers give back what they no longer use."""
 
@@ -85,6 +96,7 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
             yield from run(batches)
         finally:
             pa.default_memory_pool().release_unused()
+            _trim()
 
     ship(df.sparkSession)
     return df.mapInArrow(task, schema)
