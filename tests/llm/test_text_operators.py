@@ -184,3 +184,22 @@ def test_contamination_of_nothing(spark, docs):
     assert contamination(docs("a").limit(0), benchmark).collect() == []
     (row,) = contamination(docs("a b"), benchmark.limit(0)).collect()
     assert (row["n_words"], row["n_hit"], row["contaminated"]) == (2, 0, False)
+
+
+@pytest.mark.parametrize("fast_bytes, most_blocks", [(0, 8), (64 << 20, 0)])
+def test_contamination_by_a_benchmark_of_any_size(spark, docs, monkeypatch, fast_bytes, most_blocks):
+    monkeypatch.setattr(decontaminate, "FAST_BYTES", fast_bytes, raising=False)
+    monkeypatch.setattr(decontaminate, "MOST_BLOCKS", most_blocks)
+    monkeypatch.setattr(decontaminate, "ROWS_PER_SALT", 3, raising=False)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0, raising=False)
+    line = [f"w{n}" for n in range(40)]
+    items = [(n, " ".join(line[:20])) for n in range(30)] + [(31, "Only THREE words"), (33, ""), (34, None), (35, " ".join(["ab"] * 15)), (36, " ".join(line[5:25])), (31, "lone"), (None, "lone x")]
+    texts = [
+        " ".join(line), " ".join(line[:12]), "so only three, words here", "a lone w", None, "", " ".join(["ab"] * 14), "ab " * 200,
+        " ".join(line[:13]) + " other" * 300, " ".join(line[:13] + ["x"] + line[13:30]), "Lone", "Lone", *[" ".join(line[3:30])] * 12,
+    ]
+    found = contamination(docs(*texts), spark.createDataFrame(items, "item_id long, text string"), size=13)
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in found.collect()}
+    assert got == dict(enumerate(brute_force(texts, [i for i in items if i[0] is not None], 13)))
+    assert all(sum(s["end"] - s["first"] for s in r["spans"]) == r["n_hit"] for r in found.collect())
+    assert contamination(docs("a").limit(0), spark.createDataFrame(items, "item_id long, text string")).collect() == []
