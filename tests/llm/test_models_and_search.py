@@ -203,3 +203,24 @@ def test_languages(spark):
     nothing = langid.identify(table, langid.fit(table.limit(0))).collect()
     assert {r["lang_pred"] for r in nothing} == {"und"}
     assert langid.identify(table.limit(0), fitted).collect() == []
+
+
+@pytest.mark.parametrize("most", ["MOST_GRAMS", "MOST_LANGUAGES"])
+def test_languages_beyond_the_broadcast_lose_no_counts(spark, monkeypatch, most):
+    rng = random.Random(14)
+    stock = {"en": "the and with that this from have they".split(), "de": "und der die nicht eine sich über schön".split(), "zh": "你好世界 中文 语言 模型 天气".split()}
+    rows = [(n, " ".join(rng.choice(stock[lang]) for _ in range(rng.randrange(1, 20))), lang) for n, lang in enumerate(rng.choices(list(stock), [8, 5, 1], k=500))]
+    rows += [(900, None, "en"), (901, "12", None), (902, "qqq xyz", None), (None, "the und", "xx"), (1, rows[1][1], rows[1][2])]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    small = langid.fit(table)
+    monkeypatch.setattr(langid, most, 2)
+    monkeypatch.setattr(langid, "BROADCAST_BYTES", 0, raising=False)
+    monkeypatch.setattr(langid, "ROWS_PER_SALT", 20, raising=False)
+    large = langid.fit(table)
+    assert large.names == small.names == ["de", "en", "xx", "zh"] and large.temperature == pytest.approx(small.temperature)
+    key = lambda r: str(r["doc_id"])
+    expected, found = (sorted(langid.identify(table, x).collect(), key=key) for x in (small, large))
+    assert len(found) == len(rows)
+    for a, b in zip(expected, found):
+        assert (a["doc_id"], a["lang_pred"], a["accepted"]) == (b["doc_id"], b["lang_pred"], b["accepted"])
+        assert a["score"] == pytest.approx(b["score"], abs=1e-9)
