@@ -184,6 +184,17 @@ def test_characters():
     assert [bytes(codes[a:b]).decode("utf-16-le") if b > a else "" for a, b in zip(begin, [*(begin[1:] - 3), len(codes)])] == ["ab c d", "", "", "é f"]
 
 
+def test_only_letters_of_other_planes_are_letters(spark):
+    codes, begin = langid.characters(["\U0001f600", "a\U0001f600\U0001f601b", "\U00020000\U0001d7ce\U00010400"])
+    ends = [*(begin[1:] - 3), len(codes)]
+    first, second, third = (codes[a:b] for a, b in zip(begin, ends))
+    assert (first.size, bytes(second).decode("utf-16-le")) == (0, "a b")
+    assert third.tolist() == [0x4E00 + 0x20000 % 0x5000, 32, 0x4E00 + 0x10428 % 0x5000]
+    table = spark.createDataFrame([(n, "the and \U0001f600", "en") for n in range(90)] + [(100, "\U0001f600 \U0001f680", "xx")], "doc_id long, text string, lang string")
+    found = {r["doc_id"]: tuple(r)[1:] for r in langid.identify(table, langid.fit(table)).collect()}
+    assert found[100] == ("und", 0.0, False) and found[1][0] == "en"
+
+
 def test_languages(spark):
     rng = random.Random(13)
     stock = {"en": "the and with that this from have they were which there their".split(), "de": "und der die nicht eine sich auch werden über schön ich".split(), "fr": "les des une dans pour avec être cette était où vous".split()}
