@@ -216,3 +216,44 @@ def test_colliding_surrogates_are_drawn_again(spark, docs):
     texts = [f"{a}@{b}.org" for a in letters for b in letters[:8]]
     drawn = [r["surrogate"] for r in replace_entities(docs(*texts), "k").surrogates.collect()]
     assert len(drawn) == len(set(drawn)) == 208 and not set(drawn) & set(texts)
+
+
+def entities_of(spark, docs, *texts):
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.pii import _entities, _type
+
+    rows = docs(*texts).select("doc_id", F.transform(_entities(F.col("text")), lambda e: F.struct(_type(e).alias("type"), e.alias("entity"))).alias("found"))
+    return [[tuple(x) for x in r["found"]] for r in rows.orderBy("doc_id").collect()]
+
+
+def test_forms_of_secrets_phones_and_addresses(spark, docs):
+    hexes, mixed = "9233a8ecf7c5d1e0aa", "sk-Ab3dEf6hIj9kLm2nOp5q"
+    cases = {
+        f'TOKEN = "{hexes.upper()}"': [("secret", hexes.upper())],
+        f'token="{hexes}", x': [("secret", hexes)],
+        f"api_key = {mixed} and": [("secret", mixed)],
+        f'"Api-Key" : "{mixed}"': [("secret", mixed)],
+        f"client secret:'{mixed}'": [("secret", mixed)],
+        "Password: hunter2!! ok": [("secret", "hunter2!!")],
+        "PASSWD=correcthorse": [("secret", "correcthorse")],
+        "password: ******** and the secret: nothing": [],
+        "the tokens: none, a token ring; secretary = somebodyOfLongName1": [],
+        "+1 (826) 555-4081 190.137.223.204": [("phone", "+1 (826) 555-4081"), ("ip", "190.137.223.204")],
+        "+1 (843) 555-7672 170.106.47.218.": [("phone", "+1 (843) 555-7672"), ("ip", "170.106.47.218")],
+        "+44 20 7946 0958 10.20.30.40": [("phone", "+44 20 7946 0958"), ("ip", "10.20.30.40")],
+        "+44 20 7946 0958 4111 1111 1111 1111": [("phone", "+44 20 7946 0958"), ("card", "4111 1111 1111 1111")],
+        "+49 30 123456 123-45-6789": [("phone", "+49 30 123456"), ("number", "123-45-6789")],
+        "call (310) 555-4510 or 310-555-4511, 310.555.4512 or 310 555 4513": [("phone", f"{x}") for x in ("(310) 555-4510", "310-555-4511", "310.555.4512", "310 555 4513")],
+        "(030) 1234567 and 020 7946 0958 and 030/12345678": [("phone", x) for x in ("(030) 1234567", "020 7946 0958", "030/12345678")],
+        "on 01-02-2020 at 12:30:45, pages 100-200, 2020-03-04, 3.14159 and 1 000 000": [],
+        "2001:db8:85a3:0:0:8a2e:370:7334 fe80::1 ::1 dead:beef::cafe": [("ipv6", x) for x in ("2001:db8:85a3:0:0:8a2e:370:7334", "fe80::1", "::1", "dead:beef::cafe")],
+        "std::vector, a::b, 00:1a:2b:3c:4d:5e, ::ffff:192.0.2.1": [("ip", "192.0.2.1")],
+    }
+    found = entities_of(spark, docs, *cases)
+    assert dict(zip(cases, found)) == cases
+    replaced = [r["text"] for r in replace_entities(docs(*cases), "k").documents.orderBy("doc_id").collect()]
+    for (text, own), new in zip(cases.items(), replaced):
+        assert not any(entity in new for _, entity in own) and (own or text == new)
+    weak = [f"password={a}{b}****" for a in "abcdefgh" for b in "1234"]
+    assert len({r["text"] for r in replace_entities(docs(*weak), "k").documents.collect()}) == len(weak)

@@ -53,19 +53,42 @@ _TITLES = "|".join(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES)
 _GIVEN = "|".join(MALE_NAMES + FEMALE_NAMES)
 _NAME = r"\p{Lu}[\p{Ll}'’-]+"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_IP = rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)"
+_CARD = r"(?<!\d)\d{4}(?:\d{12}|(?: \d{4}){3}|(?:-\d{4}){3})(?!\d)"
+_NUMBER = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
+# What stands between the name of a secret and the secret, and the secrets that follow the one name or the other.
+_IS = r"[\"']?\s{0,4}(?::=|=>|==|[:=])\s{0,4}[\"']?"
+_PASSWORD = rf"(?<=(?i:password|passwd|pwd){_IS})(?=[^\s\"']*[\p{{L}}\p{{N}}])[^\s\"']{{6,}}"
+_TOKEN = rf"(?<=(?i:api[ _-]?key|access[ _-]?key|secret(?:[ _-]?key)?|token){_IS})(?:[0-9A-Za-z][\w+/.~-]{{14,}}[0-9A-Za-z]|(?=[\w+/.~-]*\d)[\w+/.~-]{{8,}})"
+_KEYED = rf"(?<=[\s\"':=>])(?=[^\s\"'])(?<=[:=>][\s\"']{{0,5}})(?:{_PASSWORD}|{_TOKEN})"
+# Phone numbers: of North America, with or without +1; with a country's code, up to what is an entity of its own; with a leading 0.
+_PHONES = [
+    r"(?:\+?\d{1,3}[ .-]?)?\(\d{3}\)[ -]?\d{3}[ .-]?\d{4}(?!\d)",
+    r"\+1[ .-]?\d{3}[ .-]?\d{3}[ .-]?\d{4}(?!\d)",
+    rf"\+\d{{1,3}}[ -]?(?:\(\d{{1,4}}\)[ -]?)?\d{{2,4}}(?:[ -]?(?!{_IP}|{_CARD}(?! \d{{4}}(?!\d))|{_NUMBER})\d{{2,4}}){{1,4}}(?!\d|\.\d)",
+    r"(?:1[.-])?[2-9]\d{2}[.-][2-9]\d{2}[.-]\d{4}(?!\d|[.-]\d)",
+    r"(?<!\d )[2-9]\d{2} [2-9]\d{2}[ -]\d{4}(?!\d|[ .-]\d)",
+    r"(?=(?:[ ()/-]{0,2}\d){9,12}(?!\d))(?:\(0\d{1,4}\) ?|0\d{1,4}[ /-])\d{2,8}(?:[ -]\d{2,4}){0,4}(?![ -]?\d|\.\d)",
+]
+_HEX = "[0-9A-Fa-f]{1,4}"
+_IPV6 = (
+    rf"(?<![\w:.])(?=[0-9A-Fa-f]{{0,4}}:)(?:(?:{_HEX}:){{7}}{_HEX}|(?!(?:[0-9A-Fa-f]*:){{9}})"
+    rf"(?=[0-9A-Fa-f:]*\d|(?:[0-9A-Fa-f]+:+){{2}}[0-9A-Fa-f])(?:{_HEX}(?::{_HEX}){{0,6}})?::(?:{_HEX}(?::{_HEX}){{0,6}})?)(?![\w:]|\.\d)"
+)
 #: What each type looks like, tried in this order.
 PATTERNS = {
     "email": r"(?<![\w.%+-])[\w.%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|(?<=password=)[^\s\"']{6,}|(?<=token = \")[0-9A-Za-z]{16,}",
-    "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
-    "phone": r"(?<![\d+])\+\d{1,3}[ -]?(?:\(\d{2,4}\)[ -]?)?\d{2,4}(?:[ -]?\d{2,4}){1,4}(?!\d)",
-    "card": r"(?<!\d)\d{4}(?:\d{12}|(?: \d{4}){3}|(?:-\d{4}){3})(?!\d)",
-    "number": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
+    "secret": rf"(?<![A-Za-z0-9])(?i:AKIA[0-9A-Z]{{16}})(?![A-Za-z0-9])|{_KEYED}",
+    "ip": _IP,
+    "ipv6": _IPV6,
+    "phone": rf"(?<![\d+])(?<!\d[.-])(?=[+(\d])(?:{'|'.join(_PHONES)})",
+    "card": _CARD,
+    "number": _NUMBER,
     "person": rf"(?<!\p{{L}})(?=\p{{Lu}}|г)(?:(?:{_TITLES})\.? {_NAME}(?: {_NAME})?|(?:{_GIVEN}) {_NAME})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A text without any of these can hold names only.
-SIGNS = "[0-9@=]|AKIA"
+SIGNS = "[0-9@=]|:[0-9A-Fa-f:]|(?i:AKIA|api.?key|access.?key|secret|token|passw|pwd)"
 
 
 def _entities(text: Column) -> Column:
@@ -140,13 +163,18 @@ def _drawn() -> Column:
 
     name = F.when(F.regexp_like("entity", F.lit(CYRILLIC)), word("Cyrillic")).otherwise(word("Latin"))
     octets = F.concat_ws(".", *((_byte(i) % 254 + 1).cast("string") for i in range(4)))
-    found = F.when(F.col("kind") == "ip", octets).when(F.col("kind") == "card", _card())
+    groups = F.concat_ws(":", *(F.substring(F.col("digest"), F.lit(4 * i + 1), F.lit(4)) for i in range(8)))
+    found = F.when(F.col("kind") == "ip", octets).when(F.col("kind") == "ipv6", groups).when(F.col("kind") == "card", _card())
     found = found.when(F.col("kind").isin("male", "female", "surname"), name)
-    prefix = F.when(F.col("kind") == "secret", F.regexp_extract("entity", "^(AKIA)", 1))
+    prefix = F.when(F.col("kind") == "secret", F.regexp_extract("entity", "^((?i)AKIA)", 1))
     prefix = prefix.when(F.col("kind") == "phone", F.regexp_extract("entity", r"^(\+\d{1,3})[ -(]", 1)).otherwise(F.lit(""))
     kept = F.concat(prefix, F.substring(F.col("masked"), F.length(prefix) + 1, F.length("masked")))
     is_hex = (F.col("kind") == "secret") & F.regexp_like("entity", F.lit("^[0-9a-f]{1,128}$"))
-    found = found.when(is_hex, F.substring(F.col("digest"), F.lit(1), F.length("entity")))
+    # Of a secret with few letters and digits nothing is kept: there would be too few surrogates.
+    few = (F.col("kind") == "secret") & (F.length(F.regexp_replace("entity", "[^0-9A-Za-z]", "")) < 6)
+    digits = F.substring(F.col("digest"), F.lit(1), F.length("entity"))
+    is_upper = (F.col("kind") == "secret") & F.regexp_like("entity", F.lit("^[0-9A-F]{1,128}$"))
+    found = found.when(is_hex | few, digits).when(is_upper, F.upper(digits))
     return found.when(F.col("kind") == "email", _mail()).otherwise(kept)
 
 
