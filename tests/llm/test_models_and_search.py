@@ -66,6 +66,16 @@ def test_formatting_is_reversible(spark):
     assert chat.formatted(chat.paths(chat.chain(table.limit(0)))).collect() == []
 
 
+def test_turns_without_a_conversation_are_one(spark):
+    rows = [(None, 1, "assistant", "b"), (None, 0, "user", "a"), (None, None, "system", "s"), (0, 0, "user", "z"), (7, 0, "user", None)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    written = chat.formatted(chat.paths(chat.chain(table))).collect()
+    found = {r["tree"]: chat.read_turns(r["text"]) for r in written}
+    assert len(written) == 3 and found == {None: [("system", "s"), ("user", "a"), ("assistant", "b")], 0: [("user", "z")], 7: [("user", "")]}
+    named = spark.createDataFrame([(None, 1, None, 1.0), (None, 2, 1, 1.0), ("", 1, None, 0.0)], "tree string, node long, parent long, score double")
+    assert sorted((str(r["tree"]), r["node"], r["position"]) for r in chat.paths(named).collect()) == [("", 1, 0), ("None", 1, 0), ("None", 2, 1)]
+
+
 def brute_top(vectors, k):
     scores = {}
     sound = [(i, [math.floor(1024 * x) for x in v]) for i, v in vectors if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]

@@ -16,6 +16,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tidemark.llm.tables import stored
 
@@ -37,11 +38,15 @@ def unescape(text: str) -> str:
 def paths(nodes: DataFrame, branches: int | None = BRANCHES) -> DataFrame:
     """Nodes of the chosen branches: tree, leaf, branch (rank from 1), position (from 0), and the node's own columns.
 
-    ``nodes`` has tree, node (unique in its tree), parent and score. A branch's score is the sum of its
+    ``nodes`` has tree (null: a tree like any other), node (unique in its tree), parent and score. A branch's score is the sum of its
     nodes' (null: 0); the ``branches`` best of a tree are chosen (None: all), equal ones by smaller leaf.
     A node whose parent is not in its tree is a root. Nodes that only lead back to themselves have no
     root and are on no path.
     """
+    # Joins drop null keys, so a tree goes by whether it is null and a value that isn't.
+    kind = nodes.schema["tree"].dataType
+    blank = F.lit("" if isinstance(kind, StringType) else 0).cast(kind)
+    nodes = nodes.withColumn("tree", F.struct(F.col("tree").isNull().alias("no"), F.coalesce("tree", blank).alias("id")))
     own = nodes.select("tree", "node", F.col("parent").alias("up"), F.coalesce("score", F.lit(0.0)).cast("double").alias("score"))
     real = nodes.select("tree", F.col("node").alias("up")).withColumn("is_real", F.lit(True))
     own = own.join(real, ["tree", "up"], "left").withColumn("up", F.when(F.col("is_real"), F.col("up")))
@@ -71,7 +76,8 @@ def paths(nodes: DataFrame, branches: int | None = BRANCHES) -> DataFrame:
         step = members.join(jump.where("up is not null").select("tree", "node", "up"), ["tree", "node"])
         members = stored(members.union(step.select("tree", "leaf", "branch", F.col("up").alias("node"))), "members")
     places = whole.select("tree", "node", (F.col("depth") - 1).alias("position"))
-    return members.join(places, ["tree", "node"]).join(nodes, ["tree", "node"])
+    found = members.join(places, ["tree", "node"]).join(nodes, ["tree", "node"])
+    return found.withColumn("tree", F.when(~F.col("tree.no"), F.col("tree.id")))
 
 
 def formatted(turns: DataFrame) -> DataFrame:
