@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import chat, langid, quality
-from tidemark.llm.tables import fold
+from tidemark.llm.tables import fold, stored
 from tidemark.llm.topk import best, search_group, top_k
+from tidemark.workspace import setting
 
 
 def tree_paths(nodes, branches):
@@ -76,6 +77,24 @@ def test_turns_without_a_conversation_are_one(spark):
     assert sorted((str(r["tree"]), r["node"], r["position"]) for r in chat.paths(named).collect()) == [("", 1, 0), ("None", 1, 0), ("None", 2, 1)]
 
 
+def test_a_hot_conversation_is_spread(spark, monkeypatch):
+    dealt = []
+    monkeypatch.setattr(chat, "stored", lambda df, name: dealt.append((name, stored(df, name))) or dealt[-1][1])
+    rows = [(5, n, ["user", "assistant"][n % 2], f"t{n} " + "<s>" * (n % 3)) for n in range(400)] + [(c, 0, "user", "x") for c in (None, 1, 9)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        trees = chat.chain(table)
+    (parts,) = [df.where("tree = 5").groupBy("_part").count().collect() for name, df in dealt if name == "ranges"]
+    assert len(parts) > 1 and max(r["count"] for r in parts) < 300
+    got = [r["text"] for r in trees.where("tree = 5").orderBy("node").collect()]
+    assert got == [r[3] for r in rows[:400]]
+    made = chat.pieces(chat.paths(trees))
+    own = made.where("tree = 5").orderBy("position").collect()
+    assert [r["start"] for r in own] == np.cumsum([0, *(len(r["piece"]) for r in own)])[:-1].tolist()
+    assert [r["nth"] for r in own] == [r["position"] for r in own] == list(range(400))
+    assert made.where("tree is null").count() == 1
+
+
 def brute_top(vectors, k):
     scores = {}
     sound = [(i, [math.floor(1024 * x) for x in v]) for i, v in vectors if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]

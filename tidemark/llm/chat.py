@@ -80,21 +80,52 @@ def paths(nodes: DataFrame, branches: int | None = BRANCHES) -> DataFrame:
     return found.withColumn("tree", F.when(~F.col("tree.no"), F.col("tree.id")))
 
 
-def formatted(turns: DataFrame) -> DataFrame:
-    """One row per conversation: tree, leaf, branch, n_turns, text, and loss: the spans (start, end) of the assistants' words in it.
+KEY = ["tree", "leaf", "branch"]
+
 
-    ``turns`` has tree, leaf, branch, position, role and text; null role or text: empty. Spans count code
-    points. A conversation is one text, so its turns meet in one row.
+def ranged(rows: DataFrame, group: list[str], order: list[str], length: Column) -> DataFrame:
+    """``rows`` with nth, from 0, and start, the sum of the lengths before, in their group by ``order`` (nulls first).
+
+    Groups are cut by range of their order, so a large one is spread over many tasks; what each range holds of a group is added up.
+    """
+    dealt = rows.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
+    dealt = stored(dealt.withColumn("_id", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_id", 33)), "ranges")
+    dealt = dealt.withColumn("_length", length.cast("long"))
+    held = dealt.groupBy(*group, "_part").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"), F.sum("_length").alias("_sum"))
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    for name in ("_n", "_sum"):
+        held = held.withColumn(f"{name}_before", F.coalesce(F.sum(name).over(earlier), F.lit(0)))
+    held = held.select(*(F.col(c).alias(f"_{c}") for c in group), F.col("_part").alias("__part"), "_first", "_n_before", "_sum_before")
+    same = F.col("_part") == F.col("__part")
+    for c in group:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    joined = dealt.join(held, same)
+    within = Window.partitionBy(*group, "_part").orderBy("_id").rowsBetween(Window.unboundedPreceding, -1)
+    nth, start = F.col("_n_before") + F.col("_id") - F.col("_first"), F.col("_sum_before") + F.coalesce(F.sum("_length").over(within), F.lit(0))
+    return joined.select(*rows.columns, nth.alias("nth"), start.alias("start"))
+
+
+def pieces(turns: DataFrame) -> DataFrame:
+    """One row per turn: tree, leaf, branch, position, piece (its text as formatted), is_loss, nth and start, its first code point.
+
+    ``turns`` has tree, leaf, branch, position, role and text; null role or text: empty.
     """
-    key = ["tree", "leaf", "branch"]
     is_loss = F.coalesce(F.col("role"), F.lit("")) == ASSISTANT
     words = escaped(F.coalesce("text", F.lit("")))
     head = F.concat(F.lit("[INST] "), escaped(F.coalesce("role", F.lit("")), r"|\n"), F.lit("\n"))
     piece = F.when(is_loss, F.concat(F.lit("<s>"), words, F.lit("</s>"))).otherwise(F.concat(head, words, F.lit(" [/INST]")))
-    pieces = turns.select(*key, "position", is_loss.alias("is_loss"), piece.alias("piece"))
-    before = Window.partitionBy(*key).orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
-    pieces = pieces.withColumn("start", F.coalesce(F.sum(F.length("piece")).over(before), F.lit(0)))
-    gathered = pieces.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("position", "piece", "is_loss", "start"))).alias("items"))
+    made = turns.select(*KEY, "position", is_loss.alias("is_loss"), piece.alias("piece"))
+    return ranged(made, KEY, ["position"], F.length("piece"))
+
+
+def formatted(turns: DataFrame) -> DataFrame:
+    """One row per conversation: tree, leaf, branch, n_turns, text, and loss: the spans (start, end) of the assistants' words in it.
+
+    For ``turns`` see ``pieces``. Spans count code points. Here a conversation is one text in one row; one
+    that is too long for a row is read from its pieces.
+    """
+    made = pieces(turns)
+    gathered = made.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("position", "piece", "is_loss", "start"))).alias("items"))
     spans = F.transform(
         F.filter("items", lambda x: x["is_loss"]),
         lambda x: F.struct(
@@ -103,7 +134,7 @@ def formatted(turns: DataFrame) -> DataFrame:
         ),
     )
     text = F.array_join(F.transform("items", lambda x: x["piece"]), "")
-    return gathered.select(*key, F.size("items").cast("long").alias("n_turns"), text.alias("text"), spans.alias("loss"))
+    return gathered.select(*KEY, F.size("items").cast("long").alias("n_turns"), text.alias("text"), spans.alias("loss"))
 
 
 def read_turns(text: str) -> list[tuple[str, str]]:
@@ -126,7 +157,6 @@ def chain(turns: DataFrame) -> DataFrame:
     Rows of the same conversation and turn, repeated ones too, follow each other by role and text. Rows
     without a conv_id are one conversation of their own; a null turn comes first.
     """
-    order = Window.partitionBy("tree").orderBy("turn", "role", "text")
     named = turns.select(F.col("conv_id").cast("long").alias("tree"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    numbered = named.withColumn("node", F.row_number().over(order).cast("long")).drop("turn")
+    numbered = ranged(named, ["tree"], ["turn", "role", "text"], F.lit(0)).withColumn("node", F.col("nth") + 1)
     return numbered.select("tree", "node", F.when(F.col("node") > 1, F.col("node") - 1).alias("parent"), F.lit(0.0).alias("score"), "role", "text")

@@ -56,26 +56,41 @@ CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
 def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What a reader of the formatted conversations finds, as digests."""
+    """What a reader of the formatted conversations finds, as digests; their turns come in order, one after the other."""
+    types = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    key, n, seen, learnt_chars, learnt, chars = None, 0, hashlib.sha256(), 0, hashlib.sha256(), 0
     for batch in batches:
         rows = []
-        for conv, text, loss in zip(*(batch.column(c).to_pylist() for c in ("tree", "text", "loss"))):
-            turns = chat.read_turns(text)
-            seen = hashlib.sha256("".join(f"{role}\n{words}\n" for role, words in turns).encode()).hexdigest()
-            learnt = "".join(chat.unescape(text[span["start"] : span["end"]]) for span in loss)
-            rows.append((conv, len(turns), seen, len(learnt), hashlib.sha256(learnt.encode()).hexdigest(), len(text)))
-        types = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
-        columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, types)]
-        yield pa.RecordBatch.from_arrays(columns, ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+        for *own, piece, is_loss, start in zip(*(batch.column(c).to_pylist() for c in (*chat.KEY, "piece", "is_loss", "start"))):
+            if own != key:
+                if key is not None:
+                    rows.append((key[0], n, seen.hexdigest(), learnt_chars, learnt.hexdigest(), chars))
+                key, n, seen, learnt_chars, learnt, chars = own, 0, hashlib.sha256(), 0, hashlib.sha256(), 0
+            if start != chars:
+                raise ValueError(f"a turn of conversation {own[0]} begins at {start}, not at {chars}")
+            for role, words in chat.read_turns(piece):
+                n += 1
+                seen.update(f"{role}\n{words}\n".encode())
+            if is_loss:
+                words = chat.unescape(piece[len("<s>") : -len("</s>")])
+                learnt_chars += len(words)
+                learnt.update(words.encode())
+            chars += len(piece)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, types)], names)
+    if key is not None:
+        last = (key[0], n, seen.hexdigest(), learnt_chars, learnt.hexdigest(), chars)
+        yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(last, types)], names)
 
 
 def _chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     own = [(-1, turn, role, CONTROL_TEXT) for turn, role in enumerate(("user", "assistant"))]
     turns = turns.union(spark.createDataFrame(own, "conv_id long, turn long, role string, text string"))
-    written = chat.formatted(chat.paths(chat.chain(turns)))
+    written = chat.pieces(chat.paths(chat.chain(turns))).select(*chat.KEY, "position", "piece", "is_loss", "start")
+    written = written.repartition(*chat.KEY).sortWithinPartitions(*chat.KEY, "position")
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    return map_arrow(written.select("tree", "text", "loss"), _read_back, schema)
+    return map_arrow(written, _read_back, schema)
 
 
 def _line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
