@@ -18,7 +18,8 @@ from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.ngram_join import jaccard_join
 from tidemark.llm.packing import pack
 from tidemark.llm.queries import BYTE_BPE, KEEP_SCORE
-from tidemark.llm.tables import looked_up, read, stored
+from tidemark.llm.tables import BROADCAST_BYTES, looked_up, read, stored
+from tidemark.operators.joins import lookup_join
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -47,13 +48,22 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by word 5-grams at 0.8 or more, the one with the smallest doc_id; of repeated rows, one.
+    """Of rows linked by word 5-grams at 0.8 or more, the one with the smallest doc_id; of repeated rows, one.
 
-    Rows that share a doc_id are one document. Documents without words or doc_id stay.
+    Each row goes by its own text, whatever its doc_id; of rows that share the smallest one, the first by hash stays.
+    Documents without words or doc_id stay.
     """
-    found = jaccard_join(docs).component_ids()
-    kept = _without(docs, "doc_id", found.where("doc_id != component_id"))
-    keyed = kept.withColumn("_row", F.xxhash64("doc_id", "text"))
+    rows = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    known = rows.where("doc_id is not null")
+    found = jaccard_join(known.select(F.col("_row").alias("doc_id"), "text")).component_ids()
+    linked = found.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_component"))
+    linked = stored(known.select("doc_id", "_row").distinct().join(linked.distinct(), "_row"), "linked")
+    own = F.struct("doc_id", "_row")
+    first = linked.groupBy("_component").agg(F.min(own).alias("_first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = stored(first.select("_component", "_first"), "first-of-each")
+    others = lookup_join(linked, first, "_component", BROADCAST_BYTES).where(own != F.col("_first"))
+    keyed = _without(rows, "_row", others)
+    kept = keyed.select(docs.columns)
     repeated = keyed.groupBy("_row").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_row")
     repeated = stored(repeated, "repeated")
     if not repeated.limit(1).count():

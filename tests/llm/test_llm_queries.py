@@ -156,3 +156,11 @@ def test_pipeline(spark, sql):
 def test_run(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_classifier", "line_dedup", "ngram_jaccard_join", "benchmark_decontamination", "best_fit_packing"]
     assert corpus_pipeline.run(spark, FOLDER).count() > 0
+
+
+def test_near_duplicates_go_by_row(spark):
+    a, b = " ".join(f"a{n}" for n in range(30)), " ".join(f"b{n}" for n in range(30))
+    rows = [(1, a), (5, a), (5, b), (5, b), (7, b), (None, a), (8, ""), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.keep_one_of_each(spark, docs, FOLDER).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(1, a), (5, b), (None, a), (8, ""), (9, None)], key=str)
