@@ -11,12 +11,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, langid, quality
+from tidemark.llm import bit_kmeans, chat, langid, quality
 from tidemark.llm.bitplane import read_shards, write_shards
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.ngram_join import jaccard_join
 from tidemark.llm.packing import pack
+from tidemark.llm.piece_table import fill_in_middle, restore
 from tidemark.llm.pii import replace_entities
 from tidemark.llm.tables import HELD_OUT, fold, map_arrow, read
 from tidemark.llm.topk import top_k
@@ -127,6 +128,15 @@ def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_shards(shards).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def _clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_kmeans.with_inertia(bit_kmeans.cluster(read(spark, sf_dir, "embeddings")))
+
+
+def _fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    restored = restore(fill_in_middle(read(spark, sf_dir, "documents")).drop("spans"))
+    return restored.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": _packing,
     "op2_decontamination": _decontamination,
@@ -138,11 +148,73 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_top_k": _top_k,
     "op9_language_id": _languages,
     "op10_token_files": _token_files,
+    "op11_centroid_clusters": _clusters,
+    "op12_fill_in_middle": _fill_in_middle,
 }
 
 LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+KEPT_VECTOR = "list_aggregate(list_transform(embedding, lambda x: coalesce(isfinite(x), false)), 'bool_and')"
+
+
+def _assigned_sql(centroids: str) -> str:
+    return f"""SELECT r, vec_id, e, min((d, c)) AS best FROM (
+        SELECT v.r, v.vec_id, v.e, list_sum(list_transform(range(1, 65), lambda i: (v.e[i] - k.e[i]) * (v.e[i] - k.e[i]))) AS d, k.c
+        FROM v, {centroids} AS k) GROUP BY r, vec_id, e"""
+
+
+def _moved_sql(assigned: str, centroids: str) -> str:
+    return f"""SELECT k.c, coalesce(m.e, k.e) AS e FROM {centroids} AS k LEFT JOIN (
+        SELECT c, list(x ORDER BY i) AS e FROM (
+            SELECT c, i, floor(sum(x) / count(*)) AS x
+            FROM (SELECT struct_extract_at(best, 2) AS c, unnest(range(1, 65)) AS i, unnest(e) AS x FROM {assigned}) GROUP BY c, i
+        ) GROUP BY c) AS m ON k.c = m.c"""
+
+
+def _clusters_sql() -> str:
+    steps = []
+    for n in range(bit_kmeans.ROUNDS):
+        steps += [f"a{n} AS MATERIALIZED ({_assigned_sql(f'k{n}')})", f"k{n + 1} AS MATERIALIZED ({_moved_sql(f'a{n}', f'k{n}')})"]
+    last = f"k{bit_kmeans.ROUNDS}"
+    return f"""
+WITH v AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+    FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) = 64 AND {KEPT_VECTOR}
+), k0 AS MATERIALIZED (
+    SELECT c, e FROM (SELECT row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR)), e) - 1 AS c, e FROM v) WHERE c < 40
+), {", ".join(steps)}, last AS MATERIALIZED ({_assigned_sql(last)}
+), placed AS (
+    SELECT vec_id, struct_extract_at(best, 2) AS c, struct_extract_at(best, 1) AS d FROM last
+)
+SELECT vec_id, CAST(placed.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+    CAST(sum(d) OVER (PARTITION BY placed.c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+    sha256(array_to_string(list_transform(k.e, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM placed JOIN {last} AS k ON placed.c = k.c
+"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_centroid_clusters": _clusters_sql(),
+    "op12_fill_in_middle": """
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || CAST(doc_id AS VARCHAR)) AS h FROM documents
+), cut AS (
+    SELECT doc_id, t, length(t) AS n,
+        CAST('0x' || substr(h, 1, 8) AS BIGINT) % (length(t) + 1) AS a, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (length(t) + 1) AS b,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+            WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM d
+), parts AS (
+    SELECT doc_id, t, n, form, substr(t, 1, least(a, b)) AS p, substr(t, least(a, b) + 1, greatest(a, b) - least(a, b)) AS m,
+        substr(t, greatest(a, b) + 1) AS s
+    FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM parts
+""",
     "op2_decontamination": f"""
 WITH dw AS (
     SELECT row_number() OVER () AS r, doc_id,

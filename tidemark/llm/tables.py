@@ -27,6 +27,18 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def picked(df: DataFrame, **kinds: str) -> DataFrame:
+    """The named columns alone, cast to their ``kinds``, whatever else ``df`` holds.
+
+    Columns are found by place, so others whose names differ in case only, or repeat, do no harm: the
+    first of the exact name counts, else the first that is equal but for case.
+    """
+    lowered = [c.lower() for c in df.columns]
+    place = {name: df.columns.index(name) if name in df.columns else lowered.index(name.lower()) for name in kinds}
+    numbered = df.toDF(*[f"c{n}" for n in range(len(lowered))])
+    return numbered.select(*[F.col(f"c{place[name]}").cast(kind).alias(name) for name, kind in kinds.items()])
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 4; 2 marks the held-out rows. A null id counts as the text ""."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4
