@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bit_kmeans, chat, langid, quality
+from tidemark.llm import bit_kmeans, chat, langid, quality, sketch
 from tidemark.llm.bitplane import read_shards, write_shards
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.line_dedup import dedup_lines
@@ -137,6 +137,22 @@ def _fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return restored.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
 
 
+def _fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sketch.fingerprints(read(spark, sf_dir, "documents"))
+    own, edited, other = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        sketch.fingerprint(own).alias("fingerprint"),
+        sketch.fingerprint(edited).alias("edited_fingerprint"),
+        sketch.likeness(own, edited).alias("near_edited"),
+        sketch.likeness(own, other).alias("near_next"),
+        sketch.containment(own, edited).alias("held_by_edited"),
+        sketch.containment(own, other).alias("held_by_next"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": _packing,
     "op2_decontamination": _decontamination,
@@ -150,6 +166,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_files": _token_files,
     "op11_centroid_clusters": _clusters,
     "op12_fill_in_middle": _fill_in_middle,
+    "op13_document_fingerprints": _fingerprints,
 }
 
 LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -193,7 +210,41 @@ FROM placed JOIN {last} AS k ON placed.c = k.c
 """
 
 
+def _sketch_sql(text: str) -> str:
+    """The sketch of a text as a list of hexadecimal numbers."""
+    spaces = " || ".join(f"chr({ord(c)})" for c in "\t\n\x0b\f\r")
+    even = f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || {spaces}, 'abcdefghijklmnopqrstuvwxyz     ')"
+    return f"""(SELECT CASE WHEN len(low) > 0 THEN low ELSE list_slice(list_sort(hashes), 1, 1) END FROM (
+        SELECT hashes, list_sort(list_distinct(list_filter(hashes, lambda h: h < '200000000000000'))) AS low FROM (
+            SELECT list_transform(range(1, CASE WHEN len(w) = 0 THEN 1 ELSE greatest(len(w) - 4, 1) + 1 END),
+                lambda i: substr(md5(array_to_string(list_slice(w, i, i + 4), ' ')), 1, 15)) AS hashes
+            FROM (SELECT list_filter(string_split({even}, ' '), lambda x: x <> '') AS w))))"""
+
+
+def _likeness_sql(a: str, b: str) -> str:
+    return f"""CASE WHEN len({a}) + len({b}) = 0 THEN 1.0
+        ELSE len(list_intersect({a}, {b})) / CAST(len({a}) + len({b}) - len(list_intersect({a}, {b})) AS DOUBLE) END"""
+
+
+def _containment_sql(a: str, b: str) -> str:
+    return f"CASE WHEN len({a}) = 0 THEN 1.0 ELSE len(list_intersect({a}, {b})) / CAST(len({a}) AS DOUBLE) END"
+
+
 ORACLES: dict[str, str] = {
+    "op13_document_fingerprints": f"""
+WITH d AS MATERIALIZED (
+    SELECT doc_id, t, length(t) AS n, coalesce(lead(t) OVER (ORDER BY doc_id), first_value(t) OVER (ORDER BY doc_id)) AS ahead
+    FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+), e AS MATERIALIZED (
+    SELECT doc_id, n, t, ahead, substr(t, 1, n - n // 4) || substr(ahead, 1, n // 4) AS edited FROM d
+), s AS MATERIALIZED (
+    SELECT doc_id, n, sha256(edited) AS edited_sha256, {_sketch_sql("t")} AS a, {_sketch_sql("edited")} AS b, {_sketch_sql("ahead")} AS c FROM e
+)
+SELECT doc_id, n AS n_chars, edited_sha256, array_to_string(a, ',') AS fingerprint, array_to_string(b, ',') AS edited_fingerprint,
+    CAST({_likeness_sql("a", "b")} AS DOUBLE) AS near_edited, CAST({_likeness_sql("a", "c")} AS DOUBLE) AS near_next,
+    CAST({_containment_sql("a", "b")} AS DOUBLE) AS held_by_edited, CAST({_containment_sql("a", "c")} AS DOUBLE) AS held_by_next
+FROM s
+""",
     "op11_centroid_clusters": _clusters_sql(),
     "op12_fill_in_middle": """
 WITH d AS (
