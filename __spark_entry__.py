@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -44,11 +43,16 @@ from tidemark.streaming.report import ReportStep, run_report_builtin, run_report
 from tidemark.workspace import new_folder, use_utc, written
 
 # Training-data operators and the corpus pipeline are a part that may be left out.
-HAS_LLM = importlib.util.find_spec("tidemark.llm") is not None and importlib.util.find_spec("corpus_pipeline") is not None
-if HAS_LLM:
+try:
     import corpus_pipeline
     from tidemark.llm.queries import ORACLES as LLM_ORACLES
     from tidemark.llm.queries import QUERIES as LLM_QUERIES
+except ImportError as missing:
+    # Said aloud, so that a part that should be there isn't missed in silence.
+    print(f"training-data queries are left out: {missing}", file=sys.stderr)
+    HAS_LLM = False
+else:
+    HAS_LLM = True
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -57,13 +57,18 @@ def new_folder(spark: SparkSession, name: str) -> str:
 _scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
 
 
+def table_path(spark: SparkSession, name: str) -> str:
+    """A new folder for a table, inside the open ``scratch`` if there is one."""
+    parent = _scratch.get()
+    return f"{parent}/{name}-{uuid.uuid4().hex}" if parent else new_folder(spark, name)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and kept when executors are lost.
 
     Like checkpoint files, the table stays until the folder is cleared, unless ``scratch`` is open.
     """
-    parent = _scratch.get()
-    path = f"{parent}/{name}-{uuid.uuid4().hex}" if parent else new_folder(df.sparkSession, name)
+    path = table_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
