@@ -135,3 +135,55 @@ def test_hot_key_is_spread_and_cold_keys_are_not_repeated(spark):
         spark.conf.set("spark.sql.adaptive.enabled", before)
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def written(df):
+    return [row["value"] for row in df.collect()]
+
+
+def test_open_items_pass_through_as_they_are_written(values, dim):
+    """Signs of the private use area, numbers that no type holds, spaces, escapes and long texts."""
+    items = [
+        '{"a":"x\ue000y\ue001","n":0.30,"e":1.5e400}',
+        '{ "n" : -0.0 , "s" : "\\" 1.50, {\\" " }',
+        '{"s":"' + "ab\\n" * 20_000 + '","n":1.10}',
+        '{"d":' + "[" * 90 + "1.50" + "]" * 90 + "}",
+        '{"q":"it\'s [1.0}","\\u0061rea":"kept?"}',
+    ]
+    text = '{"dt":"2024-01-01 00:00:00","countryCode":"NL","data":[' + " , ".join(items) + "]}"
+    got = written(clean_messages(values(text), dim).json)
+    put = ['"area":"NORTH","dt":"2024-01-01 00:00:00"'] * 5
+    whole = [f"{items[0][:-1]},{put[0]}}}", f"{items[1][:-1]},{put[0]}}}", f"{items[2][:-1]},{put[0]}}}", f"{items[3][:-1]},{put[0]}}}"]
+    assert sorted(got) == sorted([*whole, '{"q":"it\'s [1.0}",' + put[0] + "}"])
+
+
+def test_an_open_field_is_cut_out_where_it_stands(values, dim):
+    text = '{"dt":"2024-01-01 00:00:00","countryCode":"NL","data":[{"dt" : 0.30, "a":{"area":1.0,"x":null} ,"gone": null,"a":[2.50, null],"area":[{}]}]}'
+    got = written(clean_messages(values(text), dim).json)
+    assert got == ['{"a":[2.50, null],"area":"NORTH","dt":"2024-01-01 00:00:00"}']
+
+
+def test_open_items_of_lenient_or_deep_texts(values, dim):
+    """Single quotes and bare names are written anew, but for their numbers; so are very deep items."""
+    deep = "[" * 150 + "1.5" + "]" * 150
+    for data in ("[{'a':0.30,b:\"x\ue000\"}]", '[{"a":0.30,"b":"x\ue000"}, ' + deep + "]"):
+        text = '{"dt":"2024-01-01 00:00:00",countryCode:"NL","data":' + data + "}"
+        got = written(clean_messages(values(text), dim).json)
+        assert got == ['{"a":0.30,"b":"x\ue000","area":"NORTH","dt":"2024-01-01 00:00:00"}']
+
+
+def test_members_and_elements_of_odd_envelopes(values, dim):
+    head = '{"dt":"2024-01-01 00:00:00","countryCode":"NL"'
+    for text, records, reasons in [
+        (head + ',"data":[]}', 0, []),
+        (head + ',"data":[ ] , "data" : [ {} ] }', 1, []),
+        (head + ',"data":{}}', 0, ["no_data"]),
+        (head + ',"data":"[{}]"}', 0, ["no_data"]),
+        (head + "}", 0, ["no_data"]),
+        (head + ',"d\\u0061ta":[{"a":1.50}]}', 1, []),
+        (head + ',"data":[null,[1],{"a":1}]}', 1, ["bad_item", "bad_item"]),
+        (head + ',"data":[{"a":1}]}}', 0, ["malformed_json"]),
+        (head + ',"data":[{"a":1]}', 0, ["malformed_json"]),
+    ]:
+        cleaned = clean_messages(values(text), dim)
+        assert (cleaned.json.count(), sorted(r["reason"] for r in cleaned.bad.collect())) == (records, reasons), text

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions.json_text import is_broken, mark_numbers, put_fields, read_fields, unmark_numbers
+from tidemark.functions.json_text import is_broken, put_fields, read_fields
 from tidemark.functions.texts import document_id, split_codes, tab_line
 from tidemark.functions.times import format_ms, parse_time, window_number
 
@@ -42,8 +42,8 @@ def test_read_fields(values, text, expected):
 
 
 def put(values, text, **new):
-    column = put_fields(mark_numbers(F.col("value")), {name: F.lit(value).cast("string") for name, value in new.items()})
-    return values(text).select(unmark_numbers(column)).first()[0]
+    column = put_fields(F.col("value"), {name: F.lit(value).cast("string") for name, value in new.items()})
+    return values(text).select(column).first()[0]
 
 
 def test_put_fields_keeps_unknown_and_nested_fields(values):

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.json_spans import bare_element, bare_member, element_spans, member_spans, value_of, whole
+
 BROKEN = "_broken"
 _READ = {"mode": "PERMISSIVE", "allowUnquotedFieldNames": "true"}
-#: Private-use characters around a number that is kept as text.
-_OPEN, _CLOSE = "\ue000", "\ue001"
-_STRING = r'"(?:[^"\\]|\\.)*"' + "|" + r"'(?:[^'\\]|\\.)*'"
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"' + "|" + r"'[^'\\]*+(?:\\.[^'\\]*+)*+'"
 _NUMBER = r"(?<![\w$.+-])-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?(?![\w$.])"
 
 
@@ -37,25 +37,71 @@ def read_object(text: Column | str, fields: str) -> Column:
     return F.from_json(text, f"{fields}, {BROKEN} string", options)
 
 
-def mark_numbers(text: Column) -> Column:
+def _marks(text: Column) -> tuple[Column, Column]:
+    """What stands around a number that is kept as text: a hash of the whole text, which the text doesn't hold."""
+    own = F.hex(F.xxhash64(text))
+    return F.concat(F.lit("\ue000"), own, F.lit(":")), F.concat(F.lit(":"), own, F.lit("\ue001"))
+
+
+def _marked(text: Column) -> Column:
     """The same JSON with every number in marked quotes, so that parsing leaves its text as it is."""
-    marked = F.regexp_replace(text, f"({_STRING})|({_NUMBER})", f"$1{_OPEN}$2{_CLOSE}")
-    marked = F.replace(marked, F.lit(_OPEN + _CLOSE), F.lit(""))
-    marked = F.replace(F.replace(marked, F.lit(_OPEN), F.lit(f'"{_OPEN}')), F.lit(_CLOSE), F.lit(f'{_CLOSE}"'))
-    return F.when(F.regexp_like(text, F.lit(f"[{_OPEN}{_CLOSE}]")), text).otherwise(marked)
+    opening, closing = _marks(text)
+    marked = F.regexp_replace(text, F.lit(f"(?s)({_STRING})|({_NUMBER})"), F.concat(F.lit("$1"), opening, F.lit("$2"), closing))
+    marked = F.replace(marked, F.concat(opening, closing), F.lit(""))
+    return F.replace(F.replace(marked, opening, F.concat(F.lit('"'), opening)), closing, F.concat(closing, F.lit('"')))
+
+
+def _unmarked(text: Column, whole_text: Column) -> Column:
+    opening, closing = _marks(whole_text)
+    return F.replace(F.replace(text, F.concat(F.lit('"'), opening), F.lit("")), F.concat(closing, F.lit('"')), F.lit(""))
+
+
+def last_member(spans: Column, name: str) -> Column:
+    """The text of the last member called ``name``, null if there is none; ``name`` needs no escapes."""
+    return value_of(F.get(F.reverse(F.filter(spans, lambda span: F.regexp_like(span, F.lit(rf'\A\s*+[{{,]\s*+"{name}"\s*+:')))), F.lit(0)))
+
+
+def plain_members(text: Column, spans: Column) -> Column:
+    """Whether ``spans`` are all members of the object ``text``, and none of their names has an escape."""
+    escaped = F.exists(spans, lambda span: F.regexp_like(span, F.lit(r'\A\s*+[{,]\s*+"[^"\\]*+\\')))
+    return whole(text, spans, "{", "}") & ~escaped
+
 
+def elements(text: Column, spans: Column, name: str) -> Column:
+    """The elements of the array that the object ``text`` calls ``name``, each as it is written; null if it has no such array.
+
+    ``spans`` are the object's members. A null element is null, a string is what it says. A text that isn't strict JSON, with
+    single quotes or bare names, or is nested deeper than a hundred levels, is written anew, but for
+    its numbers.
+    """
+    array = last_member(spans, name)
+
+    def one(item: Column) -> Column:
+        decoded = F.from_json(F.concat(F.lit("["), item, F.lit("]")), "array<string>")[0]
+        return F.when(F.startswith(item, F.lit('"')), decoded).when(item != "null", item)
+
+    def of(all_of: Column) -> Column:
+        good, array, found = all_of["good"], all_of["array"], all_of["found"]
+        nothing = F.when(good & ~F.coalesce(F.startswith(array, F.lit("[")), F.lit(False)), True)
+        spelt = F.transform(F.transform(found, bare_element), one)
+        return F.when(nothing, None).when(good & whole(array, found, "[", "]"), spelt).otherwise(_rewritten(text, name))
+
+    good = plain_members(text, spans)
+    bound = F.struct(good.alias("good"), array.alias("array"), F.when(good, element_spans(array)).alias("found"))
+    return F.transform(F.array(bound), of)[0]
 
-def unmark_numbers(text: Column) -> Column:
-    bare = F.replace(F.replace(text, F.lit(f'"{_OPEN}'), F.lit("")), F.lit(f'{_CLOSE}"'), F.lit(""))
-    return F.translate(bare, _OPEN + _CLOSE, "")
+
+def _rewritten(text: Column, name: str) -> Column:
+    found = F.from_json(_marked(text), f"{name} array<string>", _READ)[name]
+    return F.transform(found, lambda item: _unmarked(item, text))
 
 
 def put_fields(text: Column, new: dict[str, Column]) -> Column:
     """The JSON object ``text`` with string fields set or overwritten; null if it is no object.
 
-    Top-level null fields are left out. All else stays as it is written, by putting the new fields
-    before the closing brace; only objects that repeat a name, hold a name that is set, or may hold a
-    null are taken apart, and keep the last field of each name.
+    Top-level null fields are left out, and of fields with one name all but the last. All else stays as
+    it is written: the new fields are put before the closing brace, after members that go are cut out.
+    Only an object nested deeper than a hundred levels is taken apart and written anew.
     """
     names = F.json_object_keys(text)
     added = F.to_json(F.struct(*[value.cast("string").alias(name) for name, value in new.items()]))
@@ -64,7 +110,22 @@ def put_fields(text: Column, new: dict[str, Column]) -> Column:
     spliced = F.when(added == "{}", text).otherwise(spliced)
     simple = ~F.contains(text, F.lit("null")) & ~F.arrays_overlap(names, F.array(*map(F.lit, new)))
     simple = simple & (F.size(F.array_distinct(names)) == F.size(names)) & F.endswith(text, F.lit("}"))
-    return F.when(names.isNull(), None).when(simple, spliced).otherwise(_rebuilt(text, new))
+
+    def cut(own: Column) -> Column:
+        spans, kinds, put = own["spans"], own["names"], own["added"]
+        kept = F.filter(spans, lambda span, i: _stays(span, F.get(kinds, i), F.slice(kinds, i + 2, F.size(kinds)), new))
+        joined = F.concat_ws(",", F.transform(kept, bare_member), F.nullif(F.substring(put, F.lit(2), F.length(put) - 2), F.lit("")))
+        aligned = (F.size(spans) == F.size(kinds)) & whole(text, spans, "{", "}")
+        return F.when(aligned, F.concat(F.lit("{"), joined, F.lit("}"))).otherwise(_rebuilt(text, new))
+
+    # Bound by a lambda, what all members need is worked out once.
+    bound = F.array(F.struct(member_spans(text).alias("spans"), names.alias("names"), added.alias("added")))
+    return F.when(names.isNull(), None).when(simple, spliced).otherwise(F.transform(bound, cut)[0])
+
+
+def _stays(span: Column, name: Column, later: Column, new: dict[str, Column]) -> Column:
+    """Whether a member is neither overwritten, nor null, nor followed by one of its name."""
+    return ~name.isin(*new) & ~F.endswith(span, F.lit("null")) & ~F.array_contains(later, name)
 
 
 def _rebuilt(text: Column, new: dict[str, Column]) -> Column:

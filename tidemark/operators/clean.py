@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.json_text import BROKEN, is_broken, mark_numbers, put_fields, read_fields, read_object, unmark_numbers
+from tidemark.functions.json_spans import member_spans
+from tidemark.functions.json_text import BROKEN, elements, is_broken, last_member, put_fields, read_fields, read_object
 from tidemark.functions.once import with_once
 from tidemark.operators.joins import BROADCAST_BYTES, lookup_join
 
@@ -16,14 +17,23 @@ def parse_envelopes(messages: DataFrame, item_fields: str | None = None) -> Data
     """``value`` text to ``(value, dt, countryCode, data, reason)``, with ``data`` an array of JSON texts.
 
     With ``item_fields`` (DDL of the item's fields) items will become structs of those fields. Without,
-    fields nobody has named pass through, numbers as they are written. ``reason`` is null for an
-    envelope that can be exploded; a text with anything after its object is malformed.
+    fields nobody has named pass through as they are written. ``reason`` is null for an envelope that
+    can be exploded; a text with anything after its object is malformed.
     """
-    text = F.col("value") if item_fields else mark_numbers(F.col("value"))
-    parsed = with_once(messages, "_p", read_fields(text, "dt string, countryCode string, data array<string>"))
-    reason = F.when(is_broken("_p"), "malformed_json").when(F.col("_p.data").isNull(), "no_data")
-    header = [F.col(f"_p.{name}") if item_fields else unmark_numbers(F.col(f"_p.{name}")).alias(name) for name in ("dt", "countryCode")]
-    return parsed.select("value", *header, "_p.data", reason.alias("reason"))
+    header = ("dt", "countryCode")
+    if item_fields:
+        parsed = with_once(messages, "_p", read_fields("value", "dt string, countryCode string, data array<string>"))
+        parsed = parsed.withColumns({name: F.col(f"_p.{name}") for name in (*header, "data")})
+    else:
+        parsed = with_once(messages, "_p", read_fields("value", "dt string, countryCode string"))
+        parsed = with_once(parsed, "_m", member_spans(F.col("value")))
+        # A number in the header keeps its text, too.
+        own = {name: last_member(F.col("_m"), name) for name in header}
+        number = {name: F.regexp_like(raw, F.lit(r"\A-?\d")) for name, raw in own.items()}
+        parsed = parsed.withColumns({name: F.when(number[name], own[name]).otherwise(F.col(f"_p.{name}")) for name in header})
+        parsed = with_once(parsed, "data", F.when(~is_broken("_p"), elements(F.col("value"), F.col("_m"), "data")))
+    reason = F.when(is_broken("_p"), "malformed_json").when(F.col("data").isNull(), "no_data")
+    return parsed.select("value", *header, "data", reason.alias("reason"))
 
 
 def enrich(
@@ -49,10 +59,8 @@ def explode_items(enriched: DataFrame, item_fields: str | None = None) -> DataFr
     if item_fields:
         parsed = with_once(exploded, "fields", read_object("item", item_fields))
         return parsed.withColumn("reason", F.when(is_broken("fields"), "bad_item"))
-    record = put_fields(F.col("item"), {name: F.col(name) for name in ADDED})
-    parsed = with_once(exploded, "record", unmark_numbers(record))
-    parsed = parsed.withColumn("reason", F.when(F.col("record").isNull(), "bad_item"))
-    return parsed.withColumn("item", unmark_numbers(F.col("item")))
+    parsed = with_once(exploded, "record", put_fields(F.col("item"), {name: F.col(name) for name in ADDED}))
+    return parsed.withColumn("reason", F.when(F.col("record").isNull(), "bad_item"))
 
 
 def record_columns(items: DataFrame) -> DataFrame:
