@@ -18,8 +18,10 @@ from tidemark.functions.times import format_ms, parse_time
 from tidemark.operators.areas import invert_areas
 from tidemark.operators.audit import bad_rows, good_rows, parse_audit
 from tidemark.operators.clean import parse_envelopes
+from tidemark.operators.joins import BROADCAST_BYTES
+from tidemark.operators.versions import invert_versions
 from tidemark.operators.windows import report_docs, sorted_event_times, window_counts
-from tidemark.plans.clean import Cleaned, clean_messages
+from tidemark.plans.clean import Cleaned, clean_messages, clean_messages_as_of
 from tidemark.plans.report import Report, report_messages
 from tidemark.plans.tables import (
     DAY,
@@ -28,6 +30,7 @@ from tidemark.plans.tables import (
     MINUTE,
     MINUTE_DELAY_MS,
     area_hash,
+    area_log,
     arrivals,
     audit_messages,
     order_messages,
@@ -208,6 +211,18 @@ def _date_part() -> Column:
     return F.when(first, 0).when(second, 1).otherwise(2)
 
 
+def _as_of(max_broadcast: int = BROADCAST_BYTES) -> Query:
+    """All orders in one pass, each with the area table of its day."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        messages = order_messages(use_utc(spark), sf_dir)
+        messages = messages.withColumn("arrival", F.unix_micros(F.col("ordered_on").cast("timestamp")))
+        versions = invert_versions(area_log(spark, sf_dir))
+        return clean_messages_as_of(messages, versions, "arrival", None, ITEM_FIELDS, max_broadcast).columns
+
+    return query
+
+
 # Streams. Each writes the messages to a folder in parts, and the job takes one part per micro-batch.
 
 
@@ -308,6 +323,8 @@ def queries() -> dict[str, Query]:
         "clean_items_other_shuffled": lambda spark, sf_dir: _cleaned(spark, sf_dir, OTHER_AREA, shuffled=True).columns,
         "clean_json_roundtrip": lambda spark, sf_dir: _json_columns(_cleaned(spark, sf_dir).json, CLEAN_FIELDS),
         "clean_open_schema": _open_schema,
+        "dim_as_of": _as_of(),
+        "dim_as_of_shuffled": _as_of(max_broadcast=0),
         "dim_replacement": _dim_replacement,
         "json_get": _json_get,
         "json_put": _json_put,

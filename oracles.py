@@ -218,6 +218,20 @@ DIM_REPLACEMENT = f"""
     UNION ALL
     {_clean("areas.area", areas=AREAS_MOVED)} WHERE o_orderdate >= DATE '1999-01-01'"""
 
+# Refresh n of ten, a year after the one before, moves the nations n regions on; refreshes 4 and 9 find nothing.
+DIM_AS_OF = f"""
+    WITH placed AS (
+        SELECT r_regionkey, r_name, row_number() OVER (ORDER BY r_regionkey) - 1 AS place, count(*) OVER () AS n FROM region),
+    refreshes AS (
+        SELECT i, make_timestamp(1993 + i, 7, 1, 0, 0, 0.0) AS since FROM (SELECT unnest(range(0, 10)) AS i) WHERE i % 5 <> 4),
+    spans AS (SELECT i, since, lead(since) OVER (ORDER BY since) AS until FROM refreshes),
+    versions AS (
+        SELECT since, until, n_name AS country_code, moved.r_name AS area
+        FROM spans, nation JOIN placed ON n_regionkey = placed.r_regionkey
+        JOIN placed moved ON moved.place = (placed.place + spans.i) % placed.n)
+    SELECT {ITEM}, versions.area AS area, {ORDERED} AS dt
+    FROM {ITEMS} LEFT JOIN versions ON country_code = {CODE} AND o_orderdate >= since AND (until IS NULL OR o_orderdate < until)"""
+
 JSON_GET = "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events"
 # All that the text holds stays as it is written.
 JSON_PUT = """
@@ -242,6 +256,8 @@ ORACLES: dict[str, str] = {
     "clean_items_other_shuffled": _clean("coalesce(areas.area, 'other')"),
     "clean_json_roundtrip": _clean("areas.area"),
     "clean_open_schema": CLEAN_OPEN,
+    "dim_as_of": DIM_AS_OF,
+    "dim_as_of_shuffled": DIM_AS_OF,
     "dim_replacement": DIM_REPLACEMENT,
     "json_get": JSON_GET,
     "json_put": JSON_PUT,

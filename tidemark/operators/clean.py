@@ -9,16 +9,17 @@ from tidemark.functions.json_spans import member_spans
 from tidemark.functions.json_text import BROKEN, elements, is_broken, last_member, put_fields, read_fields, read_object
 from tidemark.functions.once import with_once
 from tidemark.operators.joins import BROADCAST_BYTES, lookup_join
+from tidemark.operators.versions import as_of_lookup
 
 ADDED = ("area", "dt")
 
 
-def parse_envelopes(messages: DataFrame, item_fields: str | None = None) -> DataFrame:
+def parse_envelopes(messages: DataFrame, item_fields: str | None = None, kept: tuple[str, ...] = ()) -> DataFrame:
     """``value`` text to ``(value, dt, countryCode, data, reason)``, with ``data`` an array of JSON texts.
 
     With ``item_fields`` (DDL of the item's fields) items will become structs of those fields. Without,
     fields nobody has named pass through as they are written. ``reason`` is null for an envelope that
-    can be exploded; a text with anything after its object is malformed.
+    can be exploded; a text with anything after its object is malformed. Columns ``kept`` come along.
     """
     header = ("dt", "countryCode")
     if item_fields:
@@ -33,7 +34,7 @@ def parse_envelopes(messages: DataFrame, item_fields: str | None = None) -> Data
         parsed = parsed.withColumns({name: F.when(number[name], own[name]).otherwise(F.col(f"_p.{name}")) for name in header})
         parsed = with_once(parsed, "data", F.when(~is_broken("_p"), elements(F.col("value"), F.col("_m"), "data")))
     reason = F.when(is_broken("_p"), "malformed_json").when(F.col("data").isNull(), "no_data")
-    return parsed.select("value", *header, "data", reason.alias("reason"))
+    return parsed.select("value", *header, "data", reason.alias("reason"), *kept)
 
 
 def enrich(
@@ -47,6 +48,15 @@ def enrich(
     return found.withColumn("area", F.coalesce("area", F.lit(default_area).cast("string")))
 
 
+def enrich_as_of(
+    envelopes: DataFrame, versions: DataFrame, arrival: str, default_area: str | None = None, max_broadcast: int = BROADCAST_BYTES
+) -> DataFrame:
+    """``enrich`` by the table that was in force when each envelope arrived; see ``as_of_lookup``."""
+    table = versions.withColumnRenamed("country_code", "countryCode")
+    found = as_of_lookup(envelopes, table, "countryCode", arrival, max_broadcast)
+    return found.withColumn("area", F.coalesce("area", F.lit(default_area).cast("string")))
+
+
 def explode_items(enriched: DataFrame, item_fields: str | None = None) -> DataFrame:
     """One row per element of ``data``: ``(item, area, dt, reason)``, and ``fields`` or ``record``.
 

@@ -38,3 +38,21 @@ def clean_messages(
     envelopes = clean.parse_envelopes(messages, item_fields)
     items = clean.explode_items(clean.enrich(envelopes, dim, default_area, max_broadcast), item_fields)
     return Cleaned(items, clean.bad_envelopes(envelopes))
+
+
+def clean_messages_as_of(
+    messages: DataFrame,
+    versions: DataFrame,
+    arrival: str = "arrival",
+    default_area: str | None = None,
+    item_fields: str | None = None,
+    max_broadcast: int = BROADCAST_BYTES,
+) -> Cleaned:
+    """Envelope texts with their ``arrival`` to items, each with the area that its code had at that moment.
+
+    ``versions`` are the area tables of a span of time in one, as ``invert_versions`` makes them: a whole
+    past can be cleaned again in one pass, with what a job running at the time would have found.
+    """
+    envelopes = clean.parse_envelopes(messages, item_fields, (arrival,))
+    enriched = clean.enrich_as_of(envelopes, versions, arrival, default_area, max_broadcast)
+    return Cleaned(clean.explode_items(enriched, item_fields), clean.bad_envelopes(envelopes))

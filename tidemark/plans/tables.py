@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ ITEM_FIELDS = "type string, score double, level string"
 UNMAPPED_EVERY, UNMAPPED_CODE = 10, "NOWHERE"
 DAMAGED_EVERY = 11
 DELAYED_EVERY = 7
+FIRST_REFRESH, REFRESHES = 1993, 10
 ITEMS_PER_ENVELOPE = 65_536
 # Texts that must pass through an open item as they are.
 EXACT = '[123456789012345678901234567890123456789012345,0.30,1.5e400,{"x":null}]'
@@ -92,6 +95,19 @@ def area_hash(spark: SparkSession, sf_dir: str, shift: int = 0) -> DataFrame:
     )
 
 
+def area_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten refreshes of the area table, ``(version, area, codes)``, a year apart; every fifth finds it empty.
+
+    Each moves the nations one region on; ``version`` is the moment of the refresh in microseconds.
+    """
+    found = []
+    for n in range(REFRESHES):
+        if n % 5 != 4:
+            moment = F.unix_micros(F.lit(f"{FIRST_REFRESH + n}-07-01 00:00:00").cast("timestamp"))
+            found.append(area_hash(spark, sf_dir, shift=n).select(moment.alias("version"), "area", "codes"))
+    return reduce(DataFrame.union, found)
+
+
 def _moved(region: DataFrame, shift: int) -> DataFrame:
     """Each region's key, and the key ``shift`` places on among those that exist, in a circle."""
     keys = region.agg(F.sort_array(F.collect_set("r_regionkey")).alias("keys"))
