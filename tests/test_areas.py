@@ -1,7 +1,8 @@
 import pytest
 
 from tidemark.operators.areas import invert_areas
-from tidemark.sources.areas import AreaSnapshots
+from tidemark.sources.areas import AreaSnapshots, PinnedAreas
+from tidemark.workspace import has_folder
 
 HASH = [("NORTH", "NL"), ("EAST", "BQ,CW"), ("SOUTH", "LU,MC,VA"), ("WEST", "ZZ")]
 
@@ -73,3 +74,35 @@ def test_first_read_must_work(spark):
 
 def test_empty_at_start_maps_nothing(spark):
     assert codes(AreaSnapshots(lambda: table(spark, [])).current()) == {}
+
+
+def test_a_batch_keeps_the_version_it_read_first(spark, tmp_path, caplog):
+    source = {"rows": [("OLD", "NL")]}
+
+    def load():
+        if source["rows"] is None:
+            raise OSError("no connection")
+        return table(spark, source["rows"])
+
+    def job(**settings):
+        return PinnedAreas(AreaSnapshots(load, max_age=0), f"{tmp_path}/areas", **settings)
+
+    first = job()
+    assert codes(first.for_batch(spark, 0)) == {"NL": "OLD"}
+    source["rows"] = [("NEW", "NL,BQ")]
+    assert codes(first.for_batch(spark, 0)) == {"NL": "OLD"}
+    assert codes(first.for_batch(spark, 1)) == {"NL": "NEW", "BQ": "NEW"}
+    source["rows"] = []
+    assert codes(first.for_batch(spark, 2)) == {"NL": "NEW", "BQ": "NEW"}
+
+    source["rows"] = None  # a new job, which can't reach the source
+    second = job(keep=2)
+    assert codes(second.for_batch(spark, 0)) == {"NL": "OLD"}
+    assert codes(second.for_batch(spark, 3)) == {"NL": "NEW", "BQ": "NEW"} and "going on" in caplog.text
+    source["rows"] = [("LAST", "ZZ")]
+    for batch_id in (4, 5, 6):
+        assert codes(second.for_batch(spark, batch_id)) == {"ZZ": "LAST"}
+    kept = [n for n in range(7) if has_folder(spark, f"{tmp_path}/areas/batches/{n}")]
+    assert kept == [0, 5, 6]  # batch 0 was there before this job, which keeps two
+    with pytest.raises(OSError):
+        PinnedAreas(AreaSnapshots(lambda: (_ for _ in ()).throw(OSError("none"))), f"{tmp_path}/other").for_batch(spark, 0)

@@ -279,6 +279,43 @@ def test_builtin_watermark(spark, tmp_path, rows):
     }
 
 
+def test_clean_batch_that_is_run_again_meets_the_same_areas(spark, tmp_path):
+    """The sink fails after the area table was read; the table changes, and a new job runs the batch again."""
+    source = {"rows": [("OLD", "NL")]}
+    sink, fails = folder_sink(f"{tmp_path}/out", "text"), [False, True]
+
+    def failing(df, batch_id):
+        sink(df, batch_id)
+        if fails[batch_id]:
+            fails[batch_id] = False
+            raise OSError("no space left")
+
+    def run():
+        areas = AreaSnapshots(lambda: spark.createDataFrame(source["rows"], "area string, codes string"), max_age=0)
+        incoming = read_messages(spark, "parquet", True, "value string", path=f"{tmp_path}/in")
+        query = run_clean(incoming, areas, failing, f"{tmp_path}/checkpoint", folder_sink(f"{tmp_path}/bad"), trigger=NOW)
+        query.awaitTermination()
+
+    def send(n):
+        text = json.dumps({"dt": str(n), "countryCode": "NL", "data": [{"type": "x"}]})
+        spark.createDataFrame([(text,)], "value string").write.mode("append").parquet(f"{tmp_path}/in")
+
+    def found():
+        records = [json.loads(row["value"]) for row in read_folder(spark, f"{tmp_path}/out", "value string", "text").collect()]
+        return sorted((r["dt"], r["area"]) for r in records)
+
+    send(0)
+    run()
+    source["rows"] = [("SECOND", "NL")]
+    send(1)
+    with pytest.raises(Exception, match="no space left"):
+        run()
+    before = found()
+    source["rows"] = [("THIRD", "NL")]
+    run()
+    assert found() == before == [("0", "OLD"), ("1", "SECOND")]
+
+
 def test_clean_stream_takes_the_table_of_each_batch(spark, tmp_path):
     versions = iter([[("OLD", "NL,CW")], [], [("NEW", "NL")]])
     areas = AreaSnapshots(lambda: spark.createDataFrame(next(versions), "area string, codes string"), max_age=0)

@@ -6,14 +6,16 @@ import logging
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.areas import invert_areas
 from tidemark.settings import AREA_REFRESH_SECONDS
-from tidemark.workspace import drop_folder, new_folder
+from tidemark.workspace import drop_folder, has_folder, new_folder
 
 log = logging.getLogger(__name__)
 
+CODES = "country_code string, area string"
+
 
 class AreaSnapshots:
     """Hands out the country-to-area table, renewed once it is older than ``max_age`` seconds.
@@ -69,3 +71,61 @@ class AreaSnapshots:
         self._folders.append(folder)
         if len(self._folders) > self._keep:
             drop_folder(spark, self._folders.pop(0))
+
+
+class PinnedAreas:
+    """Says which area table a micro-batch uses, and says the same when the batch runs again.
+
+    ``folder``, beside the query's checkpoint, holds ``versions``, the tables that batches have used, and
+    ``batches``, for each batch the version it read first. Both outlive the job: a batch that failed, or
+    whose end the checkpoint doesn't know of, meets the table it met before, whatever the source has become. Where the
+    source can't be read when a job starts, the last version used stays in force.
+
+    The last ``keep`` batches stay listed, and so do the versions that they name.
+    """
+
+    def __init__(self, areas: AreaSnapshots, folder: str, keep: int = 100):
+        self._areas = areas
+        self._folder = folder
+        self._keep = keep
+        self._written: tuple[DataFrame, int] | None = None
+
+    def for_batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        version = self._named(spark, batch_id)
+        if version is None:
+            version = self._newest(spark, batch_id)
+            named = spark.createDataFrame([(version,)], "version bigint").coalesce(1)
+            named.write.mode("overwrite").parquet(f"{self._folder}/batches/{batch_id}")
+            self._forget(spark, batch_id - self._keep, batch_id)
+        return spark.read.schema(CODES).parquet(f"{self._folder}/versions/{version}")
+
+    def _named(self, spark: SparkSession, batch_id: int) -> int | None:
+        """The version that a batch has read; None if it hasn't got so far."""
+        path = f"{self._folder}/batches/{batch_id}"
+        if batch_id < 0 or not has_folder(spark, f"{path}/_SUCCESS"):
+            return None
+        return spark.read.schema("version bigint").parquet(path).first()["version"]
+
+    def _newest(self, spark: SparkSession, batch_id: int) -> int:
+        """Called after the batch that first uses it; the one before if the source has not changed or can't be read."""
+        try:
+            table = self._areas.current()
+        except Exception:
+            before = self._named(spark, batch_id - 1)
+            if before is None:
+                raise
+            log.exception("cannot read the area table, going on with that of the batch before")
+            return before
+        if self._written is None or self._written[0] is not table:
+            table.write.mode("overwrite").parquet(f"{self._folder}/versions/{batch_id}")
+            self._written = table, batch_id
+        return self._written[1]
+
+    def _forget(self, spark: SparkSession, old: int, batch_id: int) -> None:
+        gone = self._named(spark, old)
+        if gone is None:
+            return
+        drop_folder(spark, f"{self._folder}/batches/{old}")
+        # Versions only rise, so the oldest batch left names the oldest version that is still needed.
+        if self._named(spark, old + 1) != gone:
+            drop_folder(spark, f"{self._folder}/versions/{gone}")

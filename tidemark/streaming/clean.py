@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators import clean
 from tidemark.plans.clean import clean_messages
 from tidemark.sinks.writers import Sink
-from tidemark.sources.areas import AreaSnapshots
+from tidemark.sources.areas import AreaSnapshots, PinnedAreas
 
 
 def run_clean(
@@ -24,15 +24,17 @@ def run_clean(
 ) -> StreamingQuery:
     """Start the clean job: JSON records to ``sink``, unusable envelopes and items to ``bad_sink``.
 
-    Every micro-batch looks up the area table of its own start. ``checkpoint`` lets a restarted job go
+    Every micro-batch looks up the area table of its own start, and a batch that is run again the table
+    that it read first (``PinnedAreas``, beside the checkpoint). ``checkpoint`` lets a restarted job go
     on after the last finished batch. The default trigger runs a batch a minute.
     """
+    pinned = PinnedAreas(areas, f"{checkpoint.rstrip('/')}-areas")
 
     def step(batch: DataFrame, batch_id: int) -> None:
         # Two outputs: keep the messages rather than fetch them from the source twice.
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            cleaned = clean_messages(batch, areas.current(), default_area, item_fields)
+            cleaned = clean_messages(batch, pinned.for_batch(batch.sparkSession, batch_id), default_area, item_fields)
             sink(cleaned.json, batch_id)
             bad_sink(cleaned.bad, batch_id)
         finally:
