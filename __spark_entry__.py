@@ -252,11 +252,11 @@ def _arrival_part(messages: DataFrame) -> Column:
     return F.call_function("div", (F.col("arrival") - low) * STREAM_PARTS, F.lit(high - low + 1))
 
 
-def _run_exact(spark: SparkSession, sf_dir: str, upsert: bool = False) -> str:
+def _run_exact(spark: SparkSession, sf_dir: str, upsert: bool = False, each_refire: bool = False) -> str:
     """Run the exact report over the delayed events; the folder that holds its output."""
     folder = new_folder(use_utc(spark), "stream-report")
     docs = upsert_sink(f"{folder}/docs") if upsert else folder_sink(f"{folder}/docs")
-    step = ReportStep(f"{folder}/state", docs, folder_sink(f"{folder}/late", "text"), folder_sink(f"{folder}/bad"), timing=DAY)
+    step = ReportStep(f"{folder}/state", docs, folder_sink(f"{folder}/late", "text"), folder_sink(f"{folder}/bad"), timing=DAY, each_refire=each_refire)
 
     def start():
         messages = read_messages(spark, "parquet", True, "value string, arrival bigint", path=f"{folder}/in")
@@ -276,6 +276,11 @@ def _stream_docs(mode: str) -> Query:
     return query
 
 
+def _stream_refires(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = read_folder(spark, f"{_run_exact(spark, sf_dir, each_refire=True)}/docs", REPORT_FIELDS)
+    return log.select("doc_id", "time", "type", "area", "count")
+
+
 def _stream_upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = read_upserted(spark, f"{_run_exact(spark, sf_dir, upsert=True)}/docs", REPORT_FIELDS)
     return held.select("doc_id", "time", "type", "area", "count")
@@ -336,6 +341,7 @@ def queries() -> dict[str, Query]:
         "stream_report_emissions": _stream_docs("append"),
         "stream_report_exact": _stream_docs("upsert"),
         "stream_report_late": _stream_late,
+        "stream_report_refires": _stream_refires,
         "stream_report_upsert_sink": _stream_upserted,
         "time_text": _time_text,
     }

@@ -90,6 +90,28 @@ def test_exact_whatever_the_cuts(spark, tmp_path, rows, seed):
     assert late(spark, tmp_path) == late_lines
 
 
+@pytest.mark.parametrize("seed", [0, 1, 5])
+def test_each_refire_whatever_the_cuts(spark, tmp_path, rows, seed):
+    """The documents of all batches together are the row-by-row account's emissions, one by one."""
+    run_steps(spark, tmp_path, rows, cuts(len(rows), seed), each_refire=True)
+    _, _, emissions = play(rows, TEN)
+    expected = sorted((time_text(end), kind, area, count) for end, kind, area, count, _ in emissions)
+    log = read_folder(spark, f"{tmp_path}/docs", DOCS).select("time", "type", "area", "count").collect()
+    assert sorted(map(tuple, log)) == expected
+    assert len(expected) > len({row[:3] for row in expected}) + 5
+
+
+def test_each_refire_of_a_replayed_batch(spark, tmp_path, rows):
+    borders = cuts(len(rows), 2)
+    step = run_steps(spark, tmp_path, rows, borders, each_refire=True)
+    before = emitted(spark, tmp_path)
+    start, stop = borders[2]
+    step(messages(spark, rows[start:stop]), 2)
+    assert emitted(spark, tmp_path) == before
+    with pytest.raises(ValueError):
+        ReportStep("s", None, None, None, label="max_event", each_refire=True)
+
+
 def test_replayed_batch_changes_nothing(spark, tmp_path, rows):
     borders = cuts(len(rows), 2)
     step = run_steps(spark, tmp_path, rows, borders)

@@ -24,6 +24,7 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--label", choices=LABELS, default="window_end", help="the time printed on a count")
     args.add_argument("--builtin", action="store_true", help="use Spark's watermark; late rows are only counted")
     args.add_argument("--documents", choices=("append", "upsert"), default="append", help="every emission, or the last of each id")
+    args.add_argument("--each-refire", action="store_true", help="a document for each correction, not one per batch and window")
     args.add_argument("--times", choices=("positive", "nonzero"), default="positive", help="moments to count: after the epoch, or any but it")
     for name, what in (("window", "width of a window"), ("delay", "how far the watermark trails"), ("lateness", "how long corrections are taken")):
         args.add_argument(f"--{name}", type=float, default=getattr(settings.Timing(), f"{name}_ms") / 1000, help=f"{what}, in seconds")
@@ -52,7 +53,7 @@ def main(argv: list[str] | None = None) -> None:
         queries = run_report_builtin(messages, docs, bad, checkpoint, timing, given.label, given.times, trigger=trigger)
     else:
         arrival = "arrival" if "arrival" in messages.columns else None
-        step = ReportStep(f"{given.folder}/state", docs, late, bad, timing, arrival, given.times, given.label)
+        step = ReportStep(f"{given.folder}/state", docs, late, bad, timing, arrival, given.times, given.label, each_refire=given.each_refire)
         queries = (run_report_exact(messages, step, checkpoint, trigger),)
     if given.once:
         for query in queries:

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.times import format_ms
 from tidemark.operators.audit import bad_rows, good_rows, late_lines, parse_audit, slim
 from tidemark.operators.lateness import KEY, classify_lateness, window_turns
+from tidemark.operators.scans import running_total
 from tidemark.operators.windows import LABEL_TIME, label_time, report_docs, window_counts
 from tidemark.settings import Timing
 from tidemark.sinks.writers import Sink
@@ -32,8 +33,11 @@ class ReportStep:
     With an ``arrival`` column, rows of one batch meet the watermark of the rows before them. As long as
     arrivals do not go back from batch to batch, the result does not depend on where batches are cut.
     With None, or in a batch with a row whose arrival is null, they all meet the watermark the earlier
-    batches left. Several refires of a window within a batch come out as one document.
-    ``label`` chooses the time printed, as in ``window_counts``.
+    batches left. ``label`` chooses the time printed, as in ``window_counts``.
+
+    Several refires of a window within a batch come out as one document, the last. With ``each_refire``
+    every one is a document, as in the batch report's changelog: one for the firing, and one for each
+    arrival that corrects it, with the count so far. Their documents are named by window end only.
     """
 
     state: str
@@ -45,6 +49,11 @@ class ReportStep:
     times: str = "positive"
     label: str = "window_end"
     keep: int = 100
+    each_refire: bool = False
+
+    def __post_init__(self) -> None:
+        if self.each_refire and self.label != "window_end":
+            raise ValueError("each refire is named by its window's end")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with scratch(batch.sparkSession):
@@ -73,7 +82,10 @@ class ReportStep:
         self.late(late_lines(tagged.where("lateness = 'late'")), batch_id)
         self.bad(bad_rows(parsed), batch_id)
         counts = written(self._counts(tagged, held, arrival), "counts")
-        self.docs(self._emitted(counts, seen, now), batch_id)
+        if self.each_refire and arrival is not None:
+            self.docs(self._each_emitted(tagged, held, arrival, seen, now), batch_id)
+        else:
+            self.docs(self._emitted(counts, seen, now), batch_id)
         # The newest row of all stays, open or not: the next batch takes `seen` from it.
         closes_at = F.col("window_end_ms") + self.timing.close_after_ms
         still_open = counts.where((closes_at > now) | (F.col("newest_ms") == now))
@@ -99,6 +111,21 @@ class ReportStep:
         last = F.max_by("last_ms", "added").alias("last_ms")
         return both.groupBy(*KEY).agg(*sums, F.max("newest_ms").alias("newest_ms"), last)
 
+    def _each_emitted(self, tagged: DataFrame, held: DataFrame, arrival: str, seen: int, now: int) -> DataFrame:
+        """One document for every firing and every arrival that corrects a fired window.
+
+        What was counted before a window fired, by this batch or in the state, comes first and has no
+        arrival here; the corrections follow in the order of theirs, on top of it.
+        """
+        refired = F.when(F.col("lateness") == "refire", F.col(arrival)).alias("refired_at")
+        fresh = tagged.where("lateness <> 'late'").select(*KEY, refired, F.lit(1).cast("long").alias("count"))
+        before = held.select(*KEY, F.lit(None).cast(tagged.schema[arrival].dataType).alias("refired_at"), "count")
+        fires_at = F.col("window_end_ms") + self.timing.fire_after_ms
+        totals = running_total(fresh.unionByName(before).where(fires_at <= now), KEY, "refired_at", "count")
+        # A window that had fired earlier has shown the count it had then.
+        emitted = totals.where(F.col("refired_at").isNotNull() | (fires_at > seen))
+        return report_docs(emitted.select(format_ms("window_end_ms").alias("time"), "type", "area", "count"))
+
     def _emitted(self, counts: DataFrame, seen: int, now: int) -> DataFrame:
         fires_at = F.col("window_end_ms") + self.timing.fire_after_ms
         emitted = counts.where((fires_at <= now) & ((F.col("added") > 0) | (fires_at > seen)))
