@@ -317,7 +317,7 @@ def _joined(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     named = lookup_join(met.select("row", F.explode("lists").alias("listed")), lists, "listed", BROADCAST_BYTES)
     items = named.groupBy("row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     met = stored(met.select("row", "runs").join(items, "row"), "items-met")
-    whole = looked_up(runs.where("begin is null").select("row", "doc_id", "n_words"), met, ["row"], "left")
+    whole = looked_up(runs.where("begin is null").select("row", "doc_id", "n_words"), met, "row", "left")
     none = F.array().cast("array<string>")
     return map_arrow(whole.select("doc_id", "n_words", "runs", F.coalesce("items", none).alias("items")), _covered, SCHEMA)
 

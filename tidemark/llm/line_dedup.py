@@ -19,24 +19,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import looked_up, stored
+from tidemark.functions.once import with_once
+from tidemark.llm.tables import looked_up, numbered, stored
 
 MIN_WORDS = 8
 
+
 def _row() -> Column:
     """Tells rows apart; rows that share doc_id and text are one document."""
     return F.xxhash64("doc_id", "text")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """Every line that has words: doc_id, row, line_no (from 0), words, n."""
+    """Every line, those without words among them: doc_id, row, line_no (from 0), words, n."""
     text = F.col("text")
     for sign in "\t\x0b\f\r":  # with the space and the line break, all that cuts words
         text = F.replace(text, F.lit(sign), F.lit(" "))
-    numbered = docs.select("doc_id", "row", F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
+    lines = docs.select("doc_id", "row", F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
     words = F.array_remove(F.split("line", " "), "")
-    cut = numbered.select("doc_id", "row", "line_no", words.alias("words"))
-    return cut.select("*", F.size("words").alias("n")).where("n > 0")
+    return lines.select("doc_id", "row", "line_no", words.alias("words")).select("*", F.size("words").alias("n"))
 
 
 def _hashes() -> list[Column]:
@@ -114,7 +115,8 @@ def near_classes(lines: DataFrame) -> DataFrame:
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """row, drops: the numbers (from 0) of the lines of each row that an earlier line matches. Rows without any are left out."""
-    lines = stored(_lines(docs).select("doc_id", "row", "line_no", "n", *_hashes()), "lines")
+    # Filtered as they are read: a filter on n before the table is written would cut the words twice.
+    lines = stored(_lines(docs).select("doc_id", "row", "line_no", "n", *_hashes()), "lines").where("n > 0")
     first = F.struct("doc_id", "row", "line_no")
     classes = lines.groupBy("a", "b", "n").agg(F.min(first).alias("first"), F.min("a2").alias("a2"), F.min("b1").alias("b1"), F.count(F.lit(1)).alias("c"))
     classes = stored(classes.select("*", _class_id()), "line-classes")
@@ -123,8 +125,9 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     common = shared.groupBy("half").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low != high").select("half")
     candidates = stored(shared.join(common, "half", "left_semi").select("k1").distinct().join(classes.select("k1", "first"), "k1"), "candidates")
     holders = stored(candidates.select(F.col("first.row").alias("row")).distinct(), "holders")
-    texts = _lines(looked_up(docs, holders, ["row"], "left_semi")).where(F.col("n") >= MIN_WORDS)
-    own = texts.select(first.alias("first"), "n", "words").dropDuplicates(["first"])
+    texts = _lines(looked_up(docs, holders, "row", "left_semi"))
+    cut = with_once(texts, "line", F.struct(first.alias("first"), "n", "words")).select("line.*")
+    own = cut.where(F.col("n") >= MIN_WORDS).dropDuplicates(["first"])
     near = stored(near_classes(stored(own.join(candidates.select("first", "k1"), "first"), "candidate-lines")), "near-lines")
 
     decided = classes.join(near.withColumn("gone", F.lit(True)), "k1", "left").where("gone or c > 1")
@@ -139,17 +142,21 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     Lines are parts between line breaks; white space cuts words. Lines without words stay. A null text
     stays null, with no lines. Rows that share doc_id and text are one document and stay alike; a null
     doc_id comes before all others. Every row comes out, in any order, even if no line is left; an
-    empty table gives an empty one. Columns named n_lines or n_dropped are replaced.
+    empty table gives an empty one. Columns named n_lines or n_dropped are replaced; all others come
+    through whatever their names, and only texts that lose a line are cut up again.
     """
-    kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    keyed = docs.select(*kept, _row().alias("_row"))
-    drops = stored(repeated_lines(docs.select("doc_id", "text", _row().alias("row"))), "drops")
-    found = looked_up(keyed, drops.select(F.col("row").alias("_row"), F.col("drops").alias("_drops")), ["_row"], "left")
+    kept = [n for n, c in enumerate(docs.columns) if c not in ("n_lines", "n_dropped")]
+    plain, doc_id, own = numbered(docs, "doc_id", "text")
+    texts = plain.withColumnsRenamed({doc_id: "doc_id", own: "text"})
+    keyed = texts.withColumn("row", _row())
+    drops = stored(repeated_lines(keyed.select("doc_id", "text", "row")), "drops")
+    found = looked_up(keyed, drops, "row", "left")
     lines = F.split("text", "\n")
     breaks = F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
     n = F.coalesce(breaks + 1, F.lit(0))
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drops"))
-    text = F.when(F.col("_drops").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
-    columns = [text.alias("text") if c == "text" else F.col(c) for c in kept]
-    counts = [n.cast("long").alias("n_lines"), F.coalesce(F.size("_drops"), F.lit(0)).cast("long").alias("n_dropped")]
-    return found.select(*columns, *counts)
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("drops"))
+    text = F.when(F.col("drops").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
+    counts = [n.cast("long").alias("n_lines"), F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped")]
+    names = {own: text, doc_id: F.col("doc_id")}
+    columns = [names.get(f"c{n}", F.col(f"c{n}")) for n in kept]
+    return found.select(*columns, *counts).toDF(*[docs.columns[n] for n in kept], "n_lines", "n_dropped")

@@ -265,7 +265,7 @@ def replace_entities(docs: DataFrame, key: str) -> Replaced:
         F.col("whole").alias("entity"), F.concat("title", F.array_join(F.col("words.surrogate"), " ")).alias("surrogate")
     )
     by_text = listed.join(whole, "entity").groupBy("_text").agg(F.map_from_entries(F.collect_list(F.struct("entity", "surrogate"))).alias("_map"))
-    found = looked_up(keyed, stored(by_text, "text-surrogates"), ["_text"], "left")
+    found = looked_up(keyed, stored(by_text, "text-surrogates"), "_text", "left")
     gaps = F.split("text", ANY, -1)
     pieces = F.transform(gaps, lambda gap, i: F.concat(F.when(i > 0, F.col("_map")[F.get("_found", i - 1)]).otherwise(F.lit("")), gap))
     text = F.when(F.size("_found") > 0, F.array_join(pieces, "")).otherwise(F.col("text"))

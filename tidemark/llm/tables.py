@@ -6,6 +6,7 @@ import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from functools import reduce
 from pathlib import Path
 
 import numpy as np
@@ -13,14 +14,18 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, StringType
 
-from tidemark.workspace import new_folder, setting
+from tidemark.operators.joins import lookup_join
+from tidemark.workspace import setting, table_path
 
 SLICE_BYTES = 1 << 21
 #: Rows that go to a Python worker at once while a table is written.
 BATCH_ROWS = 2000
-#: A table to look rows up in is broadcast up to so many bytes of JSON text; beyond that both sides are shuffled.
+#: A table to look rows up in is broadcast up to about so many bytes; beyond that both sides are shuffled.
 BROADCAST_BYTES = 8 << 20
+#: Rows with whole texts are spread beyond so many of one key.
+ROWS_PER_SALT = 20_000
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,10 +38,20 @@ def picked(df: DataFrame, **kinds: str) -> DataFrame:
     Columns are found by place, so others whose names differ in case only, or repeat, do no harm: the
     first of the exact name counts, else the first that is equal but for case.
     """
+    plain, *places = numbered(df, *kinds)
+    return plain.select(*[F.col(place).cast(kind).alias(name) for place, (name, kind) in zip(places, kinds.items())])
+
+
+def numbered(df: DataFrame, *needed: str) -> tuple:
+    """``df`` with its columns renamed c0, c1, ... in order, and what the ``needed`` ones are called now, as ``picked`` finds them."""
     lowered = [c.lower() for c in df.columns]
-    place = {name: df.columns.index(name) if name in df.columns else lowered.index(name.lower()) for name in kinds}
-    numbered = df.toDF(*[f"c{n}" for n in range(len(lowered))])
-    return numbered.select(*[F.col(f"c{place[name]}").cast(kind).alias(name) for name, kind in kinds.items()])
+    places = [df.columns.index(name) if name in df.columns else lowered.index(name.lower()) for name in needed]
+    return df.toDF(*[f"c{n}" for n in range(len(lowered))]), *[f"c{n}" for n in places]
+
+
+def renamed(plain: DataFrame, names: list[str]) -> DataFrame:
+    """The columns c0, c1, ... of ``plain`` under their own names again."""
+    return plain.select(*[f"c{n}" for n in range(len(names))]).toDF(*names)
 
 
 def fold(doc_id: Column) -> Column:
@@ -69,8 +84,8 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a zstd table in the shared folder, computed once; lost executors do not lose it."""
-    path = new_folder(df.sparkSession, name)
+    """``df`` as a zstd table in the shared folder, computed once; lost executors do not lose it, and ``scratch`` drops it."""
+    path = table_path(df.sparkSession, name)
     with setting(df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS):
         df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -93,8 +108,9 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def _trim() -> None:
-    """Give the worker's free heap back to the system; only glibc can."""
+def given_back() -> None:
+    """Give this process's free memory back to the system; of the heap, only glibc can."""
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
         trim(0)
@@ -107,14 +123,36 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            _trim()
+            given_back()
 
     ship(df.sparkSession)
     return df.mapInArrow(task, schema)
 
 
-def looked_up(table: DataFrame, keys: DataFrame, on: list[str], how: str) -> DataFrame:
-    """A join of ``table`` with ``keys``, a stored table, which is broadcast only if its rows, counted as JSON text, are small."""
-    size = keys.agg(F.sum(F.length(F.to_json(F.struct("*"))).cast("long"))).first()[0] or 0
-    return table.join(F.broadcast(keys) if size <= BROADCAST_BYTES else keys, on, how)
+def _size(kind: DataType, column: Column) -> Column:
+    """About how many bytes a value takes."""
+    if isinstance(kind, StringType | BinaryType):
+        return F.octet_length(column).cast("long")
+    if isinstance(kind, ArrayType):
+        return F.size(column).cast("long") * 8
+    return F.lit(8).cast("long")
+
+
+def table_bytes(table: DataFrame) -> int:
+    """About how many bytes the rows of a table take, from the lengths of its texts and lists."""
+    parts = [F.coalesce(_size(f.dataType, F.col(f"`{f.name}`")), F.lit(8).cast("long")) for f in table.schema.fields]
+    return table.agg(F.sum(reduce(Column.__add__, parts))).first()[0] or 0
+
+
+def looked_up(table: DataFrame, keys: DataFrame, on: str, how: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """A left, left_semi or left_anti join of ``table`` with ``keys``, a stored table whose ``on`` values are unique.
+
+    Small keys are broadcast. Beyond ``BROADCAST_BYTES`` both sides are shuffled, and of ``table`` the rows of
+    a key with over ``rows_per_salt`` are spread. A null ``on`` finds nothing.
+    """
+    if table_bytes(keys) <= BROADCAST_BYTES:
+        return table.join(F.broadcast(keys), on, how)
+    if how == "left":
+        return lookup_join(table, keys, on, 0, rows_per_salt)
+    found = lookup_join(table, keys.select(on, F.lit(True).alias("_found")), on, 0, rows_per_salt)
+    return found.where("_found" if how == "left_semi" else "_found is null").select(table.columns)
