@@ -153,6 +153,28 @@ def test_pipeline(spark, sql):
     assert after.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
 
 
+CLASHING = "row,drops,_row,_drops,c0,c1,gone,_found,_salt,key,n,label,score,component,first,n_lines_,Lines,doc_id_".split(",")
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES[:-1])
+def test_stages_keep_columns_of_any_name(spark, name, stage):
+    docs = read(spark, FOLDER, "documents").where("doc_id < 120")
+    own = docs.select("*", *[F.concat(F.lit(f"{c} "), "doc_id").alias(c) for c in CLASHING])
+    kept = stage(spark, own, FOLDER)
+    assert kept.columns == own.columns
+    plain = {r["doc_id"]: r["text"] for r in stage(spark, docs, FOLDER).collect()}
+    rows = kept.collect()
+    assert plain and {r["doc_id"]: r["text"] for r in rows} == plain
+    assert all(r[c] == f"{c} {r['doc_id']}" for r in rows for c in CLASHING)
+    assert stage(spark, own.limit(0), FOLDER).collect() == []
+
+
+def test_columns_that_differ_in_case(spark):
+    docs = spark.createDataFrame([(1, "one line", "other", 5), (2, "one line", "other", 6)], "doc_id long, text string, Text string, DOC_ID long")
+    rows = corpus_pipeline.drop_repeated_lines(spark, docs, FOLDER).collect()
+    assert [tuple(r) for r in rows] == [(1, "one line", "other", 5)]
+
+
 def test_run(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_classifier", "line_dedup", "ngram_jaccard_join", "benchmark_decontamination", "best_fit_packing"]
     assert corpus_pipeline.run(spark, FOLDER).count() > 0

@@ -2,9 +2,11 @@
 
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,6 +159,67 @@ def test_quality(spark):
     assert sorted(map(str, ((r["doc_id"], r["score"]) for r in again))) == sorted(map(str, ((r["doc_id"], r["score"]) for r in scored)))
 
 
+def plain_streams(text):
+    """The words of a text and their shapes, as byte strings, in plain Python."""
+    data = (text or "").encode()
+    cut = lambda b: [w for w in re.split(rb"[\x00- ]+", b) if w]
+    shape = lambda c: c if c <= 32 else b"0"[0] if 48 <= c <= 57 else b"a"[0] if 97 <= c <= 122 or 128 <= c < 248 else 255 if 65 <= c <= 90 else c
+    shaped = [shape(c) for c in data]
+    kept = bytes(c for i, c in enumerate(shaped) if not i or c != shaped[i - 1] or data[i] <= 32)
+    return [[w.lower() for w in cut(data)], cut(kept)]
+
+
+def test_quality_vectors_pooling_and_logits(spark):
+    """The whole way from texts to scores, word by word."""
+    texts = ["the River runs, the river RUNS", None, "", "a b  a\nb 12 345 X1", "日本 é ok!!", "one", "the river " * 40]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    places, signs = quality.index_vectors()
+    size = quality.DIMENSIONS
+    rows = []  # of each text, by stream, the rows of its words
+    for text in texts:
+        own = []
+        for plain, found in zip(plain_streams(text), quality.streams(pa.array([text], pa.string()))):
+            numbers = quality.rows_of(found).tolist()
+            assert len(numbers) == len(plain)
+            own.append((plain, numbers))
+        rows.append(own)
+    names = {}
+    for own in rows:  # equal words have equal rows
+        for stream, (plain, numbers) in enumerate(own):
+            for word, number in zip(plain, numbers):
+                assert names.setdefault((stream, word), number) == number
+    index = np.zeros((quality.ROWS, size))
+    for row in set(names.values()):
+        for place, sign in zip(places[row], signs[row]):
+            index[row, place] += sign
+    context = np.zeros((2, quality.ROWS, size))
+    for own in rows:
+        for stream, (_, numbers) in enumerate(own):
+            for i, row in enumerate(numbers):
+                for j in range(max(0, i - quality.WINDOW), min(len(numbers), i + quality.WINDOW + 1)):
+                    if i != j:
+                        context[stream, row] += index[numbers[j]]
+    context /= np.maximum(np.linalg.norm(context, axis=2, keepdims=True), 1e-9)
+    vectors = quality.word_vectors(docs)
+    assert np.allclose(vectors.reshape(2, quality.ROWS, size), context, atol=1e-6)
+    pooled = np.zeros((len(texts), 4 * size))
+    for n, own in enumerate(rows):
+        for stream, (_, numbers) in enumerate(own):
+            for row in numbers:
+                pooled[n, 2 * size * stream : 2 * size * (stream + 1)] += np.concatenate([context[stream, row], index[row]]) / len(numbers)
+    assert np.allclose(quality.features(pa.array(texts, pa.string()), vectors), pooled, atol=1e-5)
+
+    rng = np.random.default_rng(4)
+    net = quality.Network(rng.normal(size=4 * size), rng.uniform(0.5, 2, 4 * size), rng.normal(size=(4 * size, 3)), rng.normal(size=3), rng.normal(size=3), 0.25, 1.7)
+    fitted = quality.Quality(spark.sparkContext.broadcast(vectors), net)
+    got = {r["doc_id"]: r["score"] for r in quality.score(docs, fitted).collect()}
+    for n, x in enumerate(pooled):
+        hidden = [max(0.0, sum((x[i] - net.mean[i]) / net.scale[i] * net.w1[i, j] for i in range(4 * size)) + net.b1[j]) for j in range(3)]
+        logit = sum(h * w for h, w in zip(hidden, net.w2)) + net.b2
+        assert abs(got[n] - 1 / (1 + math.exp(-logit / net.temperature))) < 1e-4
+    fitted.release()
+
+
 def test_quality_learns_nothing_from_held_out_labels(spark):
     rows = labelled(300)
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.tables import map_arrow, ship, slices, stored, text_bytes
+from tidemark.llm.tables import given_back, map_arrow, ship, slices, stored, text_bytes
 from tidemark.llm.words import byte_set, grams, mix, words
 
 NGRAM = 5
@@ -311,7 +311,10 @@ def _details_of(nodes: DataFrame, source: DataFrame, ngram: int, whole: bool) ->
     bloom = source.sparkSession.sparkContext.broadcast(_bloom(nodes))
     schema = "node long, n long, tokens binary" if whole else "node long, n long, sketch array<long>"
     found = map_arrow(source.select("text"), _details(ngram, bloom, whole), schema)
-    return stored(found.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "sets" if whole else "sketches")
+    held = stored(found.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "sets" if whole else "sketches")
+    bloom.destroy()
+    given_back()
+    return held
 
 
 def _reaches(threshold: Fraction, shared: Column | np.ndarray, total: Column | np.ndarray):
@@ -373,6 +376,8 @@ def jaccard_join(docs: DataFrame, ngram: int = NGRAM, threshold: Fraction = THRE
     dealt = index.repartition("key").sortWithinPartitions("key", "rare", "node")
     schema = "key long, node long, n long, hub long, hub_n long"
     members = stored(map_arrow(dealt, _stars, schema), "members")
+    frequent.destroy()
+    given_back()
 
     fits = F.least("n_a", "n_b") * threshold.denominator >= F.greatest("n_a", "n_b") * threshold.numerator
     most = (threshold.denominator - threshold.numerator, threshold.denominator + threshold.numerator)

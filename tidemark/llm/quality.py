@@ -3,27 +3,29 @@
 Words, and their shapes (runs of capitals, small letters, digits, and other signs as they are), are
 hashed to ``ROWS`` rows. Each row has a sparse random index vector; its context vector is the sum of
 the index vectors of its neighbours over the whole corpus. A document is the mean of its words'
-context and index vectors, and of its shapes'. Two layers over that, fitted in numpy on a bounded
-sample of labelled rows, give a logit; a temperature, fitted on a part of the sample that the layers
-do not see, makes it a probability.
+context and index vectors, and of its shapes'. Two layers over that, fitted in numpy by one task on a
+bounded sample of labelled rows, give a logit; a temperature, fitted on a part of the sample that the
+layers do not see, makes it a probability.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import HELD_OUT, fold, map_arrow, slices, text_bytes
+from tidemark.llm.tables import HELD_OUT, fold, given_back, map_arrow, picked, slices, text_bytes
 from tidemark.llm.words import Words, byte_set, mix, words
 
 ROWS = 1 << 15
-DIMENSIONS = 32
+DIMENSIONS = 64
 SIGNS = 2
 WINDOW = 2
 BLOCK_ROWS = 1 << 10
@@ -31,7 +33,7 @@ BLOCK_ROWS = 1 << 10
 SAMPLE_ROWS = 20_000
 HIDDEN = 32
 EPOCHS = 60
-GATHER = 1 << 16
+GATHER = 1 << 15
 SPACES = byte_set((0x00, 0x20))
 
 
@@ -97,41 +99,43 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums by block, holding one block of numbers for each."""
+    """Sums by block, made unit vectors, holding one block of numbers for each."""
     totals: dict[int, np.ndarray] = {}
     codec = zstandard.ZstdDecompressor()
     for batch in batches:
         for first, packed in zip(batch.column("first").to_pylist(), batch.column("sums").to_pylist()):
             part = np.frombuffer(codec.decompress(packed), np.int64)
             totals[first] = totals[first] + part if first in totals else part
-    columns = [pa.array(list(totals), pa.int32()), pa.array([t.tobytes() for t in totals.values()], pa.binary())]
-    yield pa.RecordBatch.from_arrays(columns, ["first", "sums"])
+    parts = [t.reshape(-1, DIMENSIONS).astype(np.float32) for t in totals.values()]
+    units = [part / np.maximum(np.linalg.norm(part, axis=1, keepdims=True), 1e-9) for part in parts]
+    columns = [pa.array(list(totals), pa.int32()), pa.array([unit.astype(np.float32).tobytes() for unit in units], pa.binary())]
+    yield pa.RecordBatch.from_arrays(columns, ["first", "units"])
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
-    """Vectors of the rows of both streams, learnt from all texts: unit context vector, then index vector."""
-    parts = map_arrow(docs.select("text"), _contexts, "first int, sums binary").repartition("first")
+    """Unit context vectors of the rows of both streams, learnt from all texts; zeros for rows that no word has."""
+    parts = map_arrow(picked(docs, text="string"), _contexts, "first int, sums binary").repartition("first")
     table = np.zeros((2 * ROWS, DIMENSIONS), np.float32)
-    for r in map_arrow(parts, _added, "first int, sums binary").collect():  # 2 * ROWS rows of numbers, whatever the corpus
-        table[r["first"] : r["first"] + BLOCK_ROWS] = np.frombuffer(r["sums"], np.int64).reshape(-1, DIMENSIONS)
-    table /= np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-9)
-    places, signs = index_vectors()
-    own = np.zeros((ROWS, DIMENSIONS), np.float32)
-    np.add.at(own, (np.arange(ROWS)[:, None], places), signs)
-    return np.concatenate([table, np.concatenate([own, own])], axis=1)
+    blocks = map_arrow(parts, _added, "first int, units binary").toArrow()  # 2 * ROWS rows of numbers, whatever the corpus
+    for first, unit in zip(blocks.column("first").to_pylist(), blocks.column("units")):
+        table[first : first + BLOCK_ROWS] = np.frombuffer(unit.as_buffer(), np.float32).reshape(-1, DIMENSIONS)
+    return table
 
 
 def features(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
-    """One vector for each text: the means over its words and over its shapes. No words: zeros."""
+    """One vector for each text: the means of its words' context and index vectors, and of its shapes'. No words: zeros."""
+    places, signs = index_vectors()
     parts = []
     for stream, found in enumerate(streams(texts)):
-        row = rows_of(found) + stream * ROWS
-        total = np.zeros((len(found.ends) - 1, vectors.shape[1]))
+        row = rows_of(found)
+        total = np.zeros((len(found.ends) - 1, 2 * DIMENSIONS))
         text = np.repeat(np.arange(len(total)), found.counts)
         for i in range(0, len(row), GATHER):
-            own = text[i : i + GATHER]
+            own, some = text[i : i + GATHER], row[i : i + GATHER]
             begin = np.flatnonzero(np.diff(own, prepend=-1))
-            total[own[begin]] += np.add.reduceat(vectors[row[i : i + GATHER]], begin, axis=0)
+            total[own[begin], :DIMENSIONS] += np.add.reduceat(vectors[some + stream * ROWS], begin, axis=0)
+            for n in range(SIGNS):
+                np.add.at(total, (own, DIMENSIONS + places[some, n]), signs[some, n])
         parts.append(total / np.maximum(found.counts, 1)[:, None])
     return np.concatenate(parts, axis=1)
 
@@ -187,11 +191,34 @@ def train(x: np.ndarray, y: np.ndarray, seed: int = 7) -> Network:
     return net
 
 
+def _untrained() -> Network:
+    """Every score is one half."""
+    width = 4 * DIMENSIONS
+    return Network(np.zeros(width), np.ones(width), np.zeros((width, 1)), np.zeros(1), np.zeros(1), 0.0)
+
+
+def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The network that the whole sample gives, pickled, in one row."""
+    parts = [(b.column("doc_id").to_numpy(), b.column("quality").to_numpy(), np.frombuffer(b"".join(b.column("x").to_pylist()), np.float32)) for b in batches]
+    parts = [p for p in parts if len(p[0])]
+    if not parts:
+        return
+    doc_id, y, x = (np.concatenate(p) for p in zip(*parts))
+    order = np.lexsort((y, doc_id))
+    net = train(x.reshape(len(y), -1)[order].astype(np.float64), y[order].astype(np.float64))
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)], pa.binary())], ["network"])
+
+
 @dataclass
 class Quality:
-    vectors: np.ndarray
+    """``vectors``: the context vectors, broadcast. ``release`` lets them go once every score that needs them is written."""
+
+    vectors: Broadcast
     network: Network
 
+    def release(self) -> None:
+        self.vectors.destroy()
+
 
 def fit(docs: DataFrame, labels: DataFrame) -> Quality:
     """Word vectors from all texts, and the network from at most ``SAMPLE_ROWS`` labelled rows that aren't held out.
@@ -199,25 +226,21 @@ def fit(docs: DataFrame, labels: DataFrame) -> Quality:
     Labels that are null or neither 0 nor 1 teach nothing; a doc_id that is labelled twice counts twice. With no label at all every
     score is one half.
     """
-    vectors = word_vectors(docs)
-    shared = docs.sparkSession.sparkContext.broadcast(vectors)
+    shared = docs.sparkSession.sparkContext.broadcast(word_vectors(docs))
+    given_back()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows = features(batch.column("text"), shared.value).astype(np.float32)
-            columns = [batch.column("doc_id"), batch.column("quality"), pa.array(list(rows), pa.list_(pa.float32()))]
+            columns = [batch.column("doc_id"), batch.column("quality"), pa.array([row.tobytes() for row in rows], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "quality", "x"])
 
-    known = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).where("quality in (0, 1) and doc_id is not null")
+    known = picked(labels, doc_id="long", quality="int").where("quality in (0, 1) and doc_id is not null")
     known = known.where(fold(F.col("doc_id")) != HELD_OUT).orderBy(F.xxhash64("doc_id"), "quality").limit(SAMPLE_ROWS)
-    source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(known), "doc_id")
-    source = source.select("doc_id", "quality", "text")
-    table = map_arrow(source, run, "doc_id long, quality int, x array<float>").orderBy("doc_id", "quality").limit(SAMPLE_ROWS).toArrow()
-    width = 2 * vectors.shape[1]
-    x = table.column("x").combine_chunks().flatten().to_numpy().astype(np.float64).reshape(-1, width)
-    if not len(x):
-        return Quality(vectors, Network(np.zeros(width), np.ones(width), np.zeros((width, 1)), np.zeros(1), np.zeros(1), 0.0))
-    return Quality(vectors, train(x, table.column("quality").to_numpy().astype(np.float64)))
+    source = picked(docs, doc_id="long", text="string").join(F.broadcast(known), "doc_id").select("doc_id", "quality", "text")
+    table = map_arrow(source, run, "doc_id long, quality int, x binary").orderBy("doc_id", "quality").limit(SAMPLE_ROWS)
+    learnt = map_arrow(table.repartition(1), _train, "network binary").collect()  # one row of a fixed size, or none
+    return Quality(shared, pickle.loads(learnt[0]["network"]) if learnt else _untrained())
 
 
 def score(docs: DataFrame, fitted: Quality) -> DataFrame:
@@ -225,12 +248,11 @@ def score(docs: DataFrame, fitted: Quality) -> DataFrame:
 
     A null or empty text has the score of a text without words. Repeated rows and null ids come out as they are.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(fitted)
+    vectors, network = fitted.vectors, fitted.network
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            values = shared.value.network.scores(features(batch.column("text"), shared.value.vectors))
+            values = network.scores(features(batch.column("text"), vectors.value))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values)], ["doc_id", "score"])
 
-    source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return map_arrow(source, run, "doc_id long, score double")
+    return map_arrow(picked(docs, doc_id="long", text="string"), run, "doc_id long, score double")
