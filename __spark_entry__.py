@@ -62,6 +62,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 REPORT_FIELDS = "time string, type string, area string, count bigint, doc_id string, document string"
 STREAM_PARTS = 4
 DATE_PARTS = 3
+SOURCES = 3
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -91,9 +92,13 @@ def _sorted_times(timing: Timing) -> Query:
 # Report, with lateness.
 
 
-def _report(take: Callable[[Report], DataFrame], timing: Timing, delay_ms: int, label: str = "window_end", **more: int) -> Query:
+def _report(
+    take: Callable[[Report], DataFrame], timing: Timing, delay_ms: int, label: str = "window_end", sources: int = 0, **more: int
+) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return take(report_messages(audit_messages(use_utc(spark), sf_dir, delay_ms), timing, label=label, **more))
+        messages = audit_messages(use_utc(spark), sf_dir, delay_ms, sources=sources)
+        by_source = {"source": "source", "sources": sources} if sources else {}
+        return take(report_messages(messages, timing, label=label, **by_source, **more))
 
     return query
 
@@ -121,6 +126,11 @@ def _audit_parsed(times: str) -> Query:
     return query
 
 
+def _audit_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = parse_audit(audit_messages(use_utc(spark), sf_dir, loose=True), lenient=True)
+    return parsed.select("event_id", F.unix_millis("event_time").alias("event_ms"), "type", "area", "reason")
+
+
 def _audit_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad_rows(parse_audit(audit_messages(use_utc(spark), sf_dir, damaged=True)))
 
@@ -318,6 +328,7 @@ def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         "area_dim_inverted": _area_inverted,
         "audit_bad_rows": _audit_bad,
+        "audit_rows_lenient": _audit_lenient,
         "audit_rows_nonzero": _audit_parsed("nonzero"),
         "audit_rows_positive": _audit_parsed("positive"),
         "clean_bad_rows": _clean_bad(is_open=False),
@@ -349,8 +360,10 @@ def queries() -> dict[str, Query]:
         found |= {
             f"late_rows_tsv{suffix}": _report(lambda report: report.late, timing, delay_ms),
             f"lateness_classes{suffix}": _report(_classes, timing, delay_ms),
+            f"lateness_classes_by_source{suffix}": _report(_classes, timing, delay_ms, sources=SOURCES),
             f"report_docs{suffix}": _docs(timing),
             f"report_docs_upsert{suffix}": _report(_upserted, timing, delay_ms),
+            f"report_docs_upsert_by_source{suffix}": _report(_upserted, timing, delay_ms, sources=SOURCES),
             f"report_final_counts{suffix}": _report(lambda report: report.counts, timing, delay_ms),
             f"report_final_counts_last_event{suffix}": _report(lambda report: report.counts, timing, delay_ms, "last_event"),
             f"report_last_event_label{suffix}": _counts(timing, delay_ms, "last_event"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 TEXT = "'%Y-%m-%d %H:%M:%S'"
-LATE_MS, PARTS = 216_000_000, 4
+LATE_MS, PARTS, SOURCES = 216_000_000, 4, 3
 
 AREA = "'AREA_' || (user_id % 5)"
 
@@ -44,17 +44,22 @@ def _sorted_times(unit: str) -> str:
         FROM numbered GROUP BY start, type, area, moment"""
 
 
-def _lateness(width_ms: int, delay_ms: int, lateness_ms: int, held_ms: int) -> str:
-    """``classes``: each event with its window end, the running maximum it met, and its class."""
+def _lateness(width_ms: int, delay_ms: int, lateness_ms: int, held_ms: int, sources: int = 1) -> str:
+    """``classes``: each event with its window end, the running maximum it met (of ``sources`` by user, the least), and its class."""
+
+    def newest(frame: str) -> str:
+        each = [f"coalesce(max(ms) FILTER (WHERE source = {n}) OVER ({frame}), 0)" for n in range(sources)]
+        return f"least({', '.join(each)})"
+
     return f"""
         WITH arrived AS (
-            SELECT event_id, event_type AS type, {AREA} AS area, epoch_ms(date_trunc('second', ts)) AS ms,
+            SELECT event_id, user_id % {sources} AS source, event_type AS type, {AREA} AS area, epoch_ms(date_trunc('second', ts)) AS ms,
                    epoch_us(ts) + CASE WHEN event_id % 7 = 0 THEN {held_ms * 1000} ELSE 0 END AS arrival
             FROM events),
         met AS (
             SELECT *, (ms // {width_ms} + 1) * {width_ms} AS we,
-                   coalesce(max(ms) OVER (ORDER BY arrival RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) - {delay_ms} AS wm,
-                   max(ms) OVER () - {delay_ms} AS last_wm
+                   {newest("ORDER BY arrival RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")} - {delay_ms} AS wm,
+                   {newest("")} - {delay_ms} AS last_wm
             FROM arrived),
         classes AS (
             SELECT *, strftime(epoch_ms(we), {TEXT}) AS time, we - 1 <= last_wm AS fired,
@@ -158,6 +163,11 @@ AUDIT_BAD = f"""{DAMAGED}
                 WHEN 4 THEN 'excluded_time' WHEN 5 THEN 'bad_time' WHEN 6 THEN 'no_type' ELSE 'malformed_json' END AS reason
     FROM texts WHERE kind <= 9"""
 
+AUDIT_LENIENT = f"""
+    SELECT event_id, CASE WHEN event_id % 8 <> 7 THEN epoch_ms(date_trunc('second', ts)) END AS event_ms, event_type AS type, {AREA} AS area,
+           CASE WHEN event_id % 8 = 7 THEN 'bad_time' END AS reason
+    FROM events"""
+
 AUDIT_POSITIVE = f"{DAMAGED} SELECT event_id, epoch_ms(moment) AS event_ms, type, area FROM texts WHERE kind > 9"
 
 AUDIT_NONZERO = f"""{DAMAGED}
@@ -246,6 +256,7 @@ MINUTE = (60_000, 10_000, 30_000, 300_000)
 ORACLES: dict[str, str] = {
     "area_dim_inverted": AREAS,
     "audit_bad_rows": AUDIT_BAD,
+    "audit_rows_lenient": AUDIT_LENIENT,
     "audit_rows_nonzero": AUDIT_NONZERO,
     "audit_rows_positive": AUDIT_POSITIVE,
     "clean_bad_rows": _clean_bad("bad_item"),
@@ -280,8 +291,10 @@ for _suffix, _unit, _rules in (("", "minute", MINUTE), ("_1d", "day", DAY)):
     ORACLES |= {
         f"late_rows_tsv{_suffix}": _late(_lateness(*_rules)),
         f"lateness_classes{_suffix}": _classes(_lateness(*_rules)),
+        f"lateness_classes_by_source{_suffix}": _classes(_lateness(*_rules, SOURCES)),
         f"report_docs{_suffix}": _docs(_unit),
         f"report_docs_upsert{_suffix}": _upsert(_lateness(*_rules)),
+        f"report_docs_upsert_by_source{_suffix}": _upsert(_lateness(*_rules, SOURCES)),
         f"report_final_counts{_suffix}": _final_counts(_lateness(*_rules)),
         f"report_final_counts_last_event{_suffix}": _final_last_event(_lateness(*_rules)),
         f"report_last_event_label{_suffix}": _last_event(_unit, _rules[3]),

@@ -10,15 +10,17 @@ from itertools import groupby
 from tidemark.settings import Timing
 
 
-def play(rows, timing: Timing, seen=0):
+def play(rows, timing: Timing, seen=0, source_of=lambda number: 0, sources=1):
     """``rows`` are ``(id, arrival, ms, type, area)``. Returns classes by id, final counts, emissions.
 
-    Rows of equal arrival meet the same watermark. Emissions are ``(end, type, area, count, arrival)``.
+    Rows of equal arrival meet the same watermark, the least of the sources'. Emissions are
+    ``(end, type, area, count, arrival)``.
     """
+    newest = [seen] * sources
     classes, counts, emissions, fired = {}, defaultdict(int), [], set()
     for arrival, together in groupby(sorted(rows, key=lambda row: row[1]), key=lambda row: row[1]):
         together = list(together)
-        watermark = seen - timing.delay_ms
+        watermark = min(newest) - timing.delay_ms
         corrected = set()
         for number, _, ms, kind, area in together:
             end = (ms // timing.window_ms + 1) * timing.window_ms
@@ -33,9 +35,10 @@ def play(rows, timing: Timing, seen=0):
         for key in corrected:
             emissions.append((*key, counts[key], arrival))
             fired.add(key)
-        seen = max([seen, *(row[2] for row in together)])
+        for number, _, ms, *_ in together:
+            newest[source_of(number)] = max(newest[source_of(number)], ms)
         for key in counts:
-            if key not in fired and key[0] - 1 <= seen - timing.delay_ms:
+            if key not in fired and key[0] - 1 <= min(newest) - timing.delay_ms:
                 fired.add(key)
                 emissions.append((*key, counts[key], arrival))
     return classes, dict(counts), sorted(emissions)

@@ -89,6 +89,50 @@ def test_parse_time(spark, text, ms):
     assert one(spark, F.unix_millis(parse_time(F.lit(text).cast("string")))) == ms
 
 
+@pytest.mark.parametrize(
+    "text, plain",
+    [
+        ("2024-01-02 03:04:05", "2024-01-02 03:04:05"),
+        ("2024-1-2 3:4:5", "2024-01-02 03:04:05"),
+        ("2024-13-01 00:00:00", "2025-01-01 00:00:00"),
+        ("2024-00-10 00:00:00", "2023-12-10 00:00:00"),
+        ("2024-02-30 00:00:00", "2024-03-01 00:00:00"),
+        ("2023-02-29 00:00:00", "2023-03-01 00:00:00"),
+        ("2024-03-00 00:00:00", "2024-02-29 00:00:00"),
+        ("2024-01-32 24:60:60", "2024-02-02 01:01:00"),
+        ("2024-01-01 00:00:86400", "2024-01-02 00:00:00"),
+        ("  2024-\t01- 02  3: 4: 5", "2024-01-02 03:04:05"),
+        ("2024-01-02 03:04:05.678 and more", "2024-01-02 03:04:05"),
+        ("9999-12-31 23:59:59", "9999-12-31 23:59:59"),
+        ("9999-12-31 23:59:60", None),
+        ("0001-01-01 00:00:00", "0001-01-01 00:00:00"),
+        ("0001-00-01 00:00:00", None),
+        ("0000-13-01 00:00:00", "0001-01-01 00:00:00"),
+        ("999999999-999999999-999999999 999999999:999999999:999999999", None),
+        ("2024-01-01 00:00:9999999999", None),
+        ("2024--1-02 03:04:05", None),
+        ("2024-01-02T03:04:05", None),
+        ("2024-01-02 03:04", None),
+        ("x2024-01-02 03:04:05", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_parse_lenient_time(spark, text, plain):
+    assert one(spark, F.date_format(parse_time(F.lit(text).cast("string"), lenient=True), "yyyy-MM-dd HH:mm:ss")) == plain
+
+
+def test_lenient_time_of_a_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for text in ("2024-07-01 12:00:00", "2024-03-10 02:30:00", "2024-11-03 01:30:00"):
+            same = F.unix_millis(parse_time(F.lit(text), lenient=True)) == F.unix_millis(parse_time(F.lit(text)))
+            assert one(spark, same)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_format_ms(spark):
     assert one(spark, format_ms(F.lit(1704067205999))) == "2024-01-01 00:00:05"
 

@@ -75,6 +75,36 @@ def test_against_the_row_by_row_account(spark, case):
     assert sorted(map(tuple, upserted.collect())) == sorted(map(tuple, latest_docs(changes).collect()))
 
 
+@pytest.mark.parametrize("sources, ties", [(1, False), (3, False), (3, True), (5, False)])
+def test_each_source_has_its_watermark(spark, sources, ties):
+    """Source 2 runs 4 s behind the others."""
+    source_of = lambda number: number % sources
+    rows = [(n, a, ms - 4000 * (source_of(n) == 2), k, area) for n, a, ms, k, area in random_rows(7, low=BASE, ties=ties)]
+    classes, counts, emissions = play(rows, SMALL, source_of=source_of, sources=sources)
+    table = as_table(spark, rows).withColumn("source", F.col("event_id") % sources)
+    classified = classify_lateness(table, SMALL, source="source", sources=sources)
+    assert {row["event_id"]: row["lateness"] for row in classified.collect()} == classes
+    assert len(set(classes.values())) > 1
+    ends = {key[:3] for key in emissions}
+    expected = {(time_text(end), kind, area, n, (end, kind, area) in ends) for (end, kind, area), n in counts.items()}
+    assert {tuple(row) for row in final_counts(classified).collect()} == expected
+    assert sorted(map(tuple, refire_changelog(classified).collect())) == [(time_text(end), *rest) for end, *rest in emissions]
+
+
+def test_a_source_without_rows_holds_back(spark):
+    rows = random_rows(8, low=BASE)
+    classified = classify_lateness(as_table(spark, rows).withColumn("source", F.lit(1)), SMALL, source="source", sources=2)
+    assert {row["lateness"] for row in classified.collect()} == {"ontime"}
+    assert refire_changelog(classified).collect() == []
+
+
+@pytest.mark.parametrize("wrong", [None, 2, -1])
+def test_a_source_that_is_none_ends_the_job(spark, wrong):
+    rows = as_table(spark, random_rows(9, n=5, low=BASE)).withColumn("source", F.lit(wrong).cast("int"))
+    with pytest.raises(Exception, match="not a source below 2"):
+        classify_lateness(rows, SMALL, source="source", sources=2).collect()
+
+
 def test_rows_before_the_epoch(spark):
     """The watermark starts 10 s before the epoch, so rows older than that are late at once."""
     rows = [(0, 0, -100_000, "a", "A"), (1, 1, -5_000, "a", "A"), (2, 2, 30_000, "a", "A"), (3, 3, -61_000, "a", "A")]

@@ -26,6 +26,7 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--documents", choices=("append", "upsert"), default="append", help="every emission, or the last of each id")
     args.add_argument("--each-refire", action="store_true", help="a document for each correction, not one per batch and window")
     args.add_argument("--times", choices=("positive", "nonzero"), default="positive", help="moments to count: after the epoch, or any but it")
+    args.add_argument("--lenient", action="store_true", help="times need no leading zeros, roll over, and may be followed by text")
     for name, what in (("window", "width of a window"), ("delay", "how far the watermark trails"), ("lateness", "how long corrections are taken")):
         args.add_argument(f"--{name}", type=float, default=getattr(settings.Timing(), f"{name}_ms") / 1000, help=f"{what}, in seconds")
     add_common(args)
@@ -50,10 +51,11 @@ def main(argv: list[str] | None = None) -> None:
     checkpoint = f"{given.folder}/checkpoint"
     trigger = {"availableNow": True} if given.once else None
     if given.builtin:
-        queries = run_report_builtin(messages, docs, bad, checkpoint, timing, given.label, given.times, trigger=trigger)
+        queries = run_report_builtin(messages, docs, bad, checkpoint, timing, given.label, given.times, trigger=trigger, lenient=given.lenient)
     else:
         arrival = "arrival" if "arrival" in messages.columns else None
-        step = ReportStep(f"{given.folder}/state", docs, late, bad, timing, arrival, given.times, given.label, each_refire=given.each_refire)
+        options = {"each_refire": given.each_refire, "lenient": given.lenient}
+        step = ReportStep(f"{given.folder}/state", docs, late, bad, timing, arrival, given.times, given.label, **options)
         queries = (run_report_exact(messages, step, checkpoint, trigger),)
     if given.once:
         for query in queries:

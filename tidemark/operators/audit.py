@@ -11,16 +11,17 @@ from tidemark.functions.texts import tab_line
 from tidemark.functions.times import parse_time
 
 
-def parse_audit(messages: DataFrame, times: str = "positive") -> DataFrame:
+def parse_audit(messages: DataFrame, times: str = "positive", lenient: bool = False) -> DataFrame:
     """Add ``event_time``, ``type``, ``area`` and ``reason`` to rows with a ``value`` text.
 
     ``reason`` is null for rows the report counts. ``times`` says which moments it takes:
-    ``positive`` (after the epoch) or ``nonzero`` (any but the epoch itself).
+    ``positive`` (after the epoch) or ``nonzero`` (any but the epoch itself). With ``lenient``, times may
+    be written as ``parse_time`` says.
     """
     if times not in ("positive", "nonzero"):
         raise ValueError(f"times must be 'positive' or 'nonzero', not {times!r}")
     parsed = with_once(messages, "_p", read_fields("value", "dt string, type string, area string"))
-    parsed = with_once(parsed, "event_time", parse_time("_p.dt"))
+    parsed = with_once(parsed, "event_time", parse_time("_p.dt", lenient))
     ms = F.unix_millis("event_time")
     reason = (
         F.when(is_broken("_p"), "malformed_json")

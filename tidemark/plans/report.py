@@ -47,12 +47,16 @@ def report_messages(
     times: str = "positive",
     label: str = "window_end",
     max_broadcast: int = BROADCAST_BYTES,
+    source: str | None = None,
+    sources: int = 1,
+    lenient: bool = False,
 ) -> Report:
     """Audit texts ``value`` with their ``arrival`` to counts, documents, late lines and bad rows.
 
     The texts are read and parsed once, here; all outputs start from the parsed table in the shared
-    folder, which is a fraction of the texts' size.
+    folder, which is a fraction of the texts' size. With a column ``source`` of numbers below ``sources``,
+    each source has a watermark of its own, and rows meet the least. ``lenient`` is as in ``parse_audit``.
     """
-    parsed = written(slim(parse_audit(messages, times)), "parsed")
-    classified = classify_lateness(good_rows(parsed), timing, max_broadcast=max_broadcast)
+    parsed = written(slim(parse_audit(messages, times, lenient)), "parsed")
+    classified = classify_lateness(good_rows(parsed), timing, max_broadcast=max_broadcast, source=source, sources=sources)
     return Report(classified, bad_rows(parsed), label)

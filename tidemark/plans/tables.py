@@ -31,16 +31,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def audit_messages(spark: SparkSession, sf_dir: str, delay_ms: int = 0, damaged: bool = False) -> DataFrame:
-    """``events`` as audit-log texts: ``(value, arrival, event_id)``.
+def audit_messages(
+    spark: SparkSession, sf_dir: str, delay_ms: int = 0, damaged: bool = False, loose: bool = False, sources: int = 0
+) -> DataFrame:
+    """``events`` as audit-log texts: ``(value, arrival, event_id)``, and with ``sources`` the ``source`` of a row, by user.
 
     Every seventh event arrives ``delay_ms`` after it happened, all others at once; ``arrival`` is in
     microseconds. With ``damaged``, ten kinds of defects are put in, each in every 13th row; three of
-    them are texts that go on after their object.
+    them are texts that go on after their object. With ``loose``, seven of eight times are written in ways
+    that only a lenient reader takes, and the eighth in one that none does.
     """
     events = table(spark, sf_dir, "events")
     fields = {
-        "dt": format_time("ts"),
+        "dt": _loose_time(F.col("ts")) if loose else format_time("ts"),
         "type": F.col("event_type"),
         "username": F.col("user_id").cast("string"),
         "area": F.concat(F.lit("AREA_"), (F.col("user_id") % 5).cast("string")),
@@ -61,7 +64,28 @@ def audit_messages(spark: SparkSession, sf_dir: str, delay_ms: int = 0, damaged:
             .when(kind == 9, F.concat(value, F.lit("]")))
             .otherwise(value)
         )
-    return events.select(value.alias("value"), _arrival(delay_ms).alias("arrival"), "event_id")
+    source = [F.pmod("user_id", F.lit(sources)).alias("source")] if sources else []
+    return events.select(value.alias("value"), _arrival(delay_ms).alias("arrival"), "event_id", *source)
+
+
+def _loose_time(ts: Column) -> Column:
+    kind = F.col("event_id") % 8
+    year, month, day, hour, minute, second = (f(ts) for f in (F.year, F.month, F.dayofmonth, F.hour, F.minute, F.second))
+    of_year = F.dayofyear(ts)
+
+    def text(pattern: str, *numbers: Column) -> Column:
+        return F.format_string(pattern, *numbers)
+
+    return (
+        F.when(kind == 0, text("%d-%02d-%02d %02d:%02d:%02d", year - 1, month + 12, day, hour, minute, second))
+        .when(kind == 1, text("%d-%02d-%02d %02d:%02d:%02d", year, month, day - 1, hour + 24, minute, second))
+        .when(kind == 2, text("%d-%02d-%02d %02d:00:%d", year, month, day, hour, minute * 60 + second))
+        .when(kind == 3, text("%d-01-01 %d:%02d:%02d", year, (of_year - 1) * 24 + hour, minute, second))
+        .when(kind == 4, F.concat(format_time(ts), F.lit(".5 and more")))
+        .when(kind == 5, text("%d- %d- %d  %d: %d: %d", year, month, day, hour, minute, second))
+        .when(kind == 6, text("%d-00-%d %02d:%02d:%02d", year, of_year + 31, hour, minute, second))
+        .otherwise(F.replace(format_time(ts), F.lit(" "), F.lit("T")))
+    )
 
 
 def arrivals(spark: SparkSession, sf_dir: str, delay_ms: int = 0) -> DataFrame:

@@ -38,6 +38,7 @@ class ReportStep:
     Several refires of a window within a batch come out as one document, the last. With ``each_refire``
     every one is a document, as in the batch report's changelog: one for the firing, and one for each
     arrival that corrects it, with the count so far. Their documents are named by window end only.
+    ``lenient`` is as in ``parse_audit``.
     """
 
     state: str
@@ -50,6 +51,7 @@ class ReportStep:
     label: str = "window_end"
     keep: int = 100
     each_refire: bool = False
+    lenient: bool = False
 
     def __post_init__(self) -> None:
         if self.each_refire and self.label != "window_end":
@@ -58,7 +60,7 @@ class ReportStep:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with scratch(batch.sparkSession):
             # The batch is used several times; parts lost with an executor are read again.
-            parsed = slim(parse_audit(batch, self.times)).persist(StorageLevel.MEMORY_AND_DISK)
+            parsed = slim(parse_audit(batch, self.times, self.lenient)).persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 self._run(parsed, batch_id)
             finally:
@@ -154,6 +156,7 @@ def run_report_builtin(
     times: str = "positive",
     state_partitions: int | None = None,
     trigger: dict | None = None,
+    lenient: bool = False,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start the report on Spark's watermark in update mode, and a second query for the bad rows.
 
@@ -164,7 +167,7 @@ def run_report_builtin(
     ``state_partitions`` (by default the session's shuffle partitions) stays as it was when the stream
     first ran; the cores of the cluster are a fair number, as each costs a few files per batch.
     """
-    parsed = parse_audit(messages, times)
+    parsed = parse_audit(messages, times, lenient)
     rows = good_rows(parsed)
     rows = rows.withWatermark("event_time", f"{timing.delay_ms + timing.lateness_ms} milliseconds")
     counted = window_counts(rows, timing, label, "arrival" if "arrival" in messages.columns else None)
