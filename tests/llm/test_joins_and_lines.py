@@ -257,3 +257,58 @@ def test_forms_of_secrets_phones_and_addresses(spark, docs):
         assert not any(entity in new for _, entity in own) and (own or text == new)
     weak = [f"password={a}{b}****" for a in "abcdefgh" for b in "1234"]
     assert len({r["text"] for r in replace_entities(docs(*weak), "k").documents.collect()}) == len(weak)
+
+
+NAMED = {
+    "Ms. Ada Lind spoke. Later Lind left, Ada smiled, and LIND's friends, not Lindberg, stayed.": ["Ada", "Lind", "LIND"],
+    "Mr O'Brien and Mr McDonald; Dr. Anne-Marie Smith-Jones. Marie, Anne-Marie and O’Neil": ["O'Brien", "McDonald", "Anne-Marie", "Smith-Jones"],
+    "MR JOHN SMITH and Mr. Smith": ["JOHN", "SMITH", "Smith"],
+    "Dr. 王小明 came. 后来王小明走了。 李娜女士 too": ["王小明", "李娜"],
+    "Κύριος Γιώργος Παπαδόπουλος": ["Γιώργος", "Παπαδόπουλος"],
+    "hello, my name is Fatima Khan. Khan it is": ["Fatima", "Khan"],
+    "Mrs Olga van der Berg; Berg": ["Olga", "Berg"],
+    "Mail jörg@bücher.example now": ["jörg@bücher"],
+    "IBAN DE89 3704 0044 0532 0130 00 or GB29NWBK60161331926819, card 378282246310005": ["3704", "NWBK60161331926819", "78282246310005"],
+}
+UNNAMED = ["The New York Times met the Security Council.", "Miss the bus; don Quixote; sir, dr no", "MS 12, DR. 5, AB12 CDEF", "王小明 by itself"]
+
+
+def test_names_and_their_mentions(spark, docs):
+    rows = replace_entities(docs(*NAMED, *UNNAMED), "k").documents.orderBy("doc_id").collect()
+    for (text, gone), row in zip(NAMED.items(), rows):
+        for word in gone:
+            assert not re.search(rf"(?<!\w){re.escape(word)}(?!\w)", row["text"]), row["text"]
+    assert [r["text"] for r in rows[len(NAMED) :]] == UNNAMED
+    first, second = re.match(r"Ms\. (\w+a) (\w+) spoke", rows[0]["text"]).groups()
+    assert rows[0]["text"] == f"Ms. {first} {second} spoke. Later {second} left, {first} smiled, and {second.upper()}'s friends, not Lindberg, stayed."
+    assert re.fullmatch(r"Mr \w+ and Mr \w+; Dr\. \w+ \w+\. Marie, \w+ and O’Neil", rows[1]["text"])
+    loud = re.fullmatch(r"MR [A-Z]+N ([A-Z]+) and Mr\. (\w+)", rows[2]["text"])
+    assert loud[1] == loud[2].upper()
+    assert len(set(re.findall(r"[\u5e00-\u5eff]{3}(?= came|走了)", rows[3]["text"]))) == 1
+    assert re.fullmatch("Κύριος [α-ωΑ-Ω]+ς [α-ωΑ-Ω]+", rows[4]["text"])
+    assert re.fullmatch(r"hello, my name is \w+ (\w+)\. \1 it is", rows[5]["text"])
+    assert re.fullmatch(r"Mrs \w+a van der (\w+); \1", rows[6]["text"])
+    assert rows[7]["text"].endswith(".example now")
+    card = rows[8]["text"].split()[-1]
+    assert len(card) == 15 and luhn("0" + card)
+
+
+def test_surrogates_are_native(spark, docs):
+    plan = replace_entities(docs("Ms. Ada Lind and Lind"), "k").documents._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_surrogates_among_columns_of_any_name(spark):
+    names = ["_text", "_found", "_map", "_first", "_pattern", "Text", "c0", "entity"]
+    rows = [(n, "Ms. Ada Lind, a@b.org, Lind", *[f"{c} {n}" for c in names]) for n in range(3)]
+    table = spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", *[f"`{c}` string" for c in names]]))
+    replaced = replace_entities(table, "k").documents
+    assert replaced.columns == [*table.columns, "n_entities"]
+    for old, new in zip(rows, sorted(map(tuple, replaced.collect()))):
+        assert new[:1] + new[2:-1] == old[:1] + old[2:] and "Lind" not in new[1] and new[-1] == 3
+
+
+def test_names_in_a_very_long_text(spark, docs):
+    text = "Ms. Ada Lind. " + "Lind and others talked about nothing much, " * 50_000
+    row = replace_entities(docs(text, text), "k").documents.first()
+    assert row["n_entities"] == 50_001 and "Lind" not in row["text"] and row["text"].count(" and others") == 50_000
