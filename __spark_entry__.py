@@ -37,13 +37,14 @@ from tidemark.plans.tables import (
     table,
 )
 from tidemark.settings import OTHER_AREA, Timing
+from tidemark.sinks.delivery import with_ids_sink
 from tidemark.sinks.writers import documents, folder_sink, read_folder, read_upserted, upsert_sink
 from tidemark.sources.areas import AreaSnapshots
 from tidemark.sources.messages import read_messages
 from tidemark.streaming.clean import run_clean
 from tidemark.streaming.replay import NOW, replay
 from tidemark.streaming.report import ReportStep, run_report_builtin, run_report_exact
-from tidemark.workspace import new_folder, use_utc, written
+from tidemark.workspace import new_folder, setting, use_utc, written
 
 # Training-data operators and the corpus pipeline are a part that may be left out.
 try:
@@ -256,6 +257,26 @@ def _stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _json_columns(read_folder(spark, f"{folder}/out", "value string", "text"), CLEAN_FIELDS)
 
 
+def _delivered_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of three batches, the second of which is sent twice, as a stream reads them from the log."""
+    folder = new_folder(use_utc(spark), "delivery")
+
+    def append(df: DataFrame, batch_id: int) -> None:
+        df.withColumn("timestamp", F.current_timestamp()).write.mode("append").parquet(f"{folder}/log")
+
+    send = with_ids_sink(append)
+    messages = written(order_messages(spark, sf_dir), "messages")
+    areas = _area_dim(spark, sf_dir)
+    for batch_id in (0, 1, 1, 2):
+        send(clean_messages(messages.where(_date_part() == batch_id), areas, None, ITEM_FIELDS).json, batch_id)
+    log = read_messages(spark, "parquet", True, "key string, value string, timestamp timestamp", "1 hour", path=f"{folder}/log")
+    once = log.writeStream.foreachBatch(folder_sink(f"{folder}/out"))
+    with setting(spark, "spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism):
+        query = once.option("checkpointLocation", f"{folder}/checkpoint").trigger(**NOW).start()
+    query.awaitTermination()
+    return _json_columns(read_folder(spark, f"{folder}/out", "value string"), CLEAN_FIELDS)
+
+
 def _arrival_part(messages: DataFrame) -> Column:
     """Equal spans of arrival time."""
     low, high = messages.agg(F.min("arrival"), F.max("arrival")).first()
@@ -345,6 +366,7 @@ def queries() -> dict[str, Query]:
         "json_get": _json_get,
         "json_put": _json_put,
         "stream_clean": _stream_clean,
+        "stream_delivered_once": _delivered_once,
         "stream_report_builtin": _stream_builtin(MINUTE),
         "lateness_classes_shuffled_1d": _report(_classes, DAY, DAY_DELAY_MS, max_broadcast=0),
         "stream_report_builtin_1d": _stream_builtin(DAY),

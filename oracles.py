@@ -273,6 +273,7 @@ ORACLES: dict[str, str] = {
     "json_get": JSON_GET,
     "json_put": JSON_PUT,
     "stream_clean": _clean("areas.area"),
+    "stream_delivered_once": _clean("areas.area"),
     "stream_report_builtin": _report("minute"),
     "stream_report_builtin_1d": _report("day"),
     "lateness_classes_shuffled_1d": _classes(_lateness(*DAY)),

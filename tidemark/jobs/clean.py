@@ -9,6 +9,7 @@ import argparse
 
 from tidemark import settings
 from tidemark.jobs.options import add_common, reader_options, session
+from tidemark.sinks.delivery import with_ids_sink
 from tidemark.sinks.writers import folder_sink, kafka_sink
 from tidemark.sources.areas import AreaSnapshots
 from tidemark.sources.messages import read_messages
@@ -30,8 +31,9 @@ def main(argv: list[str] | None = None) -> None:
     spark = session("clean", given)
     if given.servers:
         options = {"kafka.bootstrap.servers": given.servers, "subscribe": given.input, **reader_options(given)}
-        messages = read_messages(spark, "kafka", streaming=True, **options)
+        messages = read_messages(spark, "kafka", streaming=True, once=given.once_within, **options)
         sink = kafka_sink(given.output, given.servers)
+        sink = with_ids_sink(sink) if given.ids else sink
     else:
         messages = read_messages(spark, "text", streaming=True, path=given.input, **reader_options(given))
         sink = folder_sink(given.output, "text")

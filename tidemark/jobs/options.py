@@ -17,6 +17,8 @@ def add_common(args: argparse.ArgumentParser) -> None:
         metavar="KEY=VALUE",
         help="option of the reader, such as startingOffsets=earliest or maxOffsetsPerTrigger=1000000; may be repeated",
     )
+    args.add_argument("--ids", action="store_true", help="send each record with an id as its key, the same when a batch is sent again")
+    args.add_argument("--once-within", metavar="SPAN", help="leave out records that were sent again within a span such as '1 hour', by key")
     args.add_argument("--zone", help="time zone of time texts; the session's if not given")
 
 

@@ -10,6 +10,7 @@ import argparse
 from tidemark import settings
 from tidemark.jobs.options import add_common, reader_options, session
 from tidemark.operators.windows import LABELS
+from tidemark.sinks.delivery import with_ids_sink
 from tidemark.sinks.writers import all_of, console_sink, folder_sink, kafka_sink, upsert_sink
 from tidemark.sources.messages import read_messages
 from tidemark.streaming.report import ReportStep, run_report_builtin, run_report_exact
@@ -38,8 +39,9 @@ def main(argv: list[str] | None = None) -> None:
     timing = settings.Timing(*(round(seconds * 1000) for seconds in (given.window, given.delay, given.lateness)))
     if given.servers:
         options = {"kafka.bootstrap.servers": given.servers, "subscribe": given.input, **reader_options(given)}
-        messages = read_messages(spark, "kafka", streaming=True, **options)
+        messages = read_messages(spark, "kafka", streaming=True, once=given.once_within, **options)
         late = kafka_sink(given.late, given.servers)
+        late = with_ids_sink(late) if given.ids else late
     else:
         messages = read_messages(spark, "text", streaming=True, path=given.input, **reader_options(given))
         late = folder_sink(given.late, "text", few_files=True)

@@ -33,10 +33,10 @@ def read_folder(spark: SparkSession, path: str, schema: str, fmt: str = "parquet
 
 
 def kafka_sink(topic: str, servers: str) -> Sink:
-    """Sends the ``value`` column. A replayed batch is sent again: delivery is at least once."""
+    """Sends the ``value`` column, and ``key`` if there is one. A replayed batch is sent again: delivery is at least once."""
 
     def write(df: DataFrame, batch_id: int) -> None:
-        df.select("value").write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+        df.select(*[c for c in ("key", "value") if c in df.columns]).write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
     return write
 

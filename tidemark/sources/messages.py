@@ -14,6 +14,7 @@ def read_messages(
     fmt: str,
     streaming: bool = False,
     schema: str | None = None,
+    once: str | None = None,
     **options: str,
 ) -> DataFrame:
     """One ``value`` text per message, and ``arrival`` where the source knows it.
@@ -21,12 +22,15 @@ def read_messages(
     ``fmt='kafka'`` needs ``subscribe`` and ``kafka.bootstrap.servers`` (keyword names with dots go
     in as ``**{'kafka.bootstrap.servers': ...}``) and the Kafka connector on the class path; see
     ``kafka_messages`` for its arrival. ``fmt='text'`` takes each line as a message. Other formats
-    must hold a ``value`` column; for streams give their ``schema``.
+    must hold a ``value`` column; for streams give their ``schema``. With ``once``, a span of time such as
+    ``1 hour``, records that were sent again within it are left out (``read_once``); they must have ``key`` and ``timestamp``.
     """
     reader = (spark.readStream if streaming else spark.read).format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     raw = reader.load()
+    if once is not None:
+        raw = read_once(raw, horizon=once)
     if fmt == "kafka":
         return kafka_messages(raw)
     kept = [name for name in ("arrival",) if name in raw.columns]
@@ -34,7 +38,7 @@ def read_messages(
 
 
 def kafka_messages(records: DataFrame) -> DataFrame:
-    """Kafka records to messages; keys and offsets are not used.
+    """Kafka records to messages; keys and offsets are not used here.
 
     ``arrival`` is the record's time in microseconds where the broker set it (log-append time). A
     producer's clock says nothing of the order in which records are read, so such a record has no
@@ -44,3 +48,20 @@ def kafka_messages(records: DataFrame) -> DataFrame:
     return records.select(
         F.col("value").cast("string").alias("value"), F.when(appended, F.unix_micros("timestamp")).alias("arrival")
     )
+
+
+def read_once(messages: DataFrame, key: str = "key", sent: str = "timestamp", horizon: str = "1 hour") -> DataFrame:
+    """``messages`` without those whose ``key`` came before, in a stream or a table.
+
+    A stream remembers a key for ``horizon`` after the time it was ``sent``: a batch must be replayed within that.
+    It does so by a watermark, for which that of the built-in report would wait, too; the other jobs have none.
+    Messages without a key stay as they are, all of them.
+    """
+    # Those without a key get one of their own, which no other has.
+    own = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("none "), F.uuid()))
+    keyed = messages.withColumn("_id", own)
+    if messages.isStreaming:
+        found = keyed.withWatermark(sent, horizon).dropDuplicatesWithinWatermark(["_id"])
+    else:
+        found = keyed.dropDuplicates(["_id"])
+    return found.drop("_id")
