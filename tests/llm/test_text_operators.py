@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import decontaminate
+from tidemark.llm import decontaminate, encode
 from tidemark.llm.bitplane import ShardReader, ShardWriter, from_planes, read_shards, to_planes, write_shards
 from tidemark.llm.decontaminate import clean, contamination
 from tidemark.llm.encode import Encoder
@@ -32,8 +32,10 @@ def library(path):
     return lambda text: found.encode(text or "", add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("part", [1 << 14, 5])
 @pytest.mark.parametrize("path, lead", [(BYTES, True), (WORDS, False)])
-def test_encoder_is_the_library(path, lead):
+def test_encoder_is_the_library(path, lead, part, monkeypatch):
+    monkeypatch.setattr(encode, "PART", part)
     ids, ends = Encoder(path, lead).encode(pa.array(ODD, pa.string()))
     assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [library(path)(text) for text in ODD]
     assert Encoder(path, lead).encode(pa.array([], pa.string()))[1].tolist() == [0]

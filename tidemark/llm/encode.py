@@ -17,6 +17,7 @@ from tokenizers import Tokenizer, pre_tokenizers
 
 BATCH = 1024
 GATHER = 1 << 20
+PART = 1 << 14
 #: Pieces between marks: letters below U+0100 with a leading space, if any, then ASCII punctuation; or else.
 PIECE = re.compile("(?:( ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+)([!-/:-@\\[-`{-~]*)|([^\\0]*))(?:\\0|\\Z)")
 
@@ -58,26 +59,45 @@ class Encoder:
         word = piece.removeprefix(" ")
         return bool(word) and not word[0].isspace() and not word[-1].isspace()
 
-    def _units(self, pieces: pa.Array) -> tuple[list[list[int]], np.ndarray, np.ndarray]:
-        """Ids of words, ends and other pieces; which two make up each piece; pieces that can't stand alone."""
-        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(pieces)], pieces), "\0")[0].as_py()
-        found = PIECE.findall(joined)[: len(pieces)]
+    def _units(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all words, ends and other pieces; how many each has; which two make up each piece; pieces that can't stand alone.
+
+        Pieces go through Python objects in parts, so that few of these live at once.
+        """
         words: dict[str, int] = {}
         others: dict[str, int] = {"": 0}
-        if self.lead:
-            first = [words.setdefault(w, len(words)) if w else -1 for w, _, _ in found]
-        else:
-            first = [words.setdefault(w.lower(), len(words)) if w else -1 for w, _, _ in found]
-        second = [others.setdefault(end or rest, len(others)) for _, end, rest in found]
-        alone = [not found[i][0] and not self._alone(found[i][2]) for i in np.flatnonzero(np.array(first) < 0)]
-        bad = np.zeros(len(found), bool)
-        bad[np.flatnonzero(np.array(first) < 0)] = alone
-        signs = "\0".join(words).encode().decode("latin-1").translate(self.letters).split("\0") if words else []
+        first, second = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int64)
+        bad = np.zeros(len(pieces), bool)
+        for a in range(0, len(pieces), PART):
+            own = pieces.slice(a, PART)
+            b = a + len(own)
+            joined = pc.binary_join(pa.ListArray.from_arrays([0, len(own)], own), "\0")[0].as_py()
+            found = PIECE.findall(joined)[: len(own)]
+            if self.lead:
+                first[a:b] = [words.setdefault(w, len(words)) if w else -1 for w, _, _ in found]
+            else:
+                first[a:b] = [words.setdefault(w.lower(), len(words)) if w else -1 for w, _, _ in found]
+            second[a:b] = [others.setdefault(end or rest, len(others)) for _, end, rest in found]
+            plain = np.flatnonzero(first[a:b] < 0)
+            bad[a + plain] = [not self._alone(found[i][2]) for i in plain]
+        stores, sizes = [], []
+
+        def add(units: list[list[int]]) -> None:
+            sizes.append(np.array([*map(len, units)], np.int64))
+            stores.append(np.fromiter(chain.from_iterable(units), "<u4"))
+
         tokenize = self.model.tokenize
-        units = [[t.id for t in tokenize(sign)] for sign in signs] + [[]] + self.whole(list(others)[1:])
-        pair = np.stack([np.array(first, np.int64), np.array(second, np.int64) + len(words)], axis=1)
+        names = list(words)
+        for a in range(0, len(names), PART):
+            signs = "\0".join(names[a : a + PART]).encode().decode("latin-1").translate(self.letters).split("\0")
+            add([[t.id for t in tokenize(sign)] for sign in signs])
+        add([[]])
+        names = list(others)[1:]
+        for a in range(0, len(names), PART):
+            add(self.whole(names[a : a + PART]))
+        pair = np.stack([first, second + len(words)], axis=1)
         pair[pair[:, 0] < 0, 0] = len(words)
-        return units, pair.reshape(-1), bad
+        return np.concatenate(stores), np.concatenate(sizes), pair.reshape(-1), bad
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's ids start and end. Null: empty."""
@@ -91,8 +111,9 @@ class Encoder:
         split = pc.split_pattern(marked, "\0")
         words = split.flatten().dictionary_encode()
         index = words.indices.to_numpy()
-        units, pair, bad = self._units(words.dictionary)
-        store, sizes = _gather(np.fromiter(chain.from_iterable(units), "<u4"), np.array([*map(len, units)], np.int64), pair)
+        store, sizes, pair, bad = self._units(words.dictionary)
+        store, sizes = _gather(store, sizes, pair)
+        del marked, words
         flat, sizes = _gather(store, sizes.reshape(-1, 2).sum(axis=1), index)
         starts = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(), dtype=np.int64)])
         ends = np.concatenate([[0], np.cumsum(sizes)])[starts]

@@ -25,7 +25,7 @@ from tidemark.llm.tables import map_arrow, slices, stored
 
 CAPACITY = 2048
 END_ID = 0
-ENCODE_BYTES = 8 << 20
+ENCODE_BYTES = 2 << 20
 RANK_BITS = 44
 
 
