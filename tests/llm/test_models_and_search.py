@@ -327,3 +327,30 @@ def test_languages_beyond_the_broadcast_lose_no_counts(spark, monkeypatch, most)
     for a, b in zip(expected, found):
         assert (a["doc_id"], a["lang_pred"], a["accepted"]) == (b["doc_id"], b["lang_pred"], b["accepted"])
         assert a["score"] == pytest.approx(b["score"], abs=1e-9)
+
+
+def test_languages_calibrate_on_all_known_texts(spark, monkeypatch):
+    """Far more than 2000 texts: each of them is counted, and each decides on the threshold."""
+    rng = random.Random(15)
+    stock = {"en": "the and with that this from have they".split(), "de": "und der die nicht eine sich über schön".split()}
+    known = [n for n in range(8000) if __import__("zlib").crc32(str(n).encode()) % 4 != 2]
+    rows = [(n, " ".join(rng.choice(stock[lang]) for _ in range(6)), lang) for n, lang in zip(known, rng.choices(list(stock), k=len(known)))]
+    seen = []
+    monkeypatch.setattr(langid, "_threshold", lambda decisions, plain=langid._threshold: seen.append(decisions.count()) or plain(decisions))
+    fitted = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert seen == [len(known)]
+    grams = sum((langid.characters([text])[0] != 0).sum() for _, text, lang in rows if lang == "en")
+    model = fitted.models[fitted.names.index("en")]
+    keys, counts = np.unique(np.concatenate([k[k != 0] for k in (langid.grams(langid.characters([t])[0]) for _, t, x in rows if x == "en")]), return_counts=True)
+    assert counts.sum() == grams and all((a == b).all() for a, b in zip(model.seen[3], langid.kneser_ney(keys, counts).seen[3]))
+
+
+def test_language_threshold_by_ranges(spark):
+    rng = random.Random(16)
+    rows = [(rng.choice([1.0, round(rng.random(), 3), rng.random()]), rng.random() < 0.995) for _ in range(3000)]
+    expected, right, n = 1.0, 0, 0
+    for best in sorted({b for b, _ in rows}, reverse=True):
+        right, n = right + sum(r for b, r in rows if b == best), n + sum(b == best for b, _ in rows)
+        expected = best if right / n >= langid.ACCEPTED_RIGHT else expected
+    assert langid._threshold(spark.createDataFrame(rows, "best double, right boolean").repartition(7)) == expected
+    assert langid._threshold(spark.createDataFrame([(0.7, False)], "best double, right boolean")) == 1.0

@@ -4,18 +4,20 @@ A text is its letters in lower case, with one blank for whatever stands between
 counted over all texts whose language is given, and lower orders by the distinct characters before
 them. Small models are kept as sorted arrays of hashed n-grams with their log probabilities, and of hashed
 contexts with their back-off weights, which are broadcast. Beyond ``MOST_GRAMS`` or ``MOST_LANGUAGES``
-the same models are tables, and the n-grams of the texts are joined with them; nothing is left out. The language of lowest cross-entropy per character is chosen;
-a temperature and a rejection threshold are fitted on texts that the counts leave out.
+the same models are tables, and the n-grams of the texts are joined with them; nothing is left out. The language of lowest cross-entropy per character is chosen.
+A temperature and a rejection threshold are fitted on all those texts, too: each is scored by models of the
+other parts, so that none meets its own counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import BROADCAST_BYTES, HELD_OUT, fold, map_arrow, slices, stored
@@ -27,8 +29,9 @@ UNKNOWN = "und"
 #: Bounds of the models that are broadcast: n-grams of all languages together, and languages. Larger ones stay in tables.
 MOST_GRAMS = 1 << 21
 MOST_LANGUAGES = 256
-#: At most so many texts, the first by hash, serve to fit the temperature and the threshold.
-CALIBRATION_ROWS = 2000
+#: The texts learnt from are dealt to so many parts; each part is scored by models of the others.
+PARTS = 2
+TEMPERATURES = np.geomspace(0.02, 20, 60)
 ACCEPTED_RIGHT = 0.99
 SLICE = 1 << 20
 
@@ -124,7 +127,9 @@ def kneser_ney(keys: np.ndarray, counts: np.ndarray) -> Model:
     return Model(seen, back, floor)
 
 
-def _counted(langs: dict[str, int]):
+def _counted(langs: dict[tuple[int, str], int]):
+    """Counts of 4-grams by part and language, whose number is ``langs``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in langs]
         size = 0
@@ -139,7 +144,7 @@ def _counted(langs: dict[str, int]):
                 parts.clear()
 
         for batch in slices(batches, limit=SLICE):
-            own = np.array([langs[x] for x in batch.column("lang").to_pylist()])
+            own = np.array([langs[x] for x in zip(batch.column("part").to_pylist(), batch.column("lang").to_pylist())])
             codes, begin = characters(batch.column("text").to_pylist())
             keys, text = grams(codes), np.searchsorted(begin, np.arange(len(codes)), "right") - 1
             for lang in np.unique(own).tolist():
@@ -302,22 +307,33 @@ def _entropy_rows(shared):
     return run
 
 
-def _calibration(doc_id: Column) -> Column:
-    """A few of the rows that may be learnt from; fold 1 of 64."""
-    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 64 == 1
+def _part(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(PARTS)).cast("int")
 
 
 def fit(docs: DataFrame) -> Languages:
     """Learn from the rows that are not held out and have a text with letters and a language.
 
-    All of them are counted, but for those left for calibration, and every language and n-gram is learnt.
+    All of them are counted, and all of them calibrate; every language and n-gram is learnt.
     """
     known = docs.where("lang is not null and text is not null").where(fold(F.col("doc_id")) != HELD_OUT)
+    known = known.select(_part(F.col("doc_id")).alias("part"), "lang", "text")
     names = sorted(r["lang"] for r in known.select("lang").distinct().collect())
-    index = {name: i for i, name in enumerate(names)}
-    learnt = known.where(~_calibration(F.col("doc_id"))).select("lang", "text")
-    parts = map_arrow(learnt, _counted(index), "lang int, gram long, n long")
-    table = stored(parts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "language-grams")
+    index = {(part, name): part * len(names) + i for i, name in enumerate(names) for part in range(PARTS)}
+    counts = map_arrow(known, _counted(index), "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    part, lang = F.floor(F.col("lang") / len(names)).cast("int"), F.pmod("lang", F.lit(len(names))).alias("lang")
+    counts = stored(counts.select(part.alias("part"), lang, "gram", "n"), "language-grams") if names else None
+    found = _modelled(counts, names)
+    if found.names:
+        _calibrate(found, known, counts, names)
+    return found
+
+
+def _modelled(counts: DataFrame | None, names: list[str]) -> Languages:
+    """Models of ``counts`` (lang, gram, n; several rows of a gram add up), of those ``names`` that have any."""
+    if counts is None:
+        return Languages([], [])
+    table = stored(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "language-grams")
     sizes = {r["lang"]: r["grams"] for r in table.groupBy("lang").agg(F.count(F.lit(1)).alias("grams")).collect()}
     found = Languages([names[i] for i in sorted(sizes)], [])
     if sum(sizes.values()) > MOST_GRAMS or len(sizes) > MOST_LANGUAGES:
@@ -329,37 +345,95 @@ def fit(docs: DataFrame) -> Languages:
         for i in sorted(sizes):
             keys, order = np.unique(gram[lang == i].view(np.uint64), return_index=True)
             found.models.append(kneser_ney(keys, n[lang == i][order]))
-    if found.names:
-        _calibrate(found, known)
     return found
 
 
-def _calibrate(found: Languages, known: DataFrame) -> None:
-    """Set the temperature of least log loss and the lowest threshold that leaves enough right."""
-    sample = known.where(_calibration(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "text").limit(CALIBRATION_ROWS)
-    if found.tables:
-        rows = _joined_entropies(sample.select("lang", "text"), "lang", found.tables)
-    else:
-        shared = known.sparkSession.sparkContext.broadcast(found)
-        rows = map_arrow(sample.select("lang", "text"), _entropy_rows(shared), "lang string, entropies array<double>, size long")
-    rows = [r for r in rows.collect() if r["lang"] in found.names and r["size"]]
+def _calibrate(found: Languages, known: DataFrame, counts: DataFrame, names: list[str]) -> None:
+    """Set the temperature of least log loss and the lowest threshold that leaves enough right, by all of ``known``.
+
+    Texts whose language no other part holds are left out: models without it tell nothing about them.
+    """
+    rows = [_scored(_modelled(counts.where(F.col("part") != part), names), known.where(F.col("part") == part), names) for part in range(PARTS)]
+    rows = [stored(part, "language-entropies") for part in rows if part is not None]
     if not rows:
         return
-    values, size = np.array([r["entropies"] for r in rows]), np.array([r["size"] for r in rows])
-    truth = np.array([found.names.index(r["lang"]) for r in rows])
-    losses = {}
-    for found.temperature in np.geomspace(0.02, 20, 60).tolist():
-        p = found.scores(values, size)
-        losses[found.temperature] = -np.log(np.maximum(p[np.arange(len(p)), truth], 1e-12)).mean()
-    found.temperature = min(losses, key=losses.get)
-    p = found.scores(values, size)
-    best = p.max(axis=1)
-    right = (p.argmax(axis=1) == truth)[np.argsort(-best)]
-    enough = np.flatnonzero(np.cumsum(right) / np.arange(1, len(right) + 1) >= ACCEPTED_RIGHT)
-    found.reject_below = float(np.sort(best)[::-1][enough[-1]]) if len(enough) else 1.0
+    scored = reduce(DataFrame.union, rows)
+    losses = map_arrow(scored, _losses(found), "step int, loss double").groupBy("step").agg(F.sum("loss").alias("loss")).collect()
+    if not losses:
+        return
+    found.temperature = float(TEMPERATURES[min(losses, key=lambda r: (r["loss"], r["step"]))["step"]])
+    best = map_arrow(scored, _decisions(found), "best double, right boolean")
+    found.reject_below = _threshold(best)
     found.reject_below -= 1e-12  # sums over joined rows differ from others in their last digits
 
 
+def _scored(models: Languages, rows: DataFrame, names: list[str]) -> DataFrame | None:
+    """truth (place in ``names``), entropies (by all ``names``; infinite for those without a model) and size of the ``rows``
+    with letters whose language ``models`` know; None if they know none."""
+    if not models.names:
+        return None
+    rows = rows.where(F.col("lang").isin(models.names)).select("lang", "text")
+    if models.tables:
+        rows = _joined_entropies(rows, "lang", models.tables)
+    else:
+        shared = rows.sparkSession.sparkContext.broadcast(models)
+        rows = map_arrow(rows, _entropy_rows(shared), "lang string, entropies array<double>, size long")
+    place = {name: F.get("entropies", F.lit(i)) for i, name in enumerate(models.names)}
+    by_all = F.array(*(place.get(name, F.lit(float("inf"))) for name in names))
+    truth = F.array_position(F.array(*map(F.lit, names)), F.col("lang")) - 1
+    return rows.where("size > 0").select(truth.alias("truth"), by_all.alias("entropies"), "size")
+
+
+def _probabilities(batch: pa.RecordBatch, light: Languages) -> tuple[np.ndarray, np.ndarray]:
+    values = batch.column("entropies").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+    return light.scores(values, np.asarray(batch.column("size"))), np.asarray(batch.column("truth"))
+
+
+def _losses(found: Languages):
+    """For each batch, the log loss of its texts at each of the ``TEMPERATURES``."""
+    lights = [Languages(found.names, [], t) for t in TEMPERATURES.tolist()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                both = [_probabilities(batch, light) for light in lights]
+                loss = [-np.log(np.maximum(p[np.arange(len(p)), truth], 1e-12)).sum() for p, truth in both]
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(loss), dtype=np.int32)), pa.array(loss)], ["step", "loss"])
+
+    return run
+
+
+def _decisions(found: Languages):
+    """For each text, the probability of the language chosen, and whether it is the right one."""
+    light = Languages(found.names, [], found.temperature)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                p, truth = _probabilities(batch, light)
+                yield pa.RecordBatch.from_arrays([pa.array(p.max(axis=1)), pa.array(p.argmax(axis=1) == truth)], ["best", "right"])
+
+    return run
+
+
+def _threshold(decisions: DataFrame) -> float:
+    """The lowest score such that of all ``decisions`` (best, right) from it upwards enough are right; 1 if there is none.
+
+    Scores are counted up from the highest in ranges, each of which starts from the sums of those above it.
+    """
+    counted = decisions.groupBy("best").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("right").cast("long")).alias("right"))
+    dealt = counted.repartitionByRange(F.col("best").desc()).withColumn("range", F.spark_partition_id())
+    dealt = stored(dealt, "language-scores")
+    ranges = dealt.groupBy("range").agg(F.max("best").alias("top"), F.sum("n").alias("n"), F.sum("right").alias("right"))
+    above = Window.orderBy(F.col("top").desc()).rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    before = [F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_above") for c in ("n", "right")]
+    so_far = Window.partitionBy("range").orderBy(F.col("best").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = dealt.join(F.broadcast(ranges.select("range", *before)), "range")
+    share = (F.col("right_above") + F.sum("right").over(so_far)) / (F.col("n_above") + F.sum("n").over(so_far))
+    lowest = summed.select("best", share.alias("share")).where(F.col("share") >= ACCEPTED_RIGHT).agg(F.min("best")).first()[0]
+    return 1.0 if lowest is None else lowest
+
+
 def identify(docs: DataFrame, fitted: Languages) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, lang_pred, score (0 to 1), accepted.
 
