@@ -176,8 +176,7 @@ def _clean_bad(is_open: bool) -> Query:
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         cleaned = _cleaned(spark, sf_dir, is_open=is_open, damaged=True)
-        outcomes = cleaned.json.select(F.lit("record").alias("outcome")).union(cleaned.bad.select("reason"))
-        return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+        return cleaned.outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
     return query
 

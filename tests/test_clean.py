@@ -187,3 +187,13 @@ def test_members_and_elements_of_odd_envelopes(values, dim):
     ]:
         cleaned = clean_messages(values(text), dim)
         assert (cleaned.json.count(), sorted(r["reason"] for r in cleaned.bad.collect())) == (records, reasons), text
+
+
+@pytest.mark.parametrize("fields", [FIELDS, None])
+def test_outcomes_in_one_pass(values, dim, fields):
+    good = {"type": "tea", "score": 0.3, "level": "A"}
+    messages = values("{", envelope(data=None), envelope(data=[good, None]), envelope(data=()), envelope("XX"), envelope() + "]")
+    cleaned = clean_messages(messages, dim, None, fields)
+    found = sorted(r["outcome"] for r in cleaned.outcomes.collect())
+    assert found == sorted(["record"] * cleaned.json.count() + [r["reason"] for r in cleaned.bad.collect()])
+    assert found == ["bad_item", "malformed_json", "malformed_json", "no_data", "record", "record"]

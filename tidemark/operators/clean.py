@@ -29,9 +29,9 @@ def parse_envelopes(messages: DataFrame, item_fields: str | None = None, kept: t
         parsed = with_once(messages, "_p", read_fields("value", "dt string, countryCode string"))
         parsed = with_once(parsed, "_m", member_spans(F.col("value")))
         # A number in the header keeps its text, too.
-        own = {name: last_member(F.col("_m"), name) for name in header}
-        number = {name: F.regexp_like(raw, F.lit(r"\A-?\d")) for name, raw in own.items()}
-        parsed = parsed.withColumns({name: F.when(number[name], own[name]).otherwise(F.col(f"_p.{name}")) for name in header})
+        parsed = with_once(parsed, "_o", F.struct(*(last_member(F.col("_m"), name).alias(name) for name in header)))
+        number = {name: F.regexp_like(f"_o.{name}", F.lit(r"\A-?\d")) for name in header}
+        parsed = parsed.withColumns({name: F.when(number[name], F.col(f"_o.{name}")).otherwise(F.col(f"_p.{name}")) for name in header})
         parsed = with_once(parsed, "data", F.when(~is_broken("_p"), elements(F.col("value"), F.col("_m"), "data")))
     reason = F.when(is_broken("_p"), "malformed_json").when(F.col("data").isNull(), "no_data")
     return parsed.select("value", *header, "data", reason.alias("reason"), *kept)
@@ -65,7 +65,10 @@ def explode_items(enriched: DataFrame, item_fields: str | None = None) -> DataFr
     a field of another type; the other items of the envelope are not affected.
     """
     usable = enriched.where(F.col("reason").isNull())
-    exploded = usable.select(F.explode("data").alias("item"), "area", "dt")
+    return _read_items(usable.select(F.explode("data").alias("item"), "area", "dt"), item_fields)
+
+
+def _read_items(exploded: DataFrame, item_fields: str | None) -> DataFrame:
     if item_fields:
         parsed = with_once(exploded, "fields", read_object("item", item_fields))
         return parsed.withColumn("reason", F.when(is_broken("fields"), "bad_item"))
@@ -73,6 +76,16 @@ def explode_items(enriched: DataFrame, item_fields: str | None = None) -> DataFr
     return parsed.withColumn("reason", F.when(F.col("record").isNull(), "bad_item"))
 
 
+def outcomes(enriched: DataFrame, item_fields: str | None = None) -> DataFrame:
+    """``outcome`` of each item, ``record`` or the reason it is bad, and the reason of each envelope that can't be exploded.
+
+    One pass over the envelopes: such an envelope goes along as one item without a text.
+    """
+    spread = F.when(F.col("reason").isNull(), F.col("data")).otherwise(F.array(F.lit(None).cast("string")))
+    exploded = enriched.select(F.explode(spread).alias("item"), "area", "dt", F.col("reason").alias("unusable"))
+    return _read_items(exploded, item_fields).select(F.coalesce("unusable", "reason", F.lit("record")).alias("outcome"))
+
+
 def record_columns(items: DataFrame) -> DataFrame:
     """Typed items as columns, with ``area`` and ``dt`` added or overwritten."""
     good = items.where(F.col("reason").isNull())

@@ -13,6 +13,7 @@ from tidemark.operators.joins import BROADCAST_BYTES
 class Cleaned(NamedTuple):
     items: DataFrame
     bad_envelopes: DataFrame
+    outcomes: DataFrame
 
     @property
     def columns(self) -> DataFrame:
@@ -36,8 +37,8 @@ def clean_messages(
 ) -> Cleaned:
     """Envelope texts to items; see ``operators.clean`` for the arguments."""
     envelopes = clean.parse_envelopes(messages, item_fields)
-    items = clean.explode_items(clean.enrich(envelopes, dim, default_area, max_broadcast), item_fields)
-    return Cleaned(items, clean.bad_envelopes(envelopes))
+    enriched = clean.enrich(envelopes, dim, default_area, max_broadcast)
+    return Cleaned(clean.explode_items(enriched, item_fields), clean.bad_envelopes(envelopes), clean.outcomes(enriched, item_fields))
 
 
 def clean_messages_as_of(
@@ -55,4 +56,4 @@ def clean_messages_as_of(
     """
     envelopes = clean.parse_envelopes(messages, item_fields, (arrival,))
     enriched = clean.enrich_as_of(envelopes, versions, arrival, default_area, max_broadcast)
-    return Cleaned(clean.explode_items(enriched, item_fields), clean.bad_envelopes(envelopes))
+    return Cleaned(clean.explode_items(enriched, item_fields), clean.bad_envelopes(envelopes), clean.outcomes(enriched, item_fields))
