@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions import json_spans
 from tidemark.functions.json_text import is_broken, put_fields, read_fields
 from tidemark.functions.texts import document_id, split_codes, tab_line
 from tidemark.functions.times import format_ms, parse_time, window_number
@@ -165,3 +166,22 @@ def test_tab_line_prints_null(spark):
 
 def test_document_id(spark):
     assert one(spark, document_id(F.lit("2024-01-01 00:01:00"), F.lit("login"), F.lit("NORTH"))) == "2024-01-01_00:01:00-login-NORTH"
+
+
+@pytest.mark.parametrize(
+    "text, members, elements",
+    [
+        ('{"a":1, "b" : [1,{"c":"}"}] }', ['"a":1', '"b" : [1,{"c":"}"}]', "}"], []),
+        (" { } ", ["}"], []),
+        ("}", [], []),
+        ('{"a":1,}', ['"a":1'], []),
+        ('{"a":1} x', ['"a":1'], []),
+        ('[1, "]" ,[2]] ', [], ["1", '"]"', "[2]", "]"]),
+        ("[ ]", [], ["]"]),
+        ("]", [], []),
+        ("[1,]", [], ["1"]),
+    ],
+)
+def test_members_and_elements_end_with_what_closes_the_text(spark, text, members, elements):
+    assert one(spark, json_spans.members(F.lit(text))) == members
+    assert one(spark, json_spans.all_elements(F.lit(text))) == elements

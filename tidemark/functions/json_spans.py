@@ -27,7 +27,9 @@ def _nested(depth: int) -> str:
 
 _VALUE = rf"""(?:"{_IN_STRING}"|[^\s,:\[\]{{}}"']++|{_nested(DEPTH)})"""
 _MEMBER = rf'(?s)\G\s*+[{{,]\s*+"{_IN_STRING}"\s*+:\s*+{_VALUE}'
-_ELEMENT = rf"(?s)\G\s*+[\[,]\s*+{_VALUE}"
+#: As above, but for the sign and the white space before each, and what closes a text as the last of all.
+_MEMBERS = rf'(?s)\G(?:\s*+[{{,]\s*+(?=")|(?:\A\s*+\{{|(?!\A))\s*+(?=\}}\s*+\z))("{_IN_STRING}"\s*+:\s*+{_VALUE}|\}})'
+_ELEMENTS = rf"(?s)\G(?:\s*+[\[,]\s*+(?=[^\s\]])|(?:\A\s*+\[|(?!\A))\s*+(?=\]\s*+\z))({_VALUE}|\])"
 _FLAT = rf'(?s)\A\s*+\{{{_PLAIN}(?:"{_IN_STRING}"{_PLAIN})*+\}}\s*+\z'
 
 
@@ -36,9 +38,14 @@ def member_spans(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(_MEMBER), F.lit(0))
 
 
-def element_spans(text: Column) -> Column:
-    """The elements of an array, each with the sign and the white space before it."""
-    return F.regexp_extract_all(text, F.lit(_ELEMENT), F.lit(0))
+def members(text: Column) -> Column:
+    """The members of an object as they are written, and ``}`` as the last element if they are all there is."""
+    return F.regexp_extract_all(text, F.lit(_MEMBERS), F.lit(1))
+
+
+def all_elements(text: Column) -> Column:
+    """The elements of an array as they are written, and ``]`` as the last if they are all there is."""
+    return F.regexp_extract_all(text, F.lit(_ELEMENTS), F.lit(1))
 
 
 def whole(text: Column, spans: Column, opening: str, closing: str) -> Column:
@@ -49,15 +56,6 @@ def whole(text: Column, spans: Column, opening: str, closing: str) -> Column:
     return F.regexp_replace(rest, r"\s+", "") == F.concat(start, F.lit(closing))
 
 
-def bare_member(span: Column) -> Column:
-    """A member without the sign and the white space before it."""
-    return F.regexp_replace(span, r"\A\s*+[{,]\s*+", "")
-
-
-def bare_element(span: Column) -> Column:
-    return F.regexp_replace(span, r"\A\s*+[\[,]\s*+", "")
-
-
 def value_of(span: Column) -> Column:
     """The text of a member's value."""
     return F.regexp_replace(span, rf'(?s)\A\s*+[{{,]\s*+"{_IN_STRING}"\s*+:\s*+', "")

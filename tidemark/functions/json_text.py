@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.json_spans import bare_element, bare_member, element_spans, member_spans, value_of, whole
+from tidemark.functions.json_spans import all_elements, members, value_of, whole
 
 BROKEN = "_broken"
 _READ = {"mode": "PERMISSIVE", "allowUnquotedFieldNames": "true"}
@@ -74,7 +74,6 @@ def elements(text: Column, spans: Column, name: str) -> Column:
     single quotes or bare names, or is nested deeper than a hundred levels, is written anew, but for
     its numbers.
     """
-    array = last_member(spans, name)
 
     def one(item: Column) -> Column:
         decoded = F.from_json(F.concat(F.lit("["), item, F.lit("]")), "array<string>")[0]
@@ -83,12 +82,14 @@ def elements(text: Column, spans: Column, name: str) -> Column:
     def of(all_of: Column) -> Column:
         good, array, found = all_of["good"], all_of["array"], all_of["found"]
         nothing = F.when(good & ~F.coalesce(F.startswith(array, F.lit("[")), F.lit(False)), True)
-        spelt = F.transform(F.transform(found, bare_element), one)
-        return F.when(nothing, None).when(good & whole(array, found, "[", "]"), spelt).otherwise(_rewritten(text, name))
+        n = F.size(found) - 1
+        spelt = F.transform(F.slice(found, F.lit(1), n), one)
+        return F.when(nothing, None).when(good & (n >= 0) & (F.get(found, n) == "]"), spelt).otherwise(_rewritten(text, name))
 
-    good = plain_members(text, spans)
-    bound = F.struct(good.alias("good"), array.alias("array"), F.when(good, element_spans(array)).alias("found"))
-    return F.transform(F.array(bound), of)[0]
+    # Bound by a lambda each, the test and the array's text are worked out once.
+    bound = F.struct(plain_members(text, spans).alias("good"), last_member(spans, name).alias("array"))
+    split = F.transform(F.array(bound), lambda own: own.withField("found", F.when(own["good"], all_elements(own["array"]))))
+    return F.transform(split, of)[0]
 
 
 def _rewritten(text: Column, name: str) -> Column:
@@ -112,20 +113,24 @@ def put_fields(text: Column, new: dict[str, Column]) -> Column:
     simple = simple & (F.size(F.array_distinct(names)) == F.size(names)) & F.endswith(text, F.lit("}"))
 
     def cut(own: Column) -> Column:
-        spans, kinds, put = own["spans"], own["names"], own["added"]
-        kept = F.filter(spans, lambda span, i: _stays(span, F.get(kinds, i), F.slice(kinds, i + 2, F.size(kinds)), new))
-        joined = F.concat_ws(",", F.transform(kept, bare_member), F.nullif(F.substring(put, F.lit(2), F.length(put) - 2), F.lit("")))
-        aligned = (F.size(spans) == F.size(kinds)) & whole(text, spans, "{", "}")
+        found, kinds, put, n = own["found"], own["names"], own["added"], F.size(own["names"])
+        kept = F.filter(
+            F.slice(found, F.lit(1), n),
+            lambda member, i: _stays(member, F.get(kinds, i), new) & (own["distinct"] | ~F.array_contains(F.slice(kinds, i + 2, n), F.get(kinds, i))),
+        )
+        joined = F.concat_ws(",", kept, F.nullif(F.substring(put, F.lit(2), F.length(put) - 2), F.lit("")))
+        aligned = (F.size(found) == n + 1) & (F.get(found, n) == "}")
         return F.when(aligned, F.concat(F.lit("{"), joined, F.lit("}"))).otherwise(_rebuilt(text, new))
 
     # Bound by a lambda, what all members need is worked out once.
-    bound = F.array(F.struct(member_spans(text).alias("spans"), names.alias("names"), added.alias("added")))
-    return F.when(names.isNull(), None).when(simple, spliced).otherwise(F.transform(bound, cut)[0])
+    bound = F.array(F.struct(members(text).alias("found"), names.alias("names"), added.alias("added")))
+    counted = F.transform(bound, lambda own: own.withField("distinct", F.size(F.array_distinct(own["names"])) == F.size(own["names"])))
+    return F.when(names.isNull(), None).when(simple, spliced).otherwise(F.transform(counted, cut)[0])
 
 
-def _stays(span: Column, name: Column, later: Column, new: dict[str, Column]) -> Column:
-    """Whether a member is neither overwritten, nor null, nor followed by one of its name."""
-    return ~name.isin(*new) & ~F.endswith(span, F.lit("null")) & ~F.array_contains(later, name)
+def _stays(member: Column, name: Column, new: dict[str, Column]) -> Column:
+    """Whether a member is neither overwritten nor null."""
+    return ~name.isin(*new) & ~F.endswith(member, F.lit("null"))
 
 
 def _rebuilt(text: Column, new: dict[str, Column]) -> Column:
