@@ -7,7 +7,7 @@ from fractions import Fraction
 import pytest
 
 from tidemark.llm import ngram_join
-from tidemark.llm.line_dedup import MIN_WORDS, dedup_lines
+from tidemark.llm.line_dedup import MIN_WORDS, _rests, dedup_lines
 from tidemark.llm.ngram_join import jaccard_join
 from tidemark.llm.pii import replace_entities
 
@@ -163,6 +163,23 @@ def test_line_dedup_repeated_rows_and_null_ids(spark):
     assert dedup_lines(table.limit(0)).collect() == []
 
 
+def test_rests_of_lines_are_dealt_and_summed_once(spark):
+    words = [[f"w{i * j % 7}" for j in range(8 + i)] for i in range(9)]
+    lines = spark.createDataFrame([(n, n, len(w), w) for n, w in enumerate(words)], "k1 long, first long, n int, words array<string>")
+    found = _rests(lines)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\bWindow \[", plan)) == 1 and "Union" not in plan
+    assert sorted((r["k1"], r["place"]) for r in found.collect()) == [(n, i) for n, w in enumerate(words) for i in range(-1, len(w))]
+
+
+def test_texts_are_cut_once_for_the_lines_they_keep(spark):
+    table = spark.createDataFrame([(1, "a\nb\na\nc"), (2, "c\nd")], "doc_id long, text string")
+    found = dedup_lines(table)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and not re.search(r"lambdafunction\([^)]*split\(", plan)
+    assert sorted(tuple(r) for r in found.collect()) == [(1, "a\nb\nc", 4, 1), (2, "d", 2, 1)]
+
+
 def test_line_dedup_is_native(spark):
     table = spark.createDataFrame([(1, "a\nb")], "doc_id long, text string")
     plan = dedup_lines(table)._jdf.queryExecution().executedPlan().toString()

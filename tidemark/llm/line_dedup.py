@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.once import with_once
-from tidemark.llm.tables import looked_up, numbered, stored
+from tidemark.llm.tables import looked_up, numbered, stored, table_bytes
 
 MIN_WORDS = 8
 
@@ -71,10 +71,15 @@ def _halves() -> Column:
 
 def _rests(lines: DataFrame) -> DataFrame:
     """For each line, every rest with one word taken out at ``place``, and the line whole (place -1): key, place, k1, first."""
-    dealt = lines.repartition("k1").select("k1", "first", "n", F.posexplode("words").alias("place", "word"))
-    here = dealt.select(
-        "k1", "first", "n", "place", F.xxhash64("word", "place").alias("own"), F.xxhash64("word", F.col("place") - 1).alias("moved")
-    )
+    # After its last word each line has a place without one, which adds nothing to the sums: what is left there is the whole line.
+    ended = F.concat("words", F.array(F.lit(None).cast("string")))
+    dealt = lines.repartition("k1").select("k1", "first", "n", F.posexplode(ended).alias("place", "word"))
+    is_word = F.col("place") < F.col("n")
+
+    def hashed(place: Column) -> Column:
+        return F.when(is_word, F.xxhash64("word", place)).otherwise(F.lit(0).cast("long"))
+
+    here = dealt.select("k1", "first", "n", "place", hashed(F.col("place")).alias("own"), hashed(F.col("place") - 1).alias("moved"))
     by_line = Window.partitionBy("k1")
     so_far = by_line.orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = here.select(
@@ -82,13 +87,12 @@ def _rests(lines: DataFrame) -> DataFrame:
         F.bit_xor("own").over(so_far).alias("before"),
         F.bit_xor("moved").over(so_far).alias("moved_before"),
     )
-    total = here.groupBy("k1").agg(F.bit_xor("own").alias("whole"), F.bit_xor("moved").alias("moved_whole"))
+    total = here.groupBy("k1").agg(F.bit_xor("moved").alias("moved_whole"))
     both = summed.join(total, "k1")
     # Words before the place keep their number, words after it move up by one.
     rest = F.col("before").bitwiseXOR(F.col("own")).bitwiseXOR(F.col("moved_whole")).bitwiseXOR(F.col("moved_before"))
-    taken = both.select(F.xxhash64(rest, F.col("n") - 1).alias("key"), "place", "k1", "first")
-    whole = both.where("place = 0").select(F.xxhash64("whole", "n").alias("key"), F.lit(-1).alias("place"), "k1", "first")
-    return taken.union(whole)
+    size, place = F.when(is_word, F.col("n") - 1).otherwise(F.col("n")), F.when(is_word, F.col("place")).otherwise(F.lit(-1))
+    return both.select(F.xxhash64(rest, size).alias("key"), place.alias("place"), "k1", "first")
 
 
 def _without(words: Column, place: Column) -> Column:
@@ -124,8 +128,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     shared = classes.where(F.col("n") >= MIN_WORDS).select("k1", F.explode(_halves()).alias("half"))
     common = shared.groupBy("half").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low != high").select("half")
     candidates = stored(shared.join(common, "half", "left_semi").select("k1").distinct().join(classes.select("k1", "first"), "k1"), "candidates")
-    holders = stored(candidates.select(F.col("first.row").alias("row")).distinct(), "holders")
-    texts = _lines(looked_up(docs, holders, "row", "left_semi"))
+    holders = candidates.select(F.col("first.row").alias("row"))
+    texts = _lines(looked_up(docs, holders.distinct(), "row", "left_semi", size=table_bytes(holders)))
     cut = with_once(texts, "line", F.struct(first.alias("first"), "n", "words")).select("line.*")
     own = cut.where(F.col("n") >= MIN_WORDS).dropDuplicates(["first"])
     near = stored(near_classes(stored(own.join(candidates.select("first", "k1"), "first"), "candidate-lines")), "near-lines")
@@ -150,12 +154,12 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     texts = plain.withColumnsRenamed({doc_id: "doc_id", own: "text"})
     keyed = texts.withColumn("row", _row())
     drops = stored(repeated_lines(keyed.select("doc_id", "text", "row")), "drops")
-    found = looked_up(keyed, drops, "row", "left")
-    lines = F.split("text", "\n")
+    # Cut once: a function of each line that is kept would cut the text again for each.
+    found = with_once(looked_up(keyed, drops, "row", "left"), "lines", F.when(F.col("drops").isNotNull(), F.split("text", "\n")))
     breaks = F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
     n = F.coalesce(breaks + 1, F.lit(0))
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("drops"))
-    text = F.when(F.col("drops").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("drops"))
+    text = F.when(F.col("drops").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n"))
     counts = [n.cast("long").alias("n_lines"), F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped")]
     names = {own: text, doc_id: F.col("doc_id")}
     columns = [names.get(f"c{n}", F.col(f"c{n}")) for n in kept]

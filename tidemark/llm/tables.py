@@ -144,13 +144,16 @@ def table_bytes(table: DataFrame) -> int:
     return table.agg(F.sum(reduce(Column.__add__, parts))).first()[0] or 0
 
 
-def looked_up(table: DataFrame, keys: DataFrame, on: str, how: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """A left, left_semi or left_anti join of ``table`` with ``keys``, a stored table whose ``on`` values are unique.
+def looked_up(
+    table: DataFrame, keys: DataFrame, on: str, how: str, rows_per_salt: int = ROWS_PER_SALT, size: int | None = None
+) -> DataFrame:
+    """A left, left_semi or left_anti join of ``table`` with ``keys``, whose ``on`` values are unique: a stored table,
+    or one of which ``size`` says how many bytes it takes at most.
 
     Small keys are broadcast. Beyond ``BROADCAST_BYTES`` both sides are shuffled, and of ``table`` the rows of
     a key with over ``rows_per_salt`` are spread. A null ``on`` finds nothing.
     """
-    if table_bytes(keys) <= BROADCAST_BYTES:
+    if (table_bytes(keys) if size is None else size) <= BROADCAST_BYTES:
         return table.join(F.broadcast(keys), on, how)
     if how == "left":
         return lookup_join(table, keys, on, 0, rows_per_salt)
