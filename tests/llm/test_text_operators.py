@@ -16,7 +16,7 @@ from tidemark.llm.decontaminate import clean, contamination
 from tidemark.llm.encode import Encoder
 from tidemark.llm.packing import fullest, pack, plan
 from tidemark.llm.words import byte_set, grams, words
-from tidemark.workspace import new_folder
+from tidemark.workspace import new_folder, setting
 
 BYTES, WORDS = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 ODD = [
@@ -154,6 +154,15 @@ def test_token_files(spark, docs, kind):
     assert read_shards(write_shards(table.limit(0), new_folder(spark, "bits"), WORDS, False, 2)).collect() == []
 
 
+def test_the_list_of_shards_is_one_file(spark):
+    table = spark.createDataFrame([(n, "a text " * 50) for n in range(400)], "doc_id long, text string")
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        shards = write_shards(table, new_folder(spark, "bits"), WORDS, False, 2)
+    listed = shards.orderBy("shard").collect()
+    assert len(listed) > 1 and len(shards.inputFiles()) == 1
+    assert sum(r["n_docs"] for r in listed) == 400 and [r["doc_id"] for r in read_shards(shards).orderBy("start").collect()] == [*range(400)]
+
+
 def brute_force(texts, items, size):
     pattern = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
     low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})

@@ -159,7 +159,8 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, lead: bool, end_i
 
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     ordered = source.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return stored(map_arrow(ordered, run, SHARDS), "shards")
+    # The list has one row a shard, and is written as one file instead of one for each.
+    return stored(map_arrow(ordered, run, SHARDS).repartition(1), "shards")
 
 
 _DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
