@@ -40,7 +40,7 @@ from tidemark.settings import OTHER_AREA, Timing
 from tidemark.sinks.delivery import with_ids_sink
 from tidemark.sinks.writers import documents, folder_sink, read_folder, read_upserted, upsert_sink
 from tidemark.sources.areas import AreaSnapshots
-from tidemark.sources.messages import read_messages
+from tidemark.sources.messages import keys_on_disk, read_messages
 from tidemark.streaming.clean import run_clean
 from tidemark.streaming.replay import NOW, replay
 from tidemark.streaming.report import ReportStep, run_report_builtin, run_report_exact
@@ -270,7 +270,7 @@ def _delivered_once(spark: SparkSession, sf_dir: str) -> DataFrame:
         send(clean_messages(messages.where(_date_part() == batch_id), areas, None, ITEM_FIELDS).json, batch_id)
     log = read_messages(spark, "parquet", True, "key string, value string, timestamp timestamp", "1 hour", path=f"{folder}/log")
     once = log.writeStream.foreachBatch(folder_sink(f"{folder}/out"))
-    with setting(spark, "spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism):
+    with setting(spark, "spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism), keys_on_disk(spark):
         query = once.option("checkpointLocation", f"{folder}/checkpoint").trigger(**NOW).start()
     query.awaitTermination()
     return _json_columns(read_folder(spark, f"{folder}/out", "value string"), CLEAN_FIELDS)

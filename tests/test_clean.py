@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions.json_text import read_flat
 from tidemark.operators import clean
 from tidemark.operators.areas import invert_areas
 from tidemark.operators.joins import lookup_join
@@ -197,3 +198,46 @@ def test_outcomes_in_one_pass(values, dim, fields):
     found = sorted(r["outcome"] for r in cleaned.outcomes.collect())
     assert found == sorted(["record"] * cleaned.json.count() + [r["reason"] for r in cleaned.bad.collect()])
     assert found == ["bad_item", "malformed_json", "malformed_json", "no_data", "record", "record"]
+
+
+ODD_ITEMS = [
+    '{"type":"a","score":0.30,"level":"L"}',
+    '{"type":1.50,"score":1,"level":null,"more":[{"a":1}]}',
+    "{}",
+    '{"type":1e400,"score":1e400,"level":{"a":1e400}}',
+    '{"type":"\\"x","score":"NaN","level":"\\u0061"}',
+    '{"type":"a","type":"b","score":"high"}',
+    '{"score":"high","score":0.5}',
+    '"{\\"type\\":\\"a\\"}"',
+    '[{"type":"a"}]',
+    "null",
+    "5",
+    "{type:'a',score:-0.0}",
+]
+ODD_ENDS = ["", "\n", " zzz", "]", "{}", ",{}", ",{}]", ',{}],"tidemark_texts":[{"dt":"x","data":[{}]}', ',"q":[{}', ',{}],"q":[{}']
+
+
+def test_items_are_the_same_read_at_once_or_one_by_one(values, dim, monkeypatch):
+    def text(data):
+        return '{"dt":"t","countryCode":"NL","data":' + data + "}"
+
+    texts = [text(f"[{item}]") for item in ODD_ITEMS] + [text(f"[{ODD_ITEMS[0]},{item}]") for item in ODD_ITEMS]
+    texts += [text(data) for data in ("null", "[]", "{}", "5", '"[{}]"', "[{]", '[],"data":[{}]', '[{}],"data":null', '[{}],"dt":1e400')]
+    texts += [text("[{}]") + end for end in ODD_ENDS] + ["", "[]", "{}", '{"countryCode":"NL","data":[{}]}']
+
+    def found():
+        cleaned = clean_messages(values(*texts), dim, "other", FIELDS)
+        tables = (cleaned.columns, cleaned.json, cleaned.bad, cleaned.outcomes)
+        return [sorted(map(repr, map(tuple, table.collect()))) for table in tables]
+
+    at_once = found()
+    flat = values(*texts).where(read_flat("value", "dt string, countryCode string", "data", FIELDS).isNotNull()).count()
+    assert 8 < flat < len(texts) - 20
+    monkeypatch.setattr(clean, "read_flat", lambda text, fields, name, of: F.lit(None).cast(f"struct<{fields}, {name} array<struct<{of}>>>"))
+    assert found() == at_once
+
+
+def test_fields_of_types_that_depend_on_the_text_are_read_one_by_one(values):
+    text = envelope(data=[{"n": 1}])
+    for kind, at_once in (("bigint", 1), ("decimal(38,20)", 0), ("float", 0)):
+        assert values(text).where(read_flat("value", "dt string", "data", f"n {kind}").isNotNull()).count() == at_once

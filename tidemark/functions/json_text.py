@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.json_spans import all_elements, members, value_of, whole
 
@@ -37,6 +40,41 @@ def read_object(text: Column | str, fields: str) -> Column:
     return F.from_json(text, f"{fields}, {BROKEN} string", options)
 
 
+#: Names of the members around a text that ``read_flat`` reads, and what a text holds that might name them itself.
+_TEXTS, _END = "tidemark_texts", "tidemark_end"
+_NAMED = ("tidemark_", r"\u")
+#: Fields whose values come out the same whether an element is read in place or from its own text.
+_FLAT = (T.StringType, T.DoubleType, T.LongType, T.IntegerType, T.BooleanType)
+
+
+def read_flat(text: Column | str, fields: str, name: str, of: str) -> Column:
+    """Struct of ``fields`` and ``name``, an array of structs of the fields ``of``: all of an object in one reading.
+
+    Null unless the text is surely one object, with nothing after it, and each element of the array an object without a field
+    of another type, so that ``read_fields`` and ``read_object`` would find the same. They must read the others.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+    kinds = T.StructType.fromDDL(of).fields
+    if not all(isinstance(kind.dataType, _FLAT) for kind in kinds):
+        return F.lit(None).cast(f"struct<{fields}, {name} array<struct<{of}>>>")
+    around = F.concat(F.lit(f'{{"{_TEXTS}":['), text, F.lit(f',{{}}],"{_END}":true}}'))
+    schema = f"{_TEXTS} array<struct<{fields}, {name} array<struct<{of}>>>>, {_END} boolean, {BROKEN} string"
+    found = F.from_json(around, schema, {**_READ, "columnNameOfCorruptRecord": BROKEN})
+    # A bare number that no double holds becomes a word, in quotes only where it is read in place.
+    quoted = [kind.name for kind in kinds if isinstance(kind.dataType, T.StringType)]
+
+    def odd(element: Column) -> Column:
+        return reduce(Column.__or__, [F.coalesce(F.startswith(element[n], F.lit('"')), F.lit(False)) for n in quoted], element.isNull())
+
+    def sure(read: Column) -> Column:
+        ended = read[BROKEN].isNull() & F.coalesce(read[_END], F.lit(False)) & (F.size(read[_TEXTS]) == 2)
+        return F.when(ended & ~F.coalesce(F.exists(read[_TEXTS][0][name], odd), F.lit(True)), read[_TEXTS][0])
+
+    unnamed = reduce(Column.__and__, [~F.contains(text, F.lit(part)) for part in _NAMED])
+    # Bound by a lambda, the parsed struct is worked out once.
+    return F.when(unnamed, F.transform(F.array(found), sure)[0])
+
+
 def _marks(text: Column) -> tuple[Column, Column]:
     """What stands around a number that is kept as text: a hash of the whole text, which the text doesn't hold."""
     own = F.hex(F.xxhash64(text))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.json_spans import member_spans
-from tidemark.functions.json_text import BROKEN, elements, is_broken, last_member, put_fields, read_fields, read_object
+from tidemark.functions.json_text import BROKEN, elements, is_broken, last_member, put_fields, read_fields, read_flat, read_object
 from tidemark.functions.once import with_once
 from tidemark.operators.joins import BROADCAST_BYTES, lookup_join
 from tidemark.operators.versions import as_of_lookup
@@ -17,13 +17,15 @@ ADDED = ("area", "dt")
 def parse_envelopes(messages: DataFrame, item_fields: str | None = None, kept: tuple[str, ...] = ()) -> DataFrame:
     """``value`` text to ``(value, dt, countryCode, data, reason)``, with ``data`` an array of JSON texts.
 
-    With ``item_fields`` (DDL of the item's fields) items will become structs of those fields. Without,
-    fields nobody has named pass through as they are written. ``reason`` is null for an envelope that
+    With ``item_fields`` (DDL of the item's fields) ``data`` has structs of those ``fields`` and the ``text``; most
+    envelopes are read in one go then, and their items have no text. Without, fields nobody has named pass
+    through as they are written. ``reason`` is null for an envelope that
     can be exploded; a text with anything after its object is malformed. Columns ``kept`` come along.
     """
     header = ("dt", "countryCode")
     if item_fields:
-        parsed = with_once(messages, "_p", read_fields("value", "dt string, countryCode string, data array<string>"))
+        parsed = with_once(messages, "_flat", read_flat("value", "dt string, countryCode string", "data", item_fields))
+        parsed = with_once(parsed, "_p", F.when(F.col("_flat").isNull(), _item_by_item(item_fields)).otherwise(_at_once()))
         parsed = parsed.withColumns({name: F.col(f"_p.{name}") for name in (*header, "data")})
     else:
         parsed = with_once(messages, "_p", read_fields("value", "dt string, countryCode string"))
@@ -37,6 +39,20 @@ def parse_envelopes(messages: DataFrame, item_fields: str | None = None, kept: t
     return parsed.select("value", *header, "data", reason.alias("reason"), *kept)
 
 
+def _item_by_item(item_fields: str) -> Column:
+    """An envelope whose items are cut out as texts, each of which is read for itself."""
+    read = read_fields("value", "dt string, countryCode string, data array<string>")
+    items = lambda texts: F.transform(texts, lambda text: F.struct(text.alias("text"), read_object(text, item_fields).alias("fields")))
+    # Bound by a lambda, the envelope is parsed once.
+    return F.transform(F.array(read), lambda one: F.when(one.isNotNull(), F.struct(one["dt"].alias("dt"), one["countryCode"].alias("countryCode"), items(one["data"]).alias("data"), one[BROKEN].alias(BROKEN))))[0]
+
+
+def _at_once() -> Column:
+    none = F.lit(None).cast("string")
+    items = F.transform("_flat.data", lambda item: F.struct(none.alias("text"), item.withField(BROKEN, none).alias("fields")))
+    return F.struct("_flat.dt", "_flat.countryCode", items.alias("data"), none.alias(BROKEN))
+
+
 def enrich(
     envelopes: DataFrame, dim: DataFrame, default_area: str | None = None, max_broadcast: int = BROADCAST_BYTES
 ) -> DataFrame:
@@ -60,8 +76,8 @@ def enrich_as_of(
 def explode_items(enriched: DataFrame, item_fields: str | None = None) -> DataFrame:
     """One row per element of ``data``: ``(item, area, dt, reason)``, and ``fields`` or ``record``.
 
-    ``item`` is the element's text. ``fields`` are its ``item_fields``; without those, ``record`` is the
-    text with ``area`` and ``dt`` put in. ``reason`` is set where the element is null, no object, or has
+    ``item`` is the element's text, null where its envelope was read in one go: such an item is not bad.
+    ``fields`` are its ``item_fields``; without those, ``record`` is the text with ``area`` and ``dt`` put in. ``reason`` is set where the element is null, no object, or has
     a field of another type; the other items of the envelope are not affected.
     """
     usable = enriched.where(F.col("reason").isNull())
@@ -70,7 +86,7 @@ def explode_items(enriched: DataFrame, item_fields: str | None = None) -> DataFr
 
 def _read_items(exploded: DataFrame, item_fields: str | None) -> DataFrame:
     if item_fields:
-        parsed = with_once(exploded, "fields", read_object("item", item_fields))
+        parsed = exploded.withColumns({"fields": F.col("item.fields"), "item": F.col("item.text")})
         return parsed.withColumn("reason", F.when(is_broken("fields"), "bad_item"))
     parsed = with_once(exploded, "record", put_fields(F.col("item"), {name: F.col(name) for name in ADDED}))
     return parsed.withColumn("reason", F.when(F.col("record").isNull(), "bad_item"))
@@ -81,7 +97,7 @@ def outcomes(enriched: DataFrame, item_fields: str | None = None) -> DataFrame:
 
     One pass over the envelopes: such an envelope goes along as one item without a text.
     """
-    spread = F.when(F.col("reason").isNull(), F.col("data")).otherwise(F.array(F.lit(None).cast("string")))
+    spread = F.when(F.col("reason").isNull(), F.col("data")).otherwise(F.array(F.lit(None).cast(enriched.schema["data"].dataType.elementType)))
     exploded = enriched.select(F.explode(spread).alias("item"), "area", "dt", F.col("reason").alias("unusable"))
     return _read_items(exploded, item_fields).select(F.coalesce("unusable", "reason", F.lit("record")).alias("outcome"))
 

@@ -165,7 +165,7 @@ def order_messages(spark: SparkSession, sf_dir: str, extra: bool = False, damage
     large = counts.select("l_orderkey", F.ceil(F.col("n") / ITEMS_PER_ENVELOPE).alias("parts"))
     # At most one in 65,536 of the line items' number, so it may be broadcast.
     lines = lines.join(F.broadcast(large), "l_orderkey", "left")
-    part = F.coalesce(F.pmod(F.xxhash64(*[c for c in lines.columns if c != "parts"]), F.col("parts")), F.lit(0))
+    part = F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64(*[c for c in lines.columns if c != "parts"]), F.col("parts"))).otherwise(0)
     items = lines.select("l_orderkey", part.alias("part"), F.struct(*item).alias("item"))
     # Collecting lists saves nothing before a shuffle, so shuffle the items as they are.
     items = items.repartition("l_orderkey", "part")
@@ -178,8 +178,13 @@ def order_messages(spark: SparkSession, sf_dir: str, extra: bool = False, damage
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select("o_orderkey", "o_orderdate", format_time("o_orderdate").alias("dt"), code.alias("countryCode"))
     )
-    # Both sides grow with the data, so neither is ever broadcast; a hot order is split at run time.
-    messages = headers.hint("merge").join(filled, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    # A header for each part, so that the lists meet them where they were made and are not shuffled again.
+    sized = headers.join(F.broadcast(large), F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
+    parts = F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1).cast("long")) - 1)
+    dealt = sized.withColumn("o_part", F.explode(parts))
+    # Both sides grow with the data, so neither is ever broadcast; a hot order is in parts.
+    here = (F.col("o_orderkey") == F.col("l_orderkey")) & (F.col("o_part") == F.col("part"))
+    messages = dealt.hint("merge").join(filled, here, "left").where(F.col("parts").isNull() | F.col("data").isNotNull())
     data = F.coalesce("data", F.array().cast(filled.schema["data"].dataType)).alias("data")
     value = F.to_json(F.struct("dt", "countryCode", data))
     if extra:

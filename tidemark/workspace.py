@@ -91,12 +91,15 @@ def setting(spark: SparkSession, key: str, value: object | None) -> Iterator[Non
     if value is None:
         yield
         return
-    before = spark.conf.get(key)
+    before = spark.conf.get(key, None)
     spark.conf.set(key, str(value))
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
